@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from martlake.functions.columns import safe_ratio
 from martlake.functions.dates import as_date, month_distance, month_label, month_start
 from martlake.operators.filters import Window, current_dimension, facts_in_window, first_cohorts, in_month
+from martlake.operators.ordering import sort_bounded
+from martlake.session import cut_lineage
 
 # Fixed value: month indexes counted as retained users (inclusive); larger
 # indexes keep their cell with 0 users.
@@ -75,12 +77,12 @@ def cohort_retention(
     """
     cells = cohort_counts(fct, dim, window, versions, max_index)
     size = F.sum(F.when(F.col("month_index") == 0, F.col("users"))).over(W.partitionBy("cohort", "cohort_month"))
-    return (
+    table = (
         cells.withColumn("cohort_size", size.cast("long"))
         .withColumn("retention_rate", safe_ratio("users", "cohort_size"))
         .select(*COHORT_COLUMNS)
-        .orderBy(F.desc("cohort_month"), F.asc("month_index"))
     )
+    return sort_bounded(table, F.desc("cohort_month"), F.asc("month_index"))
 
 
 def cohort_size(cohort: DataFrame) -> DataFrame:
@@ -96,6 +98,10 @@ def _month_indexes(cohort: DataFrame) -> list[int]:
 
 
 def _pivot(cohort: DataFrame, value_col: str, fill, cast: str) -> DataFrame:
+    # The cell table is read twice (pivot values, then the pivot itself); it is
+    # small (months x months), so it is checkpointed to the shared folder once
+    # instead of recomputing the fact scan and both shuffles.
+    cohort = cut_lineage(cohort.select("cohort", "month_index", value_col))
     indexes = _month_indexes(cohort)
     wide = cohort.groupBy("cohort").pivot("month_index", indexes).agg(F.first(value_col))
     cols = [F.col("cohort")] + [

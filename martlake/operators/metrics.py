@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from martlake.functions.columns import zero_if_null
 from martlake.functions.dates import month_start, week_start
 from martlake.operators.filters import Window, facts_in_window
+from martlake.operators.ordering import sort_bounded
 
 SUM_EURO = "decimal(38,2)"
 
@@ -49,19 +50,17 @@ def kpi(fct: DataFrame, dim: DataFrame, window: Window, versions: str = "current
 def monthly_trend(fct: DataFrame, dim: DataFrame, window: Window, versions: str = "current") -> DataFrame:
     """Revenue and order count per month over **W**, ascending."""
     f = facts_in_window(fct, dim, window, versions)
-    return (
-        f.groupBy(month_start("order_date").alias("month"))
-        .agg(euro_sum("revenue_euro").alias("revenue"), F.count("order_id").alias("orders"))
-        .orderBy("month")
+    trend = f.groupBy(month_start("order_date").alias("month")).agg(
+        euro_sum("revenue_euro").alias("revenue"), F.count("order_id").alias("orders")
     )
+    return sort_bounded(trend, "month")
 
 
 def weekly_revenue(fct: DataFrame, dim: DataFrame, window: Window, versions: str = "current") -> DataFrame:
     """Revenue per Monday week over **W**, ascending; empty weeks are absent."""
     f = facts_in_window(fct, dim, window, versions)
-    return f.groupBy(week_start("order_date").alias("week")).agg(euro_sum("revenue_euro").alias("revenue")).orderBy(
-        "week"
-    )
+    weekly = f.groupBy(week_start("order_date").alias("week")).agg(euro_sum("revenue_euro").alias("revenue"))
+    return sort_bounded(weekly, "week")
 
 
 def date_bounds(fct: DataFrame) -> DataFrame:
@@ -137,10 +136,11 @@ def priced_items(items: DataFrame, products: DataFrame, strict: bool = True) ->
     is null.  The product side is not hinted: the planner broadcasts it only
     under the size threshold.
     """
-    joined = items.join(products.select("product_id", F.col("price_cents").alias("unit_price_cents")), "product_id", "left")
+    prices = products.select("product_id", F.col("price_cents").alias("unit_price_cents"), F.lit(True).alias("_known"))
+    joined = items.join(prices, "product_id", "left")
     if strict:
         guard = F.when(
-            F.col("unit_price_cents").isNull(),
+            F.col("_known").isNull(),
             F.raise_error(F.concat(F.lit("unknown product_id: "), F.col("product_id").cast("string"))),
         ).otherwise(F.lit(True))
         joined = joined.where(guard)

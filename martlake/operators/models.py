@@ -62,12 +62,15 @@ def order_totals(raw_order_items: DataFrame) -> DataFrame:
 def fct_orders(stg: DataFrame, raw_order_items: DataFrame) -> DataFrame:
     """Order fact (M4): one row per staged order, items pre-aggregated.
 
-    Orders without items keep quantity 0 and revenue 0.00.  Both sides end
-    up hash-partitioned on ``order_id``; the aggregate's output partitioning is
-    reused by the sort-merge join, so the fact costs two exchanges in total.
+    Orders without items keep quantity 0 and revenue 0.00.  The per-order
+    item totals grow with the fact itself (one row per order), so the join is
+    pinned to a shuffle sort-merge join: a size estimate of a filtered or
+    small sample must never turn it into a broadcast of a fact-sized table.
+    Both sides end up hash-partitioned on ``order_id``; the aggregate's output
+    partitioning is reused by the join, so the fact costs two exchanges.
     """
     agg = order_totals(raw_order_items)
-    return stg.join(agg, "order_id", "left").select(
+    return stg.join(agg.hint("merge"), "order_id", "left").select(
         "order_id",
         "customer_id",
         "order_date",

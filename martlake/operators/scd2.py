@@ -85,8 +85,29 @@ def snapshot(
     out_cols = [key, *attrs, *SCD_COLUMNS]
     closed = previous.where(F.col("valid_to").isNotNull()).select(*out_cols)
     open_rows = previous.where(F.col("valid_to").isNull()).select(*out_cols)
-    delivery = unique_per_key(incoming, key)
+    current = merge_open_rows(open_rows, incoming, key, batch_ts, checked)
+    return closed.unionByName(current)
 
+
+def merge_open_rows(
+    open_rows: DataFrame,
+    incoming: DataFrame,
+    key: str,
+    batch_ts: dt.datetime | str,
+    check_cols: Sequence[str] | str = "all",
+) -> DataFrame:
+    """Merge the open versions with a delivery.
+
+    Returns the rows that replace ``open_rows``: unchanged and absent keys
+    kept open, changed keys closed at ``batch_ts`` plus their new open
+    version, new keys opened.  Closed history is not an input: it never
+    changes, so incremental writers only append the rows closed here.
+    """
+    ts = _ts_literal(batch_ts)
+    attrs = [c for c in incoming.columns if c != key]
+    checked = attrs if check_cols == "all" else list(check_cols)
+    out_cols = [key, *attrs, *SCD_COLUMNS]
+    delivery = unique_per_key(incoming, key)
     p = open_rows.select(*[F.col(c).alias(f"p_{c}") for c in out_cols])
     i = delivery.select(*[F.col(c).alias(f"i_{c}") for c in [key, *attrs]])
     j = p.join(i, F.col(f"p_{key}") == F.col(f"i_{key}"), "full_outer")
@@ -102,7 +123,7 @@ def snapshot(
     )
     new_version = F.struct(
         F.col(f"i_{key}").alias(key),
-        *[F.col(f"i_{c}").alias(c) for c in attrs],
+        *[F.col(f"i_{c}").cast(open_rows.schema[c].dataType).alias(c) for c in attrs],
         scd_id(f"i_{key}", ts).alias("scd_id"),
         ts.alias("updated_at"),
         ts.alias("valid_from"),
@@ -112,7 +133,6 @@ def snapshot(
         F.when(has_p, old_version),
         F.when(has_i & (~has_p | changed), new_version),
     )
-    current = j.select(F.explode(F.filter(versions, lambda v: v.isNotNull())).alias("v")).select(
+    return j.select(F.explode(F.filter(versions, lambda v: v.isNotNull())).alias("v")).select(
         *[F.col(f"v.{c}").alias(c) for c in out_cols]
     )
-    return closed.unionByName(current)

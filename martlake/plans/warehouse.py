@@ -11,6 +11,7 @@ import datetime as dt
 import os
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from martlake.operators.metrics import date_bounds
 from martlake.sources.tables import RAW_SCHEMAS, read_table, write_table
 
 
-@dataclass
+@dataclass(eq=False)
 class Warehouse:
     raw_customers: DataFrame
     raw_products: DataFrame
@@ -44,19 +45,20 @@ class Warehouse:
             raw["raw_customers"], raw["raw_products"], raw["raw_orders"], raw["raw_order_items"], snap, margin_mode
         )
 
-    @property
+    # Lazy plans, built on first use and shared by every query of this warehouse.
+    @cached_property
     def stg_orders(self) -> DataFrame:
         return models.stg_orders(self.raw_orders)
 
-    @property
+    @cached_property
     def fct_orders(self) -> DataFrame:
         return models.fct_orders(self.stg_orders, self.raw_order_items)
 
-    @property
+    @cached_property
     def dim_products(self) -> DataFrame:
         return models.dim_products(self.raw_products, self.margin_mode)
 
-    @property
+    @cached_property
     def dim_customers(self) -> DataFrame:
         return models.dim_customers(self.snapshot)
 
