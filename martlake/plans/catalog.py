@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.functions.dates import date_dimension
-from martlake.functions.labels import cell_label, currency_label
+from martlake.functions.labels import cell_label, currency_label, euro_2dp_label, grouped_int_label
 from martlake.operators import cohort, forecast, metrics, models, quality, scd2, segments
-from martlake.operators.filters import Window, city_list, default_cities
+from martlake.operators.filters import Window, city_list, default_cities, split_by_tag
 from martlake.plans.warehouse import Warehouse, resolve_view_params
 from martlake.sources import testdata
 
@@ -194,6 +194,19 @@ QUERIES: dict[str, Query] = {
             wh.raw_order_items, wh.dim_products, wh.fct_orders, wh.dim_customers, W
         ).select("product_name", "category", currency_label("revenue").alias("label"))
     ),
+    "kpi_labels": _wh_query(
+        lambda wh: metrics.kpi(wh.fct_orders, wh.dim_customers, W).select(
+            currency_label("revenue").alias("revenue_label"),
+            grouped_int_label("orders").alias("orders_label"),
+            euro_2dp_label("aov").alias("aov_label"),
+            grouped_int_label("active_customers").alias("customers_label"),
+        )
+    ),
+    "forecast_rows": _wh_query(
+        lambda wh: split_by_tag(
+            forecast.linear_forecast(metrics.monthly_trend(wh.fct_orders, wh.dim_customers, W_ALL)), "Forecast"
+        )
+    ),
     "cell_labels": _wh_query(
         lambda wh: _cohort(wh).select(
             "cohort", "month_index", cell_label("users", "retention_rate").alias("label")

@@ -126,16 +126,17 @@ def fw(window, dim: str = "dim_customers", current: bool = True) -> str:
     )
 
 
-def kpi_sql(window, dim: str = "dim_customers", current: bool = True, extra: str = "") -> str:
-    return q(
-        f"""
+def kpi_body(window, dim: str = "dim_customers", current: bool = True) -> str:
+    return f"""
 SELECT CAST(COUNT(DISTINCT order_id) AS BIGINT) AS orders,
        CAST(COALESCE(SUM(revenue_euro), 0) AS DECIMAL(38,2)) AS revenue,
        COALESCE(ROUND(CAST(SUM(revenue_euro) AS DOUBLE) / COUNT(revenue_euro), 6), 0.0) AS aov,
        CAST(COUNT(DISTINCT customer_id) AS BIGINT) AS active_customers
-FROM ({fw(window, dim, current)}) x""",
-        extra,
-    )
+FROM ({fw(window, dim, current)}) x"""
+
+
+def kpi_sql(window, dim: str = "dim_customers", current: bool = True, extra: str = "") -> str:
+    return q(kpi_body(window, dim, current), extra)
 
 
 def trend_sql(window) -> str:
@@ -286,6 +287,29 @@ def _dq_report_sql() -> str:
     return q(f"SELECT *, failures = 0 AS passed FROM ({body}) r")
 
 
+LINEAR_SELECT = """
+SELECT 'all' AS series, time, ROUND(y, 2) AS revenue, CAST(NULL AS DOUBLE) AS lower,
+       CAST(NULL AS DOUBLE) AS upper, 'Actual' AS type FROM s
+UNION ALL
+SELECT 'all', time, ROUND(revenue, 2), ROUND(revenue - 1.96 * se, 2), ROUND(revenue + 1.96 * se, 2), 'Forecast'
+FROM fc"""
+
+
+def linear_ctes(window) -> str:
+    return f"""
+trend AS ({trend_sql(window)}),
+s AS (SELECT month AS time, CAST(revenue AS DOUBLE) AS y,
+             CAST(date_diff('day', DATE '1970-01-01', month) AS DOUBLE) AS x FROM trend),
+fit AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, max(time) AS last_time
+        FROM s HAVING count(*) >= 3),
+res AS (SELECT stddev_samp(s.y - (fit.slope * s.x + fit.intercept)) AS se FROM s, fit),
+fc AS (SELECT CAST(fit.last_time + to_months(CAST(h AS INTEGER)) AS DATE) AS time,
+              fit.slope * CAST(date_diff('day', DATE '1970-01-01',
+                  CAST(fit.last_time + to_months(CAST(h AS INTEGER)) AS DATE)) AS DOUBLE) + fit.intercept AS revenue,
+              res.se
+       FROM fit, res, range(1, 4) t(h))"""
+
+
 CITIES_W = ", ".join(f"'{x}'" for x in W.cities)
 
 ORACLE_SQL: dict[str, str] = {
@@ -379,25 +403,9 @@ LIMIT 1000"""
 SELECT i.order_id, i.product_id, i.quantity, i.amount_cents, p.price_cents AS unit_price_cents
 FROM raw_order_items i LEFT JOIN raw_products p ON i.product_id = p.product_id"""
     ),
-    "linear_forecast": q(
-        """
-SELECT 'all' AS series, time, ROUND(y, 2) AS revenue, CAST(NULL AS DOUBLE) AS lower,
-       CAST(NULL AS DOUBLE) AS upper, 'Actual' AS type FROM s
-UNION ALL
-SELECT 'all', time, ROUND(revenue, 2), ROUND(revenue - 1.96 * se, 2), ROUND(revenue + 1.96 * se, 2), 'Forecast'
-FROM fc""",
-        f"""
-trend AS ({trend_sql(W)}),
-s AS (SELECT month AS time, CAST(revenue AS DOUBLE) AS y,
-             CAST(date_diff('day', DATE '1970-01-01', month) AS DOUBLE) AS x FROM trend),
-fit AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, max(time) AS last_time
-        FROM s HAVING count(*) >= 3),
-res AS (SELECT stddev_samp(s.y - (fit.slope * s.x + fit.intercept)) AS se FROM s, fit),
-fc AS (SELECT CAST(fit.last_time + to_months(CAST(h AS INTEGER)) AS DATE) AS time,
-              fit.slope * CAST(date_diff('day', DATE '1970-01-01',
-                  CAST(fit.last_time + to_months(CAST(h AS INTEGER)) AS DATE)) AS DOUBLE) + fit.intercept AS revenue,
-              res.se
-       FROM fit, res, range(1, 4) t(h))""",
+    "linear_forecast": q(LINEAR_SELECT, linear_ctes(W)),
+    "forecast_rows": q(
+        "SELECT * FROM (" + LINEAR_SELECT + ") u WHERE type = 'Forecast'", linear_ctes(W_ALL)
     ),
     "rfm_snapshot": q("SELECT * FROM rfm_long", rfm_ctes(W)),
     "rfm_aligned": q("SELECT * FROM rfm_wide", rfm_ctes(W)),
@@ -422,6 +430,14 @@ FROM (SELECT DISTINCT CAST(unnest(generate_series(CAST(min(order_date) AS TIMEST
     "currency_labels": q(
         f"SELECT product_name, category, {label_sql('revenue')} AS label FROM ({product_revenue_sql(W)}) pr"
     ),
+    "kpi_labels": q(
+        f"""
+SELECT {label_sql('CAST(revenue AS DOUBLE)')} AS revenue_label,
+       format('{{:,}}', orders) AS orders_label,
+       '€' || printf('%.2f', round(aov, 2)) AS aov_label,
+       format('{{:,}}', active_customers) AS customers_label
+FROM ({kpi_body(W)}) k""",
+    ),
     "cell_labels": q(
         "SELECT cohort, month_index, CAST(users AS VARCHAR) || ' users' || chr(10) || "
         "printf('%.1f', round(retention_rate * 100.0, 1)) || '%' AS label FROM cohort_view",
