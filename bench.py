@@ -6,7 +6,10 @@ Runs each query of ``HEADLINE`` on ``$BENCH_SF_DIR`` (default
 
 Each query is executed in full through the ``noop`` sink (every row is
 produced, nothing is collected).  One untimed warm-up run loads the JVM code
-paths first; then every query runs ``BENCH_RUNS`` times (default 2).  The
+paths first; then every query runs ``BENCH_RUNS`` times (default 3).
+``fct_orders`` builds the fact from the raw tables; ``build_marts`` is the
+warehouse run (fact and dimensions written once); the dashboard queries read
+those marts, as the original dashboard reads the warehouse tables.  The
 first run includes plan analysis and code generation for that query
 (``cold`` in the output); ``queries`` reports the fastest run, the steady
 state of a repeated dashboard query.  Timings are wall-clock seconds.
@@ -19,14 +22,17 @@ import os
 import re
 import sys
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from martlake.plans.catalog import QUERIES  # noqa: E402
-from martlake.session import get_spark  # noqa: E402
+from martlake.plans.catalog import QUERIES, marts, warehouse  # noqa: E402
+from martlake.plans.warehouse import materialize_marts  # noqa: E402
+from martlake.session import ensure_checkpoint_dir, get_spark  # noqa: E402
 
 HEADLINE = [
     "fct_orders",
+    "build_marts",
     "kpi",
     "monthly_trend",
     "weekly_revenue",
@@ -42,9 +48,18 @@ HEADLINE = [
 ]
 
 
+def build_marts(spark, sf_dir: str) -> None:
+    """The warehouse run: write the three marts once (timed as ``build_marts``)."""
+    path = os.path.join(ensure_checkpoint_dir(spark), "martlake-bench", uuid.uuid4().hex)
+    materialize_marts(warehouse(spark, sf_dir), path)
+
+
 def run(spark, name: str, sf_dir: str) -> float:
     t0 = time.perf_counter()
-    QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    if name == "build_marts":
+        build_marts(spark, sf_dir)
+    else:
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - t0
 
 
@@ -53,8 +68,9 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
     spark = get_spark(master=f"local[{cpus}]", app_name="martlake-bench", shuffle_partitions=cpus)
-    runs = max(1, int(os.environ.get("BENCH_RUNS", "2")))
-    run(spark, "monthly_trend", sf_dir)  # warm-up, untimed
+    runs = max(1, int(os.environ.get("BENCH_RUNS", "3")))
+    run(spark, "monthly_trend", sf_dir)  # warm-up, untimed; also writes the marts the queries read
+    marts(spark, sf_dir)
     cold, times = {}, {}
     for name in names:
         samples = [run(spark, name, sf_dir) for _ in range(runs)]

@@ -8,6 +8,8 @@ the dashboard queries (the feature), not a sample.
 from __future__ import annotations
 
 import datetime as dt
+import os
+import uuid
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -18,7 +20,8 @@ from martlake.functions.dates import date_dimension
 from martlake.functions.labels import cell_label, currency_label, euro_2dp_label, grouped_int_label
 from martlake.operators import cohort, forecast, metrics, models, quality, scd2, segments
 from martlake.operators.filters import Window, city_list, default_cities, split_by_tag
-from martlake.plans.warehouse import Warehouse, resolve_view_params
+from martlake.plans.warehouse import Marts, Warehouse, materialize_marts, resolve_view_params
+from martlake.session import ensure_checkpoint_dir
 from martlake.sources import testdata
 
 # Fixed parameters of the registered queries (FIXTURES.md section 3).
@@ -56,10 +59,25 @@ def history_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.dim_customers(second_snapshot(spark, sf_dir))
 
 
+@lru_cache(maxsize=16)
+def marts(spark: SparkSession, sf_dir: str) -> Marts:
+    """The marts written once per session under the shared checkpoint folder.
+
+    Dashboard queries read these tables, as the original dashboard reads the
+    tables of the warehouse run; the model queries above still build from raw.
+    """
+    path = os.path.join(ensure_checkpoint_dir(spark), "martlake-marts", uuid.uuid4().hex)
+    return materialize_marts(warehouse(spark, sf_dir), path)
+
+
 def _wh_query(fn: Callable[[Warehouse], DataFrame]) -> Query:
     return lambda spark, sf_dir: fn(warehouse(spark, sf_dir))
 
 
+def _mart_query(fn: Callable[[Marts], DataFrame]) -> Query:
+    return lambda spark, sf_dir: fn(marts(spark, sf_dir))
+
+
 def _cohort(wh: Warehouse, window: Window = W) -> DataFrame:
     return cohort.cohort_retention(wh.fct_orders, wh.dim_customers, window)
 
@@ -120,17 +138,19 @@ QUERIES: dict[str, Query] = {
     "dim_products": _wh_query(lambda wh: wh.dim_products),
     "dim_products_reference_margin": lambda s, d: warehouse(s, d, "reference").dim_products,
     # Step 2: metrics and parameters
-    "kpi": _wh_query(lambda wh: metrics.kpi(wh.fct_orders, wh.dim_customers, W)),
-    "kpi_all": _wh_query(lambda wh: metrics.kpi(wh.fct_orders, wh.dim_customers, W_ALL)),
-    "monthly_trend": _wh_query(lambda wh: metrics.monthly_trend(wh.fct_orders, wh.dim_customers, W)),
-    "monthly_trend_all": _wh_query(lambda wh: metrics.monthly_trend(wh.fct_orders, wh.dim_customers, W_ALL)),
-    "weekly_revenue": _wh_query(lambda wh: metrics.weekly_revenue(wh.fct_orders, wh.dim_customers, W)),
-    "date_bounds": _wh_query(lambda wh: metrics.date_bounds(wh.fct_orders)),
-    "city_list": _wh_query(lambda wh: city_list(wh.dim_customers)),
-    "default_cities": _wh_query(lambda wh: default_cities(wh.dim_customers)),
-    "resolved_params": _wh_query(_resolved_params),
+    "kpi": _mart_query(lambda wh: metrics.kpi(wh.fct_orders, wh.dim_customers, W)),
+    "kpi_all": _mart_query(lambda wh: metrics.kpi(wh.fct_orders, wh.dim_customers, W_ALL)),
+    "monthly_trend": _mart_query(lambda wh: metrics.monthly_trend(wh.fct_orders, wh.dim_customers, W)),
+    "monthly_trend_all": _mart_query(lambda wh: metrics.monthly_trend(wh.fct_orders, wh.dim_customers, W_ALL)),
+    "weekly_revenue": _mart_query(lambda wh: metrics.weekly_revenue(wh.fct_orders, wh.dim_customers, W)),
+    "date_bounds": _mart_query(lambda wh: metrics.date_bounds(wh.fct_orders)),
+    "city_list": _mart_query(lambda wh: city_list(wh.dim_customers)),
+    "default_cities": _mart_query(lambda wh: default_cities(wh.dim_customers)),
+    "resolved_params": _mart_query(_resolved_params),
     # Step 3: quality
-    "dq_report": _wh_query(lambda wh: wh.quality_report()),
+    "dq_report": lambda s, d: quality.quality_report(
+        marts(s, d).check_models(warehouse(s, d).stg_orders), quality.WAREHOUSE_CHECKS
+    ),
     "dq_unique_failures": _dq_failing("unique"),
     "dq_not_null_failures": _dq_failing("not_null"),
     "dq_accepted_values_failures": _dq_failing("accepted_values"),
@@ -141,60 +161,60 @@ QUERIES: dict[str, Query] = {
     "snapshot_second": second_snapshot,
     "dim_customers": _wh_query(lambda wh: wh.dim_customers),
     "dim_customers_history": history_dim,
-    "kpi_history_current": lambda s, d: metrics.kpi(warehouse(s, d).fct_orders, history_dim(s, d), W_ALL),
+    "kpi_history_current": lambda s, d: metrics.kpi(marts(s, d).fct_orders, history_dim(s, d), W_ALL),
     "kpi_history_all_versions": lambda s, d: metrics.kpi(
-        warehouse(s, d).fct_orders, history_dim(s, d), W_ALL, versions="all"
+        marts(s, d).fct_orders, history_dim(s, d), W_ALL, versions="all"
     ),
     # Step 5: cohorts
-    "cohort_retention": _wh_query(_cohort),
-    "cohort_retention_all": _wh_query(lambda wh: _cohort(wh, W_ALL)),
-    "cohort_size": _wh_query(lambda wh: cohort.cohort_size(_cohort(wh))),
-    "cohort_matrix": _wh_query(lambda wh: cohort.cohort_matrix(_cohort(wh))),
-    "cohort_users_matrix": _wh_query(lambda wh: cohort.cohort_users_matrix(_cohort(wh))),
-    "decay_curves": _wh_query(lambda wh: cohort.decay_curves(_cohort(wh), DECAY_N)),
-    "cohort_drilldown": _wh_query(
+    "cohort_retention": _mart_query(_cohort),
+    "cohort_retention_all": _mart_query(lambda wh: _cohort(wh, W_ALL)),
+    "cohort_size": _mart_query(lambda wh: cohort.cohort_size(_cohort(wh))),
+    "cohort_matrix": _mart_query(lambda wh: cohort.cohort_matrix(_cohort(wh))),
+    "cohort_users_matrix": _mart_query(lambda wh: cohort.cohort_users_matrix(_cohort(wh))),
+    "decay_curves": _mart_query(lambda wh: cohort.decay_curves(_cohort(wh), DECAY_N)),
+    "cohort_drilldown": _mart_query(
         lambda wh: cohort.cohort_drilldown(wh.fct_orders, wh.dim_customers, DRILL_COHORT, DRILL_MONTH, W.cities)
     ),
     # Step 6: products
-    "top_products": _wh_query(
+    "top_products": _mart_query(
         lambda wh: metrics.top_products(wh.raw_order_items, wh.dim_products, wh.fct_orders, wh.dim_customers, W, TOP_N)
     ),
-    "top_products_all": _wh_query(
+    "top_products_all": _mart_query(
         lambda wh: metrics.top_products(
             wh.raw_order_items, wh.dim_products, wh.fct_orders, wh.dim_customers, W_ALL, TOP_N
         )
     ),
     "priced_items": _wh_query(lambda wh: metrics.priced_items(wh.raw_order_items, wh.raw_products)),
     # Step 7: linear forecast
-    "linear_forecast": _wh_query(
+    "linear_forecast": _mart_query(
         lambda wh: forecast.linear_forecast(metrics.monthly_trend(wh.fct_orders, wh.dim_customers, W))
     ),
     # Step 8: recency / frequency / monetary
-    "rfm_snapshot": _wh_query(lambda wh: segments.rfm_long(_rfm_wide(wh))),
-    "rfm_aligned": _wh_query(_rfm_wide),
-    "rfm_scaled": _wh_query(lambda wh: segments.rfm_scaled(_rfm_wide(wh))),
+    "rfm_snapshot": _mart_query(lambda wh: segments.rfm_long(_rfm_wide(wh))),
+    "rfm_aligned": _mart_query(_rfm_wide),
+    "rfm_scaled": _mart_query(lambda wh: segments.rfm_scaled(_rfm_wide(wh))),
     # Step 9: clusters and transitions (no SQL oracle: k-means)
-    "rfm_clusters": _wh_query(_rfm_clusters),
-    "rfm_transition_counts": _wh_query(lambda wh: segments.transition_counts(_rfm_clusters(wh), RFM_K)),
-    "rfm_transition_shares": _wh_query(lambda wh: segments.transition_shares(_rfm_clusters(wh))),
-    "transition_labels": _wh_query(
+    "rfm_clusters": _mart_query(_rfm_clusters),
+    "rfm_transition_counts": _mart_query(lambda wh: segments.transition_counts(_rfm_clusters(wh), RFM_K)),
+    "rfm_transition_shares": _mart_query(lambda wh: segments.transition_shares(_rfm_clusters(wh))),
+    "transition_labels": _mart_query(
         lambda wh: segments.transition_labels(segments.transition_shares(_rfm_clusters(wh)))
     ),
     # Step 10: Holt-Winters (no SQL oracle: iterative fit)
-    "holt_winters_forecast": _wh_query(
+    "holt_winters_forecast": _mart_query(
         lambda wh: forecast.holt_winters_forecast(metrics.weekly_revenue(wh.fct_orders, wh.dim_customers, W))
     ),
-    "holt_winters_by_city": _wh_query(_hw_by_city),
+    "holt_winters_by_city": _mart_query(_hw_by_city),
     # Step 11: calendar and labels
-    "date_dimension": _wh_query(
+    "date_dimension": _mart_query(
         lambda wh: date_dimension(metrics.date_bounds(wh.fct_orders), "min_date", "max_date")
     ),
-    "currency_labels": _wh_query(
+    "currency_labels": _mart_query(
         lambda wh: metrics.product_revenue(
             wh.raw_order_items, wh.dim_products, wh.fct_orders, wh.dim_customers, W
         ).select("product_name", "category", currency_label("revenue").alias("label"))
     ),
-    "kpi_labels": _wh_query(
+    "kpi_labels": _mart_query(
         lambda wh: metrics.kpi(wh.fct_orders, wh.dim_customers, W).select(
             currency_label("revenue").alias("revenue_label"),
             grouped_int_label("orders").alias("orders_label"),
@@ -202,12 +222,12 @@ QUERIES: dict[str, Query] = {
             grouped_int_label("active_customers").alias("customers_label"),
         )
     ),
-    "forecast_rows": _wh_query(
+    "forecast_rows": _mart_query(
         lambda wh: split_by_tag(
             forecast.linear_forecast(metrics.monthly_trend(wh.fct_orders, wh.dim_customers, W_ALL)), "Forecast"
         )
     ),
-    "cell_labels": _wh_query(
+    "cell_labels": _mart_query(
         lambda wh: _cohort(wh).select(
             "cohort", "month_index", cell_label("users", "retention_rate").alias("label")
         )

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators are designed around.  AQE re-plans joins at runtime
@@ -92,6 +93,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     Used where a plan is consumed by an iterative algorithm or several heavy
     consumers; the data survives the loss of the executors that computed it.
+    A reliable checkpoint writes its files in a second job over the same
+    data, so the input is persisted for the duration of the checkpoint and
+    released right after: the plan runs once, not twice.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
