@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlake.functions.columns import as_col
-from martlake.functions.dates import add_months, as_date, month_start
+from martlake.functions.dates import add_months, as_date
 
 
 @dataclass(frozen=True)
@@ -118,7 +118,3 @@ def default_cities(dim: DataFrame, requested: Sequence[str] | None = None, n: in
 def split_by_tag(df: DataFrame, tag: str, col: str = "type") -> DataFrame:
     """Rows of one series of a combined actual/forecast frame (F8)."""
     return df.where(F.col(col) == tag)
-
-
-def month_of(col: Column | str) -> Column:
-    return month_start(col)

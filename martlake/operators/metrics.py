@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from martlake.functions.columns import zero_if_null
 from martlake.functions.dates import month_start, week_start
+from martlake.functions.money import cents_sum_to_double
 from martlake.operators.filters import Window, facts_in_window
 from martlake.operators.ordering import sort_bounded
 
@@ -102,7 +103,7 @@ def product_revenue(
     return (
         per_product.join(products.select("product_id", "product_name", "category"), "product_id")
         .groupBy("product_name", "category")
-        .agg((F.sum("_cents").cast("double") / F.lit(100.0)).alias("revenue"))
+        .agg(cents_sum_to_double("_cents").alias("revenue"))
     )
 
 
