@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,9 +97,12 @@ def register_raw(
     found: dict[str, DataFrame] = {}
     for name in names:
         path = os.path.join(base, name)
-        if not _path_exists(spark, path):
-            continue
-        df = read_table(spark, path, fmt, RAW_SCHEMAS.get(name))
+        try:
+            df = read_table(spark, path, fmt, RAW_SCHEMAS.get(name))
+        except AnalysisException as exc:
+            if exc.getCondition() == "PATH_NOT_FOUND":
+                continue
+            raise
         df.createOrReplaceTempView(name)
         found[name] = df
     return found
@@ -155,10 +159,3 @@ def export_all(frames: Mapping[str, DataFrame | None], directory: str) -> dict[s
     for name, df in frames.items():
         written[name] = export_csv(df, os.path.join(directory, name)) if df is not None else False
     return written
-
-
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hadoop_path))

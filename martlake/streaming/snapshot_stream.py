@@ -11,7 +11,7 @@ History layout (append-only, one folder per batch, partitioned by state)::
 
     <history>/batch=<id>/state=closed/   versions closed by this batch
     <history>/batch=<id>/state=open/     every open version after this batch
-    <history>/batch=<id>/_SUCCESS        commit marker of the batch
+    <history>/_commits/                  one row per completed batch (commit table)
 
 The current history is all ``closed`` folders plus the ``open`` folder of the
 latest batch.  A batch therefore rewrites only the open set (one row per key)
@@ -26,6 +26,7 @@ import datetime as dt
 import os
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,26 +36,23 @@ from martlake.operators import scd2
 from martlake.sources.tables import RAW_SCHEMAS, conform
 
 
-def _batch_folders(spark: SparkSession, history_dir: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(history_dir)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
+def _commits_path(history_dir: str) -> str:
+    # A leading underscore hides the folder from partition discovery of the history.
+    return os.path.join(history_dir, "_commits")
+
+
+def committed_batches(spark: SparkSession, history_dir: str) -> list[int]:
+    """Batch ids whose history folder was written completely (the commit table)."""
+    try:
+        rows = spark.read.parquet(_commits_path(history_dir)).select("batch").distinct().collect()
+    except AnalysisException:  # no batch committed yet
         return []
-    out = []
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith("batch="):
-            # a folder without its commit marker is an incomplete write and is ignored
-            marker = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if fs.exists(marker):
-                out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
+    return sorted(int(r["batch"]) for r in rows)  # one row per batch: bounded by the number of runs
 
 
 def read_history(spark: SparkSession, history_dir: str, before_batch: int | None = None) -> DataFrame | None:
     """Full type-2 history as of the latest complete batch (or the last one before ``before_batch``)."""
-    batches = [b for b in _batch_folders(spark, history_dir) if before_batch is None or b < before_batch]
+    batches = [b for b in committed_batches(spark, history_dir) if before_batch is None or b < before_batch]
     if not batches:
         return None
     latest = batches[-1]
@@ -82,8 +80,10 @@ def apply_delivery(
         rows = scd2.merge_open_rows(open_rows.select(*delivery.columns, *scd2.SCD_COLUMNS), delivery, key, batch_ts)
     state = F.when(F.col("valid_to").isNull(), F.lit("open")).otherwise(F.lit("closed"))
     target = os.path.join(history_dir, f"batch={batch_id}")
-    # one job writes both states; the folder's _SUCCESS marker commits the batch
+    # one job writes both states; the batch counts only once it is in the commit table
     rows.withColumn("state", state).write.mode("overwrite").partitionBy("state").parquet(target)
+    commit = spark.createDataFrame([(batch_id, batch_ts)], "batch long, batch_ts timestamp_ntz")
+    commit.write.mode("append").parquet(_commits_path(history_dir))
 
 
 def start_snapshot_stream(
