@@ -30,6 +30,7 @@ BATCH_2 = dt.datetime(2024, 2, 1)
 W = Window.of("1996-01-01", "2000-12-31", [f"NATION_{i}" for i in range(10)])
 W_ALL = Window.of("1900-01-01", "2100-12-31")
 DRILL_COHORT, DRILL_MONTH = "1995-01", 14
+DRILL_WINDOWED = ("1996-03", 2)
 RFM_K = 4
 DECAY_N = 6
 TOP_N = 100
@@ -227,6 +228,19 @@ QUERIES: dict[str, Query] = {
             forecast.linear_forecast(metrics.monthly_trend(wh.fct_orders, wh.dim_customers, W_ALL)), "Forecast"
         )
     ),
+    "weekly_revenue_all": _mart_query(lambda wh: metrics.weekly_revenue(wh.fct_orders, wh.dim_customers, W_ALL)),
+    "monthly_trend_history_all_versions": lambda s, d: metrics.monthly_trend(
+        marts(s, d).fct_orders, history_dim(s, d), W_ALL, versions="all"
+    ),
+    "cohort_retention_history": lambda s, d: cohort.cohort_retention(marts(s, d).fct_orders, history_dim(s, d), W),
+    "rfm_aligned_end_date": _mart_query(
+        lambda wh: segments.rfm_wide(wh.fct_orders, wh.dim_customers, W, missing="end_date")
+    ),
+    "cohort_drilldown_windowed": _mart_query(
+        lambda wh: cohort.cohort_drilldown(
+            wh.fct_orders, wh.dim_customers, DRILL_WINDOWED[0], DRILL_WINDOWED[1], W.cities, window=W
+        )
+    ),
     "cell_labels": _mart_query(
         lambda wh: _cohort(wh).select(
             "cohort", "month_index", cell_label("users", "retention_rate").alias("label")
