@@ -1,10 +1,11 @@
 """Data-quality checks.
 
 Each ``expect_*`` returns the failing rows as a lazy DataFrame, like a data
-test that selects violations.  ``quality_report`` folds every row-level check
-on one table (not null, accepted values, range) into a single aggregation
-pass, adds one aggregate per uniqueness or relationship check, and unions
-the one-row results: one DataFrame, one job, no driver loop over data.
+test that selects violations.  ``quality_report`` scans each model once:
+row-level checks (not null, accepted values, range) are counted inside the
+aggregation of the model's uniqueness check; relationship checks add one
+anti-join each; the one-row results are unioned: one DataFrame, no driver
+loop over data.
 """
 
 from __future__ import annotations
@@ -77,48 +78,81 @@ def _violation(check: Check) -> Column:
 ROW_LEVEL = ("not_null", "accepted_values", "between")
 
 
+def _report_rows(counts: DataFrame, checks: Sequence[Check], cols: Sequence[str]) -> DataFrame:
+    stacked = F.array(
+        *[
+            F.struct(
+                F.lit(chk.name).alias("check"),
+                F.lit(chk.model).alias("model"),
+                F.lit(chk.column).alias("column"),
+                F.col(c).cast("long").alias("failures"),
+            )
+            for chk, c in zip(checks, cols)
+        ]
+    )
+    return counts.select(F.explode(stacked).alias("r")).select("r.*")
+
+
+def _model_pass(df: DataFrame, unique: Check | None, row_checks: Sequence[Check]) -> DataFrame:
+    """All checks of one model in one scan.
+
+    Without a uniqueness check: one global aggregate of violation counts.
+    With one: the row-level violations are counted inside the aggregation by
+    the unique key (partial aggregation before the shuffle), and a second,
+    tiny global aggregate adds up duplicates and violations.
+    """
+    if unique is None:
+        counts = df.agg(*[F.count(F.when(_violation(c), F.lit(1))).alias(f"_c{i}") for i, c in enumerate(row_checks)])
+        return _report_rows(counts, row_checks, [f"_c{i}" for i in range(len(row_checks))])
+    key = F.col(unique.column)
+    per_key = df.groupBy(key.alias("_key")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count(F.when(_violation(c), F.lit(1))).alias(f"_v{i}") for i, c in enumerate(row_checks)],
+    )
+    counts = per_key.agg(
+        F.count(F.when(F.col("_key").isNotNull() & (F.col("_n") > 1), F.lit(1))).alias("_u"),
+        *[F.sum(f"_v{i}").alias(f"_c{i}") for i in range(len(row_checks))],
+    )
+    return _report_rows(counts, [unique, *row_checks], ["_u"] + [f"_c{i}" for i in range(len(row_checks))])
+
+
 def quality_report(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """One row per check: check, model, column, failures, passed (Q6)."""
+    """One row per check: check, model, column, failures, passed (Q6).
+
+    Checks are grouped by model so each model is scanned once: its row-level
+    checks (not null, accepted values, range) and its first uniqueness check
+    share one aggregation.  Further uniqueness checks and relationship checks
+    (a left-anti join each) add their own one-row aggregates.  The parts are
+    unioned into one DataFrame.
+    """
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
     for chk in checks:
-        if chk.kind in ROW_LEVEL:
-            by_model.setdefault(chk.model, []).append(chk)
+        by_model.setdefault(chk.model, []).append(chk)
     for model, model_checks in by_model.items():
-        counts = models[model].agg(
-            *[F.count(F.when(_violation(chk), F.lit(1))).alias(f"_c{i}") for i, chk in enumerate(model_checks)]
-        )
-        stacked = F.array(
-            *[
-                F.struct(
+        row_checks = [c for c in model_checks if c.kind in ROW_LEVEL]
+        uniques = [c for c in model_checks if c.kind == "unique"]
+        if row_checks or uniques:
+            parts.append(_model_pass(models[model], uniques[0] if uniques else None, row_checks))
+        for chk in model_checks:
+            if chk.kind in ROW_LEVEL or (uniques and chk is uniques[0]):
+                continue
+            if chk.kind == "unique":
+                failing = expect_unique(models[chk.model], chk.column)
+            elif chk.kind == "relationship":
+                failing = expect_relationship(
+                    models[chk.model], chk.column, models[chk.params["to"]], chk.params["field"]
+                )
+            else:
+                raise ValueError(f"unknown check kind {chk.kind!r}")
+            parts.append(
+                failing.agg(F.count(F.lit(1)).alias("failures")).select(
                     F.lit(chk.name).alias("check"),
                     F.lit(chk.model).alias("model"),
                     F.lit(chk.column).alias("column"),
-                    F.col(f"_c{i}").cast("long").alias("failures"),
+                    F.col("failures").cast("long").alias("failures"),
                 )
-                for i, chk in enumerate(model_checks)
-            ]
-        )
-        parts.append(counts.select(F.explode(stacked).alias("r")).select("r.*"))
-    for chk in checks:
-        if chk.kind == "unique":
-            failing = expect_unique(models[chk.model], chk.column)
-        elif chk.kind == "relationship":
-            failing = expect_relationship(
-                models[chk.model], chk.column, models[chk.params["to"]], chk.params["field"]
-            )
-        elif chk.kind in ROW_LEVEL:
-            continue
-        else:
-            raise ValueError(f"unknown check kind {chk.kind!r}")
-        parts.append(
-            failing.agg(F.count(F.lit(1)).alias("failures")).select(
-                F.lit(chk.name).alias("check"),
-                F.lit(chk.model).alias("model"),
-                F.lit(chk.column).alias("column"),
-                F.col("failures").cast("long").alias("failures"),
             )
-        )
     report = parts[0]
     for part in parts[1:]:
         report = report.unionByName(part)
