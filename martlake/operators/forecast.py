@@ -165,19 +165,29 @@ def _hw_sse(y: np.ndarray, alpha, beta, gamma, season: int | None):
     return sse, fitted, level, trend, seas
 
 
-def fit_holt_winters(y: np.ndarray, season: int | None):
-    """Grid search then one refinement round around the best triple."""
+def fit_holt_winters(y: np.ndarray, season: int | None, rounds: int = 3):
+    """Minimise the one-step SSE over (alpha, beta, gamma).
+
+    A 10-point grid per parameter, then ``rounds`` refinements on a 5-point
+    grid around the best triple with the step halved each round (a
+    derivative-free stand-in for a continuous optimiser).
+    """
     a, b, c = np.meshgrid(_GRID, _GRID, _GRID if season else np.array([0.0]), indexing="ij")
     a, b, c = a.ravel(), b.ravel(), c.ravel()
-    sse, *_ = _hw_sse(y, a, b, c, season)
-    best = int(np.nanargmin(sse))
-    step = (_GRID[1] - _GRID[0]) / 2
-    ra = np.clip(a[best] + np.linspace(-step, step, 5), 0.001, 0.999)
-    rb = np.clip(b[best] + np.linspace(-step, step, 5), 0.001, 0.999)
-    rc = np.clip(c[best] + np.linspace(-step, step, 5), 0.001, 0.999) if season else np.array([0.0])
-    a, b, c = (x.ravel() for x in np.meshgrid(ra, rb, rc, indexing="ij"))
     sse, fitted, level, trend, seas = _hw_sse(y, a, b, c, season)
     k = int(np.nanargmin(sse))
+    best = (a[k], b[k], c[k])
+    step = (_GRID[1] - _GRID[0]) / 2
+    for _ in range(rounds):
+        offsets = np.linspace(-step, step, 5)
+        ra = np.clip(best[0] + offsets, 0.001, 0.999)
+        rb = np.clip(best[1] + offsets, 0.001, 0.999)
+        rc = np.clip(best[2] + offsets, 0.001, 0.999) if season else np.array([0.0])
+        a, b, c = (x.ravel() for x in np.meshgrid(ra, rb, rc, indexing="ij"))
+        sse, fitted, level, trend, seas = _hw_sse(y, a, b, c, season)
+        k = int(np.nanargmin(sse))
+        best = (a[k], b[k], c[k])
+        step /= 2
     return {
         "alpha": a[k],
         "beta": b[k],
