@@ -23,7 +23,7 @@ def _fixture(spark):
             ("s1", 4, "2023-07-02", 50),  # on the split day: counted in both
         ],
     )
-    dim = make_dim(spark, [(i, "Berlin") for i in range(1, 5)])
+    dim = make_dim(spark, [(i, "City A") for i in range(1, 5)])
     return fct, dim
 
 
