@@ -38,3 +38,17 @@ def test_stream_of_deliveries_equals_batch_snapshots(spark):
     # the first batch's open set is untouched: history is append-only
     assert os.path.isdir(os.path.join(history, "batch=0", "state=open"))
     assert os.path.isdir(os.path.join(history, "batch=1", "state=closed"))
+
+
+def test_retried_batch_is_idempotent(spark):
+    from martlake.streaming.snapshot_stream import apply_delivery, committed_batches
+
+    history = os.path.join(tempfile.mkdtemp(prefix="martlake-retry-"), "history")
+    first = testdata.raw_customers(spark, SF_SMALL)
+    second = testdata.second_customer_load(first)
+    apply_delivery(first, history, 0, B1)
+    apply_delivery(second, history, 1, B2)
+    once = _rows(read_history(spark, history))
+    apply_delivery(second, history, 1, B2)  # the same micro-batch executed again after a failure
+    assert _rows(read_history(spark, history)) == once
+    assert committed_batches(spark, history) == [0, 1]
