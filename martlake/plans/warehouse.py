@@ -129,6 +129,17 @@ def materialize_marts(wh: "Warehouse", path: str) -> Marts:
     )
 
 
+def read_marts(spark: SparkSession, marts_dir: str, raw_order_items: DataFrame) -> Marts:
+    """Marts written by a scheduled ``build_warehouse`` run (``<out_dir>/marts``), for dashboard queries."""
+    return Marts(
+        fct_orders=spark.read.parquet(os.path.join(marts_dir, "fct_orders")),
+        dim_customers=spark.read.parquet(os.path.join(marts_dir, "dim_customers")),
+        dim_products=spark.read.parquet(os.path.join(marts_dir, "dim_products")),
+        raw_order_items=raw_order_items,
+        path=marts_dir,
+    )
+
+
 def build_warehouse(
     spark: SparkSession,
     raw_dir: str,
