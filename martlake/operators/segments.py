@@ -136,16 +136,23 @@ def rfm_clusters(scaled: DataFrame, k: int = 4, seed: int = 42, max_iter: int =
     """
     if not 2 <= k <= 8:
         raise ValueError("k must be in 2..8")
-    parts = scaled.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    cols = ["customer_id"] + [f"z_{c}_{p}" for p in PERIODS for c in FEATURES]
-    base = scaled.select(*cols).repartition(int(parts), "customer_id").sortWithinPartitions("customer_id")
-    assemblers = {
-        p: VectorAssembler(inputCols=[f"z_{c}_{p}" for c in FEATURES], outputCol=f"features_{p}") for p in PERIODS
-    }
+    spark = scaled.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    z_cols = [f"z_{c}_{p}" for p in PERIODS for c in FEATURES]
+    base = cut_lineage(
+        scaled.select("customer_id", "frequency_a", "frequency_b", *z_cols)
+        .repartition(parts, "customer_id")
+        .sortWithinPartitions("customer_id")
+    )
+    # Like the original, no segmentation when either period has no customers
+    # (one bounded aggregate row over the checkpoint decides).
+    active = base.agg(*[F.count(F.when(F.col(f"frequency_{p}") > 0, F.lit(1))).alias(p) for p in PERIODS]).first()
+    if any(active[p] == 0 for p in PERIODS):
+        return spark.createDataFrame([], "customer_id long, cluster_a int, cluster_b int")
     feats = base
     for p in PERIODS:
-        feats = assemblers[p].transform(feats)
-    feats = cut_lineage(feats.select("customer_id", "features_a", "features_b"))
+        feats = VectorAssembler(inputCols=[f"z_{c}_{p}" for c in FEATURES], outputCol=f"features_{p}").transform(feats)
+    feats = feats.select("customer_id", "features_a", "features_b")
     train = feats.select(F.explode(F.array("features_a", "features_b")).alias("features"))
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(train)
 
@@ -197,7 +204,9 @@ def rfm_transition(
     missing: str = "epoch",
 ) -> dict[str, DataFrame]:
     """End-to-end segmentation of M10: snapshots, scaling, clusters, transitions."""
-    wide = rfm_wide(fct, dim, window, versions, missing)
+    # one pass over the fact window: the per-customer table is checkpointed and
+    # both the scaler statistics and the clustering read the checkpoint
+    wide = cut_lineage(rfm_wide(fct, dim, window, versions, missing))
     scaled = rfm_scaled(wide, digits=None)
     clusters = rfm_clusters(scaled, k, seed)
     return {

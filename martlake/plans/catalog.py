@@ -21,7 +21,7 @@ from martlake.functions.labels import cell_label, currency_label, euro_2dp_label
 from martlake.operators import cohort, forecast, metrics, models, quality, scd2, segments
 from martlake.operators.filters import Window, city_list, default_cities, split_by_tag
 from martlake.plans.warehouse import Marts, Warehouse, materialize_marts, resolve_view_params
-from martlake.session import ensure_checkpoint_dir
+from martlake.session import cut_lineage, ensure_checkpoint_dir
 from martlake.sources import testdata
 
 # Fixed parameters of the registered queries (FIXTURES.md section 3).
@@ -88,7 +88,9 @@ def _rfm_wide(wh: Warehouse) -> DataFrame:
 
 
 def _rfm_clusters(wh: Warehouse) -> DataFrame:
-    return segments.rfm_clusters(segments.rfm_scaled(_rfm_wide(wh), digits=None), RFM_K, seed=42)
+    # the per-customer table is checkpointed once; statistics and k-means read it
+    wide = cut_lineage(_rfm_wide(wh))
+    return segments.rfm_clusters(segments.rfm_scaled(wide, digits=None), RFM_K, seed=42)
 
 
 def _dq_failing(kind: str) -> Query:

@@ -81,3 +81,14 @@ def test_clusters_and_transition_invariants(spark):
     # deterministic with the same seed
     again = segments.rfm_clusters(segments.rfm_scaled(wide, digits=None), k=4, seed=42)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, clusters.collect()))
+
+
+def test_clusters_empty_when_a_period_has_no_customers(spark):
+    # every order falls in period A of this window: the original shows no segmentation
+    fct = make_fct(spark, [("a1", 1, "2023-02-01", 10), ("a2", 2, "2023-03-01", 20)])
+    dim = make_dim(spark, [(1, "City A"), (2, "City A")])
+    scaled = segments.rfm_scaled(segments.rfm_wide(fct, dim, W23), digits=None)
+    clusters = segments.rfm_clusters(scaled, k=2)
+    assert clusters.count() == 0
+    assert clusters.columns == ["customer_id", "cluster_a", "cluster_b"]
+    assert segments.transition_counts(clusters, 2).count() == 0
