@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martlake.functions.dates import day_ordinal
+
 # Band width in standard errors (about 95 %), default horizons,
 # the minimum history lengths and the automatic season choice thresholds.
 Z_95 = 1.96
@@ -67,7 +69,7 @@ def linear_forecast(
         *keys,
         F.col(time_col).alias("time"),
         F.col(value_col).cast("double").alias("y"),
-        F.unix_date(F.col(time_col)).cast("double").alias("x"),
+        day_ordinal(F.col(time_col)).cast("double").alias("x"),
     )
     fit = (
         series.groupBy(*keys)
@@ -93,7 +95,7 @@ def linear_forecast(
         "slope",
         "intercept",
         "se",
-    ).withColumn("revenue", F.col("slope") * F.unix_date("time").cast("double") + F.col("intercept"))
+    ).withColumn("revenue", F.col("slope") * day_ordinal("time").cast("double") + F.col("intercept"))
     lower, upper = normal_band("revenue", "se", z)
     forecast = future.select(
         *keys,

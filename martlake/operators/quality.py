@@ -16,9 +16,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-REPORT_SCHEMA = "check string, model string, column string, failures long, passed boolean"
-
-
 def expect_unique(df: DataFrame, col: str) -> DataFrame:
     """Values of ``col`` occurring more than once; nulls ignored (Q1)."""
     return (

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from martlake.functions.dates import window_split_day
+from martlake.functions.dates import days_between, window_split_day
 from martlake.functions.labels import percent_label
 from martlake.operators.filters import Window, facts_in_window
 from martlake.session import cut_lineage
@@ -62,9 +62,9 @@ def rfm_wide(
     for p in PERIODS:
         last = F.col(f"last_order_{p}")
         if missing == "epoch":
-            recency = F.datediff(end, F.coalesce(last, F.lit(MISSING_LAST_ORDER)))
+            recency = days_between(end, F.coalesce(last, F.lit(MISSING_LAST_ORDER)))
         elif missing == "end_date":
-            recency = F.coalesce(F.datediff(end, last), F.lit(0))
+            recency = F.coalesce(days_between(end, last), F.lit(0))
         else:
             raise ValueError(f"unknown missing rule {missing!r}")
         cols += [
