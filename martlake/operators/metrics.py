@@ -107,26 +107,53 @@ def product_revenue(
     )
 
 
-def top_products(
-    items: DataFrame,
+def product_revenue_from_marts(
+    order_products: DataFrame,
     products: DataFrame,
-    fct: DataFrame,
     dim: DataFrame,
     window: Window,
-    n: int = 100,
     versions: str = "current",
 ) -> DataFrame:
-    """Top ``n`` (name, category) groups by revenue (M9, O1).
+    """``product_revenue`` over the (order, product) mart.
+
+    The window prunes the mart's date-ordered files, the customer restriction
+    is the same semi join as every other dashboard query, and the per-product
+    sum is partially aggregated before its shuffle; no item row is shuffled
+    by order.
+    """
+    per_product = (
+        facts_in_window(order_products, dim, window, versions)
+        .groupBy("product_id")
+        .agg(F.sum("amount_cents").alias("_cents"))
+    )
+    return (
+        per_product.join(products.select("product_id", "product_name", "category"), "product_id")
+        .groupBy("product_name", "category")
+        .agg(cents_sum_to_double("_cents").alias("revenue"))
+    )
+
+
+def top_n_products(revenue: DataFrame, n: int = 100) -> DataFrame:
+    """Top ``n`` (name, category) groups by revenue (O1).
 
     Ties are broken by name and category so the limit is deterministic; the
     sort + limit plans as a per-partition top-k merged on the driver
     (bounded by ``n``).
     """
-    return (
-        product_revenue(items, products, fct, dim, window, versions)
-        .orderBy(F.desc("revenue"), F.asc("product_name"), F.asc("category"))
-        .limit(n)
-    )
+    return revenue.orderBy(F.desc("revenue"), F.asc("product_name"), F.asc("category")).limit(n)
+
+
+def top_products(
+    items: DataFrame,
+    products: DataFrame,
+    fct: DataFrame,
+    dim: DataFrame,
+    window: Window,
+    n: int = 100,
+    versions: str = "current",
+) -> DataFrame:
+    """Top ``n`` (name, category) groups by revenue from raw items (M9, O1)."""
+    return top_n_products(product_revenue(items, products, fct, dim, window, versions), n)
 
 
 def priced_items(items: DataFrame, products: DataFrame, strict: bool = True) -> DataFrame:

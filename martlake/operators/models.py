@@ -92,3 +92,22 @@ def dim_customers(snapshot: DataFrame, attributes: Sequence[str] = DIM_CUSTOMER_
         is_current("valid_to").alias("is_current"),
     ]
     return snapshot.select(*cols)
+
+
+def order_product_facts(raw_order_items: DataFrame, fct: DataFrame) -> DataFrame:
+    """Item revenue per (order, product) with the order's customer and date.
+
+    The product ranking (M9) joins items with the order fact; materialised
+    once as a mart, that join no longer runs per query and the order date
+    lets a window prune item rows.  Items are summed per (order, product)
+    first (partial aggregation: a hot order or product never moves as raw
+    rows), then joined with the fact: an inner join that keeps the original
+    join's multiplicity.
+    """
+    per_pair = raw_order_items.groupBy("order_id", "product_id").agg(
+        F.sum("amount_cents").alias("amount_cents"), F.count(F.lit(1)).alias("items")
+    )
+    return per_pair.join(fct.select("order_id", "customer_id", "order_date"), "order_id").select(
+        "order_id", "product_id", "customer_id", "order_date", "amount_cents", "items"
+    )
+

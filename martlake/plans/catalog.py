@@ -180,13 +180,18 @@ QUERIES: dict[str, Query] = {
     ),
     # Step 6: products
     "top_products": _mart_query(
-        lambda wh: metrics.top_products(wh.raw_order_items, wh.dim_products, wh.fct_orders, wh.dim_customers, W, TOP_N)
+        lambda m: metrics.top_n_products(
+            metrics.product_revenue_from_marts(m.order_products, m.dim_products, m.dim_customers, W), TOP_N
+        )
     ),
     "top_products_all": _mart_query(
-        lambda wh: metrics.top_products(
-            wh.raw_order_items, wh.dim_products, wh.fct_orders, wh.dim_customers, W_ALL, TOP_N
+        lambda m: metrics.top_n_products(
+            metrics.product_revenue_from_marts(m.order_products, m.dim_products, m.dim_customers, W_ALL), TOP_N
         )
     ),
+    "top_products_raw": _wh_query(
+        lambda wh: metrics.top_products(wh.raw_order_items, wh.dim_products, wh.fct_orders, wh.dim_customers, W, TOP_N)
+    ),
     "priced_items": _wh_query(lambda wh: metrics.priced_items(wh.raw_order_items, wh.raw_products)),
     # Step 7: linear forecast
     "linear_forecast": _mart_query(
@@ -213,9 +218,9 @@ QUERIES: dict[str, Query] = {
         lambda wh: date_dimension(metrics.date_bounds(wh.fct_orders), "min_date", "max_date")
     ),
     "currency_labels": _mart_query(
-        lambda wh: metrics.product_revenue(
-            wh.raw_order_items, wh.dim_products, wh.fct_orders, wh.dim_customers, W
-        ).select("product_name", "category", currency_label("revenue").alias("label"))
+        lambda m: metrics.product_revenue_from_marts(m.order_products, m.dim_products, m.dim_customers, W).select(
+            "product_name", "category", currency_label("revenue").alias("label")
+        )
     ),
     "kpi_labels": _mart_query(
         lambda wh: metrics.kpi(wh.fct_orders, wh.dim_customers, W).select(

@@ -411,6 +411,7 @@ ORDER BY f.customer_id, f.order_id
 LIMIT 1000"""
     ),
     "top_products": q(product_revenue_sql(W) + f" ORDER BY revenue DESC, product_name, category LIMIT {TOP_N}"),
+    "top_products_raw": q(product_revenue_sql(W) + f" ORDER BY revenue DESC, product_name, category LIMIT {TOP_N}"),
     "top_products_all": q(
         product_revenue_sql(W_ALL) + f" ORDER BY revenue DESC, product_name, category LIMIT {TOP_N}"
     ),

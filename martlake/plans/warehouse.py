@@ -90,6 +90,7 @@ class Marts:
     dim_products: DataFrame
     raw_order_items: DataFrame
     path: str
+    order_products: DataFrame | None = None
 
     def check_models(self, stg_orders: DataFrame) -> dict[str, DataFrame]:
         return {
@@ -100,18 +101,17 @@ class Marts:
         }
 
 
-def write_fact_by_date(fct: DataFrame, path: str) -> None:
-    """Write the order fact so date windows skip most of it.
+def write_fact_by_date(fct: DataFrame, path: str, unique_key: tuple[str, ...] = ("order_id",)) -> None:
+    """Write a fact so date windows skip most of it.
 
-    Range partitioning on (order_date, order_id) gives every file a narrow
+    Range partitioning on (order_date, unique key) gives every file a narrow
     date range, and sorting inside each partition gives row groups tight
     min/max statistics, so the window predicate pushed into the scan skips
-    files' row groups outside **W**.  ``order_id`` in the range key splits a
-    date that holds a large share of all orders over several files.
+    row groups outside **W**.  The unique key in the range key splits a date
+    that holds a large share of all rows over several files.
     """
-    fct.repartitionByRange("order_date", "order_id").sortWithinPartitions("order_date", "order_id").write.mode(
-        "overwrite"
-    ).parquet(path)
+    keys = ["order_date", *unique_key]
+    fct.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
 
 
 def materialize_marts(wh: "Warehouse", path: str) -> Marts:
@@ -120,12 +120,19 @@ def materialize_marts(wh: "Warehouse", path: str) -> Marts:
     write_table(wh.dim_customers, os.path.join(path, "dim_customers"))
     write_table(wh.dim_products, os.path.join(path, "dim_products"))
     write_fact_by_date(wh.fct_orders, os.path.join(path, "fct_orders"))
+    fct = spark.read.parquet(os.path.join(path, "fct_orders"))
+    write_fact_by_date(
+        models.order_product_facts(wh.raw_order_items, fct),
+        os.path.join(path, "order_products"),
+        ("order_id", "product_id"),
+    )
     return Marts(
-        fct_orders=spark.read.parquet(os.path.join(path, "fct_orders")),
+        fct_orders=fct,
         dim_customers=spark.read.parquet(os.path.join(path, "dim_customers")),
         dim_products=spark.read.parquet(os.path.join(path, "dim_products")),
         raw_order_items=wh.raw_order_items,
         path=path,
+        order_products=spark.read.parquet(os.path.join(path, "order_products")),
     )
 
 
@@ -137,6 +144,7 @@ def read_marts(spark: SparkSession, marts_dir: str, raw_order_items: DataFrame)
         dim_products=spark.read.parquet(os.path.join(marts_dir, "dim_products")),
         raw_order_items=raw_order_items,
         path=marts_dir,
+        order_products=spark.read.parquet(os.path.join(marts_dir, "order_products")),
     )
 
 
@@ -176,6 +184,11 @@ def build_warehouse(
         else:
             write_table(df, os.path.join(out_dir, "marts", name))
     tables = {name: spark.read.parquet(os.path.join(out_dir, "marts", name)) for name in marts}
+    write_fact_by_date(
+        models.order_product_facts(written.raw_order_items, tables["fct_orders"]),
+        os.path.join(out_dir, "marts", "order_products"),
+        ("order_id", "product_id"),
+    )
     check_models = {
         "stg_orders": written.stg_orders,
         "dim_customers": tables["dim_customers"].where(F.col("is_current")),
