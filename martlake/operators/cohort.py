@@ -141,23 +141,30 @@ def cohort_drilldown(
     ``window`` is given (defect D5 kept as the default).  The limit is the
     feature of the drill-down; rows are ordered by (customer, order) so it is
     deterministic.
+
+    A customer's first order falls in month M exactly when the customer has
+    an order in M and none before M.  So instead of aggregating every
+    customer's whole history, the plan reads three date-pruned slices of the
+    fact: the customers active in M, those of them with an earlier order (a
+    semi join against the candidates), and the orders of the target month.
     """
     cohort_date = as_date(f"{cohort_label}-01")
     target = _add_months_py(cohort_date, month_index)
-    if window is None:
-        keys = current_dimension(dim, cities, versions).select("customer_id")
-        base = fct.join(keys, "customer_id", "left_semi" if versions == "current" else "inner")
-    else:
-        base = facts_in_window(fct, dim, Window(window.start, window.end, tuple(cities or window.cities)), versions)
-    ids = (
-        base.groupBy("customer_id")
-        .agg(F.min("order_date").alias("_first"))
-        .where(month_start("_first") == F.lit(cohort_date))
+    keys = current_dimension(dim, cities if window is None else (cities or window.cities), versions)
+    facts = fct.join(keys.select("customer_id"), "customer_id", "left_semi")
+    if window is not None:
+        facts = facts.where(F.col("order_date").between(F.lit(window.start), F.lit(window.end)))
+    candidates = facts.where(in_month("order_date", cohort_date)).select("customer_id").distinct()
+    earlier = (
+        facts.where(F.col("order_date") < F.lit(cohort_date))
+        .join(candidates, "customer_id", "left_semi")
         .select("customer_id")
+        .distinct()
     )
+    members = candidates.join(earlier, "customer_id", "left_anti")
     return (
         fct.where(in_month("order_date", target))
-        .join(ids, "customer_id", "left_semi")
+        .join(members, "customer_id", "left_semi")
         .select("customer_id", "order_id", "revenue_euro", "order_date")
         .orderBy("customer_id", "order_id")
         .limit(limit)

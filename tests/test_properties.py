@@ -114,3 +114,32 @@ def test_kpi_and_trend_match_brute_force(spark, rows):
         by_month[_month(mo)][1] += 1
     got = [(r.month, r.revenue, r.orders) for r in metrics.monthly_trend(fct, dim, ALL).collect()]
     assert got == [(m, v[0], v[1]) for m, v in sorted(by_month.items())]
+
+
+@SETTINGS
+@given(rows=orders, data=st.data(), index=st.integers(0, 6), windowed=st.booleans())
+def test_drilldown_matches_brute_force(spark, rows, data, index, windowed):
+    # the cohort month is one of the order months, so most examples have members
+    cohort_offset = data.draw(st.sampled_from(sorted({r[1] for r in rows})))
+    fct, dim = _fixture(spark, rows)
+    lo, hi = _month(10), _month(50)
+    window = Window.of(lo, hi) if windowed else None
+
+    def inside(mo, day):
+        d = _month(mo) + dt.timedelta(days=day)
+        return lo <= d <= hi
+
+    first = {}
+    for c, mo, day, _rev in rows:
+        if window is None or inside(mo, day):
+            first[c] = min(first.get(c, mo), mo)
+    members = {c for c, mo in first.items() if mo == cohort_offset}
+    expected = sorted(
+        (c, f"o{i}") for i, (c, mo, _day, _rev) in enumerate(rows) if c in members and mo == cohort_offset + index
+    )
+    label = _month(cohort_offset).strftime("%Y-%m")
+    got = [
+        (r.customer_id, r.order_id)
+        for r in cohort.cohort_drilldown(fct, dim, label, index, window=window).collect()
+    ]
+    assert got == expected[:1000]
