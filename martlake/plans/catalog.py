@@ -16,10 +16,17 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.functions.dates import date_dimension
+from martlake.functions.dates import date_dimension, week_start
 from martlake.functions.labels import cell_label, currency_label, euro_2dp_label, grouped_int_label
 from martlake.operators import cohort, forecast, metrics, models, quality, scd2, segments
-from martlake.operators.filters import Window, city_list, default_cities, split_by_tag
+from martlake.operators.filters import (
+    Window,
+    city_list,
+    current_dimension,
+    date_window,
+    default_cities,
+    split_by_tag,
+)
 from martlake.plans.warehouse import Marts, Warehouse, materialize_marts, resolve_view_params
 from martlake.session import cut_lineage, ensure_checkpoint_dir
 from martlake.sources import testdata
@@ -79,15 +86,15 @@ def _mart_query(fn: Callable[[Marts], DataFrame]) -> Query:
     return lambda spark, sf_dir: fn(marts(spark, sf_dir))
 
 
-def _cohort(wh: Warehouse, window: Window = W) -> DataFrame:
+def _cohort(wh: Warehouse | Marts, window: Window = W) -> DataFrame:
     return cohort.cohort_retention(wh.fct_orders, wh.dim_customers, window)
 
 
-def _rfm_wide(wh: Warehouse) -> DataFrame:
+def _rfm_wide(wh: Warehouse | Marts) -> DataFrame:
     return segments.rfm_wide(wh.fct_orders, wh.dim_customers, W)
 
 
-def _rfm_clusters(wh: Warehouse) -> DataFrame:
+def _rfm_clusters(wh: Warehouse | Marts) -> DataFrame:
     # the per-customer table is checkpointed once; statistics and k-means read it
     wide = cut_lineage(_rfm_wide(wh))
     return segments.rfm_clusters(segments.rfm_scaled(wide, digits=None), RFM_K, seed=42)
@@ -112,21 +119,20 @@ def _dq_failing(kind: str) -> Query:
     return run
 
 
-def _resolved_params(wh: Warehouse) -> DataFrame:
+def _resolved_params(wh: Warehouse | Marts) -> DataFrame:
     win = resolve_view_params(wh.fct_orders, wh.dim_customers)
     return default_cities(wh.dim_customers, list(win.cities)).select(
         F.lit(win.start).alias("start_date"), F.lit(win.end).alias("end_date"), "city"
     )
 
 
-def _hw_by_city(wh: Warehouse) -> DataFrame:
-    from martlake.functions.dates import week_start
-    from martlake.operators.filters import facts_in_window
-
-    facts = facts_in_window(wh.fct_orders, wh.dim_customers, W)
-    cities = wh.dim_customers.where(F.col("is_current")).select("customer_id", "city")
+def _hw_by_city(m: Marts) -> DataFrame:
+    # current customer rows are unique per customer, so one inner join both
+    # restricts to the selected cities and brings the city along
+    cities = current_dimension(m.dim_customers, W.cities).select("customer_id", "city")
     weekly = (
-        facts.join(cities, "customer_id")
+        m.fct_orders.where(date_window("order_date", W.start, W.end))
+        .join(cities, "customer_id")
         .groupBy("city", week_start("order_date").alias("week"))
         .agg(F.sum("revenue_euro").alias("revenue"))
     )
