@@ -139,6 +139,19 @@ def _hw_by_city(m: Marts) -> DataFrame:
     return forecast.holt_winters_forecast(weekly, keys=["city"], horizon=12)
 
 
+def _hw_by_city_category(m: Marts) -> DataFrame:
+    # item revenue carries the product's category; one series per (city, category)
+    cities = current_dimension(m.dim_customers, W.cities).select("customer_id", "city")
+    weekly = (
+        m.order_products.where(date_window("order_date", W.start, W.end))
+        .join(cities, "customer_id")
+        .join(m.dim_products.select("product_id", "category"), "product_id")
+        .groupBy("city", "category", week_start("order_date").alias("week"))
+        .agg((F.sum("amount_cents").cast("double") / F.lit(100.0)).alias("revenue"))
+    )
+    return forecast.holt_winters_forecast(weekly, keys=["city", "category"], horizon=12)
+
+
 QUERIES: dict[str, Query] = {
     # Step 1: models
     "stg_orders": _wh_query(lambda wh: wh.stg_orders),
@@ -219,6 +232,7 @@ QUERIES: dict[str, Query] = {
         lambda wh: forecast.holt_winters_forecast(metrics.weekly_revenue(wh.fct_orders, wh.dim_customers, W))
     ),
     "holt_winters_by_city": _mart_query(_hw_by_city),
+    "holt_winters_by_city_category": _mart_query(_hw_by_city_category),
     # Step 11: calendar and labels
     "date_dimension": _mart_query(
         lambda wh: date_dimension(metrics.date_bounds(wh.fct_orders), "min_date", "max_date")
