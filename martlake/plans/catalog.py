@@ -27,6 +27,7 @@ from martlake.operators.filters import (
     default_cities,
     split_by_tag,
 )
+from martlake.plans import sql_views
 from martlake.plans.warehouse import Marts, Warehouse, materialize_marts, resolve_view_params
 from martlake.session import cut_lineage, ensure_checkpoint_dir
 from martlake.sources import testdata
@@ -152,6 +153,15 @@ def _hw_by_city_category(m: Marts) -> DataFrame:
     return forecast.holt_winters_forecast(weekly, keys=["city", "category"], horizon=12)
 
 
+def _sql(fn: Callable[..., DataFrame], window: Window = W) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        sql_views.register_warehouse_views(marts(spark, sf_dir), warehouse(spark, sf_dir))
+        where = sql_views.window_sql(str(window.start), str(window.end), window.cities)
+        return fn(spark, where)
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
     # Step 1: models
     "stg_orders": _wh_query(lambda wh: wh.stg_orders),
@@ -268,6 +278,10 @@ QUERIES: dict[str, Query] = {
             wh.fct_orders, wh.dim_customers, DRILL_WINDOWED[0], DRILL_WINDOWED[1], W.cities, window=W
         )
     ),
+    # SQL over the warehouse views (S2, S4): same results through spark.sql
+    "sql_kpi": _sql(sql_views.sql_kpi),
+    "sql_monthly_trend": _sql(sql_views.sql_monthly_trend),
+    "sql_top_products": _sql(sql_views.sql_top_products),
     "cell_labels": _mart_query(
         lambda wh: _cohort(wh).select(
             "cohort", "month_index", cell_label("users", "retention_rate").alias("label")

@@ -479,6 +479,9 @@ WHERE CAST(date_trunc('month', f.order_date) AS DATE)
 ORDER BY f.customer_id, f.order_id
 LIMIT 1000"""
     ),
+    "sql_kpi": kpi_sql(W),
+    "sql_monthly_trend": q(trend_sql(W) + " ORDER BY 1"),
+    "sql_top_products": q(product_revenue_sql(W) + f" ORDER BY revenue DESC, product_name, category LIMIT {TOP_N}"),
     "cell_labels": q(
         "SELECT cohort, month_index, CAST(users AS VARCHAR) || ' users' || chr(10) || "
         "printf('%.1f', round(retention_rate * 100.0, 1)) || '%' AS label FROM cohort_view",
