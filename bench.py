@@ -45,11 +45,13 @@ HEADLINE = [
     "top_products",
     "cohort_retention_all",
     "cohort_matrix",
+    "cohort_drilldown",
     "rfm_aligned",
     "linear_forecast",
     "snapshot_second",
     "dq_report",
     "holt_winters_forecast",
+    "holt_winters_by_city_category",
     "rfm_clusters",
 ]
 
