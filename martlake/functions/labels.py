@@ -18,19 +18,29 @@ from martlake.functions.columns import as_col
 EURO = "€"
 
 
+def _fixed(value: Column, digits: int) -> Column:
+    """Fixed-point text with ``digits`` decimals and no grouping.
+
+    ``format_number`` rounds the exact binary value of the double half to
+    even, the rule of Python's ``f`` format (``format_string`` rounds the
+    shortest decimal form half up, which differs on ties such as 0.5 and
+    near-ties such as 2.675); its grouping commas are dropped.
+    """
+    return F.translate(F.format_number(value, digits), ",", "")
+
+
 def currency_label(value: Column | str) -> Column:
     """Compact euro label of an amount.
 
     Text that does not parse as a number becomes ``€0``; negative amounts take
-    the grouped 2-decimal branch.  Spark rounds half up where Python rounds
-    half to even, so exact ties can differ in the last digit.
+    the grouped 2-decimal branch.
     """
     v = as_col(value).cast("string").try_cast("double")
     return (
         F.when(v.isNull(), F.lit(f"{EURO}0"))
-        .when(v >= 1e9, F.format_string(f"{EURO}%.2fB", v / 1e9))
-        .when(v >= 1e6, F.format_string(f"{EURO}%.1fM", v / 1e6))
-        .when(v >= 1e3, F.format_string(f"{EURO}%.0fK", v / 1e3))
+        .when(v >= 1e9, F.concat(F.lit(EURO), _fixed(v / 1e9, 2), F.lit("B")))
+        .when(v >= 1e6, F.concat(F.lit(EURO), _fixed(v / 1e6, 1), F.lit("M")))
+        .when(v >= 1e3, F.concat(F.lit(EURO), _fixed(v / 1e3, 0), F.lit("K")))
         .otherwise(F.concat(F.lit(EURO), F.format_number(v, 2)))
     )
 
@@ -42,16 +52,24 @@ def grouped_int_label(value: Column | str) -> Column:
 
 def euro_2dp_label(value: Column | str) -> Column:
     """``€`` plus a plain 2-decimal amount (KPI average order value)."""
-    return F.format_string(f"{EURO}%.2f", as_col(value).cast("double"))
+    return F.concat(F.lit(EURO), _fixed(as_col(value).cast("double"), 2))
 
 
 def percent_label(share: Column | str) -> Column:
-    """Share x 100 with one decimal and a ``%`` suffix."""
-    return F.concat(F.format_string("%.1f", as_col(share).cast("double") * 100.0), F.lit("%"))
+    """Share x 100 rounded to one decimal, as text, with a ``%`` suffix.
+
+    The rounding is the table rounding of the original: scale by 10, round
+    half to even (``rint``), scale back; the text is that one-decimal value.
+    """
+    rounded = F.rint(as_col(share).cast("double") * 100.0 * 10.0) / 10.0
+    return F.concat(_fixed(rounded, 1), F.lit("%"))
 
 
 def cell_label(users: Column | str, rate: Column | str) -> Column:
-    """Heat-map cell text: user count, newline, rate with one decimal."""
-    return F.format_string(
-        "%d users\n%.1f%%", as_col(users).cast("long"), as_col(rate).cast("double") * 100.0
+    """Heat-map cell text: user count, newline, rate x 100 with one decimal."""
+    return F.concat(
+        as_col(users).cast("long").cast("string"),
+        F.lit(" users\n"),
+        _fixed(as_col(rate).cast("double") * 100.0, 1),
+        F.lit("%"),
     )

@@ -249,12 +249,12 @@ GROUP BY p.product_name, p.category"""
 
 
 def label_sql(v: str) -> str:
-    # Spark's format_string rounds half up on the shortest decimal form; DuckDB's
-    # round() followed by printf reproduces that.
+    # printf / format round the exact double half to even, like Python's f format
+    v = f"CAST({v} AS DOUBLE)"
     return f"""CASE
-  WHEN {v} >= 1e9 THEN '€' || printf('%.2f', round({v} / 1e9, 2)) || 'B'
-  WHEN {v} >= 1e6 THEN '€' || printf('%.1f', round({v} / 1e6, 1)) || 'M'
-  WHEN {v} >= 1e3 THEN '€' || printf('%.0f', round({v} / 1e3, 0)) || 'K'
+  WHEN {v} >= 1e9 THEN '€' || printf('%.2f', {v} / 1e9) || 'B'
+  WHEN {v} >= 1e6 THEN '€' || printf('%.1f', {v} / 1e6) || 'M'
+  WHEN {v} >= 1e3 THEN '€' || printf('%.0f', {v} / 1e3) || 'K'
   ELSE '€' || format('{{:,.2f}}', {v}) END"""
 
 
@@ -451,7 +451,7 @@ FROM (SELECT DISTINCT CAST(unnest(generate_series(CAST(min(order_date) AS TIMEST
         f"""
 SELECT {label_sql('CAST(revenue AS DOUBLE)')} AS revenue_label,
        format('{{:,}}', orders) AS orders_label,
-       '€' || printf('%.2f', round(aov, 2)) AS aov_label,
+       '€' || printf('%.2f', CAST(aov AS DOUBLE)) AS aov_label,
        format('{{:,}}', active_customers) AS customers_label
 FROM ({kpi_body(W)}) k""",
     ),
@@ -484,7 +484,7 @@ LIMIT 1000"""
     "sql_top_products": q(product_revenue_sql(W) + f" ORDER BY revenue DESC, product_name, category LIMIT {TOP_N}"),
     "cell_labels": q(
         "SELECT cohort, month_index, CAST(users AS VARCHAR) || ' users' || chr(10) || "
-        "printf('%.1f', round(retention_rate * 100.0, 1)) || '%' AS label FROM cohort_view",
+        "printf('%.1f', retention_rate * 100.0) || '%' AS label FROM cohort_view",
         cohort_ctes(W),
     ),
 }

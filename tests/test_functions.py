@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import numpy as np
+from pyspark.sql import functions as F
+
 from martlake.functions.columns import safe_ratio
 from martlake.functions.dates import (
     date_dimension,
@@ -80,6 +83,39 @@ def test_kpi_and_cell_labels(spark):
     assert r.c == "7 users\n12.5%"
 
 
+def _python_currency(v: float) -> str:
+    # the original's rules written with Python formatting, as the model to match
+    if v >= 1e9:
+        return f"€{v / 1e9:.2f}B"
+    if v >= 1e6:
+        return f"€{v / 1e6:.1f}M"
+    if v >= 1e3:
+        return f"€{v / 1e3:.0f}K"
+    return f"€{v:,.2f}"
+
+
+def test_labels_round_like_python_on_ties(spark):
+    # exact binary ties (0.5, 12344.5) round half to even; near-ties (2.675,
+    # 1.005) round by their exact binary value
+    values = [0.5, 1.5, 2.5, 2.675, 1.005, 0.125, 0.375, 7.45, 99.995, 12344.5, 12345.5, 1234.5, 2500.5,
+              3500.0, 1_234_567.125, 2_250_000.0, 2_350_000.0, 1_005_000_000.0, 0.0449999, 0.33333, 1 / 3, 2 / 3]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    rows = df.select(
+        "v",
+        currency_label("v").alias("cur"),
+        euro_2dp_label("v").alias("e"),
+        percent_label(F.col("v") / 100.0).alias("p"),
+        cell_label(F.lit(3), "v").alias("c"),
+    ).collect()
+    for r in rows:
+        v = r.v
+        assert r.cur == _python_currency(v), v
+        assert r.e == f"€{v:.2f}", v
+        share = v / 100.0
+        assert r.p == str(float(np.round(share * 100, 1))) + "%", v
+        assert r.c == f"3 users\n{v:.1%}", v
+
+
 def test_date_dimension_matches_seed(spark):
     bounds = spark.createDataFrame([(d("2024-01-01"), d("2024-01-05"))], "start_date date, end_date date")
     got = [tuple(r) for r in date_dimension(bounds).orderBy("date_day").collect()]
