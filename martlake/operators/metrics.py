@@ -15,6 +15,7 @@ from martlake.functions.columns import zero_if_null
 from martlake.functions.dates import month_start, week_start
 from martlake.functions.money import cents_sum_to_double
 from martlake.operators.filters import Window, facts_in_window
+from martlake.operators.joins import salted_lookup_join
 from martlake.operators.ordering import sort_bounded
 
 SUM_EURO = "decimal(38,2)"
@@ -162,10 +163,11 @@ def priced_items(items: DataFrame, products: DataFrame, strict: bool = True) ->
     With ``strict`` an item whose product is unknown fails the job when the
     plan runs (the reference's dictionary lookup raises); otherwise the price
     is null.  The product side is not hinted: the planner broadcasts it only
-    under the size threshold.
+    under the size threshold.  The result is the final stage, where adaptive
+    execution does not split a hot product, so hot products are salted.
     """
     prices = products.select("product_id", F.col("price_cents").alias("unit_price_cents"), F.lit(True).alias("_known"))
-    joined = items.join(prices, "product_id", "left")
+    joined = salted_lookup_join(items, prices, "product_id", "left")
     if strict:
         guard = F.when(
             F.col("_known").isNull(),
