@@ -6,10 +6,10 @@ as is) keeps a hot key in one task.  ``salted_lookup_join`` splits such keys
 explicitly:
 
 1. one keyed count over the fact's key column (partially aggregated, one
-   row per key);
+   row per key, persisted while it is read twice);
 2. a key is hot when it holds more than one partition's share of the rows,
-   so there are at most ``partitions`` hot keys: that table has a proven size
-   bound and is broadcast;
+   so there are at most ``partitions`` hot keys: that list has a proven size
+   bound, is read by the driver and broadcast;
 3. each fact row of a hot key gets one of ``ceil(count / share)`` salt
    values, the lookup rows of hot keys are copied once per salt value, and
    the join runs on (key, salt).  Cold keys keep salt 0.
@@ -19,8 +19,10 @@ Every row is kept and the result equals the plain join.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SALT = "_salt"
 BUCKETS = "_buckets"
@@ -43,15 +45,20 @@ def salted_lookup_join(
         raise ValueError("how must be inner or left")
     spark = facts.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    # one number reaches the driver: the total row count
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    share = max(1, -(-total // parts))
-    hot = counts.where(F.col("_n") > share).select(
-        key, F.ceil(F.col("_n") / F.lit(share)).cast("int").alias(BUCKETS)
-    )
-    # at most `parts` keys can each hold more than 1/parts of the rows
-    hot = F.broadcast(hot)
+    # one scan of the key column; the per-key counts (one row per key) are
+    # kept while the total and the hot keys are read from them
+    counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        total = counts.agg(F.sum("_n")).first()[0] or 0
+        share = max(1, -(-total // parts))
+        # at most `parts` keys can each hold more than 1/parts of the rows
+        hot_rows = counts.where(F.col("_n") > share).select(
+            key, F.ceil(F.col("_n") / F.lit(share)).cast("int").alias(BUCKETS)
+        ).collect()
+    finally:
+        counts.unpersist()
+    schema = T.StructType([facts.schema[key], T.StructField(BUCKETS, T.IntegerType())])
+    hot = F.broadcast(spark.createDataFrame(hot_rows, schema))
     salted_facts = facts.join(hot, key, "left").withColumn(
         SALT,
         F.when(F.col(BUCKETS).isNull(), F.lit(0)).otherwise(
