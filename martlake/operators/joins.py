@@ -14,6 +14,9 @@ explicitly:
    values, the lookup rows of hot keys are copied once per salt value, and
    the join runs on (key, salt).  Cold keys keep salt 0.
 
+Without hot keys, or when the planner broadcasts the lookup anyway (no
+shuffle, so no hot task), the plain join is returned.
+
 Every row is kept and the result equals the plain join.
 """
 
@@ -28,6 +31,15 @@ SALT = "_salt"
 BUCKETS = "_buckets"
 
 
+def _planner_broadcasts(df: DataFrame) -> bool:
+    """Whether the planner's own size estimate puts ``df`` under the broadcast threshold."""
+    limit = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    if limit < 0:
+        return False
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= limit
+
+
 def salted_lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -57,6 +69,9 @@ def salted_lookup_join(
         ).collect()
     finally:
         counts.unpersist()
+    if not hot_rows or _planner_broadcasts(lookup):
+        # no hot key, or a broadcast join (no shuffle, so no hot task)
+        return facts.join(lookup, key, how)
     schema = T.StructType([facts.schema[key], T.StructField(BUCKETS, T.IntegerType())])
     hot = F.broadcast(spark.createDataFrame(hot_rows, schema))
     salted_facts = facts.join(hot, key, "left").withColumn(

@@ -2,12 +2,33 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import functions as F
 
 from martlake.operators.joins import salted_lookup_join
 from tests.conftest import SF_SMALL
 
 
+NO_BROADCAST = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@contextlib.contextmanager
+def _conf(spark, conf):
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def _rows(df):
     return sorted(tuple(r) for r in df.collect())
 
@@ -25,29 +46,24 @@ def test_salted_join_equals_plain_join_with_hot_key(spark):
         .alias("k"),
     )
     lookup = spark.read.parquet(f"{SF_SMALL}/part.parquet").select(F.col("p_partkey").alias("k"), "p_retailprice")
-    for how in ("left", "inner"):
-        got = salted_lookup_join(facts, lookup, "k", how, partitions=8)
-        assert _rows(got.select(*sorted(got.columns))) == _rows(
-            facts.join(lookup, "k", how).select(*sorted(got.columns))
-        )
+    expected = {how: _rows(facts.join(lookup, "k", how).select("k", "l_linenumber", "l_orderkey", "p_retailprice"))
+                for how in ("left", "inner")}
+    # default thresholds: the small lookup is broadcast, no salting needed;
+    # broadcasts off: the salted sort-merge join runs
+    for conf in ({}, NO_BROADCAST):
+        with _conf(spark, conf):
+            for how in ("left", "inner"):
+                got = salted_lookup_join(facts, lookup, "k", how, partitions=8)
+                plan = got._jdf.queryExecution().executedPlan().toString()
+                assert ("_salt" in plan) == bool(conf)
+                assert _rows(got.select("k", "l_linenumber", "l_orderkey", "p_retailprice")) == expected[how]
 
 
 def test_hot_key_lands_in_several_join_tasks(spark):
     # no broadcast of the lookup and no coalescing: the (key, salt) sort-merge
     # join alone decides where the hot key's rows go
-    conf = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
-    old = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    try:
+    with _conf(spark, NO_BROADCAST):
         _check_spread(spark)
-    finally:
-        for k, v in old.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def _check_spread(spark):
