@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import packing, sentencepiece_bpe, warc
-from martlake.llm.common import scratch_path
+from martlake.llm import curves, exact_topk, html_text, packing, pii, quality, sentencepiece_bpe, toxicity, warc
+from martlake.llm.common import scratch_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,18 +27,66 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.valid(warc.read(spark, path, with_payload=False))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.with_severity(docs, model).select("doc_id", "p_toxic", "severity", "grade", "toxic")
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = stored(pii.with_candidates(docs).drop("text"), "pii")
+    return pii.with_spans(found, pii.fit(found)).select("doc_id", *pii.digests())
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece_bpe.digests(table(spark, sf_dir, "documents").select("doc_id", "text"), PIECE_BPE)
+    return sentencepiece_bpe.digests(table(spark, sf_dir, "documents").select("doc_id", "text"), PIECE_BPE).drop("text")
+
+
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), BYTE_BPE))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.with_score(docs, model).select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op10_curve_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curves.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
+    "op2_toxicity": op2_toxicity,
+    "op4_pii": op4_pii,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_exact_topk": op6_exact_topk,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_html_text": op8_html_text,
+    "op9_quality": op9_quality,
+    "op10_curve_neighbours": op10_curve_neighbours,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    # the same whole-number products, for all pairs
+    "op6_exact_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.vec, c.vec), p -> p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+}
