@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import curves, exact_topk, html_text, packing, pii, quality, sentencepiece_bpe, toxicity, warc
+from martlake.llm import curves, exact_topk, html_text, jaccard_join, packing, pii, quality, sentencepiece_bpe, toxicity, warc
 from martlake.llm.common import scratch_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.with_severity(docs, model).select("doc_id", "p_toxic", "severity", "grade", "toxic")
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.with_components(table(spark, sf_dir, "documents"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = stored(pii.with_candidates(docs).drop("text"), "pii")
@@ -68,6 +72,7 @@ def op10_curve_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_toxicity": op2_toxicity,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_pii": op4_pii,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_exact_topk": op6_exact_topk,
