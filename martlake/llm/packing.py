@@ -28,7 +28,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -135,11 +135,11 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     """The pieces of all documents: doc_id, piece, start, length, ids_crc32."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = kept(("byte_bpe", tokenizer_path), lambda: Tokenizer(tokenizer_path))
         end = np.array([end_id], np.uint32)
         for batch in batches:
-            texts, doc_ids = batch["text"].tolist(), batch["doc_id"]
+            texts = batch.column(1).to_pylist()
             for a, b in chunks(texts):
                 ids, at = tokenizer.encode(texts[a:b])
                 ids, cut = ids.astype("<u4"), at.tolist()
@@ -149,12 +149,11 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
                     first = len(whole) % capacity or capacity
                     for piece, start in enumerate([0, *range(first, len(whole), capacity)]):
                         part = whole[start : first if piece == 0 else start + capacity]
-                        out.append((k, piece, start, len(part), zlib.crc32(part.tobytes())))
-                frame = pd.DataFrame(out, columns=["k", "piece", "start", "length", "ids_crc32"])
-                frame.insert(0, "doc_id", doc_ids.iloc[a:b].take(frame.pop("k")).to_numpy())
-                yield frame
+                        out.append((a + k, piece, start, len(part), zlib.crc32(part.tobytes())))
+                row, *rest = (pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(row), *rest], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return rows.mapInPandas(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
@@ -200,11 +199,13 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     plan = np.array(best_fit(counts, capacity), np.int64).reshape(-1, 5)
     schema = rows.drop("rank").schema.add("sequence_id", "long").add("offset", "long")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rank = batch["rank"].to_numpy()
+            rank = batch.column("rank").to_numpy()
             first, sequence, each, offset, length = plan[np.searchsorted(plan[:, 0], rank, side="right") - 1].T
             turn = rank - first
-            yield batch.drop(columns="rank").assign(sequence_id=sequence + turn // each, offset=offset + turn % each * length)
+            columns = [batch.column(f.name) for f in schema.fields[:-2]]
+            places = [pa.array(sequence + turn // each), pa.array(offset + turn % each * length)]
+            yield pa.RecordBatch.from_arrays([*columns, *places], schema.names)
 
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)

@@ -17,7 +17,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,7 +93,7 @@ class Codec:
         marked = [SPACE + t.replace(" ", SPACE) if t else "" for t in texts]
         points, bounds = codepoints(marked)
         if not len(points):
-            return np.zeros(0, np.int64), bounds
+            return np.zeros(0, np.int32), bounds
         space = points == ord(SPACE)
         begins = space.copy()
         begins[1:] &= ~space[:-1]
@@ -124,15 +124,15 @@ def _per_text(docs: DataFrame, model_path: str, added: list[T.StructField], resu
     rows = docs.select(*[F.col(f"`{c}`") for c in others], text_or_empty().alias("_text"))
     schema = T.StructType([*rows.schema.fields[:-1], *added])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = kept(("piece_bpe", model_path), lambda: Codec(model_path))
         for batch in batches:
-            texts = batch["_text"].tolist()
+            texts = batch.column(batch.num_columns - 1).to_pylist()
             for a, b in chunks(texts):
-                out = batch.iloc[a:b].drop(columns="_text")
-                yield out.assign(**dict(zip(names, results(codec, texts[a:b]), strict=True)))
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *map(pa.array, results(codec, texts[a:b]))], schema.names)
 
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def encode(docs: DataFrame, model_path: str) -> DataFrame:
@@ -140,7 +140,7 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
 
     def results(codec: Codec, texts: list[str]) -> list:
         ids, at = codec.encode(texts)
-        return [[ids[a:b].astype(np.int32) for a, b in zip(at[:-1], at[1:], strict=True)]]
+        return [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32()))]
 
     return _per_text(docs, model_path, [T.StructField("ids", T.ArrayType(T.IntegerType()))], results)
 
@@ -149,13 +149,14 @@ def decode(docs: DataFrame, model_path: str) -> DataFrame:
     """Adds ``decoded`` (string) of the column ``ids``; null ids count as none."""
     schema = T.StructType([f for f in docs.schema.fields if f.name.lower() != "decoded"] + [T.StructField("decoded", T.StringType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = kept(("piece_bpe", model_path), lambda: Codec(model_path))
         for batch in batches:
-            ids, at = ragged([() if r is None else r for r in batch["ids"]])
-            yield batch.assign(decoded=[t.decode() for t in codec.decode(ids, at)])[schema.names]
+            ids, at = ragged([r or () for r in batch.column("ids").to_pylist()])
+            decoded = pa.array([t.decode() for t in codec.decode(ids, at)], pa.string())
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in schema.names[:-1]), decoded], schema.names)
 
-    return docs.mapInPandas(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame, model_path: str) -> DataFrame:
