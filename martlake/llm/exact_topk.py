@@ -34,7 +34,7 @@ EXACT = 2.0**52
 
 def scaled(vector: Column) -> Column:
     """Components as whole numbers, kept as doubles."""
-    return F.transform(vector, lambda x: F.floor(F.lit(SCALE) * x.cast("double")).cast("double"))
+    return F.transform(vector, lambda x: F.floor(F.lit(SCALE) * x).cast("double"))
 
 
 def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -70,7 +70,7 @@ def pruned(rotation: np.ndarray):
 
 def top_k(table: DataFrame, is_query: Column, k: int = 20, vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id and score of the k best rows of each query row."""
-    rows = vectors.valid(table, scaled(F.col(vector)))
+    rows = vectors.valid(table, F.transform(vector, lambda x: x.cast("double"))).withColumn("vec", scaled(F.col("vec")))
     length = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
     rows = ranked(rows.withColumn("length", length), [F.col("length").desc(), F.col("vec_id")], "topk").withColumn("block", F.floor(F.col("rank") / vectors.BLOCK))
     blocks = rows.groupBy("block").agg(F.max("length").alias("longest"), F.max(F.size("vec")).alias("width")).orderBy("block").collect()  # a row for each block

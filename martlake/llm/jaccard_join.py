@@ -312,7 +312,8 @@ def with_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest id that links reach) of all documents."""
     members, links = join(docs)
     # rows that share an id connect the classes of their texts
-    several = members.filter("class is not null and class <> doc_id").select(F.col("doc_id").alias("a"), F.col("class").alias("b"))
-    groups = components(links.unionByName(several.join(members.filter("class = doc_id").select(F.col("doc_id").alias("a")).distinct(), "a", "left_semi")))
+    texts = members.filter("class is not null").groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("z")).filter("a <> z").select("doc_id", "a")
+    several = members.join(texts, "doc_id").select("a", F.col("class").alias("b"))
+    groups = components(links.unionByName(several))
     out = members.join(groups, members["class"] == groups["node"], "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "class", "doc_id").alias("component_id"))

@@ -1,0 +1,124 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from martlake.llm import curves, exact_topk, vectors
+from martlake.llm.queries import op6_exact_topk, op10_curve_neighbours
+
+SCHEMA = "vec_id long, embedding array<float>, rank int, score string"
+
+
+def is_query():
+    return F.col("vec_id") % 20 == 0
+
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, None if v is None else [None if x is None else float(x) for x in v], 1, "x") for i, v in rows], SCHEMA)
+
+
+def usable(rows, nonzero=False):
+    best = {}
+    for i, v in rows:
+        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v) or nonzero and not any(v):
+            continue
+        v = [float(x) for x in np.float32(v)]
+        best[i] = min(best.get(i, v), v)
+    return best
+
+
+def brute(rows, k, whole):
+    held = usable(rows, nonzero=not whole)
+    if whole:
+        held = {i: [math.floor(64 * x) for x in v] for i, v in held.items()}
+    out = []
+    for q in sorted(held):
+        if q % 20:
+            continue
+        scores = sorted((-sum(a * b for a, b in zip(held[q], v)), i) for i, v in held.items() if i != q)[:k]
+        out += [(q, r, i, -s) for r, (s, i) in enumerate(scores, 1)]
+    return out
+
+
+def random_rows(n, width=12, seed=0):
+    rng = np.random.default_rng(seed)
+    return [(i, (rng.normal(size=width) * rng.choice([0.2, 1, 3])).tolist()) for i in range(n)]
+
+
+EDGES = [(1000, None), (1001, [1.0, None]), (1002, [float("nan")] * 12), (1003, [float("inf")] * 12), (1004, [0.0] * 12), (1005, []), (1006, [1.0, 2.0]), (None, [1.0] * 12), (20, [0.5] * 12), (20, [0.5] * 12), (21, [0.5] * 12), (22, [0.5] * 12), (40, [0.25] * 12)]
+
+
+def got(df):
+    return sorted((r.query_id, r.rank, r.vec_id, r.score) for r in df.collect())
+
+
+@pytest.mark.parametrize("block", [8192, 32])
+def test_exact_top_k(spark, monkeypatch, block):
+    monkeypatch.setattr(vectors, "BLOCK", block)
+    rows = [r for r in random_rows(300) if r[0] not in (20, 40)] + EDGES
+    assert got(exact_topk.top_k(frame(spark, rows), is_query(), 7)) == brute(rows, 7, whole=True)
+
+
+def test_few_and_no_rows(spark):
+    rows = random_rows(5)
+    assert got(exact_topk.top_k(frame(spark, rows), is_query())) == brute(rows, 20, whole=True)
+    assert len(got(curves.nearest(frame(spark, rows), is_query()))) == 4
+    for none in ([], [(1, None), (2, [None])]):
+        assert got(exact_topk.top_k(frame(spark, none), is_query())) == []
+        assert got(curves.nearest(frame(spark, none), is_query())) == []
+
+
+def test_large_components_stay_exact(spark):
+    rows = [(0, [3e7, 1.0]), (1, [3e7, 1.015625]), (2, [3e7, 1.0]), (3, [-3e7, 0.0])]
+    assert got(exact_topk.top_k(frame(spark, rows), is_query())) == brute(rows, 20, whole=True)
+
+
+def test_pruning_keeps_all_that_matters():
+    rng = np.random.default_rng(2)
+    q, c = (np.floor(64 * rng.normal(size=(n, 24)) * 1.5 ** -np.arange(24)) for n in (20, 500))
+    rotation = np.linalg.svd(c.T @ c)[0]
+    scores = q @ c.T
+    bound = np.sort(scores, axis=1)[:, -10]
+    found, allowed = exact_topk.pruned(rotation)(q, c, bound)
+    assert (allowed | (scores < bound[:, None])).all() and allowed.mean() < 0.5
+    assert (found[allowed] == scores[allowed]).all()
+
+
+def test_hilbert_curve_visits_all_cells_in_steps():
+    for dims, bits in ((2, 3), (3, 2), (2, 5), (4, 2)):
+        cells = np.indices((1 << bits,) * dims).reshape(dims, -1).T
+        keys = curves.hilbert(cells, bits)
+        assert sorted(keys.tolist()) == list(range(len(cells)))
+        path = cells[np.argsort(keys)]
+        assert (np.abs(np.diff(path, axis=0)).sum(1) == 1).all()
+
+
+def test_curves_find_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "BLOCK", 64)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 12))
+    rows = [(i, (centres[i % 40] + 0.05 * rng.normal(size=12)).tolist()) for i in range(1200)] + EDGES
+    found = got(curves.nearest(frame(spark, rows), is_query(), 10))
+    want = brute(rows, 10, whole=False)
+    assert [(q, r) for q, r, *_ in found] == [(q, r) for q, r, *_ in want]
+    hits = len({(q, i) for q, _, i, _ in found} & {(q, i) for q, _, i, _ in want})
+    assert hits >= 0.9 * len(want)
+    held = usable(rows, nonzero=True)
+    for q, _, i, s in found:
+        assert s == pytest.approx(sum(a * b for a, b in zip(held[q], held[i])), rel=1e-12, abs=1e-12)
+
+
+@pytest.mark.parametrize("query", [op6_exact_topk, op10_curve_neighbours])
+def test_queries(spark, tables, query):
+    rows = [(r["vec_id"], r["embedding"]) for r in tables("embeddings")]
+    found = got(query(spark, "/root/testdata/sf0.01"))
+    want = brute(rows, 20, whole=query is op6_exact_topk)
+    if query is op6_exact_topk:
+        assert found == want
+    else:
+        hits = len({(q, i) for q, _, i, _ in found} & {(q, i) for q, _, i, _ in want})
+        assert len(found) == len(want) and hits >= 0.9 * len(want)
