@@ -1,6 +1,7 @@
 """Toxicity grades by cumulative-link ordinal regression on sparse text features.
 
-Features are the words of a text and their beginnings, counted on a log scale.
+Features are words and beginnings of words that are commoner in toxic training
+documents, counted on a log scale.
 One set of weights gives a document's position on the severity scale; ordered
 thresholds cut the scale into grades: P(grade > k) = sigmoid(w.x - theta_k).
 The result is the chance of each grade and the expected severity.
@@ -12,8 +13,8 @@ labelled clean), so that grade 0 is clean and 1 to 3 grow more severe.
 Bounds: the model is fitted on at most ``per_class`` labelled documents of each
 class and has at most ``n_features`` features. Scoring reads every text whole.
 
-Defined results: null and empty texts have no features and get the model's base
-rate; with no labels, or labels of one class, every document gets grade 0 and
+Defined results: null and empty texts have no features and get the model's least
+severity; with no labels, or labels of one class, every document gets grade 0 and
 severity 0, or the chance of that class; rows are independent, so repeated rows
 get equal results; other columns pass through unless they clash with the added
 ones, which win.
@@ -126,7 +127,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     counts = _document_counts(rows)
     odds = F.log(((F.col("toxic") + 0.5) / (toxic + 1)) / ((F.col("n") - F.col("toxic") + 0.5) / (clean + 1)))
     gap = F.col("toxic") / toxic - (F.col("n") - F.col("toxic")) / clean
-    best = counts.filter("n > 1").withColumn("odds", odds).orderBy(F.abs(gap * F.col("odds")).desc(), "feature").limit(n_features).collect()
+    # evidence for toxicity only: a text without any of it, such as an empty one, is clean
+    best = counts.filter("toxic > 1").withColumn("odds", odds).filter(F.col("odds") > 1).orderBy((gap * F.col("odds")).desc(), "feature").limit(n_features).collect()
     best.sort(key=lambda r: r["feature"] % (1 << 64))
     features = np.array([r["feature"] for r in best], np.int64).view(np.uint64)
     marker = np.array([r["odds"] > 2 for r in best], bool)
