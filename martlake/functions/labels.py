@@ -38,6 +38,9 @@ def currency_label(value: Column | str) -> Column:
     v = as_col(value).cast("string").try_cast("double")
     return (
         F.when(v.isNull(), F.lit(f"{EURO}0"))
+        .when(F.isnan(v), F.lit(f"{EURO}nan"))
+        .when(v == float("inf"), F.lit(f"{EURO}infB"))
+        .when(v == float("-inf"), F.lit(f"{EURO}-inf"))
         .when(v >= 1e9, F.concat(F.lit(EURO), _fixed(v / 1e9, 2), F.lit("B")))
         .when(v >= 1e6, F.concat(F.lit(EURO), _fixed(v / 1e6, 1), F.lit("M")))
         .when(v >= 1e3, F.concat(F.lit(EURO), _fixed(v / 1e3, 0), F.lit("K")))

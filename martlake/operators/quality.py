@@ -108,7 +108,7 @@ def _model_pass(df: DataFrame, unique: Check | None, row_checks: Sequence[Check]
     )
     counts = per_key.agg(
         F.count(F.when(F.col("_key").isNotNull() & (F.col("_n") > 1), F.lit(1))).alias("_u"),
-        *[F.sum(f"_v{i}").alias(f"_c{i}") for i in range(len(row_checks))],
+        *[F.coalesce(F.sum(f"_v{i}"), F.lit(0)).alias(f"_c{i}") for i in range(len(row_checks))],
     )
     return _report_rows(counts, [unique, *row_checks], ["_u"] + [f"_c{i}" for i in range(len(row_checks))])
 

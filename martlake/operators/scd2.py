@@ -11,10 +11,14 @@ path it reads).  Semantics:
 * key absent from the delivery: its open row stays open (no hard deletes);
 * closed rows pass through untouched.
 
+Every delivery, the first one included, must have one row per key and no null
+key: the job fails otherwise.
+
 Plan shape: closed history is a filtered scan that never enters a shuffle.
-Open rows (at most one per key) and the delivery (validated unique per key by
-an aggregate that fails the job on a duplicate) meet in one full outer
-equi-join, so no key can be hot on either side.  Each joined row emits its
+Open rows (at most one per key) and the delivery (validated by an aggregate
+that fails the job on a duplicate or null key) meet in one full outer
+equi-join, so no key can be hot on either side. Marker columns tell which
+sides a joined row has, so that open rows stay whatever their key reads.  Each joined row emits its
 one or two output rows through ``explode``; nothing is computed twice.
 """
 
@@ -41,16 +45,17 @@ def scd_id(key: str, ts_col) -> "F.Column":
 
 
 def unique_per_key(incoming: DataFrame, key: str) -> DataFrame:
-    """One row per key; a duplicate key fails the job when the plan runs."""
+    """One row per key; a duplicate or null key fails the job when the plan runs."""
     attrs = [c for c in incoming.columns if c != key]
     agg = incoming.groupBy(key).agg(
         F.count(F.lit(1)).alias("_n"),
         F.first(F.struct(*attrs)).alias("_row"),
     )
-    guard = F.when(
-        F.col("_n") > 1,
-        F.raise_error(F.concat(F.lit("duplicate snapshot key: "), F.col(key).cast("string"))),
-    ).otherwise(F.lit(True))
+    guard = (
+        F.when(F.col(key).isNull(), F.raise_error(F.lit(f"null snapshot key: {key}")))
+        .when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("duplicate snapshot key: "), F.col(key).cast("string"))))
+        .otherwise(F.lit(True))
+    )
     return agg.where(guard).select(key, *[F.col(f"_row.{c}").alias(c) for c in attrs])
 
 
@@ -69,7 +74,7 @@ def snapshot(
         raise ValueError(f"check columns not in the delivery: {missing}")
 
     if previous is None:
-        return incoming.select(
+        return unique_per_key(incoming, key).select(
             key,
             *attrs,
             scd_id(key, ts).alias("scd_id"),
@@ -108,12 +113,12 @@ def merge_open_rows(
     checked = attrs if check_cols == "all" else list(check_cols)
     out_cols = [key, *attrs, *SCD_COLUMNS]
     delivery = unique_per_key(incoming, key)
-    p = open_rows.select(*[F.col(c).alias(f"p_{c}") for c in out_cols])
-    i = delivery.select(*[F.col(c).alias(f"i_{c}") for c in [key, *attrs]])
+    p = open_rows.select(*[F.col(c).alias(f"p_{c}") for c in out_cols], F.lit(True).alias("_in_history"))
+    i = delivery.select(*[F.col(c).alias(f"i_{c}") for c in [key, *attrs]], F.lit(True).alias("_in_delivery"))
     j = p.join(i, F.col(f"p_{key}") == F.col(f"i_{key}"), "full_outer")
 
-    has_p = F.col(f"p_{key}").isNotNull()
-    has_i = F.col(f"i_{key}").isNotNull()
+    has_p = F.col("_in_history").isNotNull()
+    has_i = F.col("_in_delivery").isNotNull()
     same = F.struct(*[F.col(f"p_{c}") for c in checked]).eqNullSafe(F.struct(*[F.col(f"i_{c}") for c in checked]))
     changed = has_p & has_i & ~same
 

@@ -41,21 +41,22 @@ def _commits_path(history_dir: str) -> str:
     return os.path.join(history_dir, "_commits")
 
 
-def committed_batches(spark: SparkSession, history_dir: str) -> list[int]:
-    """Batch ids whose history folder was written completely (the commit table)."""
+def latest_batch(spark: SparkSession, history_dir: str, before_batch: int | None = None) -> int | None:
+    """The last batch (below ``before_batch``) whose history folder was written completely."""
     try:
-        rows = spark.read.parquet(_commits_path(history_dir)).select("batch").distinct().collect()
+        batches = spark.read.parquet(_commits_path(history_dir)).select("batch")
     except AnalysisException:  # no batch committed yet
-        return []
-    return sorted(int(r["batch"]) for r in rows)  # one row per batch: bounded by the number of runs
+        return None
+    if before_batch is not None:
+        batches = batches.where(F.col("batch") < before_batch)
+    return batches.agg(F.max("batch")).first()[0]
 
 
 def read_history(spark: SparkSession, history_dir: str, before_batch: int | None = None) -> DataFrame | None:
     """Full type-2 history as of the latest complete batch (or the last one before ``before_batch``)."""
-    batches = [b for b in committed_batches(spark, history_dir) if before_batch is None or b < before_batch]
-    if not batches:
+    latest = latest_batch(spark, history_dir, before_batch)
+    if latest is None:
         return None
-    latest = batches[-1]
     df = spark.read.parquet(history_dir)
     keep = (F.col("batch") <= latest) & (
         (F.col("state") == "closed") | ((F.col("state") == "open") & (F.col("batch") == latest))
@@ -91,22 +92,28 @@ def start_snapshot_stream(
     incoming_dir: str,
     history_dir: str,
     checkpoint_location: str,
+    batch_ts: Callable[[int], dt.datetime],
     schema: T.StructType = RAW_SCHEMAS["raw_customers"],
     key: str = "customer_id",
-    batch_ts: Callable[[int], dt.datetime] | None = None,
     available_now: bool = True,
+    files_per_delivery: int | None = None,
 ) -> StreamingQuery:
     """Start the stream; each micro-batch is merged into ``history_dir``.
 
-    ``batch_ts(batch_id)`` gives the validity timestamp of a batch (default:
-    the wall clock when the batch runs, like a scheduled snapshot).
+    ``batch_ts(batch_id)`` gives the validity timestamp of a batch, the same
+    one whenever the batch is run again.  With ``files_per_delivery`` (the
+    number of files that the producer writes for each delivery) deliveries that
+    wait together are still one batch each; without it all waiting files are
+    one delivery, and a key in two of them fails the batch.
     ``checkpoint_location`` must be on shared storage on a cluster.
     """
-    stamp = batch_ts or (lambda _batch_id: dt.datetime.now().replace(microsecond=0))
-    stream = conform(spark.readStream.schema(schema).parquet(incoming_dir), schema)
+    reader = spark.readStream.schema(schema)
+    if files_per_delivery:
+        reader = reader.option("maxFilesPerTrigger", files_per_delivery)
+    stream = conform(reader.parquet(incoming_dir), schema)
 
     def each_batch(batch_df: DataFrame, batch_id: int) -> None:
-        apply_delivery(batch_df, history_dir, batch_id, stamp(batch_id), key)
+        apply_delivery(batch_df, history_dir, batch_id, batch_ts(batch_id), key)
 
     writer = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

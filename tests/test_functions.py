@@ -135,3 +135,9 @@ def test_date_dimension_overlapping_ranges_deduplicated(spark):
         [(d("2024-01-01"), d("2024-01-03")), (d("2024-01-02"), d("2024-01-04"))], "s date, e date"
     )
     assert date_dimension(bounds, "s", "e").count() == 4
+
+
+def test_currency_labels_without_a_finite_amount(spark):
+    df = spark.createDataFrame([(1, float("nan")), (2, float("inf")), (3, float("-inf")), (4, None)], "id int, v double")
+    got = {r.id: r.label for r in df.select("id", currency_label("v").alias("label")).collect()}
+    assert got == {1: "€nan", 2: "€infB", 3: "€-inf", 4: "€0"}

@@ -126,3 +126,21 @@ def test_second_load_mapping_on_driver_tables(spark):
     closed = snap.where(F.col("valid_to").isNotNull())
     # only the city (id % 10 == 0) and segment (id % 10 == 2) changes close a row
     assert closed.where(~(F.col("customer_id") % 10).isin(0, 2)).count() == 0
+
+
+def test_null_and_duplicate_keys_fail_every_delivery(spark):
+    schema = "id long, name string"
+    good = spark.createDataFrame([(1, "a")], schema)
+    history = scd2.snapshot(good, "id", "2024-01-01")
+    for rows, said in (([(1, "a"), (None, "x")], "null snapshot key"), ([(1, "a"), (1, "b")], "duplicate snapshot key")):
+        bad = spark.createDataFrame(rows, schema)
+        for df in (scd2.snapshot(bad, "id", "2024-01-01"), scd2.snapshot(bad, "id", "2024-02-01", history)):
+            with pytest.raises(Exception, match=said):
+                df.collect()
+
+
+def test_open_rows_without_a_key_stay(spark):
+    history = scd2.snapshot(spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string"), "id", "2024-01-01")
+    history = history.withColumn("id", F.when(F.col("id") == 2, F.lit(None)).otherwise(F.col("id")))
+    merged = scd2.snapshot(spark.createDataFrame([(1, "a")], "id long, name string"), "id", "2024-02-01", history)
+    assert sorted(r.name for r in merged.collect()) == ["a", "b"]

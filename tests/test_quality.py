@@ -62,3 +62,10 @@ def test_warehouse_checks_pass_on_driver_tables(spark):
 
     rows = quality.enforce(warehouse(spark, SF_SMALL).quality_report())
     assert len(rows) == 12
+
+
+def test_an_empty_model_passes(spark):
+    empty = spark.createDataFrame([], "id long, status string")
+    checks = [quality.Check("unique", "m", "id"), quality.Check("not_null", "m", "id"), quality.Check("accepted_values", "m", "status", {"values": ["a"]})]
+    rows = quality.enforce(quality.quality_report({"m": empty}, checks))
+    assert [(r["failures"], r["passed"]) for r in rows] == [(0, True)] * 3
