@@ -11,17 +11,22 @@ explicitly:
    so there are at most ``partitions`` hot keys: that list has a proven size
    bound, is read by the driver and broadcast;
 3. each fact row of a hot key gets one of ``ceil(count / share)`` salt
-   values, the lookup rows of hot keys are copied once per salt value, and
+   values from a hash of the row (rows without a key get one too), the lookup rows of hot keys are copied once per salt value, and
    the join runs on (key, salt).  Cold keys keep salt 0.
 
 Without hot keys, or when the planner broadcasts the lookup anyway (no
 shuffle, so no hot task), the plain join is returned.
 
-Every row is kept and the result equals the plain join.
+Every row is kept and the result equals the plain join.  Rows that are equal in
+every column share a salt value.
 """
 
 from __future__ import annotations
 
+import contextlib
+import io
+import re
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,13 +36,26 @@ SALT = "_salt"
 BUCKETS = "_buckets"
 
 
+_UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "kib": 2**10, "m": 2**20, "mb": 2**20, "mib": 2**20, "g": 2**30, "gb": 2**30, "gib": 2**30, "t": 2**40, "tb": 2**40, "tib": 2**40}
+_UNITS |= {"eib": 2**60, "pib": 2**50}
+
+
+def _bytes(text: str) -> float:
+    number, unit = re.fullmatch(r"\s*(-?[0-9.]+(?:E[+-]?[0-9]+)?)\s*([a-zA-Z]*)\s*", text).groups()
+    return float(number) * _UNITS[unit.lower()]
+
+
+def planned_bytes(df: DataFrame) -> float:
+    """The planner's size estimate, read from the plan that ``explain`` prints."""
+    with contextlib.redirect_stdout(io.StringIO()) as out:
+        df.explain(mode="cost")
+    found = re.search(r"Statistics\(sizeInBytes=([^,)]+)", out.getvalue())
+    return _bytes(found[1]) if found else float("inf")
+
+
 def _planner_broadcasts(df: DataFrame) -> bool:
     """Whether the planner's own size estimate puts ``df`` under the broadcast threshold."""
-    limit = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-    if limit < 0:
-        return False
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size <= limit
+    return planned_bytes(df) <= _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
 
 
 def salted_lookup_join(
@@ -46,7 +64,6 @@ def salted_lookup_join(
     key: str,
     how: str = "left",
     partitions: int | None = None,
-    seed: int = 17,
 ) -> DataFrame:
     """``facts.join(lookup, key, how)`` with hot keys spread over several tasks.
 
@@ -55,6 +72,8 @@ def salted_lookup_join(
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
+    if _planner_broadcasts(lookup):  # no shuffle, so no hot task
+        return facts.join(lookup, key, how)
     spark = facts.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # one scan of the key column; the per-key counts (one row per key) are
@@ -69,16 +88,18 @@ def salted_lookup_join(
         ).collect()
     finally:
         counts.unpersist()
-    if not hot_rows or _planner_broadcasts(lookup):
-        # no hot key, or a broadcast join (no shuffle, so no hot task)
+    if not hot_rows:
         return facts.join(lookup, key, how)
     schema = T.StructType([facts.schema[key], T.StructField(BUCKETS, T.IntegerType())])
-    hot = F.broadcast(spark.createDataFrame(hot_rows, schema))
+    hot = F.broadcast(spark.createDataFrame([r for r in hot_rows if r[key] is not None], schema))
+    # salted by the row itself, so that a task that runs again deals its rows alike
+    row = F.xxhash64(*[F.col(c) for c in facts.columns])
     salted_facts = facts.join(hot, key, "left").withColumn(
         SALT,
-        F.when(F.col(BUCKETS).isNull(), F.lit(0)).otherwise(
-            F.floor(F.rand(seed) * F.col(BUCKETS)).cast("int")
-        ),
+        F.when(F.col(key).isNull(), F.pmod(row, F.lit(parts)))  # matches nothing, but must not gather in one task
+        .when(F.col(BUCKETS).isNull(), F.lit(0))
+        .otherwise(F.pmod(row, F.col(BUCKETS)))
+        .cast("int"),
     )
     salted_lookup = lookup.join(hot, key, "left").withColumn(
         SALT,

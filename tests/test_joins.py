@@ -67,7 +67,7 @@ def test_hot_key_lands_in_several_join_tasks(spark):
 
 
 def _check_spread(spark):
-    facts = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.lit(1)).otherwise(F.col("id")).alias("k"))
+    facts = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.lit(1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("row"))
     lookup = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
     joined = salted_lookup_join(facts, lookup, "k", "inner", partitions=32)
     spread = (
@@ -79,3 +79,28 @@ def _check_spread(spark):
     assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
     assert joined.count() == 4000
     assert spread > 1
+
+
+def test_rows_keep_their_salt_and_null_keys_spread(spark):
+    facts = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("id")).cast("long").alias("k"), F.col("id").alias("row"))
+    lookup = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    with _conf(spark, NO_BROADCAST):
+        placed = []
+        for order in ("row", F.desc("row")):  # the same rows in another order
+            joined = salted_lookup_join(facts.orderBy(order), lookup, "k", "left", partitions=32)
+            placed.append({r.row: (r.p, r.v) for r in joined.select("row", "v", F.spark_partition_id().alias("p")).collect()})
+    assert placed[0] == placed[1] and len(placed[0]) == 4000
+    assert len({p for row, (p, _) in placed[0].items() if row % 2 == 0}) > 1
+    assert all(v is None if row % 2 == 0 else v == row * 10 for row, (_, v) in placed[0].items())
+
+
+def test_no_job_before_a_broadcast_lookup(spark):
+    facts = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
+    lookup = spark.range(3).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lookup", "lookup")
+    try:
+        salted_lookup_join(facts, lookup, "k", "left")
+        assert list(tracker.getJobIdsForGroup("lookup")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
