@@ -1,10 +1,12 @@
 """Cohort retention, matrices, decay curves and drill-down.
 
-Plan of ``cohort_retention`` (two shuffles, both skew-safe):
+Plan of ``cohort_retention`` (skew-safe by construction):
 
-1. facts in **W** -> distinct (customer, activity month).  The distinct is a
-   hash aggregate with map-side combine, so a customer holding a third of
-   all orders arrives at the shuffle as at most one row per month and task.
+1. facts in the dates of **W** -> distinct (customer, activity month).  The
+   distinct is a hash aggregate with map-side combine, so a customer holding a
+   third of all orders arrives at the shuffle as at most one row per month and
+   task.  Only then the customers of **W** are kept by a semi join, whose
+   inputs hold at most one row per customer and month.
 2. window ``min(activity_month)`` per customer gives the cohort month.  The
    window partition of a customer is bounded by the number of calendar
    months, never by order volume.
@@ -26,9 +28,8 @@ from pyspark.sql import functions as F
 
 from martlake.functions.columns import safe_ratio
 from martlake.functions.dates import as_date, month_distance, month_label, month_start
-from martlake.operators.filters import Window, current_dimension, facts_in_window, first_cohorts, in_month
+from martlake.operators.filters import Window, current_dimension, date_window, first_cohorts, in_month
 from martlake.operators.ordering import sort_bounded
-from martlake.session import cut_lineage
 
 # Fixed value: month indexes counted as retained users (inclusive); larger
 # indexes keep their cell with 0 users.
@@ -37,9 +38,15 @@ MAX_MONTH_INDEX = 60
 COHORT_COLUMNS = ["cohort", "cohort_month", "month_index", "users", "cohort_size", "retention_rate"]
 
 
-def customer_months(facts: DataFrame) -> DataFrame:
-    """Distinct (customer, activity month) pairs with each customer's cohort month."""
+def customer_months(facts: DataFrame, customers: DataFrame | None = None) -> DataFrame:
+    """Distinct (customer, activity month) pairs with each customer's cohort month.
+
+    ``customers`` restricts them to the ids in its ``customer_id``; several
+    versions of a customer count once, as distinct customers are counted.
+    """
     activity = facts.select("customer_id", month_start("order_date").alias("activity_month")).distinct()
+    if customers is not None:
+        activity = activity.join(customers.select("customer_id"), "customer_id", "left_semi")
     return activity.withColumn("cohort_month", F.min("activity_month").over(W.partitionBy("customer_id")))
 
 
@@ -51,7 +58,8 @@ def cohort_counts(
     max_index: int = MAX_MONTH_INDEX,
 ) -> DataFrame:
     """Users per (cohort, month index) (G8); index > ``max_index`` keeps 0 users."""
-    cm = customer_months(facts_in_window(fct, dim, window, versions))
+    facts = fct.where(date_window("order_date", window.start, window.end))
+    cm = customer_months(facts, current_dimension(dim, window.cities, versions))
     idx = month_distance("cohort_month", "activity_month")
     cells = cm.groupBy("cohort_month", idx.cast("long").alias("month_index")).agg(
         F.count(F.when(idx.between(0, max_index), F.lit(1))).alias("users")
@@ -92,32 +100,26 @@ def cohort_size(cohort: DataFrame) -> DataFrame:
     )
 
 
-def _month_indexes(cohort: DataFrame) -> list[int]:
-    # Bounded: one value per calendar month of the window.
-    return sorted(int(r[0]) for r in cohort.select("month_index").distinct().collect())
+def month_indexes(window: Window) -> range:
+    """The month indexes that a window can hold: 0 up to its length in months."""
+    return range((window.end.year - window.start.year) * 12 + window.end.month - window.start.month + 1)
 
 
-def _pivot(cohort: DataFrame, value_col: str, fill, cast: str) -> DataFrame:
-    # The cell table is read twice (pivot values, then the pivot itself); it is
-    # small (months x months), so it is checkpointed to the shared folder once
-    # instead of recomputing the fact scan and both shuffles.
-    cohort = cut_lineage(cohort.select("cohort", "month_index", value_col))
-    indexes = _month_indexes(cohort)
-    wide = cohort.groupBy("cohort").pivot("month_index", indexes).agg(F.first(value_col))
-    cols = [F.col("cohort")] + [
-        F.coalesce(F.col(str(i)).cast(cast), F.lit(fill).cast(cast)).alias(f"m{i}") for i in indexes
-    ]
-    return wide.select(*cols)
+def _wide(cohort: DataFrame, window: Window, value_col: str, fill, cast: str) -> DataFrame:
+    # a cohort has one row per month index, so each column is the value of that row
+    value = F.col(value_col).cast(cast)
+    columns = [F.coalesce(F.max(F.when(F.col("month_index") == i, value)), F.lit(fill).cast(cast)).alias(f"m{i}") for i in month_indexes(window)]
+    return cohort.groupBy("cohort").agg(*columns)
 
 
-def cohort_matrix(cohort: DataFrame) -> DataFrame:
-    """Retention rate pivoted to cohort x month index, gaps 0 (G13); columns ``m<i>``."""
-    return _pivot(cohort, "retention_rate", 0.0, "double")
+def cohort_matrix(cohort: DataFrame, window: Window) -> DataFrame:
+    """Retention rate as cohort x month index, gaps 0 (G13); columns ``m<i>`` for all months of the window."""
+    return _wide(cohort, window, "retention_rate", 0.0, "double")
 
 
-def cohort_users_matrix(cohort: DataFrame) -> DataFrame:
-    """User counts pivoted to cohort x month index, gaps 0."""
-    return _pivot(cohort, "users", 0, "long")
+def cohort_users_matrix(cohort: DataFrame, window: Window) -> DataFrame:
+    """User counts as cohort x month index, gaps 0."""
+    return _wide(cohort, window, "users", 0, "long")
 
 
 def decay_curves(cohort: DataFrame, n: int = 6) -> DataFrame:
@@ -151,16 +153,11 @@ def cohort_drilldown(
     cohort_date = as_date(f"{cohort_label}-01")
     target = _add_months_py(cohort_date, month_index)
     keys = current_dimension(dim, cities if window is None else (cities or window.cities), versions)
-    facts = fct.join(keys.select("customer_id"), "customer_id", "left_semi")
-    if window is not None:
-        facts = facts.where(F.col("order_date").between(F.lit(window.start), F.lit(window.end)))
+    facts = fct if window is None else fct.where(date_window("order_date", window.start, window.end))
+    # customers are made distinct before they are joined, so no join input holds a hot customer
     candidates = facts.where(in_month("order_date", cohort_date)).select("customer_id").distinct()
-    earlier = (
-        facts.where(F.col("order_date") < F.lit(cohort_date))
-        .join(candidates, "customer_id", "left_semi")
-        .select("customer_id")
-        .distinct()
-    )
+    candidates = candidates.join(keys.select("customer_id"), "customer_id", "left_semi")
+    earlier = facts.where(F.col("order_date") < F.lit(cohort_date)).select("customer_id").distinct()
     members = candidates.join(earlier, "customer_id", "left_anti")
     return (
         fct.where(in_month("order_date", target))

@@ -11,6 +11,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,20 +23,22 @@ from martlake.functions.dates import add_months, as_date
 
 @dataclass(frozen=True)
 class Window:
-    """Analysis window: inclusive dates and an optional city list."""
+    """Analysis window: inclusive dates (None: no bound) and an optional city list."""
 
-    start: dt.date
-    end: dt.date
+    start: dt.date | None
+    end: dt.date | None
     cities: tuple[str, ...] = field(default_factory=tuple)
 
     @classmethod
     def of(cls, start, end, cities: Sequence[str] | None = None) -> "Window":
-        return cls(as_date(start), as_date(end), tuple(cities or ()))
+        return cls(start and as_date(start), end and as_date(end), tuple(cities or ()))
 
 
 def date_window(col: Column | str, start, end) -> Column:
-    """Inclusive date range (F1)."""
-    return as_col(col).between(F.lit(as_date(start)), F.lit(as_date(end)))
+    """Inclusive date range (F1); a bound that is None is open."""
+    bounds = [as_col(col) >= F.lit(as_date(start))] if start else []
+    bounds += [as_col(col) <= F.lit(as_date(end))] if end else []
+    return reduce(and_, bounds) if bounds else F.lit(True)
 
 
 def city_filter(col: Column | str, cities: Sequence[str] | None) -> Column | None:

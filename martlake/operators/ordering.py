@@ -3,10 +3,10 @@
 Results such as a monthly trend, a weekly series or a cohort table have one
 row per calendar month, week or cohort cell: their size is bounded by the
 calendar, not by the data volume.  For those, a global ``orderBy`` would add a
-range-partitioning exchange plus a sampling job; merging the already
-aggregated partitions into one and sorting there gives the same total order
-for a fraction of the cost.  Never use this for results that grow with the
-input.
+range-partitioning exchange plus a sampling job; an exchange of the few
+aggregated rows to one partition and a sort there give the same total order.
+The exchange keeps the aggregation before it parallel.  Never use this for
+results that grow with the input.
 """
 
 from __future__ import annotations
@@ -16,4 +16,4 @@ from pyspark.sql import Column, DataFrame
 
 def sort_bounded(df: DataFrame, *cols: Column | str) -> DataFrame:
     """Total order of a calendar-bounded result inside one partition."""
-    return df.coalesce(1).sortWithinPartitions(*cols)
+    return df.repartition(1).sortWithinPartitions(*cols)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from martlake.functions.dates import days_between, window_split_day
 from martlake.functions.labels import percent_label
-from martlake.operators.filters import Window, facts_in_window
+from martlake.operators.filters import Window, current_dimension, date_window
 from martlake.session import cut_lineage
 
 PERIODS = ("a", "b")
@@ -46,7 +46,7 @@ def rfm_wide(
     customer the epoch as last order (D6); ``missing="end_date"`` gives 0 days.
     """
     split = window_split_day(window.start, window.end)
-    f = facts_in_window(fct, dim, window, versions)
+    f = fct.where(date_window("order_date", window.start, window.end))
     d = F.col("order_date")
     in_period = {"a": d <= F.lit(split), "b": d >= F.lit(split)}
     aggs = []
@@ -56,7 +56,17 @@ def rfm_wide(
             F.count(F.when(cond, F.col("order_id"))).alias(f"frequency_{p}"),
             F.sum(F.when(cond, F.col("revenue_euro"))).alias(f"_monetary_{p}"),
         ]
+    # aggregated before the customers are joined: no input of the join holds a hot customer
     agg = f.groupBy("customer_id").agg(*aggs)
+    chosen = current_dimension(dim, window.cities, versions).select("customer_id")
+    if versions == "current":
+        agg = agg.join(chosen, "customer_id", "left_semi")
+    else:  # each version of a customer repeats the orders
+        times = chosen.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_times"))
+        agg = agg.join(times, "customer_id")
+        for p in PERIODS:
+            agg = agg.withColumn(f"frequency_{p}", F.col(f"frequency_{p}") * F.col("_times"))
+            agg = agg.withColumn(f"_monetary_{p}", F.col(f"_monetary_{p}") * F.col("_times").cast("decimal(10,0)"))
     end = F.lit(window.end)
     cols = [F.col("customer_id")]
     for p in PERIODS:
@@ -113,7 +123,7 @@ def scaler_stats(wide: DataFrame) -> dict[str, tuple[float, float]]:
     return stats
 
 
-def rfm_scaled(wide: DataFrame, digits: int | None = 6) -> DataFrame:
+def rfm_scaled(wide: DataFrame, digits: int | None = None) -> DataFrame:
     """Standardised features ``z_<feature>_<period>`` added to the wide frame (A3)."""
     stats = scaler_stats(wide)
     out = wide
@@ -125,7 +135,7 @@ def rfm_scaled(wide: DataFrame, digits: int | None = 6) -> DataFrame:
     return out
 
 
-def rfm_clusters(scaled: DataFrame, k: int = 4, seed: int = 42, max_iter: int = 20) -> DataFrame:
+def rfm_clusters(scaled: DataFrame, k: int = 4, seed: int = 42, max_iter: int = 300) -> DataFrame:
     """K-means on both periods pooled, predicted per period.
 
     Output: ``customer_id, cluster_a, cluster_b``.  Cluster numbers are made
@@ -133,6 +143,7 @@ def rfm_clusters(scaled: DataFrame, k: int = 4, seed: int = 42, max_iter: int =
     ascending.  The training rows are hash-partitioned by customer and sorted
     so k-means|| sees the same partitions on every run, and they are
     checkpointed to the shared checkpoint folder before the iterations start.
+    A fit that ``max_iter`` rounds do not bring to rest is an error.
     """
     if not 2 <= k <= 8:
         raise ValueError("k must be in 2..8")
@@ -155,6 +166,8 @@ def rfm_clusters(scaled: DataFrame, k: int = 4, seed: int = 42, max_iter: int =
     feats = feats.select("customer_id", "features_a", "features_b")
     train = feats.select(F.explode(F.array("features_a", "features_b")).alias("features"))
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(train)
+    if model.summary.numIter >= max_iter:
+        raise RuntimeError(f"k-means did not converge within {max_iter} rounds")
 
     centers = model.clusterCenters()  # k x 3, bounded
     order = sorted(range(len(centers)), key=lambda i: (-centers[i][2], centers[i][0], i))

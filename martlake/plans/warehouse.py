@@ -16,7 +16,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.functions.dates import as_date
 from martlake.operators import models, quality, scd2
 from martlake.operators.filters import Window, default_cities
 from martlake.operators.metrics import date_bounds
@@ -206,7 +205,8 @@ def resolve_view_params(
     ``start``/``end`` default to the fact's first/last order date (G11);
     ``cities`` keeps the requested ones that exist, else the first five by
     name (F7).  Only bounded results reach the driver: one row of bounds and
-    at most the requested/five city names.
+    at most the requested/five city names.  An empty fact leaves bounds that
+    are not given open (None).
     """
     params = dict(params or {})
     start, end = params.get("start"), params.get("end")
@@ -218,4 +218,4 @@ def resolve_view_params(
     if isinstance(requested, str):
         requested = [requested]
     cities = [r["city"] for r in default_cities(dim, requested).collect()]
-    return Window(as_date(start), as_date(end), tuple(cities))
+    return Window.of(start, end, cities)

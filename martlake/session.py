@@ -85,6 +85,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        master = spark.sparkContext.master
+        if not master.startswith("local"):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         current = tempfile.mkdtemp(prefix="martlake-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", current)

@@ -138,24 +138,28 @@ def read_seed_csv(spark: SparkSession, path: str, schema: T.StructType = DATE_DI
     return spark.read.csv(path, header=True, schema=schema, enforceSchema=False)
 
 
-def export_csv(df: DataFrame, path: str) -> bool:
+def export_csv(df: DataFrame, path: str) -> None:
     """CSV export with a header row and no index.
 
-    Nothing is written for an empty result.  Files are written by the
-    executors (one per partition); returns whether anything was written.
+    The plan runs once; files are written by the executors (one per
+    partition).  An empty result leaves a file with the header alone.
     """
-    if df.isEmpty():
-        return False
     df.write.mode("overwrite").option("header", True).csv(path)
-    return True
 
 
-def export_all(frames: Mapping[str, DataFrame | None], directory: str) -> dict[str, bool]:
-    """Export several results into ``directory/<name>``.
+def export_all(
+    frames: Mapping[str, DataFrame | None], directory: str, schemas: Mapping[str, T.StructType] | None = None
+) -> list[str]:
+    """Export several results into ``directory/<name>`` (S10); returns the names written.
 
-    A missing input (``None``) is exported as nothing, like an empty frame.
+    A missing input (``None``) becomes an empty dataset of its schema in
+    ``schemas``; without one it has no columns to write and is left out.
     """
-    written = {}
+    written = []
     for name, df in frames.items():
-        written[name] = export_csv(df, os.path.join(directory, name)) if df is not None else False
+        if df is None and schemas and name in schemas:
+            df = SparkSession.active().createDataFrame([], schemas[name])
+        if df is not None:
+            export_csv(df, os.path.join(directory, name))
+            written.append(name)
     return written

@@ -86,6 +86,10 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(df, RAW_SCHEMAS["raw_order_items"])
 
 
+# the driver's tables that the mapping reads
+TABLES = ("customer", "nation", "part", "orders", "lineitem")
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         "raw_customers": raw_customers(spark, sf_dir),

@@ -51,11 +51,52 @@ def test_seed_csv_scan(spark, scratch):
 def test_export_csv_and_export_all(spark, scratch):
     df = spark.createDataFrame([(1, "a")], "x long, y string")
     empty = df.where("x > 5")
-    written = tables.export_all({"one": df, "none": empty, "missing": None}, scratch)
-    assert written == {"one": True, "none": False, "missing": False}
+    written = tables.export_all({"one": df, "none": empty, "missing": None, "unknown": None}, scratch, {"missing": df.schema})
+    assert written == ["one", "none", "missing"]
     back = spark.read.csv(os.path.join(scratch, "one"), header=True)
     assert back.columns == ["x", "y"] and back.count() == 1
-    assert not os.path.exists(os.path.join(scratch, "none"))
+    for name in ("none", "missing"):  # a header and no rows
+        back = spark.read.csv(os.path.join(scratch, name), header=True)
+        assert back.columns == ["x", "y"] and back.count() == 0
+
+
+def test_marts_follow_their_input(spark, scratch):
+    from martlake.plans import catalog
+
+    for name in testdata.TABLES:
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").write.parquet(os.path.join(scratch, f"{name}.parquet"))
+    first = catalog.marts(spark, scratch)
+    assert catalog.marts(spark, scratch).path == first.path
+    n = first.fct_orders.count()
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    orders.limit(1).withColumn("o_orderkey", F.lit(10**9).cast(orders.schema["o_orderkey"].dataType)).write.mode("append").parquet(os.path.join(scratch, "orders.parquet"))
+    catalog.warehouse.cache_clear()
+    second = catalog.marts(spark, scratch)
+    assert second.path != first.path and second.fct_orders.count() == n + 1
+
+
+def test_params_of_an_empty_fact_are_open(spark):
+    from martlake.operators import metrics
+    from martlake.plans.catalog import warehouse
+
+    wh = warehouse(spark, SF_SMALL)
+    win = resolve_view_params(wh.fct_orders.limit(0), wh.dim_customers)
+    assert win.start is None and win.end is None and len(win.cities) == 5
+    assert metrics.kpi(wh.fct_orders, wh.dim_customers, win).first().orders > 0
+
+
+def test_checkpoint_folder_must_be_set_off_local():
+    from unittest import mock
+
+    from martlake.session import ensure_checkpoint_dir
+
+    cluster = mock.MagicMock()
+    cluster.conf.get.return_value = None
+    cluster.sparkContext.getConf().get.return_value = None
+    cluster.sparkContext.getCheckpointDir.return_value = None
+    cluster.sparkContext.master = "yarn"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(cluster)
 
 
 def test_build_warehouse_end_to_end(spark, scratch):

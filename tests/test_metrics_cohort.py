@@ -78,9 +78,14 @@ def test_cohort_invariants_on_driver_tables(spark):
     # cohort sizes add up to the number of active customers
     total = zero.agg(F.sum("users")).first()[0]
     assert total == metrics.kpi(wh.fct_orders, wh.dim_customers, W_ALL).first().active_customers
-    m = cohort.cohort_matrix(c)
+    span = Window.of("1995-01-01", "1996-12-31")
+    c = cohort.cohort_retention(wh.fct_orders, wh.dim_customers, span)
+    m = cohort.cohort_matrix(c, span)
     assert m.count() == c.select("cohort").distinct().count()
-    assert "m0" in m.columns
+    assert m.columns == ["cohort"] + [f"m{i}" for i in range(24)]
+    cells = {(r.cohort, r.month_index): r.retention_rate for r in c.collect()}
+    for r in m.collect():
+        assert [r[f"m{i}"] for i in range(24)] == [cells.get((r.cohort, i), 0.0) for i in range(24)]
 
 
 def test_first_cohorts_keeps_oldest(spark):

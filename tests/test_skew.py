@@ -97,12 +97,36 @@ def test_hot_customer_really_holds_a_third(skew_session, skewed_dir):
     assert top >= o.count() // 3
 
 
-@pytest.mark.parametrize("name", ["cohort_retention_all", "rfm_aligned", "kpi", "top_products_all"])
-def test_hot_customer_join_is_split(skew_session, skewed_dir, name):
-    # The semi join on customer feeds the per-customer step; AQE must still
-    # split the hot customer's partition (forced skew handling) instead of
-    # running a third of the fact in one task.
-    df = queries()[name](skew_session, skewed_dir)
+def _join_inputs(df):
+    """Rows of each input partition of the sort-merge joins in the executed plan of ``df``."""
     df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin(skew=true)" in plan
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["kpi", "top_products_all"])
+def test_hot_customer_join_is_split(skew_session, skewed_dir, name):
+    assert "SortMergeJoin(skew=true)" in _join_inputs(queries()[name](skew_session, skewed_dir))
+
+
+@pytest.mark.parametrize("name", ["cohort_retention_all", "rfm_aligned", "cohort_drilldown", "cohort_size", "rfm_aligned_end_date"])
+def test_keyed_steps_aggregate_before_they_join(skew_session, skewed_dir, name):
+    # Without forced skew handling (Spark's default) no join may see a hot
+    # customer: each side of the customer join is aggregated by customer first.
+    old = skew_session.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin", "false")
+    skew_session.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "false")
+    try:
+        df = queries()[name](skew_session, skewed_dir)
+        con = duckdb.connect()
+        for t in TABLES:
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{skewed_dir}/{t}.parquet')")
+        res = con.sql(oracle_sql()[name])
+        assert rows_canon(df.columns, [tuple(r) for r in df.collect()]) == rows_canon(res.columns, res.fetchall())
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        lines = plan.splitlines()
+        depth = lambda line: len(line) - len(line.lstrip(" :+-|"))
+        for k, line in enumerate(lines):
+            if "Join LeftSemi, (customer_id" in line and not name.startswith("cohort_drilldown"):
+                left = next(x for x in lines[k + 1 :] if depth(x) > depth(line) and "Project" not in x)
+                assert "Aggregate" in left, plan
+    finally:
+        skew_session.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", old)
