@@ -5,26 +5,33 @@ city x category) are fitted in parallel; a single series is the special case
 of one key.  A series is an aggregate (one row per month or week), so its size
 is bounded by the calendar, never by the order volume.
 
-* ``linear_forecast`` is fully native: ordinary least squares through
-  ``regr_slope`` / ``regr_intercept`` per key, residual standard deviation
-  through a keyed join back to the series, future months via
-  ``explode(sequence(1, h))``.
-* ``holt_winters_forecast`` needs a recursive fit, which no built-in
-  expresses; it runs in ``groupBy(key).applyInPandas`` with numpy.
+* ``linear_forecast`` aggregates each series once: ordinary least squares
+  through ``regr_slope`` / ``regr_intercept`` and the points as an array, over
+  which the residuals are folded.
+* ``holt_winters_fixed`` smooths each series with given parameters: a fold over
+  the series' array in JVM expressions.
+* ``holt_winters_forecast`` searches the parameters first (numpy, one task for
+  each series and starting value, so that a single series spreads too) and then
+  smooths with ``holt_winters_fixed``.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlake.functions.dates import day_ordinal
 
+# The parameter search runs on workers that need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Band width in standard errors (about 95 %), default horizons,
 # the minimum history lengths and the automatic season choice thresholds.
 Z_95 = 1.96
@@ -55,7 +62,7 @@ def linear_forecast(
     keys: Sequence[str] = (),
     horizon: int = LINEAR_HORIZON,
     z: float = Z_95,
-    digits: int = 2,
+    digits: int | None = None,
 ) -> DataFrame:
     """OLS of the value on the day ordinal, ``horizon`` months ahead.
 
@@ -63,6 +70,10 @@ def linear_forecast(
     (``Actual`` rows with null bounds, then ``Forecast`` rows).  A series with
     fewer than 3 points gets no forecast rows.  The band is
     ``z x`` the sample standard deviation (ddof 1) of the in-sample residuals.
+    ``digits`` rounds the three values.
+
+    The series is bounded by the calendar: one aggregation collects it beside
+    slope and intercept, and everything else is an expression on that row.
     """
     series, keys = _with_key(trend, keys)
     series = series.select(
@@ -71,42 +82,51 @@ def linear_forecast(
         F.col(value_col).cast("double").alias("y"),
         day_ordinal(F.col(time_col)).cast("double").alias("x"),
     )
-    fit = (
-        series.groupBy(*keys)
-        .agg(
-            F.regr_slope("y", "x").alias("slope"),
-            F.regr_intercept("y", "x").alias("intercept"),
-            F.count(F.lit(1)).alias("n"),
-            F.max("time").alias("last_time"),
-        )
-        .where(F.col("n") >= LINEAR_MIN_POINTS)
-    )
-    resid = (
-        series.join(fit, keys)
-        .groupBy(*keys)
-        .agg(F.stddev_samp(F.col("y") - (F.col("slope") * F.col("x") + F.col("intercept"))).alias("se"))
+    fit = series.groupBy(*keys).agg(
+        F.regr_slope("y", "x").alias("slope"),
+        F.regr_intercept("y", "x").alias("intercept"),
+        F.max("time").alias("last_time"),
+        F.collect_list(F.struct("time", "y", "x")).alias("points"),
     )
-    future = fit.join(resid, keys).select(
-        *keys, "slope", "intercept", "se", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"), "last_time"
+    off = F.transform("points", lambda p: p["y"] - (F.col("slope") * p["x"] + F.col("intercept")))
+    fit = fit.withColumn("off", F.filter(off, lambda r: r.isNotNull()))
+    fit = fit.withColumn("se", _spread(F.col("off"), 1))
+    value = F.col("slope") * day_ordinal("time").cast("double") + F.col("intercept")
+    actual = F.transform("points", lambda p: F.struct(p["time"].alias("time"), p["y"].alias("y"), F.lit(0).alias("h")))
+    ahead = F.transform(
+        F.sequence(F.lit(1), F.lit(horizon)),
+        lambda h: F.struct(F.add_months("last_time", h).alias("time"), F.lit(None).cast("double").alias("y"), h.alias("h")),
     )
-    future = future.select(
-        *keys,
-        F.add_months("last_time", F.col("h")).alias("time"),
-        "slope",
-        "intercept",
-        "se",
-    ).withColumn("revenue", F.col("slope") * day_ordinal("time").cast("double") + F.col("intercept"))
+    rows = F.concat(actual, F.when(F.size("points") >= LINEAR_MIN_POINTS, ahead).otherwise(F.slice(ahead, 1, 0)))
+    out = fit.select(*keys, "slope", "intercept", "se", F.explode(rows).alias("r")).select(*keys, "slope", "intercept", "se", "r.*")
+    out = out.withColumn("revenue", F.when(F.col("h") > 0, value).otherwise(F.col("y")))
     lower, upper = normal_band("revenue", "se", z)
-    forecast = future.select(
+    shown = lambda c: c if digits is None else F.round(c, digits)
+    return out.select(
         *keys,
         "time",
-        F.round("revenue", digits).alias("revenue"),
-        F.round(lower, digits).alias("lower"),
-        F.round(upper, digits).alias("upper"),
-        F.lit("Forecast").alias("type"),
+        shown(F.col("revenue")).alias("revenue"),
+        shown(F.when(F.col("h") > 0, lower)).alias("lower"),
+        shown(F.when(F.col("h") > 0, upper)).alias("upper"),
+        F.when(F.col("h") > 0, "Forecast").otherwise("Actual").alias("type"),
     )
-    actual = series.select(*keys, "time", F.round("y", digits).alias("revenue"), F.lit("Actual").alias("type"))
-    return actual.unionByName(forecast, allowMissingColumns=True)
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+
+
+def _spread(values: Column, ddof: int) -> Column:
+    """Standard deviation of an array of doubles: deviations from the mean, not differences of squares."""
+    n = F.size(values)
+    mean = _sum(values) / n
+    squares = F.aggregate(
+        values,
+        F.struct(F.lit(0.0).alias("sum"), mean.alias("mean")),
+        lambda a, x: F.struct((a["sum"] + (x - a["mean"]) * (x - a["mean"])).alias("sum"), a["mean"].alias("mean")),
+        lambda a: a["sum"],
+    )
+    return F.when(n > ddof, F.sqrt(squares / (n - ddof)))
 
 
 # ---------------------------------------------------------------- Holt-Winters
@@ -131,10 +151,12 @@ def choose_season(n: int, season: int | None) -> int | None:
 
 
 _GRID = np.linspace(0.05, 0.95, 10)
+LIMITS = (0.001, 0.999)
+TOLERANCE = 1e-4  # of the parameters
 
 
-def _hw_sse(y: np.ndarray, alpha, beta, gamma, season: int | None):
-    """Vectorised one-step-ahead SSE for arrays of parameter triples.
+def one_step_errors(y: np.ndarray, alpha, beta, gamma, season: int | None) -> np.ndarray:
+    """Sum of squared one-step errors for arrays of parameter triples.
 
     Additive trend, optional additive season.  Start values: level = mean of
     the first cycle (first point without season), trend = mean difference
@@ -150,101 +172,154 @@ def _hw_sse(y: np.ndarray, alpha, beta, gamma, season: int | None):
     else:
         level = np.full(g, y[0])
         trend = np.full(g, y[1] - y[0])
-        seas = None
     sse = np.zeros(g)
-    fitted = np.empty((g, len(y)))
     for t, obs in enumerate(y):
         s = seas[:, t % season] if season else 0.0
-        pred = level + trend + s
-        fitted[:, t] = pred
-        err = obs - pred
+        err = obs - (level + trend + s)
         sse += err * err
         new_level = alpha * (obs - s) + (1 - alpha) * (level + trend)
         trend = beta * (new_level - level) + (1 - beta) * trend
         if season:
             seas[:, t % season] = gamma * (obs - new_level) + (1 - gamma) * s
         level = new_level
-    return sse, fitted, level, trend, seas
+    return sse
 
 
-def fit_holt_winters(y: np.ndarray, season: int | None, rounds: int = 3):
-    """Minimise the one-step SSE over (alpha, beta, gamma).
+def grid_point(y: np.ndarray, season: int | None, alpha: float) -> tuple[float, float, float, float]:
+    """(alpha, beta, gamma, error) of least one-step error on the grid of beta and gamma."""
+    a, b, c = (x.ravel() for x in np.meshgrid([alpha], _GRID, _GRID if season else [0.0], indexing="ij"))
+    sse = one_step_errors(y, a, b, c, season)
+    k = int(np.argmin(sse))
+    return float(a[k]), float(b[k]), float(c[k]), float(sse[k])
 
-    A 10-point grid per parameter, then ``rounds`` refinements on a 5-point
-    grid around the best triple with the step halved each round (a
-    derivative-free stand-in for a continuous optimiser).
+
+def refined(y: np.ndarray, season: int | None, point: tuple[float, float, float, float]) -> tuple[float, float, float, float]:
+    """The point of least error near ``point``.
+
+    A 3-point grid around the best triple moves with it, and halves its step
+    when the triple stays, until the step is below TOLERANCE.
     """
-    a, b, c = np.meshgrid(_GRID, _GRID, _GRID if season else np.array([0.0]), indexing="ij")
-    a, b, c = a.ravel(), b.ravel(), c.ravel()
-    sse, fitted, level, trend, seas = _hw_sse(y, a, b, c, season)
-    k = int(np.nanargmin(sse))
-    best = (a[k], b[k], c[k])
+    best, least = np.array(point[:3]), point[3]
     step = (_GRID[1] - _GRID[0]) / 2
-    for _ in range(rounds):
-        offsets = np.linspace(-step, step, 5)
-        ra = np.clip(best[0] + offsets, 0.001, 0.999)
-        rb = np.clip(best[1] + offsets, 0.001, 0.999)
-        rc = np.clip(best[2] + offsets, 0.001, 0.999) if season else np.array([0.0])
-        a, b, c = (x.ravel() for x in np.meshgrid(ra, rb, rc, indexing="ij"))
-        sse, fitted, level, trend, seas = _hw_sse(y, a, b, c, season)
-        k = int(np.nanargmin(sse))
-        best = (a[k], b[k], c[k])
-        step /= 2
-    return {
-        "alpha": a[k],
-        "beta": b[k],
-        "gamma": c[k],
-        "fitted": fitted[k],
-        "level": level[k],
-        "trend": trend[k],
-        "seasonal": seas[k] if season else None,
-    }
-
-
-def holt_winters_frame(
-    pdf: pd.DataFrame,
-    keys: Sequence[str],
-    horizon: int,
-    season: int | None | str,
-    z: float,
-    fill_gaps: bool,
-) -> pd.DataFrame:
-    """Fit one series (one pandas group) and return its forecast rows."""
-    out_cols = [*keys, "time", "revenue", "lower", "upper", "type", "model"]
-    pdf = pdf.sort_values("time")
-    if fill_gaps and len(pdf):
-        full = pd.date_range(pdf["time"].min(), pdf["time"].max(), freq="7D")
-        key_vals = {k: pdf[k].iloc[0] for k in keys}
-        pdf = pdf.set_index(pd.to_datetime(pdf["time"]))[["y"]].reindex(full, fill_value=0.0)
-        pdf = pdf.rename_axis("time").reset_index().assign(**key_vals)
-    y = pdf["y"].to_numpy(dtype=float)
-    n = len(y)
-    if n < HW_MIN_POINTS:
-        return pd.DataFrame(columns=out_cols)
-    wanted = auto_season(n) if season == "auto" else season
-    m = choose_season(n, wanted)
-    fit = fit_holt_winters(y, m)
-    resid = y - fit["fitted"]
-    se = float(np.nanstd(resid))
-    h = np.arange(1, horizon + 1)
-    pred = fit["level"] + h * fit["trend"]
-    if m:
-        pred = pred + fit["seasonal"][(n + h - 1) % m]
-    last = pd.Timestamp(pdf["time"].iloc[-1])
-    times = [(last + pd.Timedelta(days=7 * int(i))).date() for i in h]
-    res = pd.DataFrame(
-        {
-            "time": times,
-            "revenue": pred,
-            "lower": pred - z * se,
-            "upper": pred + z * se,
-            "type": "Forecast",
-            "model": "trend+season" if m else "trend",
-        }
+    while step > TOLERANCE:
+        around = [np.unique(np.clip(x + np.array([-step, 0.0, step]), *LIMITS)) for x in best]
+        if not season:
+            around[2] = np.array([0.0])
+        a, b, c = (x.ravel() for x in np.meshgrid(*around, indexing="ij"))
+        sse = one_step_errors(y, a, b, c, season)
+        k = int(np.argmin(sse))
+        if sse[k] < least:
+            best, least = np.array([a[k], b[k], c[k]]), sse[k]
+        else:
+            step /= 2
+    return float(best[0]), float(best[1]), float(best[2]), float(least)
+
+
+def _series_arrays(weekly: DataFrame, time_col: str, value_col: str, keys: Sequence[str], season, fill_gaps: bool) -> tuple[DataFrame, list[str]]:
+    """One row per series: ``times`` and ``ys`` in time order, length ``n`` and season ``m`` (0: none).
+
+    Points without a value are left out; series with fewer than 12 points are
+    not fitted and drop out here.
+    """
+    series, keys = _with_key(weekly, keys)
+    series = series.select(*keys, F.col(time_col).cast("date").alias("time"), F.col(value_col).cast("double").alias("y"))
+    usable = series.where(F.col("y").isNotNull() & ~F.isnan("y") & (F.abs("y") < float("inf")))
+    arrays = usable.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("time", "y"))).alias("points"))
+    arrays = arrays.withColumn("times", F.transform("points", lambda p: p["time"])).withColumn("ys", F.transform("points", lambda p: p["y"]))
+    if fill_gaps:
+        known = F.map_from_arrays("times", "ys")
+        weeks = F.sequence(F.array_min("times"), F.array_max("times"), F.expr("INTERVAL 7 DAYS"))
+        arrays = arrays.withColumn("known", known).withColumn("times", weeks)
+        arrays = arrays.withColumn("ys", F.transform("times", lambda t: F.coalesce(F.element_at("known", t), F.lit(0.0)))).drop("known")
+    arrays = arrays.withColumn("n", F.size("ys")).where(F.col("n") >= HW_MIN_POINTS)
+    if season == "auto":
+        wanted = F.when(F.col("n") >= 52, 52).when(F.col("n") >= 26, 13).otherwise(12)
+    else:
+        wanted = F.lit(season or 0)
+    fits = (wanted >= 2) & (wanted < F.col("n")) & (2 * wanted <= F.col("n"))
+    return arrays.drop("points").withColumn("m", F.when(fits, wanted).otherwise(0)), keys
+
+
+def _smoothed(arrays: DataFrame, keys: list[str], horizon: int, z: float) -> DataFrame:
+    """Forecast rows of series with columns alpha, beta and gamma: a fold over each array.
+
+    The state carries level, trend and all seasonal indices so far; the index
+    of point t stands at place t, one cycle before the one it leads to.
+    """
+    ys, m, n = F.col("ys"), F.col("m"), F.col("n")
+    seasonal = m > 0
+    cycle = lambda first: _sum(F.slice(ys, first, F.greatest(m, F.lit(1)))) / F.greatest(m, F.lit(1))
+    arrays = arrays.withColumns({"_mean1": cycle(F.lit(1)), "_mean2": cycle(F.least(m + 1, n))})
+    no_values = F.array().cast("array<double>")
+    start = F.struct(
+        F.when(seasonal, F.col("_mean1")).otherwise(F.get(ys, F.lit(0))).alias("level"),
+        F.when(seasonal, (F.col("_mean2") - F.col("_mean1")) / m).otherwise(F.get(ys, F.lit(1)) - F.get(ys, F.lit(0))).alias("trend"),
+        F.when(seasonal, F.transform(F.slice(ys, 1, F.greatest(m, F.lit(1))), lambda v: v - F.col("_mean1"))).otherwise(no_values).alias("seas"),
+        no_values.alias("errs"),
     )
-    for k in keys:
-        res[k] = pdf[k].iloc[0]
-    return res[out_cols]
+    alpha, beta, gamma = F.col("alpha"), F.col("beta"), F.col("gamma")
+
+    def step(acc: Column, y: Column) -> Column:
+        t = F.size(acc["errs"])
+        s = F.when(seasonal, F.get(acc["seas"], t)).otherwise(F.lit(0.0))
+        level = alpha * (y - s) + (1 - alpha) * (acc["level"] + acc["trend"])
+        return F.struct(
+            level.alias("level"),
+            (beta * (level - acc["level"]) + (1 - beta) * acc["trend"]).alias("trend"),
+            F.when(seasonal, F.concat(acc["seas"], F.array(gamma * (y - level) + (1 - gamma) * s))).otherwise(no_values).alias("seas"),
+            F.concat(acc["errs"], F.array(y - (acc["level"] + acc["trend"] + s))).alias("errs"),
+        )
+
+    state = arrays.withColumn("state", F.aggregate("ys", start, step))
+    state = state.withColumn("se", _spread(F.col("state.errs"), 0))
+    rows = state.select(*keys, "times", "n", "m", "state", "se", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"))
+    season = F.when(seasonal, F.get(F.col("state.seas"), n + F.pmod(F.col("h") - 1, F.greatest(m, F.lit(1))))).otherwise(F.lit(0.0))
+    rows = rows.withColumn("revenue", F.col("state.level") + F.col("h") * F.col("state.trend") + season)
+    lower, upper = normal_band("revenue", "se", z)
+    return rows.select(
+        *keys,
+        F.date_add(F.array_max("times"), 7 * F.col("h")).alias("time"),
+        "revenue",
+        lower.alias("lower"),
+        upper.alias("upper"),
+        F.lit("Forecast").alias("type"),
+        F.when(seasonal, "trend+season").otherwise("trend").alias("model"),
+    )
+
+
+def _check_ranges(horizon: int, season: int | None | str) -> int | None | str:
+    lo, hi = HW_HORIZON_RANGE
+    if not lo <= horizon <= hi:
+        raise ValueError(f"horizon must be in {HW_HORIZON_RANGE}")
+    if isinstance(season, int) and not HW_SEASON_RANGE[0] <= season <= HW_SEASON_RANGE[1]:
+        raise ValueError(f"season must be in {HW_SEASON_RANGE}")
+    return season or None
+
+
+def _with_actuals(weekly: DataFrame, forecast: DataFrame, time_col: str, value_col: str, keys: Sequence[str]) -> DataFrame:
+    series, keys = _with_key(weekly, keys)
+    actual = series.select(*keys, F.col(time_col).cast("date").alias("time"), F.col(value_col).cast("double").alias("revenue"), F.lit("Actual").alias("type"))
+    return actual.unionByName(forecast, allowMissingColumns=True)
+
+
+def holt_winters_fixed(
+    weekly: DataFrame,
+    alpha: float,
+    beta: float,
+    gamma: float,
+    time_col: str = "week",
+    value_col: str = "revenue",
+    keys: Sequence[str] = (),
+    horizon: int = HW_HORIZON,
+    season: int | None | str = "auto",
+    z: float = Z_95,
+    fill_gaps: bool = False,
+) -> DataFrame:
+    """Additive Holt-Winters with given smoothing parameters (A2, A2a, A5, U1); see ``holt_winters_forecast``."""
+    season = _check_ranges(horizon, season)
+    arrays, own = _series_arrays(weekly, time_col, value_col, keys, season, fill_gaps)
+    arrays = arrays.withColumns({"alpha": F.lit(float(alpha)), "beta": F.lit(float(beta)), "gamma": F.lit(float(gamma))})
+    return _with_actuals(weekly, _smoothed(arrays, own, horizon, z), time_col, value_col, keys)
 
 
 def holt_winters_forecast(
@@ -264,34 +339,28 @@ def holt_winters_forecast(
     column ``model`` says which.  The band is ``z x`` the population standard
     deviation of the in-sample one-step residuals.  Output rows: the actual
     series (``type = Actual``) and ``horizon`` weekly forecast rows per series
-    with at least 12 points.
-    """
-    lo, hi = HW_HORIZON_RANGE
-    if not lo <= horizon <= hi:
-        raise ValueError(f"horizon must be in {HW_HORIZON_RANGE}")
-    if isinstance(season, int) and not HW_SEASON_RANGE[0] <= season <= HW_SEASON_RANGE[1]:
-        raise ValueError(f"season must be in {HW_SEASON_RANGE}")
-    if season == 0:
-        season = None
-    series, keys = _with_key(weekly, keys)
-    series = series.select(*keys, F.col(time_col).alias("time"), F.col(value_col).cast("double").alias("y"))
-    key_fields = [series.schema[k] for k in keys]
-    schema = T.StructType(
-        [
-            *[T.StructField(f.name, f.dataType) for f in key_fields],
-            T.StructField("time", T.DateType()),
-            T.StructField("revenue", T.DoubleType()),
-            T.StructField("lower", T.DoubleType()),
-            T.StructField("upper", T.DoubleType()),
-            T.StructField("type", T.StringType()),
-            T.StructField("model", T.StringType()),
-        ]
-    )
-    key_list = list(keys)
+    with at least 12 points that have a value.
 
-    def fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        return holt_winters_frame(pdf, key_list, horizon, season, z, fill_gaps)
-
-    forecast = series.groupBy(*keys).applyInPandas(fit_group, schema)
-    actual = series.select(*keys, "time", F.col("y").alias("revenue"), F.lit("Actual").alias("type"))
-    return actual.unionByName(forecast, allowMissingColumns=True)
+    The grid of smoothing parameters is searched for each value of alpha in a
+    row of its own, so that one series spreads over tasks too; the best point
+    of each series is then refined.
+    """
+    season = _check_ranges(horizon, season)
+    arrays, own = _series_arrays(weekly, time_col, value_col, keys, season, fill_gaps)
+    point = T.StructType([T.StructField(c, T.DoubleType()) for c in ("alpha", "beta", "gamma", "error")])
+
+    def fitted(rows: DataFrame, fit) -> DataFrame:
+        def run(batches):
+            for batch in batches:
+                found = [fit(row) for row in batch.itertuples(index=False)]
+                points = pd.DataFrame(found, columns=point.names, index=batch.index, dtype=float)
+                yield pd.concat([batch.drop(columns=[c for c in point.names if c in batch]), points], axis=1)
+
+        kept_fields = [f for f in rows.schema.fields if f.name not in point.names]
+        return rows.select([f.name for f in kept_fields] + [c for c in point.names if c in rows.columns]).mapInPandas(run, T.StructType(kept_fields + point.fields))
+
+    spread = arrays.select(*own, "times", "ys", "n", "m", F.explode(F.array(*[F.lit(float(a)) for a in _GRID])).alias("alpha"))
+    grid = fitted(spread.repartition(*own, "alpha"), lambda r: grid_point(np.asarray(r.ys, float), int(r.m) or None, r.alpha))
+    best = grid.groupBy(*own).agg(F.min_by(F.struct("times", "ys", "n", "m", *point.names), F.struct("error", "alpha")).alias("b")).select(*own, "b.*")
+    best = fitted(best, lambda r: refined(np.asarray(r.ys, float), int(r.m) or None, (r.alpha, r.beta, r.gamma, r.error)))
+    return _with_actuals(weekly, _smoothed(best, own, horizon, z), time_col, value_col, keys)

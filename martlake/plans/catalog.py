@@ -8,16 +8,18 @@ the dashboard queries (the feature), not a sample.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import os
 import uuid
 from collections.abc import Callable
 from functools import lru_cache
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.functions.dates import date_dimension, week_start
-from martlake.functions.labels import cell_label, currency_label, euro_2dp_label, grouped_int_label
+from martlake.functions.labels import cell_label, currency_label, euro_2dp_label, grouped_int_label, percent_label
 from martlake.operators import cohort, forecast, metrics, models, quality, scd2, segments
 from martlake.operators.filters import (
     Window,
@@ -28,9 +30,9 @@ from martlake.operators.filters import (
     split_by_tag,
 )
 from martlake.plans import sql_views
-from martlake.plans.warehouse import Marts, Warehouse, materialize_marts, resolve_view_params
+from martlake.plans.warehouse import Marts, Warehouse, build_warehouse, materialize_marts, read_marts, resolve_view_params
 from martlake.session import cut_lineage, ensure_checkpoint_dir
-from martlake.sources import testdata
+from martlake.sources import tables, testdata
 
 # Fixed parameters of the registered queries (FIXTURES.md section 3).
 BATCH_1 = dt.datetime(2024, 1, 1)
@@ -42,6 +44,8 @@ DRILL_WINDOWED = ("1996-03", 2)
 RFM_K = 4
 DECAY_N = 6
 TOP_N = 100
+HW_FIXED = (0.3, 0.1, 0.2)  # smoothing parameters of the checked forecast
+MART_LAYOUT = 1  # changes with the columns or the layout of the marts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,15 +72,32 @@ def history_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.dim_customers(second_snapshot(spark, sf_dir))
 
 
-@lru_cache(maxsize=16)
+def _listing(spark: SparkSession, sf_dir: str) -> str:
+    """Fingerprint of the raw files: paths, times and sizes, not their contents."""
+    paths = [f"{sf_dir}/{name}.parquet" for name in testdata.TABLES]
+    files = spark.read.format("binaryFile").load(paths).select("path", "modificationTime", "length").collect()  # a row for each file
+    return hashlib.md5(repr((MART_LAYOUT, sorted(map(tuple, files)))).encode()).hexdigest()
+
+
 def marts(spark: SparkSession, sf_dir: str) -> Marts:
-    """The marts written once per session under the shared checkpoint folder.
+    """The marts of the raw files as they are now, below the shared checkpoint folder.
 
     Dashboard queries read these tables, as the original dashboard reads the
     tables of the warehouse run; the model queries above still build from raw.
+    The folder is named after the raw files, so that every session reads one
+    copy and changed files get new marts.
     """
-    path = os.path.join(ensure_checkpoint_dir(spark), "martlake-marts", uuid.uuid4().hex)
-    return materialize_marts(warehouse(spark, sf_dir), path)
+    return _marts(spark, sf_dir, _listing(spark, sf_dir))
+
+
+@lru_cache(maxsize=16)
+def _marts(spark: SparkSession, sf_dir: str, listing: str) -> Marts:
+    path = os.path.join(ensure_checkpoint_dir(spark), "martlake-marts", listing)
+    wh = warehouse(spark, sf_dir)
+    try:
+        return read_marts(spark, path, wh.raw_order_items)
+    except AnalysisException:  # not written yet, or not to the end
+        return materialize_marts(wh, path)
 
 
 def _wh_query(fn: Callable[[Warehouse], DataFrame]) -> Query:
@@ -95,10 +116,74 @@ def _rfm_wide(wh: Warehouse | Marts) -> DataFrame:
     return segments.rfm_wide(wh.fct_orders, wh.dim_customers, W)
 
 
-def _rfm_clusters(wh: Warehouse | Marts) -> DataFrame:
-    # the per-customer table is checkpointed once; statistics and k-means read it
-    wide = cut_lineage(_rfm_wide(wh))
-    return segments.rfm_clusters(segments.rfm_scaled(wide, digits=None), RFM_K, seed=42)
+@lru_cache(maxsize=16)
+def _fitted(spark: SparkSession, sf_dir: str, listing: str) -> tuple[DataFrame, DataFrame]:
+    # one fit feeds all outputs of the segmentation; the per-customer table is checkpointed once
+    wide = cut_lineage(_rfm_wide(_marts(spark, sf_dir, listing)))
+    return wide, cut_lineage(segments.rfm_clusters(segments.rfm_scaled(wide), RFM_K, seed=42))
+
+
+def _cluster_query(fn: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: fn(_fitted(spark, sf_dir, _listing(spark, sf_dir))[1])
+
+
+def _transition_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every segmentation must keep: all customers, and those of each period, are in some cell."""
+    wide, clusters = _fitted(spark, sf_dir, _listing(spark, sf_dir))
+    counts = segments.transition_counts(clusters, RFM_K)
+    cells = counts.agg(F.sum(sum(F.col(f"b{j}") for j in range(RFM_K))).cast("long").alias("customers"))
+    rows = segments.transition_shares(clusters).groupBy("cluster_a").agg(F.sum("share").alias("s"))
+    uneven = rows.agg(F.count(F.when(F.abs(F.col("s") - 1) > 1e-9, 1)).alias("uneven_rows"))
+    active = wide.join(clusters, "customer_id").agg(*[F.count(F.when(F.col(f"frequency_{p}") > 0, 1)).alias(f"active_{p}") for p in ("a", "b")])
+    return cells.join(uneven).join(active)  # one row each
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return os.path.join(ensure_checkpoint_dir(spark), "martlake-scratch", f"{name}-{uuid.uuid4().hex}")
+
+
+def _written_raw(spark: SparkSession, sf_dir: str) -> str:
+    path = _scratch(spark, "raw")
+    for name, df in testdata.raw_tables(spark, sf_dir).items():
+        tables.write_table(df, os.path.join(path, name))
+    return path
+
+
+def _registered_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables.register_raw(spark, _written_raw(spark, sf_dir))
+    return spark.sql(
+        "SELECT status, count(*) AS items, sum(amount_cents) AS cents, count(DISTINCT customer_id) AS customers "
+        "FROM raw_order_items JOIN raw_orders USING (order_id) GROUP BY status"
+    )
+
+
+def _build_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = build_warehouse(spark, _written_raw(spark, sf_dir), _scratch(spark, "warehouse"), BATCH_1)
+    return spark.createDataFrame(rows, "check string, model string, column string, failures long, passed boolean")
+
+
+def _calendar_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _scratch(spark, "calendar")
+    tables.export_csv(date_dimension(metrics.date_bounds(marts(spark, sf_dir).fct_orders), "min_date", "max_date"), path)
+    return tables.read_seed_csv(spark, path)
+
+
+def _exported_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m, path = marts(spark, sf_dir), _scratch(spark, "export")
+    trend = metrics.monthly_trend(m.fct_orders, m.dim_customers, W)
+    tables.export_all({"trend": trend, "empty": trend.limit(0), "missing": None}, path, {"missing": trend.schema})
+    parts = [spark.read.csv(os.path.join(path, name), header=True, schema=trend.schema, enforceSchema=False) for name in ("trend", "empty", "missing")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _hw_fixed(season: int | None | str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        m = marts(spark, sf_dir)
+        weekly = metrics.weekly_revenue(m.fct_orders, m.dim_customers, W)
+        out = forecast.holt_winters_fixed(weekly, *HW_FIXED, season=season)
+        return out.select("series", "time", *[F.round(c, 2).alias(c) for c in ("revenue", "lower", "upper")], "type", "model")
+
+    return run
 
 
 def _dq_failing(kind: str) -> Query:
@@ -156,8 +241,7 @@ def _hw_by_city_category(m: Marts) -> DataFrame:
 def _sql(fn: Callable[..., DataFrame], window: Window = W) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         sql_views.register_warehouse_views(marts(spark, sf_dir), warehouse(spark, sf_dir))
-        where = sql_views.window_sql(str(window.start), str(window.end), window.cities)
-        return fn(spark, where)
+        return fn(spark, window)
 
     return run
 
@@ -201,8 +285,8 @@ QUERIES: dict[str, Query] = {
     "cohort_retention": _mart_query(_cohort),
     "cohort_retention_all": _mart_query(lambda wh: _cohort(wh, W_ALL)),
     "cohort_size": _mart_query(lambda wh: cohort.cohort_size(_cohort(wh))),
-    "cohort_matrix": _mart_query(lambda wh: cohort.cohort_matrix(_cohort(wh))),
-    "cohort_users_matrix": _mart_query(lambda wh: cohort.cohort_users_matrix(_cohort(wh))),
+    "cohort_matrix": _mart_query(lambda wh: cohort.cohort_matrix(_cohort(wh), W)),
+    "cohort_users_matrix": _mart_query(lambda wh: cohort.cohort_users_matrix(_cohort(wh), W)),
     "decay_curves": _mart_query(lambda wh: cohort.decay_curves(_cohort(wh), DECAY_N)),
     "cohort_drilldown": _mart_query(
         lambda wh: cohort.cohort_drilldown(wh.fct_orders, wh.dim_customers, DRILL_COHORT, DRILL_MONTH, W.cities)
@@ -224,23 +308,24 @@ QUERIES: dict[str, Query] = {
     "priced_items": _wh_query(lambda wh: metrics.priced_items(wh.raw_order_items, wh.raw_products)),
     # Step 7: linear forecast
     "linear_forecast": _mart_query(
-        lambda wh: forecast.linear_forecast(metrics.monthly_trend(wh.fct_orders, wh.dim_customers, W))
+        lambda wh: forecast.linear_forecast(metrics.monthly_trend(wh.fct_orders, wh.dim_customers, W), digits=2)
     ),
     # Step 8: recency / frequency / monetary
     "rfm_snapshot": _mart_query(lambda wh: segments.rfm_long(_rfm_wide(wh))),
     "rfm_aligned": _mart_query(_rfm_wide),
-    "rfm_scaled": _mart_query(lambda wh: segments.rfm_scaled(_rfm_wide(wh))),
-    # Step 9: clusters and transitions (no SQL oracle: k-means)
-    "rfm_clusters": _mart_query(_rfm_clusters),
-    "rfm_transition_counts": _mart_query(lambda wh: segments.transition_counts(_rfm_clusters(wh), RFM_K)),
-    "rfm_transition_shares": _mart_query(lambda wh: segments.transition_shares(_rfm_clusters(wh))),
-    "transition_labels": _mart_query(
-        lambda wh: segments.transition_labels(segments.transition_shares(_rfm_clusters(wh)))
-    ),
+    "rfm_scaled": _mart_query(lambda wh: segments.rfm_scaled(cut_lineage(_rfm_wide(wh)), digits=6)),
+    # Step 9: clusters and transitions (no SQL oracle: k-means; the totals have one)
+    "rfm_clusters": _cluster_query(lambda c: c),
+    "rfm_transition_counts": _cluster_query(lambda c: segments.transition_counts(c, RFM_K)),
+    "rfm_transition_shares": _cluster_query(segments.transition_shares),
+    "transition_labels": _cluster_query(lambda c: segments.transition_labels(segments.transition_shares(c))),
+    "transition_totals": _transition_totals,
     # Step 10: Holt-Winters (no SQL oracle: iterative fit)
     "holt_winters_forecast": _mart_query(
         lambda wh: forecast.holt_winters_forecast(metrics.weekly_revenue(wh.fct_orders, wh.dim_customers, W))
     ),
+    "holt_winters_fixed": _hw_fixed("auto"),
+    "holt_winters_fixed_trend": _hw_fixed(None),
     "holt_winters_by_city": _mart_query(_hw_by_city),
     "holt_winters_by_city_category": _mart_query(_hw_by_city_category),
     # Step 11: calendar and labels
@@ -262,7 +347,7 @@ QUERIES: dict[str, Query] = {
     ),
     "forecast_rows": _mart_query(
         lambda wh: split_by_tag(
-            forecast.linear_forecast(metrics.monthly_trend(wh.fct_orders, wh.dim_customers, W_ALL)), "Forecast"
+            forecast.linear_forecast(metrics.monthly_trend(wh.fct_orders, wh.dim_customers, W_ALL), digits=2), "Forecast"
         )
     ),
     "weekly_revenue_all": _mart_query(lambda wh: metrics.weekly_revenue(wh.fct_orders, wh.dim_customers, W_ALL)),
@@ -278,6 +363,14 @@ QUERIES: dict[str, Query] = {
             wh.fct_orders, wh.dim_customers, DRILL_WINDOWED[0], DRILL_WINDOWED[1], W.cities, window=W
         )
     ),
+    # sources, sinks and the scheduled build
+    "registered_raw_views": _registered_raw,
+    "calendar_csv": _calendar_csv,
+    "exported_trend_csv": _exported_trend,
+    "warehouse_build_report": _build_report,
+    "retention_percent_labels": _mart_query(
+        lambda wh: _cohort(wh).select("cohort", "month_index", percent_label("retention_rate").alias("label"))
+    ),
     # SQL over the warehouse views (S2, S4): same results through spark.sql
     "sql_kpi": _sql(sql_views.sql_kpi),
     "sql_monthly_trend": _sql(sql_views.sql_monthly_trend),

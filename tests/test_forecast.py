@@ -5,6 +5,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from martlake.operators import forecast
 
@@ -109,8 +110,59 @@ def test_holt_winters_parameter_ranges(spark):
 
 def test_fill_gaps(spark):
     df = _weekly(spark, 30).where("week <> date'2020-02-03'")
-    out = forecast.holt_winters_frame(
-        df.toPandas().rename(columns={"week": "time", "revenue": "y"}), ["k"], 12, "auto", 1.96, True
-    )
+    out = forecast.holt_winters_forecast(df, keys=["k"], fill_gaps=True).where("type = 'Forecast'").orderBy("time").collect()
     assert len(out) == 12
-    assert np.isfinite(out["revenue"]).all()
+    assert np.isfinite([r.revenue for r in out]).all()
+    filled = _weekly(spark, 30).withColumn("revenue", F.when(F.col("week") == dt.date(2020, 2, 3), 0.0).otherwise(F.col("revenue")))
+    same = forecast.holt_winters_forecast(filled, keys=["k"]).where("type = 'Forecast'").orderBy("time").collect()
+    assert [r.revenue for r in same] == [r.revenue for r in out]
+
+
+def _plain_holt_winters(y, a, b, g, m, horizon):
+    if m:
+        level, trend = sum(y[:m]) / m, (sum(y[m : 2 * m]) / m - sum(y[:m]) / m) / m
+        seas = [v - level for v in y[:m]]
+    else:
+        level, trend, seas = y[0], y[1] - y[0], []
+    errs = []
+    for t, v in enumerate(y):
+        s = seas[t % m] if m else 0.0
+        errs.append(v - (level + trend + s))
+        new = a * (v - s) + (1 - a) * (level + trend)
+        trend = b * (new - level) + (1 - b) * trend
+        if m:
+            seas[t % m] = g * (v - new) + (1 - g) * s
+        level = new
+    n = len(y)
+    return [level + h * trend + (seas[(n + h - 1) % m] if m else 0.0) for h in range(1, horizon + 1)], float(np.std(errs)), sum(e * e for e in errs)
+
+
+@pytest.mark.parametrize("season", [None, 13])
+def test_fixed_parameters_follow_the_recursion(spark, season):
+    rows = _weekly(spark, 40).collect()
+    noise = np.random.default_rng(1).normal(0, 20, 40)
+    df = spark.createDataFrame([(r.k, r.week, r.revenue + float(e)) for r, e in zip(rows, noise)], "k string, week date, revenue double")
+    y = [r.revenue for r in df.orderBy("week").collect()]
+    want, se, _ = _plain_holt_winters(y, 0.3, 0.2, 0.4, season or 0, 8)
+    out = forecast.holt_winters_fixed(df, 0.3, 0.2, 0.4, keys=["k"], horizon=8, season=season).where("type = 'Forecast'").orderBy("time").collect()
+    assert np.allclose([r.revenue for r in out], want)
+    assert np.allclose([r.upper - r.revenue for r in out], 1.96 * se)
+
+
+def test_search_reaches_a_minimum():
+    rng = np.random.default_rng(2)
+    y = 1000 + 5 * np.arange(60) + 100 * np.sin(2 * np.pi * np.arange(60) / 13) + rng.normal(0, 30, 60)
+    best = min((forecast.grid_point(y, 13, a) for a in forecast._GRID), key=lambda p: p[3])
+    a, b, g, error = forecast.refined(y, 13, best)
+    assert error <= best[3] and np.isclose(error, _plain_holt_winters(list(y), a, b, g, 13, 1)[2])
+    for step in np.array([[1, 0, 0], [0, 1, 0], [0, 0, 1]]) * 2 * forecast.TOLERANCE:
+        for sign in (-1, 1):
+            p = np.clip(np.array([a, b, g]) + sign * step, *forecast.LIMITS)
+            assert _plain_holt_winters(list(y), *p, 13, 1)[2] >= error * (1 - 1e-6)
+
+
+def test_series_without_values_are_left_out(spark):
+    good = _weekly(spark, 30)
+    none = _weekly(spark, 30, key="none").withColumn("revenue", F.lit(None).cast("double"))
+    out = forecast.holt_winters_forecast(good.unionByName(none), keys=["k"])
+    assert {r.k for r in out.where("type = 'Forecast'").collect()} == {"s"}
