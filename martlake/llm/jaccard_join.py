@@ -108,8 +108,21 @@ def _leading(shingles: np.ndarray, keys: np.ndarray, levels: np.ndarray) -> np.n
     return shingles[np.argsort(level(shingles), kind="stable")[:n]]
 
 
+def signatures(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and a signature of the set (two longs)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, sets in _batches(batches):
+            signs = np.array([signature(s) for s in sets], np.int64).reshape(-1, 2)
+            columns = [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(signs[:, 0]), pa.array(signs[:, 1])]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "sig_a", "sig_b"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, sig_a long, sig_b long")
+
+
 def shingled(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, a signature of the set (two longs) and its leading shingles."""
+    """``signatures`` and the leading shingles of each set."""
     keys, levels = frequent_shingles(docs)
     sent = docs.sparkSession.sparkContext.broadcast((keys, levels))  # at most FREQUENT entries
 
@@ -284,9 +297,10 @@ def join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     The links connect exactly what the similar pairs connect.
     """
-    sets = stored(shingled(docs), "shingles")
+    # shingling twice takes less than keeping the leading shingles of all documents
+    sets = stored(signatures(docs), "shingles")
     same = ["n_shingles", "sig_a", "sig_b"]
-    usable = sets.filter("n_shingles > 0 and doc_id is not null")
+    usable = shingled(docs).filter("n_shingles > 0 and doc_id is not null")
     classes = usable.groupBy(*same).agg(F.min("doc_id").alias("class"), F.min_by("leading", "doc_id").alias("leading"))
     postings = classes.select(F.explode("leading").alias("s"), F.col("class").alias("x"), F.col("n_shingles").alias("n"))
     found = None
