@@ -15,13 +15,13 @@ all pivots whose blocks it shares, which replicates documents at boundaries.
 2. Blocks are formed by one sort of (shingle, document); the exact distance of
    each member to the pivot is taken once per pair. Members within the threshold
    are linked to it.
-3. Blocks whose members are all connected by now are done. In the others the
-   pivot has met everybody and leaves; the rest forms blocks again, with new
-   pivots: the join recurses.
+3. The pivot has met everybody and leaves. Members stay that meet another one
+   which is not connected to them by now and whose size allows a link (sizes
+   bound distances too: the triangle inequality against the empty set). They
+   form blocks again, with new pivots: the join recurses.
 4. After ROUNDS of this, what is left of a region is joined exactly. A region
-   larger than TILE is cut by size (sizes of linked sets differ by a quarter at
-   most: the triangle inequality against the empty set) and by hash, and all
-   pairs of cells that may hold links meet. Inside a cell only the links that
+   larger than TILE is cut by size and by hash, and all pairs of cells that may
+   hold links meet. Inside a cell only the links that
    connect something are given out, at most one for each member.
 
 All texts are read whole and no candidate is dropped. Only shingles that occur
@@ -53,6 +53,7 @@ PERCENT = 80  # 100 * intersection >= PERCENT * union
 FREQUENT, FREQUENT_FROM = 1 << 18, 32
 ROUNDS = 2
 TILE = 1024
+SLICE = 1.26  # ratio of sizes within a slice; linked sizes differ by a factor of 100 / PERCENT at most
 FILTER_BITS = 1 << 26  # of the bitmap that thins out texts before they are shuffled
 
 
@@ -261,12 +262,24 @@ def forest(sets: list[np.ndarray], ids: list[int], groups: list[int]) -> list[tu
     return out
 
 
+def _slice(n: str) -> F.Column:
+    """Sizes of sets that may be linked are in one slice or in two that follow each other."""
+    return F.floor(F.log(F.col(n).cast("double")) / F.log(F.lit(SLICE)))
+
+
+def _open(grouped: DataFrame) -> DataFrame:
+    """The members of blocks that meet a member of another group and of a size that may be linked."""
+    rows = grouped.withColumn("slice", _slice("n_x"))
+    near = F.explode(F.array(*[F.col("slice") + d for d in (-1, 0, 1)]))
+    meets = rows.select("s", near.alias("slice"), "group").groupBy("s", "slice").agg(F.min("group").alias("g1"), F.max("group").alias("g2"))
+    return rows.join(meets.filter("g1 <> g2").select("s", "slice"), ["s", "slice"], "left_semi").drop("slice")
+
+
 def _region_links(docs: DataFrame, regions: DataFrame) -> DataFrame:
     """Links that connect groups inside regions, from (p, x, n, group)."""
     counts = regions.groupBy("p").agg(F.count("*").alias("m"), F.min("group").alias("g1"), F.max("group").alias("g2"))
     cells = regions.join(counts.filter("m > 1 and g1 <> g2"), "p").withColumn("tiles", F.ceil(F.col("m") / TILE))
-    # sizes within a quarter of each other are in one slice or in two that follow each other
-    cells = cells.withColumn("slice", F.when(F.col("tiles") > 1, F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)) + 1e-9)).otherwise(0))
+    cells = cells.withColumn("slice", F.when(F.col("tiles") > 1, _slice("n")).otherwise(0))
     cells = cells.withColumn("tile", F.pmod(F.xxhash64("x"), F.col("tiles")))
     others = F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)
 
@@ -311,8 +324,7 @@ def join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         found = links if found is None else found.unionByName(links)
         groups = stored(components(found), "groups")
         grouped = left.join(groups, left["x"] == groups["node"], "left").withColumn("group", F.coalesce("component", "x")).drop("node", "component")
-        open_blocks = grouped.groupBy("s").agg(F.min("group").alias("g1"), F.max("group").alias("g2")).filter("g1 <> g2").select("s")
-        grouped = stored(grouped.join(open_blocks, "s"), "open")
+        grouped = stored(_open(grouped), "open")
         if last < ROUNDS - 1:
             left = stored(blocks(grouped.select("s", "x", F.col("n_x").alias("n"))), "blocks")
     regions = grouped.select("p", "x", F.col("n_x").alias("n"), "group").distinct()
