@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CHUNK = 1 << 21  # code points handled at once; one longer text is a chunk of its own
+CHUNK = 1 << 19  # code points handled at once; one longer text is a chunk of its own
 BASE = 0x9E3779B97F4A7C15 | 1
 MASK = (1 << 64) - 1
 
@@ -48,6 +48,13 @@ def span_hashes(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def small_batches(batches, rows: int = 512):
+    """Arrow batches in slices of at most ``rows`` rows, so that few texts are Python strings at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about CHUNK code points."""
     first = size = 0
@@ -90,7 +97,7 @@ class WordCache:
     ``encode(points, bounds)`` gives the ids of words, as array and offsets.
     """
 
-    def __init__(self, encode, most: int = 1_500_000) -> None:
+    def __init__(self, encode, most: int = 500_000) -> None:
         self.encode, self.most = encode, most
         self.clear()
 

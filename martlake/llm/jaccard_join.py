@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from martlake.llm.common import stored, text_or_empty
 from martlake.llm.components import components
-from martlake.llm.flat import mix
+from martlake.llm.flat import mix, small_batches
 from martlake.llm.shingles import WIDTH, shingle_sets, signature
 
 PERCENT = 80  # 100 * intersection >= PERCENT * union
@@ -68,10 +68,8 @@ def linked(shared, n, m):
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            part = batch.slice(at, 512)
-            yield part, shingle_sets(part.column(part.num_columns - 1).to_pylist())
+    for part in small_batches(batches):
+        yield part, shingle_sets(part.column(part.num_columns - 1).to_pylist())
 
 
 def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlake.llm.common import ranked, text_or_empty
-from martlake.llm.flat import Powers, WordCache, chunks, codepoints, kept, span_hashes
+from martlake.llm.flat import Powers, WordCache, chunks, codepoints, kept, small_batches, span_hashes
 from martlake.llm.merging import Merger
 
 CAPACITY = 2048
@@ -138,7 +138,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = kept(("byte_bpe", tokenizer_path), lambda: Tokenizer(tokenizer_path))
         end = np.array([end_id], np.uint32)
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = batch.column(1).to_pylist()
             for a, b in chunks(texts):
                 ids, at = tokenizer.encode(texts[a:b])

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlake.llm.common import text_or_empty
-from martlake.llm.flat import chunks, mix
+from martlake.llm.flat import chunks, mix, small_batches
 from martlake.llm.labelled import sample
 from martlake.llm.tokens import Tokens
 
@@ -66,7 +66,7 @@ def context_table(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dims, signs = index_vectors()
         table = np.zeros(BUCKETS * WIDTH)
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = batch.column(0).to_pylist()
             for a, b in chunks(texts):
                 bucket, tokens = _buckets(texts[a:b])

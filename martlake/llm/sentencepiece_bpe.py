@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlake.llm.common import text_or_empty
-from martlake.llm.flat import Powers, WordCache, chunks, codepoints, gather, kept, ragged, span_hashes
+from martlake.llm.flat import Powers, WordCache, chunks, codepoints, gather, kept, ragged, small_batches, span_hashes
 from martlake.llm.merging import Merger
 
 SPACE = "▁"
@@ -126,7 +126,7 @@ def _per_text(docs: DataFrame, model_path: str, added: list[T.StructField], resu
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = kept(("piece_bpe", model_path), lambda: Codec(model_path))
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = batch.column(batch.num_columns - 1).to_pylist()
             for a, b in chunks(texts):
                 part = batch.slice(a, b - a)
@@ -151,7 +151,7 @@ def decode(docs: DataFrame, model_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = kept(("piece_bpe", model_path), lambda: Codec(model_path))
-        for batch in batches:
+        for batch in small_batches(batches):
             ids, at = ragged([r or () for r in batch.column("ids").to_pylist()])
             decoded = pa.array([t.decode() for t in codec.decode(ids, at)], pa.string())
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in schema.names[:-1]), decoded], schema.names)
