@@ -1,14 +1,13 @@
 """Toxicity grades by cumulative-link ordinal regression on sparse text features.
 
-Features are words and beginnings of words that are commoner in toxic training
-documents, counted on a log scale.
+Features are words and beginnings of words that mark toxic training documents,
+counted on a log scale.
 One set of weights gives a document's position on the severity scale; ordered
 thresholds cut the scale into grades: P(grade > k) = sigmoid(w.x - theta_k).
 The result is the chance of each grade and the expected severity.
 
 Labels say toxic or not. The grades of toxic training documents are the thirds
-of their rate of marker features (features that hardly occur in documents
-labelled clean), so that grade 0 is clean and 1 to 3 grow more severe.
+of their summed log counts, so that grade 0 is clean and 1 to 3 grow more severe.
 
 Bounds: the model is fitted on at most ``per_class`` labelled documents of each
 class and has at most ``n_features`` features. Scoring reads every text whole.
@@ -31,13 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlake.llm.flat import chunks
-from martlake.llm.labelled import sample
+from martlake.llm.labelled import label_counts, sample
 from martlake.llm.tokens import Tokens
 
 BEGINNINGS = (3, 4, 5, 6)  # lengths of word beginnings that are features beside the whole word
 PER_CLASS = 6000
 N_FEATURES = 1024
 GRADES = 4
+MARKER_ODDS = 2.0  # least log odds of a feature between toxic and clean training documents
 REJECT_FROM = 0.5  # chance of a grade above 0
 
 
@@ -109,11 +109,10 @@ def _matrix(rows: DataFrame, features: np.ndarray) -> pd.DataFrame:
             texts = batch["text"].tolist()
             for a, b in chunks(texts):
                 row, column, value = sparse(texts[a:b], features)
-                words = np.bincount((t := Tokens(texts[a:b])).text, weights=t.is_word, minlength=b - a)
                 cut = np.searchsorted(row, np.arange(b - a + 1))
-                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[a:b].to_numpy(), "label": batch["label"].iloc[a:b].to_numpy(), "words": words, "columns": [column[x:y] for x, y in zip(cut[:-1], cut[1:])], "values": [value[x:y] for x, y in zip(cut[:-1], cut[1:])]})
+                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[a:b].to_numpy(), "label": batch["label"].iloc[a:b].to_numpy(), "columns": [column[x:y] for x, y in zip(cut[:-1], cut[1:])], "values": [value[x:y] for x, y in zip(cut[:-1], cut[1:])]})
 
-    out = rows.mapInPandas(run, "doc_id long, label int, words double, columns array<long>, values array<double>").toPandas()
+    out = rows.mapInPandas(run, "doc_id long, label int, columns array<long>, values array<double>").toPandas()
     return out.sort_values("doc_id", kind="stable", ignore_index=True)
 
 
@@ -128,30 +127,27 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     odds = F.log(((F.col("toxic") + 0.5) / (toxic + 1)) / ((F.col("n") - F.col("toxic") + 0.5) / (clean + 1)))
     gap = F.col("toxic") / toxic - (F.col("n") - F.col("toxic")) / clean
     # evidence for toxicity only: a text without any of it, such as an empty one, is clean
-    best = counts.filter("toxic > 1").withColumn("odds", odds).filter(F.col("odds") > 1).orderBy((gap * F.col("odds")).desc(), "feature").limit(n_features).collect()
+    best = counts.filter("toxic > 1").withColumn("odds", odds).filter(F.col("odds") > MARKER_ODDS).orderBy((gap * F.col("odds")).desc(), "feature").limit(n_features).collect()
     best.sort(key=lambda r: r["feature"] % (1 << 64))
     features = np.array([r["feature"] for r in best], np.int64).view(np.uint64)
-    marker = np.array([r["odds"] > 2 for r in best], bool)
     data = _matrix(rows, features)
     row = np.repeat(np.arange(len(data)), data["columns"].map(len))
     column = np.concatenate(data["columns"].tolist()).astype(np.int64) if len(row) else np.zeros(0, np.int64)
     value = np.concatenate(data["values"].tolist()) if len(row) else np.zeros(0)
     is_toxic = data["label"].to_numpy() == 1
-    hits = np.bincount(row, weights=np.expm1(value) * marker[column], minlength=len(data))
-    rate = hits / np.maximum(data["words"].to_numpy(), 1)
-    cuts = np.quantile(rate[is_toxic], [1 / 3, 2 / 3])
-    grade = np.where(is_toxic, 1 + np.searchsorted(cuts, rate, side="left"), 0)
-    weights, thresholds = fit_ordinal(row, column, value, grade, len(features))
+    hits = np.bincount(row, weights=value, minlength=len(data))
+    cuts = np.quantile(hits[is_toxic], [1 / 3, 2 / 3])
+    grade = np.where(is_toxic, 1 + np.searchsorted(cuts, hits, side="left"), 0)
+    # the sample may hold other shares of the classes than the labels do
+    shares = {r["label"]: r["n"] for r in label_counts(labels, label).collect()}
+    weight = np.where(is_toxic, shares[1] / is_toxic.sum(), shares[0] / (~is_toxic).sum())
+    weights, thresholds = fit_ordinal(row, column, value, grade, len(features), weight / weight.sum())
     return Model(features, weights, thresholds)
 
 
-def fit_ordinal(row: np.ndarray, column: np.ndarray, value: np.ndarray, grade: np.ndarray, width: int, ridge: float = 1e-4, rounds: int = 800, rate: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and ascending thresholds of most penalised likelihood, by Adam on all rows.
-
-    Both classes weigh alike: grade 0 as much as all others together.
-    """
+def fit_ordinal(row: np.ndarray, column: np.ndarray, value: np.ndarray, grade: np.ndarray, width: int, weight: np.ndarray, ridge: float = 1e-5, rounds: int = 800, rate: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and ascending thresholds of most penalised weighted likelihood, by Adam on all rows."""
     n, cuts = len(grade), GRADES - 1
-    weight = np.where(grade == 0, 0.5 / max(1, (grade == 0).sum()), 0.5 / max(1, (grade > 0).sum()))
     # the thresholds are the first one and steps of positive size, so that they stay in order
     params = np.concatenate([np.zeros(width), [0.0], np.zeros(cuts - 1)])
     mean, square = np.zeros_like(params), np.zeros_like(params)
