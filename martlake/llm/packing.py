@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlake.llm.common import ranked, text_or_empty
+from martlake.llm.common import ranked, stored, text_or_empty
 from martlake.llm.flat import Powers, WordCache, chunks, codepoints, kept, small_batches, span_hashes
 from martlake.llm.merging import Merger
 
@@ -194,6 +194,7 @@ def best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int
 
 def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Adds sequence_id and offset to rows with doc_id, piece and length (1 to capacity)."""
+    parts = stored(parts, "pieces")  # the range sort reads its input twice; texts are encoded once
     rows = ranked(parts, [F.col("length").desc(), F.col("doc_id"), F.col("piece")], "packing")
     counts = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}  # a row for each length
     plan = np.array(best_fit(counts, capacity), np.int64).reshape(-1, 5)
