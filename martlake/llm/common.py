@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from martlake.session import ensure_checkpoint_dir
 
+BATCH_ROWS, STORED_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 ROW_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 
 
@@ -22,9 +23,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage: a lost executor costs its running tasks and no more.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, rows = scratch_path(spark, name), spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, min(int(rows), STORED_BATCH) if int(rows) > 0 else STORED_BATCH)  # for this job: rows may hold long texts
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(BATCH_ROWS, rows)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ranked(df: DataFrame, keys: list, name: str, rank: str = "rank") -> DataFrame:
