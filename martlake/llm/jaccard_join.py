@@ -54,7 +54,7 @@ FREQUENT, FREQUENT_FROM = 1 << 18, 32
 ROUNDS = 2
 TILE = 1024
 SLICE = 1.26  # ratio of sizes within a slice; linked sizes differ by a factor of 100 / PERCENT at most
-FILTER_BITS = 1 << 26  # of the bitmap that thins out texts before they are shuffled
+FILTER_BITS = 1 << 24  # of the bitmap that thins out texts before they are shuffled
 
 
 def prefix_length(n: int) -> int:
@@ -188,7 +188,7 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
 
     bits = np.zeros((FILTER_BITS // 8 // 4096, 4096), np.uint8)
     for row in ids.mapInArrow(count, "part long, bits binary").repartition("part").mapInArrow(unite, "part long, bits binary").collect():
-        bits[row["part"]] = np.frombuffer(bytes(row["bits"]), np.uint8)  # 8 MB in all
+        bits[row["part"]] = np.frombuffer(bytes(row["bits"]), np.uint8)  # 2 MB in all
     return bits.ravel()
 
 
