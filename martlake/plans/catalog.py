@@ -12,7 +12,7 @@ import hashlib
 import os
 import uuid
 from collections.abc import Callable
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -131,11 +131,14 @@ def _transition_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every segmentation must keep: all customers, and those of each period, are in some cell."""
     wide, clusters = _fitted(spark, sf_dir, _listing(spark, sf_dir))
     counts = segments.transition_counts(clusters, RFM_K)
-    cells = counts.agg(F.sum(sum(F.col(f"b{j}") for j in range(RFM_K))).cast("long").alias("customers"))
     rows = segments.transition_shares(clusters).groupBy("cluster_a").agg(F.sum("share").alias("s"))
-    uneven = rows.agg(F.count(F.when(F.abs(F.col("s") - 1) > 1e-9, 1)).alias("uneven_rows"))
-    active = wide.join(clusters, "customer_id").agg(*[F.count(F.when(F.col(f"frequency_{p}") > 0, 1)).alias(f"active_{p}") for p in ("a", "b")])
-    return cells.join(uneven).join(active)  # one row each
+    parts = [
+        counts.select(sum(F.col(f"b{j}") for j in range(RFM_K)).cast("long").alias("customers")),
+        rows.select(F.when(F.abs(F.col("s") - 1) > 1e-9, 1).otherwise(0).cast("long").alias("uneven_rows")),
+        wide.join(clusters, "customer_id").select(*[(F.col(f"frequency_{p}") > 0).cast("long").alias(f"active_{p}") for p in ("a", "b")]),
+    ]
+    together = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    return together.agg(*[F.sum(c).alias(c) for c in ("customers", "uneven_rows", "active_a", "active_b")])
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
