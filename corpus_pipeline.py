@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martlake.llm import jaccard_join, packing, pii, quality, toxicity
-from martlake.llm.common import stored
+from martlake.llm.common import small_arrow_batches, stored
 from martlake.llm.queries import BYTE_BPE, table
 
 
@@ -44,6 +44,7 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_arrow_batches(spark)
     heads = jaccard_join.with_components(docs.select("doc_id", "text")).filter("component_id = doc_id")
     heads = heads.select(F.col("doc_id").alias("_head")).distinct()
     kept = docs.join(heads, docs["doc_id"] == heads["_head"])
@@ -53,6 +54,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_arrow_batches(spark)
     found = stored(pii.with_candidates(docs.select("text"), "_found").select("_found"), "pii")
     model = pii.fit(found, "_found")
     spans = pii.with_spans(pii.with_candidates(docs, "_found"), model, "_found", "_spans")
@@ -64,6 +66,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_arrow_batches(spark)
     return packing.pack(packing.pieces(docs, BYTE_BPE))
 
 

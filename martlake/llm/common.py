@@ -53,5 +53,12 @@ def ranked(df: DataFrame, keys: list, name: str, rank: str = "rank") -> DataFram
     return joined.withColumn(rank, F.col("_start") + (F.col(pos) - F.shiftleft("_part", ROW_BITS))).drop("_part", "_start", pos)
 
 
+def small_arrow_batches(spark: SparkSession) -> None:
+    """Lets the session hand at most STORED_BATCH rows at once to Python workers: rows hold whole texts."""
+    rows = int(spark.conf.get(BATCH_ROWS))
+    if not 0 < rows <= STORED_BATCH:
+        spark.conf.set(BATCH_ROWS, STORED_BATCH)
+
+
 def text_or_empty(column: str = "text") -> F.Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

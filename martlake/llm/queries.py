@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.llm import curves, exact_topk, html_text, jaccard_join, packing, pii, quality, sentencepiece_bpe, toxicity, warc
-from martlake.llm.common import scratch_path, stored
+from martlake.llm.common import scratch_path, small_arrow_batches, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,7 @@ PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_arrow_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
