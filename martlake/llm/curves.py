@@ -1,14 +1,17 @@
 """Approximate nearest neighbours along shifted Hilbert curves.
 
-Vectors are projected on a few random orthogonal directions, shifted, and
-ordered by their place on a Hilbert curve; several curves with other directions
-and shifts give several orders. Spark range-partitions each order and ranks it;
+Vectors of length one are projected on a few random orthogonal directions,
+fitted to the range that the projections of all rows have, shifted, and ordered
+by their place on a Hilbert curve; several curves with other directions and
+shifts give several orders. Spark range-partitions each order and ranks it;
 ranks are cut into blocks. A query meets the vectors of its own block and of
 the blocks around it, on each curve; what the curves find is merged and
 reranked by the exact inner product.
 
-Nearness by inner product becomes nearness in space by one more component that
-makes all vectors as long as the longest.
+The curves bring together what points the same way. Large inner products also
+come from long vectors that point less so: one more order is that by falling
+length, and every query meets its first blocks. Equal places on a curve go by
+falling length too.
 
 Window: ``share`` is the part of the ranks that a query's window covers on one
 curve. Vectors without structure need a wide one, whatever the method; a table
@@ -33,7 +36,7 @@ from martlake.llm import vectors
 from martlake.llm.common import ranked, stored
 from martlake.llm.exact_topk import _ranked_rows
 
-CURVES, DIMENSIONS, BITS, SHARE = 4, 3, 16, 0.4
+CURVES, DIMENSIONS, BITS, SHARE = 4, 3, 20, 0.4
 
 
 def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -68,28 +71,49 @@ def nearest(
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the nearest rows found for each query row."""
     rows = stored(vectors.valid(table, F.transform(vector, lambda x: x.cast("double")), nonzero=True), "curves")
-    square = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
-    stats = rows.agg(F.max(F.size("vec")).alias("width"), F.max(square).alias("longest"), F.count("*").alias("n")).first()
+    stats = rows.agg(F.max(F.size("vec")).alias("width"), F.count("*").alias("n")).first()
     if not stats["n"]:
         return _ranked_rows(table.sparkSession.createDataFrame([], "query_id long, vec_id long, score double"), k)
-    width, longest = stats["width"], stats["longest"]
-    spread = np.sqrt(np.maximum(np.diag(vectors.second_moments(rows, width)).sum() / stats["n"] / width, 1e-300))
+    width = stats["width"]
     rng = np.random.default_rng(11)
-    dimensions = min(dimensions, width + 1)
-    turns = [np.linalg.qr(rng.normal(size=(width + 1, width + 1)))[0][:, :dimensions] for _ in range(curves)]
-    shifts = rng.uniform(-0.1, 0.1, (curves, dimensions))
+    dimensions = min(dimensions, width)
+    bits = min(BITS, 62 // dimensions)
+    turn = np.hstack([np.linalg.qr(rng.normal(size=(width, width)))[0][:, :dimensions] for _ in range(curves)])
+    shifts = rng.uniform(0, 0.2, curves * dimensions)
+
+    def axes(column: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths, and the projections of the vectors made as long as one."""
+        x = vectors.matrix(column, width)
+        most = np.abs(x).max(1, keepdims=True)  # so that squares neither overflow nor vanish
+        length = np.linalg.norm(x / most, axis=1, keepdims=True)
+        return (most * length)[:, 0], (x / most / length) @ turn
+
+    def extent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        low, high = np.full(turn.shape[1], np.inf), np.full(turn.shape[1], -np.inf)
+        for batch in batches:
+            if len(batch):
+                place = axes(batch["vec"])[1]
+                low, high = np.minimum(low, place.min(0)), np.maximum(high, place.max(0))
+        yield pd.DataFrame({"axis": np.arange(len(low)), "low": low, "high": high})
+
+    ends = rows.select("vec").mapInPandas(extent, "axis int, low double, high double").groupBy("axis").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    ends = sorted(tuple(r) for r in ends.collect())  # a row for each axis
+    low = np.array([e[1] for e in ends])
+    span = np.maximum(np.array([e[2] for e in ends]) - low, 1e-300)
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = vectors.matrix(batch["vec"], width)
-            x = np.column_stack([x, np.sqrt(np.maximum(longest - (x**2).sum(1), 0))])
-            for curve, (turn, shift) in enumerate(zip(turns, shifts, strict=True)):
-                place = np.clip((x @ turn) / spread / 8 + 0.5 + shift, 0, 1 - 1e-9)
-                yield pd.DataFrame({"curve": curve, "key": hilbert((place * (1 << BITS)).astype(np.int64), BITS), "vec_id": batch["vec_id"]})
+            length, place = axes(batch["vec"])
+            # rounding may differ between batches, so a place may lie just outside
+            cells = (np.clip((place - low) / span, 0, 1) * 0.8 + shifts) * ((1 << bits) - 1)
+            cells = cells.astype(np.int64).reshape(len(batch), curves, dimensions)
+            for curve in range(curves + 1):  # the last order is by length alone
+                key = hilbert(cells[:, curve], bits) if curve < curves else 0
+                yield pd.DataFrame({"curve": curve, "key": key, "length": length, "vec_id": batch["vec_id"]})
 
     blocks = -(-stats["n"] // vectors.BLOCK)
     reach = max(1, round(share * blocks / 2))
-    places = ranked(rows.mapInPandas(keys, "curve int, key long, vec_id long"), ["curve", "key", "vec_id"], "curve-ranks")
+    places = ranked(rows.mapInPandas(keys, "curve int, key long, length double, vec_id long"), ["curve", "key", F.col("length").desc(), "vec_id"], "curve-ranks")
     block = F.floor((F.col("rank") - F.col("curve") * stats["n"]) / vectors.BLOCK)
     places = places.select("vec_id", "curve", block.alias("at"))
     placed = stored(rows.join(places, "vec_id"), "curve-blocks")
@@ -97,7 +121,8 @@ def nearest(
     step = F.lit(2 * blocks)  # sets the curves apart
     candidates = placed.select((F.col("curve") * step + F.col("at")).alias("block"), "vec_id", "vec")
     near = F.sequence(F.greatest(F.col("at") - reach, F.lit(0)), F.least(F.col("at") + reach, F.lit(blocks - 1)))
-    visits = placed.filter(is_query).withColumn("visited", F.explode(near))
+    longest = F.sequence(F.lit(0).cast("long"), F.lit(min(reach, blocks) - 1).cast("long"))
+    visits = placed.filter(is_query).withColumn("visited", F.explode(F.when(F.col("curve") < curves, near).otherwise(longest)))
     # few enough queries of a block that their products fit a task: their own block sets them apart
     queries = visits.select((F.col("curve") * step + F.col("visited")).alias("block"), F.col("at").alias("part"), "vec_id", "vec", F.lit(0.0).alias("bound"))
     found = vectors.search(queries, candidates, _all_products, k, "double")

@@ -112,6 +112,26 @@ def test_curves_find_neighbours(spark, monkeypatch):
         assert s == pytest.approx(sum(a * b for a, b in zip(held[q], held[i])), rel=1e-12, abs=1e-12)
 
 
+def recall(found, want):
+    return len({(q, i) for q, _, i, _ in found} & {(q, i) for q, _, i, _ in want}) / len(want)
+
+
+@pytest.mark.parametrize("lengths", ["one long", "mixed", "mixed, one long"])
+def test_curves_find_neighbours_of_any_length(spark, monkeypatch, lengths):
+    monkeypatch.setattr(vectors, "BLOCK", 64)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(2000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if "mixed" in lengths:
+        x *= np.exp(rng.normal(size=(len(x), 1)))
+    if "one long" in lengths:
+        x[777] *= 100
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    found, want = got(curves.nearest(frame(spark, rows), is_query(), 10)), brute(rows, 10, whole=False)
+    assert [(q, r) for q, r, *_ in found] == [(q, r) for q, r, *_ in want]
+    assert recall(found, want) >= 0.9
+
+
 @pytest.mark.parametrize("query", [op6_exact_topk, op10_curve_neighbours])
 def test_queries(spark, tables, query):
     rows = [(r["vec_id"], r["embedding"]) for r in tables("embeddings")]
