@@ -13,6 +13,10 @@ come from long vectors that point less so: one more order is that by falling
 length, and every query meets its first blocks. Equal places on a curve go by
 falling length too.
 
+Equal vectors are one vector on the curves, with the k + 1 smallest of its ids,
+which are all that can be among the k best of any query: a group of copies may
+hold any part of the rows.
+
 Window: ``share`` is the part of the ranks that a query's window covers on one
 curve. Vectors without structure need a wide one, whatever the method; a table
 with clusters does with less. Recall against brute force is in the README.
@@ -29,12 +33,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlake.llm import vectors
 from martlake.llm.common import ranked, stored
 from martlake.llm.exact_topk import _ranked_rows
+from martlake.operators.joins import salted_lookup_join
 
 CURVES, DIMENSIONS, BITS, SHARE = 4, 3, 20, 0.4
 
@@ -70,7 +75,12 @@ def nearest(
     table: DataFrame, is_query: Column, k: int = 20, vector: str = "embedding", curves: int = CURVES, share: float = SHARE, dimensions: int = DIMENSIONS
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the nearest rows found for each query row."""
-    rows = stored(vectors.valid(table, F.transform(vector, lambda x: x.cast("double")), nonzero=True), "curves")
+    table_rows = vectors.valid(table, F.transform(vector, lambda x: x.cast("double")), nonzero=True)
+    table_rows = stored(table_rows.withColumn("vec", _trimmed(F.col("vec"))), "curves")
+    rows = stored(_distinct(table_rows, k + 1), "curve-vectors")
+    # the distinct vector of each query; a vector with many copies is looked up in several tasks
+    asked = salted_lookup_join(table_rows.filter(is_query).withColumnRenamed("vec_id", "query_id"), rows.select("vec", F.col("vec_id").alias("head")), "vec", "inner")
+    asked = stored(asked.select("query_id", "head"), "curve-queries")
     stats = rows.agg(F.max(F.size("vec")).alias("width"), F.count("*").alias("n")).first()
     if not stats["n"]:
         return _ranked_rows(table.sparkSession.createDataFrame([], "query_id long, vec_id long, score double"), k)
@@ -113,20 +123,43 @@ def nearest(
 
     blocks = -(-stats["n"] // vectors.BLOCK)
     reach = max(1, round(share * blocks / 2))
-    places = ranked(rows.mapInPandas(keys, "curve int, key long, length double, vec_id long"), ["curve", "key", F.col("length").desc(), "vec_id"], "curve-ranks")
+    places = ranked(rows.select("vec_id", "vec").mapInPandas(keys, "curve int, key long, length double, vec_id long"), ["curve", "key", F.col("length").desc(), "vec_id"], "curve-ranks")
     block = F.floor((F.col("rank") - F.col("curve") * stats["n"]) / vectors.BLOCK)
     places = places.select("vec_id", "curve", block.alias("at"))
-    placed = stored(rows.join(places, "vec_id"), "curve-blocks")
+    placed = stored(rows.select("vec_id", "vec").join(places, "vec_id"), "curve-blocks")
 
     step = F.lit(2 * blocks)  # sets the curves apart
     candidates = placed.select((F.col("curve") * step + F.col("at")).alias("block"), "vec_id", "vec")
     near = F.sequence(F.greatest(F.col("at") - reach, F.lit(0)), F.least(F.col("at") + reach, F.lit(blocks - 1)))
     longest = F.sequence(F.lit(0).cast("long"), F.lit(min(reach, blocks) - 1).cast("long"))
-    visits = placed.filter(is_query).withColumn("visited", F.explode(F.when(F.col("curve") < curves, near).otherwise(longest)))
+    visits = placed.join(asked.select(F.col("head").alias("vec_id")).distinct(), "vec_id", "left_semi").withColumn("visited", F.explode(F.when(F.col("curve") < curves, near).otherwise(longest)))
     # few enough queries of a block that their products fit a task: their own block sets them apart
     queries = visits.select((F.col("curve") * step + F.col("visited")).alias("block"), F.col("at").alias("part"), "vec_id", "vec", F.lit(0.0).alias("bound"))
-    found = vectors.search(queries, candidates, _all_products, k, "double")
-    return _ranked_rows(found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), k)
+    found = vectors.search(queries, candidates, _all_products, k + 1, "double", itself=True)
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    found = stored(_ranked_rows(found, k + 1).drop("rank"), "curve-found")
+
+    # back to rows: the ids of the vectors found, and from those the best of each query that has the vector
+    found = salted_lookup_join(found, rows.filter(F.size("ids") > 1).select("vec_id", "ids"), "vec_id", "left")
+    found = found.select("query_id", "score", F.explode(F.coalesce("ids", F.array("vec_id"))).alias("vec_id"))
+    best = _ranked_rows(found, k + 1).groupBy(F.col("query_id").alias("head")).agg(F.sort_array(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("best"))
+    others = F.slice(F.filter("best", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
+    out = salted_lookup_join(asked, best, "head", "inner").select("query_id", F.posexplode(others).alias("at", "found"))
+    return out.select("query_id", (F.col("at") + 1).alias("rank"), "found.vec_id", "found.score")
+
+
+def _trimmed(vec: Column) -> Column:
+    """A nonzero vector without zeros at its end and signs of zeros, so that equal vectors are equal arrays."""
+    last = F.array_position(F.transform(F.reverse(vec), lambda x: x != 0), True)
+    return F.transform(F.slice(vec, 1, (F.size(vec) - last + 1).cast("int")), lambda x: x + F.lit(0.0))
+
+
+def _distinct(rows: DataFrame, n: int) -> DataFrame:
+    """Each vector once: its smallest id as vec_id, its ``n`` smallest as ids."""
+    least = Window.partitionBy("vec").orderBy("vec_id")  # tasks drop what lies beyond before the shuffle
+    few = rows.withColumn("_n", F.row_number().over(least)).filter(F.col("_n") <= n)
+    ids = few.groupBy("vec").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    return ids.select(F.col("ids")[0].alias("vec_id"), "ids", "vec")
 
 
 def _all_products(q: np.ndarray, c: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

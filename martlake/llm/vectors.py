@@ -60,9 +60,10 @@ def second_moments(rows: DataFrame, width: int) -> np.ndarray:
     return out
 
 
-def best(scores: np.ndarray, allowed: np.ndarray, query: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and columns of the k best allowed scores of each row; equal scores by smaller id."""
-    allowed &= query[:, None] != ids
+def best(scores: np.ndarray, allowed: np.ndarray, query: np.ndarray, ids: np.ndarray, k: int, itself: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the k best allowed scores of each row; equal scores by smaller id; a query's own id only if asked."""
+    if not itself:
+        allowed &= query[:, None] != ids
     held = np.where(allowed, scores, -np.inf)
     if held.shape[1] > k:
         least = -np.partition(-held, k - 1, axis=1)[:, k - 1]
@@ -75,14 +76,14 @@ def best(scores: np.ndarray, allowed: np.ndarray, query: np.ndarray, ids: np.nda
     return row[top], column[top]
 
 
-def search(queries: DataFrame, candidates: DataFrame, score: Callable, k: int, kind: str) -> DataFrame:
+def search(queries: DataFrame, candidates: DataFrame, score: Callable, k: int, kind: str, itself: bool = False) -> DataFrame:
     """The k best candidates of each query within each block that it visits.
 
     ``candidates`` have block, vec_id and vec; ``queries`` have block (one row
     for each block visited), part, vec_id, vec and bound. Queries of one block
     of ranks share a part, so that a task holds two blocks at most; a block's
     candidates go to each of its parts. ``score(q, c, bound)`` gives scores and
-    the pairs that it could not rule out.
+    the pairs that it could not rule out. ``itself`` lets a query find its own id.
     """
     # both sides may come from one table, so each gets columns of its own
     asked = queries.select(*[F.col(c).alias(f"q_{c}") for c in ("block", "part", "vec_id", "vec", "bound")])
@@ -99,7 +100,7 @@ def search(queries: DataFrame, candidates: DataFrame, score: Callable, k: int, k
             some = q.iloc[at : at + SLICE]
             query = some["q_vec_id"].to_numpy()
             scores, allowed = score(matrix(some["q_vec"], width), vecs, some["q_bound"].to_numpy())
-            row, column = best(scores, allowed, query, ids, k)
+            row, column = best(scores, allowed, query, ids, k, itself)
             out.append(pd.DataFrame({"query_id": query[row], "vec_id": ids[column], "score": scores[row, column]}))
         return pd.concat(out).astype({"score": "int64" if kind == "long" else "float64"})
 

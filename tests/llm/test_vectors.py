@@ -132,6 +132,21 @@ def test_curves_find_neighbours_of_any_length(spark, monkeypatch, lengths):
     assert recall(found, want) >= 0.9
 
 
+def test_copies_are_found_by_smallest_ids(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "BLOCK", 64)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1600, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    copies = set(rng.permutation(len(x))[: len(x) // 3].tolist())
+    x[sorted(copies)] = x[min(copies)]
+    # zeros at the end and signs of zeros make no other vector
+    rows = [(i, v + [0.0, -0.0][: i % 3] if i in copies else v) for i, v in enumerate(x.tolist())]
+    found, want = got(curves.nearest(frame(spark, rows), is_query(), 10)), brute(rows, 10, whole=False)
+    assert [(q, r) for q, r, *_ in found] == [(q, r) for q, r, *_ in want]
+    of_copies = [[(q, r, i) for q, r, i, _ in t if q in copies] for t in (found, want)]
+    assert recall(found, want) >= 0.9 and of_copies[0] == of_copies[1]
+
+
 @pytest.mark.parametrize("query", [op6_exact_topk, op10_curve_neighbours])
 def test_queries(spark, tables, query):
     rows = [(r["vec_id"], r["embedding"]) for r in tables("embeddings")]
