@@ -14,7 +14,8 @@ running tasks.
 4. personal data: spans are replaced by their kind in brackets; n_chars follows.
 5. packing: best-fit packing into sequences of 2048 tokens.
 
-Classifiers are fitted on the labelled documents that reach their stage. Empty
+Classifiers are fitted on the labelled documents that reach their stage; where
+those are of one class or none, the stage keeps all documents. Empty
 tables pass through all stages, and columns beyond those of ``documents`` stay
 up to the last one.
 
@@ -33,12 +34,16 @@ from martlake.llm.queries import BYTE_BPE, table
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    if not model.both_classes:
+        return docs
     judged = docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).select("_row", "text")
     return toxicity.with_severity(judged, model).filter(~F.col("toxic")).select("_row.*")
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    if not model.both_classes:
+        return docs
     judged = docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).select("_row", "text")
     return quality.with_score(judged, model).filter("predicted = 1").select("_row.*")
 

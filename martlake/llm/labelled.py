@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 from martlake.llm.common import text_or_empty
 
 
-def _labels(labels: DataFrame, label: str, eligible: Column | None) -> DataFrame:
+def _labels(docs: DataFrame, labels: DataFrame, label: str, eligible: Column | None) -> DataFrame:
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     rows = rows.filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
     if eligible is not None:
         rows = rows.filter(eligible)
-    return rows.groupBy("doc_id").agg(F.max("label").alias("label"))
+    rows = rows.groupBy("doc_id").agg(F.max("label").alias("label"))
+    return rows.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi")  # ids only, no texts
 
 
-def label_counts(labels: DataFrame, label: str, eligible: Column | None = None) -> DataFrame:
+def label_counts(docs: DataFrame, labels: DataFrame, label: str, eligible: Column | None = None) -> DataFrame:
     """label and the number n of labelled documents, as ``sample`` counts them."""
-    return _labels(labels, label, eligible).groupBy("label").agg(F.count("*").alias("n"))
+    return _labels(docs, labels, label, eligible).groupBy("label").agg(F.count("*").alias("n"))
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, eligible: Column | None = None) -> DataFrame:
@@ -26,10 +27,11 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, eligi
 
     Which ones is fixed by a hash of the id, so that every run fits the same
     rows. A document labelled twice counts by its larger label; rows without id
-    or label are left out; repeated documents are all taken. The chosen ids, at
+    or label, and labels without a document, are left out before the bound;
+    repeated documents are all taken. The chosen ids, at
     most ``2 * per_class``, are broadcast, so that no text is shuffled.
     """
-    rows = _labels(labels, label, eligible)
+    rows = _labels(docs, labels, label, eligible)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = rows.filter("label = 0").orderBy(*order).limit(per_class).unionByName(rows.filter("label = 1").orderBy(*order).limit(per_class))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))

@@ -131,6 +131,7 @@ class Model:
     scale: np.ndarray
     layers: tuple
     temperature: float
+    both_classes: bool = True  # whether it was fitted on documents of both
 
     def scores(self, features: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(logits(self.layers, (features - self.shift) / self.scale) / self.temperature, -500, 500)))
@@ -189,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
     if data["label"].nunique() < 2:
         base = 0.0 if data.empty else 10.0 * (2 * int(data["label"].iloc[0]) - 1)
         flat = (np.zeros((width, HIDDEN)), np.zeros(HIDDEN), np.zeros(HIDDEN), np.float64(base))
-        return Model(vectors, np.zeros(width), np.ones(width), flat, 1.0)
+        return Model(vectors, np.zeros(width), np.ones(width), flat, 1.0, both_classes=False)
     x, y = np.array(data["features"].tolist()), data["label"].to_numpy()
     shift, scale = x.mean(0), x.std(0) + 1e-6
     x = (x - shift) / scale

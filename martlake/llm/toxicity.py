@@ -46,6 +46,7 @@ class Model:
     features: np.ndarray  # sorted hashes
     weights: np.ndarray
     thresholds: np.ndarray
+    both_classes: bool = True  # whether it was fitted on documents of both
 
     def grades(self, rows: np.ndarray, columns: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
         """Chance of each grade for n documents with sparse features."""
@@ -122,7 +123,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     totals = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clean:
-        return Model(np.zeros(0, np.uint64), np.zeros(0), np.full(GRADES - 1, -20.0 if toxic else 20.0))
+        return Model(np.zeros(0, np.uint64), np.zeros(0), np.full(GRADES - 1, -20.0 if toxic else 20.0), both_classes=False)
     counts = _document_counts(rows)
     odds = F.log(((F.col("toxic") + 0.5) / (toxic + 1)) / ((F.col("n") - F.col("toxic") + 0.5) / (clean + 1)))
     gap = F.col("toxic") / toxic - (F.col("n") - F.col("toxic")) / clean
@@ -139,7 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     cuts = np.quantile(hits[is_toxic], [1 / 3, 2 / 3])
     grade = np.where(is_toxic, 1 + np.searchsorted(cuts, hits, side="left"), 0)
     # the sample may hold other shares of the classes than the labels do
-    shares = {r["label"]: r["n"] for r in label_counts(labels, label).collect()}
+    shares = {r["label"]: r["n"] for r in label_counts(docs, labels, label).collect()}
     weight = np.where(is_toxic, shares[1] / is_toxic.sum(), shares[0] / (~is_toxic).sum())
     weights, thresholds = fit_ordinal(row, column, value, grade, len(features), weight / weight.sum())
     return Model(features, weights, thresholds)

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from martlake.llm import labelled, quality, toxicity
 from martlake.llm.queries import op2_toxicity, op9_quality
 
@@ -147,3 +148,20 @@ def test_temperature_calibrates():
     logit = rng.normal(0, 2, 20_000)
     y = (rng.random(20_000) < 1 / (1 + np.exp(-logit))).astype(int)
     assert abs(quality.fit_temperature(logit * 5, y) - 5) < 0.4
+
+
+def test_labels_without_a_document_take_no_place(spark):
+    docs, labels = corpus(spark)
+    present = docs.filter("doc_id between 100 and 199")
+    rows = labelled.sample(present, labels, "toxic", 20).collect()
+    assert [sum(r.label == k for r in rows) for k in (0, 1)] == [20, 20]
+    assert {r.label: r.n for r in labelled.label_counts(present, labels, "toxic").collect()} == {0: 75, 1: 25}
+
+
+@pytest.mark.parametrize("kept", [0, 1])
+def test_stages_keep_all_where_a_class_is_missing(spark, tmp_path, kept):
+    docs, labels = corpus(spark, 40)
+    labels.filter(f"toxic = {kept}").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = docs.filter("doc_id < 40")
+    for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.drop_low_quality):
+        assert stage(spark, docs, str(tmp_path)).count() == docs.count()
