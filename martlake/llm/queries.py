@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import curves, exact_topk, html_text, jaccard_join, packing, pii, quality, sentencepiece_bpe, toxicity, warc
+from martlake.llm import curves, exact_topk, html_text, jaccard_join, packing, periodic_runs, pii, quality, sentencepiece_bpe, toxicity, warc
 from martlake.llm.common import scratch_path, small_arrow_batches, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,10 @@ def op10_curve_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curves.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_toxicity": op2_toxicity,
@@ -81,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op8_html_text": op8_html_text,
     "op9_quality": op9_quality,
     "op10_curve_neighbours": op10_curve_neighbours,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
