@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import curves, exact_topk, html_text, jaccard_join, packing, periodic_runs, pii, quality, sentencepiece_bpe, toxicity, warc
+from martlake.llm import curves, exact_topk, filter_audit, html_text, jaccard_join, packing, periodic_runs, pii, quality, sentencepiece_bpe, toxicity, warc
 from martlake.llm.common import scratch_path, small_arrow_batches, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,11 @@ def op10_curve_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curves.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    failed = filter_audit.failures(table(spark, sf_dir, "documents"))
+    return filter_audit.audit(filter_audit.mask_counts(failed, table(spark, sf_dir, "labels")))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(table(spark, sf_dir, "documents"))
 
@@ -85,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op8_html_text": op8_html_text,
     "op9_quality": op9_quality,
     "op10_curve_neighbours": op10_curve_neighbours,
+    "op12_filter_audit": op12_filter_audit,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -100,4 +106,39 @@ s AS (
   FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+    # every order applied to counts by part and failed filters
+    "op12_filter_audit": r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (
+  SELECT *, list_filter(string_split_regex(t, '[ \t-\r]+'), lambda x: x <> '') AS words, min(doc_id) OVER (PARTITION BY t) AS first_id FROM d),
+f AS (
+  SELECT doc_id, part, len(words) < 200 AS a, 100 * len(list_distinct(words)) < 50 * len(words) AS b,
+         100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) AS c,
+         regexp_matches(t, '[#$%&*|]') AS d, coalesce(first_id < doc_id, false) AS e
+  FROM w),
+l AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+m AS (
+  SELECT part, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS mask, count(*) AS n,
+         count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE bad) AS bad
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit),
+o AS (
+  SELECT x1.x || x2.x || x3.x || x4.x || x5.x AS filter_order, [x1.bit, x2.bit, x3.bit, x4.bit, x5.bit] AS bits
+  FROM x x1, x x2, x x3, x x4, x x5
+  WHERE x1.bit + x2.bit + x3.bit + x4.bit + x5.bit = 31 AND (x1.bit | x2.bit | x3.bit | x4.bit | x5.bit) = 31),
+s AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+  FROM o, range(1, 6) r(step)),
+r AS (
+  SELECT part, filter_order, step, bit,
+         sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+         sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN n ELSE 0 END)::BIGINT AS removed,
+         sum(CASE WHEN mask & before > 0 AND mask & bit > 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+         sum(CASE WHEN mask = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+         sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+         sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN bad ELSE 0 END)::BIGINT AS toxic_lost
+  FROM m, s GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r""",
 }

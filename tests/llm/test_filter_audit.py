@@ -1,0 +1,146 @@
+from __future__ import annotations
+
+import re
+from collections import Counter
+from itertools import permutations
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from martlake.llm import filter_audit, queries
+from tests.llm.conftest import SF
+from tools.oracle_check import rows_canon
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(docs: list[tuple], labels: list[tuple]) -> dict:
+    """docs: (doc_id, text, lang); labels: (doc_id, quality, toxic). Every order applied to every document."""
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
+    fails = []
+    for i, text, _ in docs:
+        text = text or ""
+        words = WORDS.findall(text)
+        fails.append(
+            {
+                "A": len(words) < 200,
+                "B": 100 * len(set(words)) < 50 * len(words),
+                "C": 100 * sum("A" <= c <= "Z" for c in text) > 3 * len(text),
+                "D": any(c in "#$%&*|" for c in text),
+                "E": i is not None and any(j is not None and j < i and (t or "") == text for j, t, _ in docs),
+            }
+        )
+    out = {}
+    shapley: Counter = Counter()
+    for part in {lang or "" for *_, lang in docs}:
+        own = [(i, f) for (i, _, lang), f in zip(docs, fails, strict=True) if (lang or "") == part]
+        for order in map("".join, permutations("ABCDE")):
+            left, gone = own, []
+            for step, letter in enumerate(order, 1):
+                removed = [x for x in left if x[1][letter]]
+                row = {
+                    "kept": len(left) - len(removed),
+                    "removed": len(removed),
+                    "redundant": sum(f[letter] for _, f in gone),
+                    "unique_fails": sum(f[letter] and sum(f.values()) == 1 for _, f in own),
+                    "good_lost": sum(i in good for i, _ in removed),
+                    "toxic_lost": sum(i in toxic for i, _ in removed),
+                }
+                shapley[part, letter] += len(removed)
+                out[part, order, step] = row
+                left, gone = [x for x in left if not x[1][letter]], gone + removed
+    return {key: row | {"shapley": shapley[key[0], key[1][key[2] - 1]]} for key, row in out.items()}
+
+
+def result(df) -> dict:
+    rows = [r.asDict() for r in df.collect()]
+    found = {(r.pop("part"), r.pop("filter_order"), r.pop("step")): r for r in rows}
+    assert len(found) == len(rows)
+    return found
+
+
+LONG = " ".join(f"word{i}" for i in range(220))
+DOCS = [
+    (1, LONG, "en"),
+    (2, LONG, "de"),  # E: same text in another part
+    (2, LONG, "de"),
+    (3, "Short ONE", "en"),
+    (4, None, "en"),
+    (5, "", None),
+    (None, "", "en"),
+    (None, LONG, "fr"),
+    (6, "a b " * 150, "en"),
+    (7, "a b " * 150 + "#", "en"),
+    (7, "the same id, another text", "en"),
+    (8, "é ß\x0bÀ " * 90, "de"),
+    (9, LONG + " ", "en"),  # other white space is another text
+    (10, LONG.upper(), "en"),
+    (-1, "only | symbols $", ""),
+    (11, "only | symbols $", "en"),
+]
+LABELS = [(1, 1, 0), (2, 0, 1), (2, 1, 0), (3, None, 1), (None, 1, 1), (9, 1, 1), (7, 1, None), (99, 1, 1)]
+
+
+def write(spark, path, docs, labels) -> str:
+    spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, lang string, mask string").write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    return str(path)
+
+
+def test_query_equals_brute_force(spark, tmp_path):
+    path = write(spark, tmp_path, DOCS, LABELS)
+    found = result(queries.QUERIES["op12_filter_audit"](spark, path))
+    assert found == brute(DOCS, LABELS)
+    assert {p for p, *_ in found} == {"", "de", "en", "fr"} and len(found) == 4 * 120 * 5
+
+
+def test_query_equals_sql(spark, tmp_path):
+    path = write(spark, tmp_path, DOCS, LABELS)
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}/{t}.parquet/*.parquet')")
+    want = con.sql(queries.ORACLE_SQL["op12_filter_audit"])
+    df = queries.QUERIES["op12_filter_audit"](spark, path)
+    assert sorted(df.columns) == sorted(want.columns)
+    assert rows_canon(df.columns, [tuple(r) for r in df.collect()]) == rows_canon(want.columns, want.fetchall())
+
+
+def test_given_documents(spark, tables):
+    docs = [(d["doc_id"], d["text"], d["lang"]) for d in tables("documents")]
+    first: dict = {}
+    for i, text, _ in docs:
+        first[text] = min(i, first.get(text, i))
+    failed = filter_audit.failures(spark.read.parquet(f"{SF}/documents.parquet"))
+    rows = {r.doc_id: (r.mask, r.n) for r in failed.collect()}
+    assert {i for i, (mask, _) in rows.items() if mask & 16} == {i for i, text, _ in docs if first[text] < i}
+    assert all(n == 1 for _, n in rows.values()) and len(rows) == len(docs)
+
+
+def test_crowded_filter_stays_exact(spark):
+    # far more texts than the cells of one block can tell apart
+    docs = spark.range(60_000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.when(F.col("id") % 10 == 0, F.col("id") % 1000).otherwise(F.col("id")).cast("string")).alias("text"), F.lit("en").alias("lang")
+    )
+    cleared = filter_audit.with_possible_repeats(docs, 1).filter("not possible")
+    assert 0 < cleared.count() < 40_000
+    wide = filter_audit.with_possible_repeats(docs, 64)
+    assert wide.filter("possible and doc_id % 10 > 0").count() < 54_000 * 0.02
+    assert wide.filter("not possible and doc_id % 10 = 0").count() == 0
+    for blocks in (1, 64):
+        late = filter_audit.failures(docs, most_blocks=blocks).filter("mask >= 16")
+        assert late.filter("doc_id % 10 = 0 and doc_id >= 1000").count() == late.count() == 5_900
+
+
+def test_only_possible_repeats_are_shuffled(spark):
+    docs = spark.createDataFrame([(1, "unique words"), (2, "twice"), (3, "twice")], "doc_id long, text string")
+    rows = {r.doc_id: r.possible for r in filter_audit.with_possible_repeats(docs, 1).collect()}
+    assert rows == {1: False, 2: True, 3: True}
+
+
+@pytest.mark.parametrize("labels", [[], LABELS])
+def test_empty_tables(spark, tmp_path, labels):
+    assert result(queries.QUERIES["op12_filter_audit"](spark, write(spark, tmp_path / "a", [], labels))) == {}
+    docs = [(1, "A", "en")]
+    assert result(queries.QUERIES["op12_filter_audit"](spark, write(spark, tmp_path / "b", docs, []))) == brute(docs, [])
