@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import curves, exact_topk, filter_audit, html_text, jaccard_join, packing, periodic_runs, pii, quality, sentencepiece_bpe, toxicity, warc
+from martlake.llm import curves, exact_topk, filter_audit, html_text, jaccard_join, packing, periodic_runs, pii, quality, sentencepiece_bpe, token_counts, toxicity, warc
 from martlake.llm.common import scratch_path, small_arrow_batches, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
+TOKEN_LIMIT = 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +71,13 @@ def op10_curve_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curves.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a cache of its own, empty at first: the query's work doesn't depend on earlier ones
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.with_token_counts(docs, PIECE_BPE, scratch_path(spark, "token-cache"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = filter_audit.failures(table(spark, sf_dir, "documents"))
     return filter_audit.audit(filter_audit.mask_counts(failed, table(spark, sf_dir, "labels")))
@@ -90,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op8_html_text": op8_html_text,
     "op9_quality": op9_quality,
     "op10_curve_neighbours": op10_curve_neighbours,
+    "op11_token_counts": op11_token_counts,
     "op12_filter_audit": op12_filter_audit,
     "op13_periodic_runs": op13_periodic_runs,
 }
