@@ -10,9 +10,9 @@ is bounded by the calendar, never by the order volume.
   which the residuals are folded.
 * ``holt_winters_fixed`` smooths each series with given parameters: a fold over
   the series' array in JVM expressions.
-* ``holt_winters_forecast`` searches the parameters first (numpy, one task for
-  each series and starting value, so that a single series spreads too) and then
-  smooths with ``holt_winters_fixed``.
+* ``holt_winters_forecast`` searches the parameters first (``smoothing_search``:
+  many series at once in numpy, spread over all tasks) and then smooths in the
+  same way.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlake.functions.dates import day_ordinal
+from martlake.operators.smoothing_search import search
 
 # The parameter search runs on workers that need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -150,71 +151,6 @@ def choose_season(n: int, season: int | None) -> int | None:
     return season
 
 
-_GRID = np.linspace(0.05, 0.95, 10)
-LIMITS = (0.001, 0.999)
-TOLERANCE = 1e-4  # of the parameters
-
-
-def one_step_errors(y: np.ndarray, alpha, beta, gamma, season: int | None) -> np.ndarray:
-    """Sum of squared one-step errors for arrays of parameter triples.
-
-    Additive trend, optional additive season.  Start values: level = mean of
-    the first cycle (first point without season), trend = mean difference
-    between the first two cycles per step (first difference without season),
-    seasonal indices = first cycle minus its mean.
-    """
-    g = alpha.shape[0]
-    if season:
-        m = season
-        level = np.full(g, y[:m].mean())
-        trend = np.full(g, (y[m : 2 * m].mean() - y[:m].mean()) / m)
-        seas = np.tile(y[:m] - y[:m].mean(), (g, 1))
-    else:
-        level = np.full(g, y[0])
-        trend = np.full(g, y[1] - y[0])
-    sse = np.zeros(g)
-    for t, obs in enumerate(y):
-        s = seas[:, t % season] if season else 0.0
-        err = obs - (level + trend + s)
-        sse += err * err
-        new_level = alpha * (obs - s) + (1 - alpha) * (level + trend)
-        trend = beta * (new_level - level) + (1 - beta) * trend
-        if season:
-            seas[:, t % season] = gamma * (obs - new_level) + (1 - gamma) * s
-        level = new_level
-    return sse
-
-
-def grid_point(y: np.ndarray, season: int | None, alpha: float) -> tuple[float, float, float, float]:
-    """(alpha, beta, gamma, error) of least one-step error on the grid of beta and gamma."""
-    a, b, c = (x.ravel() for x in np.meshgrid([alpha], _GRID, _GRID if season else [0.0], indexing="ij"))
-    sse = one_step_errors(y, a, b, c, season)
-    k = int(np.argmin(sse))
-    return float(a[k]), float(b[k]), float(c[k]), float(sse[k])
-
-
-def refined(y: np.ndarray, season: int | None, point: tuple[float, float, float, float]) -> tuple[float, float, float, float]:
-    """The point of least error near ``point``.
-
-    A 3-point grid around the best triple moves with it, and halves its step
-    when the triple stays, until the step is below TOLERANCE.
-    """
-    best, least = np.array(point[:3]), point[3]
-    step = (_GRID[1] - _GRID[0]) / 2
-    while step > TOLERANCE:
-        around = [np.unique(np.clip(x + np.array([-step, 0.0, step]), *LIMITS)) for x in best]
-        if not season:
-            around[2] = np.array([0.0])
-        a, b, c = (x.ravel() for x in np.meshgrid(*around, indexing="ij"))
-        sse = one_step_errors(y, a, b, c, season)
-        k = int(np.argmin(sse))
-        if sse[k] < least:
-            best, least = np.array([a[k], b[k], c[k]]), sse[k]
-        else:
-            step /= 2
-    return float(best[0]), float(best[1]), float(best[2]), float(least)
-
-
 def _series_arrays(weekly: DataFrame, time_col: str, value_col: str, keys: Sequence[str], season, fill_gaps: bool) -> tuple[DataFrame, list[str]]:
     """One row per series: ``times`` and ``ys`` in time order, length ``n`` and season ``m`` (0: none).
 
@@ -341,26 +277,40 @@ def holt_winters_forecast(
     series (``type = Actual``) and ``horizon`` weekly forecast rows per series
     with at least 12 points that have a value.
 
-    The grid of smoothing parameters is searched for each value of alpha in a
-    row of its own, so that one series spreads over tasks too; the best point
-    of each series is then refined.
+    The parameters of all series are searched side by side (``smoothing_search``),
+    dealt over as many tasks as the cluster runs at once.
     """
     season = _check_ranges(horizon, season)
     arrays, own = _series_arrays(weekly, time_col, value_col, keys, season, fill_gaps)
-    point = T.StructType([T.StructField(c, T.DoubleType()) for c in ("alpha", "beta", "gamma", "error")])
-
-    def fitted(rows: DataFrame, fit) -> DataFrame:
-        def run(batches):
-            for batch in batches:
-                found = [fit(row) for row in batch.itertuples(index=False)]
-                points = pd.DataFrame(found, columns=point.names, index=batch.index, dtype=float)
-                yield pd.concat([batch.drop(columns=[c for c in point.names if c in batch]), points], axis=1)
-
-        kept_fields = [f for f in rows.schema.fields if f.name not in point.names]
-        return rows.select([f.name for f in kept_fields] + [c for c in point.names if c in rows.columns]).mapInPandas(run, T.StructType(kept_fields + point.fields))
-
-    spread = arrays.select(*own, "times", "ys", "n", "m", F.explode(F.array(*[F.lit(float(a)) for a in _GRID])).alias("alpha"))
-    grid = fitted(spread.repartition(*own, "alpha"), lambda r: grid_point(np.asarray(r.ys, float), int(r.m) or None, r.alpha))
-    best = grid.groupBy(*own).agg(F.min_by(F.struct("times", "ys", "n", "m", *point.names), F.struct("error", "alpha")).alias("b")).select(*own, "b.*")
-    best = fitted(best, lambda r: refined(np.asarray(r.ys, float), int(r.m) or None, (r.alpha, r.beta, r.gamma, r.error)))
-    return _with_actuals(weekly, _smoothed(best, own, horizon, z), time_col, value_col, keys)
+    return _with_actuals(weekly, _smoothed(fitted(arrays, own), own, horizon, z), time_col, value_col, keys)
+
+
+def fitted(arrays: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Series (``ys``, season ``m``) with the parameters of least squared one-step error: alpha, beta, gamma, error.
+
+    The number of partitions is given, so that adaptive execution, which sees few
+    bytes, doesn't gather the series in one task.
+    """
+    names = ["alpha", "beta", "gamma", "error"]
+    tasks = arrays.sparkSession.sparkContext.defaultParallelism
+    rows = arrays.select(*[F.col(f"`{c}`") for c in arrays.columns if c not in names]).repartition(tasks, *keys)
+
+    def run(batches):
+        for batch in batches:
+            found = search([np.asarray(y, float) for y in batch["ys"]], batch["m"].tolist())
+            yield pd.concat([batch, pd.DataFrame(found, columns=names, index=batch.index)], axis=1)
+
+    return rows.mapInPandas(run, T.StructType(rows.schema.fields + [T.StructField(c, T.DoubleType()) for c in names]))
+
+
+def holt_winters_parameters(
+    weekly: DataFrame,
+    time_col: str = "week",
+    value_col: str = "revenue",
+    keys: Sequence[str] = (),
+    season: int | None | str = "auto",
+    fill_gaps: bool = False,
+) -> DataFrame:
+    """The parameters that ``holt_winters_forecast`` smooths with: keys, weeks, season (0: none), alpha, beta, gamma, squared_error."""
+    arrays, own = _series_arrays(weekly, time_col, value_col, keys, season or None, fill_gaps)
+    return fitted(arrays, own).select(*own, F.col("n").alias("weeks"), F.col("m").alias("season"), "alpha", "beta", "gamma", F.col("error").alias("squared_error"))

@@ -39,6 +39,8 @@ BATCH_1 = dt.datetime(2024, 1, 1)
 BATCH_2 = dt.datetime(2024, 2, 1)
 W = Window.of("1996-01-01", "2000-12-31", [f"NATION_{i}" for i in range(10)])
 W_ALL = Window.of("1900-01-01", "2100-12-31")
+W_QUARTERS = Window.of("1997-01-06", "1997-09-07")  # 35 weeks: the automatic season is 13
+W_SHORT = Window.of("1997-01-06", "1997-06-29")  # 25 weeks: the automatic season is 12
 DRILL_COHORT, DRILL_MONTH = "1995-01", 14
 DRILL_WINDOWED = ("1996-03", 2)
 RFM_K = 4
@@ -179,16 +181,25 @@ def _exported_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def _hw_fixed(season: int | None | str) -> Query:
+def _hw_fixed(season: int | None | str, window: Window = W) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         m = marts(spark, sf_dir)
-        weekly = metrics.weekly_revenue(m.fct_orders, m.dim_customers, W)
+        weekly = metrics.weekly_revenue(m.fct_orders, m.dim_customers, window)
         out = forecast.holt_winters_fixed(weekly, *HW_FIXED, season=season)
         return out.select("series", "time", *[F.round(c, 2).alias(c) for c in ("revenue", "lower", "upper")], "type", "model")
 
     return run
 
 
+def _hw_parameters(season: int | None | str, window: Window) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        m = marts(spark, sf_dir)
+        out = forecast.holt_winters_parameters(metrics.weekly_revenue(m.fct_orders, m.dim_customers, window), season=season)
+        return out.select("series", "weeks", "season", *[F.round(c, 4).alias(c) for c in ("alpha", "beta", "gamma")], F.round("squared_error", 0).alias("squared_error"))
+
+    return run
+
+
 def _dq_failing(kind: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         wh = warehouse(spark, sf_dir)
@@ -323,12 +334,16 @@ QUERIES: dict[str, Query] = {
     "rfm_transition_shares": _cluster_query(segments.transition_shares),
     "transition_labels": _cluster_query(lambda c: segments.transition_labels(segments.transition_shares(c))),
     "transition_totals": _transition_totals,
-    # Step 10: Holt-Winters (no SQL oracle: iterative fit)
+    # Step 10: Holt-Winters (searches of long series have no SQL oracle; shorter ones and given parameters do)
     "holt_winters_forecast": _mart_query(
         lambda wh: forecast.holt_winters_forecast(metrics.weekly_revenue(wh.fct_orders, wh.dim_customers, W))
     ),
     "holt_winters_fixed": _hw_fixed("auto"),
     "holt_winters_fixed_trend": _hw_fixed(None),
+    "holt_winters_fixed_quarter": _hw_fixed("auto", W_QUARTERS),
+    "holt_winters_fixed_short": _hw_fixed("auto", W_SHORT),
+    "holt_winters_parameters": _hw_parameters("auto", W_QUARTERS),
+    "holt_winters_parameters_trend": _hw_parameters(None, W_ALL),
     "holt_winters_by_city": _mart_query(_hw_by_city),
     "holt_winters_by_city_category": _mart_query(_hw_by_city_category),
     # Step 11: calendar and labels

@@ -19,6 +19,8 @@ from martlake.plans.catalog import (
     TOP_N,
     W,
     W_ALL,
+    W_QUARTERS,
+    W_SHORT,
 )
 from martlake.functions.dates import window_split_day
 
@@ -238,37 +240,87 @@ WHERE order_date >= {target} AND order_date < {target} + INTERVAL 1 MONTH
 ORDER BY customer_id, order_id LIMIT 1000"""
 
 
-def holt_winters_sql(season: int) -> str:
-    """The smoothing recursion with given parameters, a step for each week; season 0 is none."""
+def holt_winters_ctes(window, season: str) -> str:
+    """Weekly series of a window, and how many weeks a fitted season has (0: none); ``season`` is SQL of the wanted one."""
+    return f"""
+weekly AS (SELECT CAST(date_trunc('week', order_date) AS DATE) AS week, CAST(SUM(revenue_euro) AS DOUBLE) AS y FROM ({fw(window)}) GROUP BY 1),
+counted_weeks AS (SELECT list(y ORDER BY week) AS ys, MAX(week) AS last_week, COUNT(*) AS n FROM weekly),
+whole AS (SELECT *, CAST(CASE WHEN {season} >= 2 AND 2 * {season} <= n THEN {season} ELSE 0 END AS INTEGER) AS m FROM counted_weeks WHERE n >= 12)"""
+
+
+AUTO_SEASON = "(CASE WHEN n >= 52 THEN 52 WHEN n >= 26 THEN 13 ELSE 12 END)"
+# level, trend and seasonal indices before the first week
+HW_START = """CASE WHEN m > 0 THEN list_sum(ys[1:m]) / m ELSE ys[1] END AS level,
+         CASE WHEN m > 0 THEN (list_sum(ys[m + 1:2 * m]) / m - list_sum(ys[1:m]) / m) / m ELSE ys[2] - ys[1] END AS trend,
+         CASE WHEN m > 0 THEN list_transform(ys[1:m], lambda v: v - list_sum(ys[1:m]) / m) ELSE CAST([] AS DOUBLE[]) END AS seas"""
+
+
+def holt_winters_sql(window, season: str) -> str:
+    """The smoothing recursion with given parameters, a step for each week."""
     a, b, g = HW_FIXED
-    m = season
-    mean1, mean2 = f"list_sum(ys[1:{m}]) / {m}", f"list_sum(ys[{m + 1}:{2 * m}]) / {m}"
-    if m:
-        start = f"{mean1} AS level, ({mean2} - {mean1}) / {m} AS trend, list_transform(ys[1:{m}], lambda v: v - {mean1}) AS seas"
-        s, season_at = "seas[t + 1]", f"seas[n + (h - 1) % {m} + 1]"
-    else:
-        start, s, season_at = "ys[1] AS level, ys[2] - ys[1] AS trend, CAST([] AS DOUBLE[]) AS seas", "0.0", "0.0"
-    model = "trend+season" if m else "trend"
     return q(
-        f"""
+        """
 SELECT 'all' AS series, week AS time, ROUND(y, 2) AS revenue, CAST(NULL AS DOUBLE) AS lower, CAST(NULL AS DOUBLE) AS upper,
        'Actual' AS type, CAST(NULL AS VARCHAR) AS model FROM weekly
 UNION ALL
 SELECT 'all', CAST(last_week + CAST(7 * h AS INTEGER) AS DATE), ROUND(value, 2), ROUND(value - 1.96 * se, 2),
-       ROUND(value + 1.96 * se, 2), 'Forecast', '{model}'
-FROM (SELECT last_week, h, level + h * trend + {season_at} AS value,
+       ROUND(value + 1.96 * se, 2), 'Forecast', CASE WHEN m > 0 THEN 'trend+season' ELSE 'trend' END
+FROM (SELECT last_week, h, m, level + h * trend + CASE WHEN m > 0 THEN seas[n + (h - 1) % m + 1] ELSE 0.0 END AS value,
              sqrt(list_sum(list_transform(errs, lambda e: (e - list_sum(errs) / n) * (e - list_sum(errs) / n))) / n) AS se
       FROM steps, whole, range(1, 13) r(h) WHERE t = n)""",
-        f"""
-weekly AS (SELECT CAST(date_trunc('week', order_date) AS DATE) AS week, CAST(SUM(revenue_euro) AS DOUBLE) AS y FROM ({fw(W)}) GROUP BY 1),
-whole AS (SELECT list(y ORDER BY week) AS ys, MAX(week) AS last_week, COUNT(*) AS n FROM weekly),
+        f"""{holt_winters_ctes(window, season)},
 steps AS (
-  SELECT CAST(0 AS BIGINT) AS t, {start}, CAST([] AS DOUBLE[]) AS errs FROM whole
+  SELECT CAST(0 AS BIGINT) AS t, {HW_START}, CAST([] AS DOUBLE[]) AS errs FROM whole
   UNION ALL
   SELECT t + 1, new_level, {b} * (new_level - level) + (1 - {b}) * trend,
          list_append(seas, {g} * (y - new_level) + (1 - {g}) * s), list_append(errs, y - (level + trend + s))
   FROM (SELECT *, {a} * (y - s) + (1 - {a}) * (level + trend) AS new_level
-        FROM (SELECT steps.*, ys[t + 1] AS y, {s} AS s FROM steps, whole WHERE t < n)))""",
+        FROM (SELECT steps.*, ys[t + 1] AS y, CASE WHEN m > 0 THEN seas[t + 1] ELSE 0.0 END AS s FROM steps, whole WHERE t < n)))""",
+    )
+
+
+def holt_winters_search_sql(window, season: str) -> str:
+    """The search for the parameters: the best of a grid, then rounds of 27 points around the best one."""
+    # what is left of a week's value after level, trend and the season's index; the index comes first in seas
+    index = "CASE WHEN m > 0 THEN s.seas[1] ELSE 0.0 END"
+    off = f"(x.y - s.level - s.trend - {index})"
+
+    def error(a: str, b: str, g: str) -> str:
+        return f"""list_reduce(
+      list_transform(ys, lambda y: {{'y': y, 'level': 0.0::DOUBLE, 'trend': 0.0::DOUBLE, 'seas': CAST([] AS DOUBLE[]), 'total': 0.0::DOUBLE}}),
+      lambda s, x: {{'y': x.y, 'level': s.level + s.trend + {a} * {off}, 'trend': s.trend + {b} * {a} * {off},
+                    'seas': CASE WHEN m > 0 THEN list_append(s.seas[2:], {index} + {g} * (1 - {a}) * {off}) ELSE s.seas END,
+                    'total': s.total + {off} * {off}}},
+      {{'y': 0.0::DOUBLE, 'level': level::DOUBLE, 'trend': trend::DOUBLE, 'seas': seas, 'total': 0.0::DOUBLE}}).total"""
+
+    return q(
+        """
+SELECT 'all' AS series, CAST(n AS INTEGER) AS weeks, m AS season, ROUND(a, 4) AS alpha, ROUND(b, 4) AS beta, ROUND(g, 4) AS gamma,
+       ROUND(least_error, 0) AS squared_error
+FROM rounds WHERE step <= 1e-4""",
+        f"""{holt_winters_ctes(window, season)},
+began AS (SELECT *, {HW_START} FROM whole),
+grid AS (SELECT CAST(0.05 + 0.1 * i AS DOUBLE) AS v FROM range(10) r(i)),
+tried AS (
+  SELECT began.*, x.v AS a, y.v AS b, z.v AS g FROM began, grid x, grid y, (SELECT v FROM grid UNION ALL SELECT 0.0) z
+  WHERE (m > 0) = (z.v > 0)),
+first_round AS (
+  SELECT * FROM (SELECT *, {error('a', 'b', 'g')} AS least_error, CAST(0.05 AS DOUBLE) AS step FROM tried)
+  ORDER BY least_error, a, b, g LIMIT 1),
+rounds AS (
+  SELECT * FROM first_round
+  UNION ALL
+  SELECT ys, last_week, n, m, level, trend, seas,
+         CASE WHEN p.e < least_error THEN p.a ELSE a END, CASE WHEN p.e < least_error THEN p.b ELSE b END,
+         CASE WHEN p.e < least_error THEN p.g ELSE g END, least(p.e, least_error),
+         CASE WHEN p.e < least_error THEN least(2 * step, 0.05) ELSE step / 2 END
+  FROM (
+    SELECT * EXCLUDE (na, nb, ng, e), list({{'e': e, 'a': na, 'b': nb, 'g': ng}} ORDER BY e, na, nb, ng)[1] AS p
+    FROM (SELECT *, {error('na', 'nb', 'ng')} AS e
+          FROM (SELECT rounds.*, least(greatest(a + i * step, 0.001), 0.999) AS na, least(greatest(b + j * step, 0.001), 0.999) AS nb,
+                       CASE WHEN m > 0 THEN least(greatest(g + k * step, 0.001), 0.999) ELSE 0.0 END AS ng
+                FROM rounds, range(-1, 2) x(i), range(-1, 2) y(j), range(-1, 2) z(k) WHERE step > 1e-4 AND (m > 0 OR k = 0)))
+    GROUP BY ALL))""",
     )
 
 
@@ -477,8 +529,12 @@ FROM ({fw(W_ALL)}) x GROUP BY 1 ORDER BY 1"""
     "cohort_retention_history": q(COHORT_SELECT, SECOND_LOAD + "," + cohort_ctes(W, "dim_customers_history")),
     "rfm_aligned_end_date": q("SELECT * FROM rfm_wide", rfm_ctes(W, missing="end_date")),
     "cohort_drilldown_windowed": q(drilldown_sql(*DRILL_WINDOWED, fw(W))),
-    "holt_winters_fixed": holt_winters_sql(52),
-    "holt_winters_fixed_trend": holt_winters_sql(0),
+    "holt_winters_fixed": holt_winters_sql(W, AUTO_SEASON),
+    "holt_winters_fixed_trend": holt_winters_sql(W, "0"),
+    "holt_winters_parameters": holt_winters_search_sql(W_QUARTERS, AUTO_SEASON),
+    "holt_winters_parameters_trend": holt_winters_search_sql(W_ALL, "0"),
+    "holt_winters_fixed_quarter": holt_winters_sql(W_QUARTERS, AUTO_SEASON),
+    "holt_winters_fixed_short": holt_winters_sql(W_SHORT, AUTO_SEASON),
     "transition_totals": q(
         "SELECT COUNT(*) AS customers, CAST(0 AS BIGINT) AS uneven_rows, COUNT(*) FILTER (WHERE frequency_a > 0) AS active_a, "
         "COUNT(*) FILTER (WHERE frequency_b > 0) AS active_b FROM rfm_wide",

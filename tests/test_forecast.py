@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 import math
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from martlake.operators import forecast
+from martlake.operators import forecast, smoothing_search
+from martlake.operators.smoothing_search import GRID, LIMITS, TOLERANCE, search
 
 
 def _monthly(spark, n, slope=1000.0, intercept=50.0):
@@ -149,16 +151,65 @@ def test_fixed_parameters_follow_the_recursion(spark, season):
     assert np.allclose([r.upper - r.revenue for r in out], 1.96 * se)
 
 
-def test_search_reaches_a_minimum():
-    rng = np.random.default_rng(2)
-    y = 1000 + 5 * np.arange(60) + 100 * np.sin(2 * np.pi * np.arange(60) / 13) + rng.normal(0, 30, 60)
-    best = min((forecast.grid_point(y, 13, a) for a in forecast._GRID), key=lambda p: p[3])
-    a, b, g, error = forecast.refined(y, 13, best)
-    assert error <= best[3] and np.isclose(error, _plain_holt_winters(list(y), a, b, g, 13, 1)[2])
-    for step in np.array([[1, 0, 0], [0, 1, 0], [0, 0, 1]]) * 2 * forecast.TOLERANCE:
+def _plain_search(y, m):
+    """The search for one series, a point at a time."""
+    error = lambda p: _plain_holt_winters(list(y), *p, m, 1)[2]
+    best = min(itertools.product(GRID, GRID, GRID if m else [0.0]), key=error)
+    widest = (GRID[1] - GRID[0]) / 2
+    least, step = error(best), widest
+    while step > TOLERANCE:
+        around = [np.clip([x - step, x, x + step], *LIMITS) for x in best]
+        if not m:
+            around[2] = [0.0]
+        point = min(itertools.product(*around), key=error)
+        if error(point) < least:
+            best, least, step = point, error(point), min(2 * step, widest)
+        else:
+            step /= 2
+    return (*best, least)
+
+
+def _noisy(n, m, seed):
+    rng = np.random.default_rng(seed)
+    t = np.arange(n)
+    return 1000 + rng.normal(0, 5) * t + rng.uniform(0, 150) * np.sin(2 * np.pi * t / (m or 9)) + rng.normal(0, 30, n)
+
+
+def test_search_of_many_series_equals_the_plain_one():
+    shapes = [(30, 13), (41, 13), (26, 13), (24, 12), (25, 12), (12, 0), (23, 0), (40, 0), (30, 13), (60, 4)]
+    series = [_noisy(n, m, i) for i, (n, m) in enumerate(shapes)]
+    found = search(series, [m for _, m in shapes])
+    for y, (_, m), got in zip(series, shapes, found, strict=True):
+        want = _plain_search(y, m)
+        assert np.allclose(got[:3], want[:3], atol=1e-9) and np.isclose(got[3], want[3])
+
+
+def test_search_reaches_a_minimum(monkeypatch):
+    y = _noisy(60, 13, 2)
+    (a, b, g, error), *_ = whole = search([y] * 5, [13] * 5)
+    assert np.isclose(error, _plain_holt_winters(list(y), a, b, g, 13, 1)[2])
+    for step in np.array([[1, 0, 0], [0, 1, 0], [0, 0, 1]]) * 2 * TOLERANCE:
         for sign in (-1, 1):
-            p = np.clip(np.array([a, b, g]) + sign * step, *forecast.LIMITS)
+            p = np.clip(np.array([a, b, g]) + sign * step, *LIMITS)
             assert _plain_holt_winters(list(y), *p, 13, 1)[2] >= error * (1 - 1e-6)
+    monkeypatch.setattr(smoothing_search, "TOGETHER", 2)
+    assert np.array_equal(search([y] * 5, [13] * 5), whole)
+
+
+def test_series_are_searched_in_all_tasks(spark):
+    weeks = F.explode(F.sequence(F.lit(0), F.lit(39))).alias("t")
+    rows = spark.range(100).select("id", weeks).select(
+        "id", F.date_add(F.lit("2020-01-06").cast("date"), 7 * F.col("t")).alias("week"), (F.rand(1) * 100 + F.col("t")).alias("revenue")
+    )
+    arrays, keys = forecast._series_arrays(rows, "week", "revenue", ["id"], "auto", False)
+    found = forecast.fitted(arrays, keys)
+    counts = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(counts) == 100 and len(counts) == spark.sparkContext.defaultParallelism and max(counts) < 50
+
+
+def test_fit_of_no_series(spark):
+    out = forecast.holt_winters_forecast(_weekly(spark, 30).limit(0), keys=["k"])
+    assert out.collect() == []
 
 
 def test_series_without_values_are_left_out(spark):
