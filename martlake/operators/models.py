@@ -59,18 +59,39 @@ def order_totals(raw_order_items: DataFrame) -> DataFrame:
     )
 
 
+def order_pairs(raw_order_items: DataFrame) -> DataFrame:
+    """Items and cents of each product in each order: a hot order or product never moves as raw rows."""
+    return raw_order_items.groupBy("order_id", "product_id").agg(
+        F.sum("amount_cents").alias("amount_cents"), F.count(F.lit(1)).alias("items")
+    )
+
+
+def pair_totals(pairs: DataFrame) -> DataFrame:
+    """``order_totals`` of the items that ``order_pairs`` summed."""
+    return pairs.groupBy("order_id").agg(
+        F.sum(F.when(F.col("product_id").isNotNull(), F.col("items")).otherwise(0)).alias("num_items"),
+        F.sum("amount_cents").alias("total_revenue_cents"),
+    )
+
+
 def fct_orders(stg: DataFrame, raw_order_items: DataFrame) -> DataFrame:
     """Order fact (M4): one row per staged order, items pre-aggregated.
 
-    Orders without items keep quantity 0 and revenue 0.00.  The per-order
-    item totals grow with the fact itself (one row per order), so the join is
-    pinned to a shuffle sort-merge join: a size estimate of a filtered or
-    small sample must never turn it into a broadcast of a fact-sized table.
+    Orders without items keep quantity 0 and revenue 0.00.
+    """
+    return fct_of_totals(stg, order_totals(raw_order_items))
+
+
+def fct_of_totals(stg: DataFrame, totals: DataFrame) -> DataFrame:
+    """The order fact from staged orders and the totals of their items.
+
+    The per-order totals grow with the fact itself (one row per order), so the
+    join is pinned to a shuffle sort-merge join: a size estimate of a filtered
+    or small sample must never turn it into a broadcast of a fact-sized table.
     Both sides end up hash-partitioned on ``order_id``; the aggregate's output
     partitioning is reused by the join, so the fact costs two exchanges.
     """
-    agg = order_totals(raw_order_items)
-    return stg.join(agg.hint("merge"), "order_id", "left").select(
+    return stg.join(totals.hint("merge"), "order_id", "left").select(
         "order_id",
         "customer_id",
         "order_date",
@@ -94,20 +115,14 @@ def dim_customers(snapshot: DataFrame, attributes: Sequence[str] = DIM_CUSTOMER_
     return snapshot.select(*cols)
 
 
-def order_product_facts(raw_order_items: DataFrame, fct: DataFrame) -> DataFrame:
+def order_product_facts(pairs: DataFrame, fct: DataFrame) -> DataFrame:
     """Item revenue per (order, product) with the order's customer and date.
 
     The product ranking (M9) joins items with the order fact; materialised
     once as a mart, that join no longer runs per query and the order date
-    lets a window prune item rows.  Items are summed per (order, product)
-    first (partial aggregation: a hot order or product never moves as raw
-    rows), then joined with the fact: an inner join that keeps the original
-    join's multiplicity.
+    lets a window prune item rows.  ``pairs`` are the items summed by
+    ``order_pairs``; the inner join keeps the original join's multiplicity.
     """
-    per_pair = raw_order_items.groupBy("order_id", "product_id").agg(
-        F.sum("amount_cents").alias("amount_cents"), F.count(F.lit(1)).alias("items")
-    )
-    return per_pair.join(fct.select("order_id", "customer_id", "order_date"), "order_id").select(
+    return pairs.join(fct.select("order_id", "customer_id", "order_date"), "order_id").select(
         "order_id", "product_id", "customer_id", "order_date", "amount_cents", "items"
     )
-

@@ -14,7 +14,6 @@ import uuid
 from collections.abc import Callable
 from functools import lru_cache, reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,9 +29,10 @@ from martlake.operators.filters import (
     split_by_tag,
 )
 from martlake.plans import sql_views
-from martlake.plans.warehouse import Marts, Warehouse, build_warehouse, materialize_marts, read_marts, resolve_view_params
+from martlake.plans.warehouse import Marts, Warehouse, build_warehouse, published_marts, resolve_view_params
 from martlake.session import cut_lineage, ensure_checkpoint_dir
-from martlake.sources import tables, testdata
+from martlake.sources import history, tables, testdata
+from martlake.sources.versions import Versions
 
 # Fixed parameters of the registered queries (FIXTURES.md section 3).
 BATCH_1 = dt.datetime(2024, 1, 1)
@@ -47,7 +47,7 @@ RFM_K = 4
 DECAY_N = 6
 TOP_N = 100
 HW_FIXED = (0.3, 0.1, 0.2)  # smoothing parameters of the checked forecast
-MART_LAYOUT = 1  # changes with the columns or the layout of the marts
+MART_LAYOUT = 2  # changes with the columns or the layout of the marts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,10 +75,12 @@ def history_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _listing(spark: SparkSession, sf_dir: str) -> str:
-    """Fingerprint of the raw files: paths, times and sizes, not their contents."""
+    """Fingerprint of the raw files: paths, times and sizes, not their contents. One row reaches the driver."""
     paths = [f"{sf_dir}/{name}.parquet" for name in testdata.TABLES]
-    files = spark.read.format("binaryFile").load(paths).select("path", "modificationTime", "length").collect()  # a row for each file
-    return hashlib.md5(repr((MART_LAYOUT, sorted(map(tuple, files)))).encode()).hexdigest()
+    files = spark.read.format("binaryFile").load(paths).select("path", "modificationTime", "length")
+    hashes = [F.xxhash64(F.lit(seed), "path", F.col("modificationTime").cast("long"), "length") for seed in (0, 1)]
+    row = files.agg(F.count("*"), F.sum("length"), F.max("modificationTime").cast("string"), *[F.bit_xor(h) for h in hashes]).first()
+    return hashlib.md5(repr((MART_LAYOUT, sf_dir, *row)).encode()).hexdigest()
 
 
 def marts(spark: SparkSession, sf_dir: str) -> Marts:
@@ -87,19 +89,15 @@ def marts(spark: SparkSession, sf_dir: str) -> Marts:
     Dashboard queries read these tables, as the original dashboard reads the
     tables of the warehouse run; the model queries above still build from raw.
     The folder is named after the raw files, so that every session reads one
-    copy and changed files get new marts.
+    copy and changed files get new marts; marts that were not written to the end
+    are not published, and written again.
     """
     return _marts(spark, sf_dir, _listing(spark, sf_dir))
 
 
 @lru_cache(maxsize=16)
 def _marts(spark: SparkSession, sf_dir: str, listing: str) -> Marts:
-    path = os.path.join(ensure_checkpoint_dir(spark), "martlake-marts", listing)
-    wh = warehouse(spark, sf_dir)
-    try:
-        return read_marts(spark, path, wh.raw_order_items)
-    except AnalysisException:  # not written yet, or not to the end
-        return materialize_marts(wh, path)
+    return published_marts(warehouse(spark, sf_dir), os.path.join(ensure_checkpoint_dir(spark), "martlake-marts", listing))
 
 
 def _wh_query(fn: Callable[[Warehouse], DataFrame]) -> Query:
@@ -148,10 +146,16 @@ def _scratch(spark: SparkSession, name: str) -> str:
 
 
 def _written_raw(spark: SparkSession, sf_dir: str) -> str:
-    path = _scratch(spark, "raw")
-    for name, df in testdata.raw_tables(spark, sf_dir).items():
-        tables.write_table(df, os.path.join(path, name))
-    return path
+    """The folder of the four raw tables, written once for the driver's files as they are now."""
+    versions = Versions(spark, os.path.join(ensure_checkpoint_dir(spark), "martlake-raw", _listing(spark, sf_dir)))
+    manifest = versions.current()
+    if manifest is None:
+        version, raw = versions.new(), testdata.raw_tables(spark, sf_dir)
+        for name, df in raw.items():
+            tables.write_table(df, versions.path(version, name))
+        versions.publish(version, list(raw))
+        manifest = versions.current()
+    return versions.folder(manifest["version"])
 
 
 def _registered_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +167,10 @@ def _registered_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _build_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = build_warehouse(spark, _written_raw(spark, sf_dir), _scratch(spark, "warehouse"), BATCH_1)
+    out = os.path.join(ensure_checkpoint_dir(spark), "martlake-build", _listing(spark, sf_dir))
+    rows = build_warehouse(spark, _written_raw(spark, sf_dir), out, BATCH_1)
+    Versions(spark, os.path.join(out, "marts")).expire()
+    history.expire_open(spark, os.path.join(out, "history"))
     return spark.createDataFrame(rows, "check string, model string, column string, failures long, passed boolean")
 
 

@@ -13,13 +13,16 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.operators import models, quality, scd2
 from martlake.operators.filters import Window, default_cities
 from martlake.operators.metrics import date_bounds
+from martlake.sources import history
 from martlake.sources.tables import RAW_SCHEMAS, read_table, write_table
+from martlake.sources.versions import Versions
 
 
 @dataclass(eq=False)
@@ -100,101 +103,122 @@ class Marts:
         }
 
 
-def write_fact_by_date(fct: DataFrame, path: str, unique_key: tuple[str, ...] = ("order_id",)) -> None:
+def write_by_date(df: DataFrame, path: str, unique_key: tuple[str, ...] = ("order_id",)) -> None:
     """Write a fact so date windows skip most of it.
 
-    Range partitioning on (order_date, unique key) gives every file a narrow
-    date range, and sorting inside each partition gives row groups tight
-    min/max statistics, so the window predicate pushed into the scan skips
-    row groups outside **W**.  The unique key in the range key splits a date
-    that holds a large share of all rows over several files.
+    Rows are dealt by month and measured: adaptive execution splits a month that
+    is larger than a file should be and puts small ones together, without the
+    job that samples a range.  Sorting inside each partition gives row groups
+    tight min/max statistics, so the window predicate pushed into the scan skips
+    row groups outside **W**.
     """
-    keys = ["order_date", *unique_key]
-    fct.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+    by_month = df.withColumn("_month", F.trunc("order_date", "month")).hint("rebalance", "_month").drop("_month")
+    by_month.sortWithinPartitions("order_date", *unique_key).write.mode("overwrite").parquet(path)
+
+
+def write_order_marts(stg_orders: DataFrame, raw_order_items: DataFrame, path: str) -> None:
+    """Write the order fact and the (order, product) mart below ``path``.
+
+    Items are read and shuffled once: their sums by order and product are kept
+    (on the executors, spilling to disk; a lost executor's part is made again)
+    while the order totals and the mart's rows are taken from them.
+    """
+    spark = stg_orders.sparkSession
+    pairs = models.order_pairs(raw_order_items).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_by_date(models.fct_of_totals(stg_orders, models.pair_totals(pairs)), os.path.join(path, "fct_orders"))
+        fct = spark.read.parquet(os.path.join(path, "fct_orders"))
+        write_by_date(models.order_product_facts(pairs, fct), os.path.join(path, "order_products"), ("order_id", "product_id"))
+    finally:
+        pairs.unpersist()
 
 
 def materialize_marts(wh: "Warehouse", path: str) -> Marts:
-    """Write the three marts under ``path`` once and return them read back."""
-    spark = wh.fct_orders.sparkSession
+    """Write the marts under ``path`` once and return them read back."""
     write_table(wh.dim_customers, os.path.join(path, "dim_customers"))
     write_table(wh.dim_products, os.path.join(path, "dim_products"))
-    write_fact_by_date(wh.fct_orders, os.path.join(path, "fct_orders"))
-    fct = spark.read.parquet(os.path.join(path, "fct_orders"))
-    write_fact_by_date(
-        models.order_product_facts(wh.raw_order_items, fct),
-        os.path.join(path, "order_products"),
-        ("order_id", "product_id"),
-    )
-    return Marts(
-        fct_orders=fct,
-        dim_customers=spark.read.parquet(os.path.join(path, "dim_customers")),
-        dim_products=spark.read.parquet(os.path.join(path, "dim_products")),
-        raw_order_items=wh.raw_order_items,
-        path=path,
-        order_products=spark.read.parquet(os.path.join(path, "order_products")),
-    )
+    write_order_marts(wh.stg_orders, wh.raw_order_items, path)
+    return _read_folder(wh.raw_orders.sparkSession, path, wh.raw_order_items)
 
 
-def read_marts(spark: SparkSession, marts_dir: str, raw_order_items: DataFrame) -> Marts:
-    """Marts written by a scheduled ``build_warehouse`` run (``<out_dir>/marts``), for dashboard queries."""
+def _read_folder(spark: SparkSession, path: str, raw_order_items: DataFrame, dim_customers: DataFrame | None = None) -> Marts:
+    read = lambda name: spark.read.parquet(os.path.join(path, name))
     return Marts(
-        fct_orders=spark.read.parquet(os.path.join(marts_dir, "fct_orders")),
-        dim_customers=spark.read.parquet(os.path.join(marts_dir, "dim_customers")),
-        dim_products=spark.read.parquet(os.path.join(marts_dir, "dim_products")),
+        fct_orders=read("fct_orders"),
+        dim_customers=read("dim_customers") if dim_customers is None else dim_customers,
+        dim_products=read("dim_products"),
         raw_order_items=raw_order_items,
-        path=marts_dir,
-        order_products=spark.read.parquet(os.path.join(marts_dir, "order_products")),
+        path=path,
+        order_products=read("order_products"),
     )
 
 
+def published_marts(wh: "Warehouse", root: str) -> Marts:
+    """The marts published below ``root``; written and published first where there are none."""
+    spark = wh.raw_orders.sparkSession
+    found = read_marts(spark, root, wh.raw_order_items)
+    if found is None:
+        versions = Versions(spark, root)
+        version = versions.new()
+        materialize_marts(wh, versions.folder(version))
+        versions.publish(version, ["dim_customers", "dim_products", "fct_orders", "order_products"])
+        found = read_marts(spark, root, wh.raw_order_items)
+    return found
+
+
+def read_marts(spark: SparkSession, marts_dir: str, raw_order_items: DataFrame) -> Marts | None:
+    """The marts published last below ``marts_dir`` (``<out_dir>/marts`` of a scheduled build); None where there are none."""
+    versions = Versions(spark, marts_dir)
+    manifest = versions.current()
+    if manifest is None:
+        return None
+    about, dim = manifest["about"], None
+    if "dim_customers" not in manifest["tables"]:
+        dim = models.dim_customers(history.read_staged(spark, about["history"], int(about["batch"]), about["attempt"]))
+    return _read_folder(spark, versions.folder(manifest["version"]), raw_order_items, dim)
+
+
 def build_warehouse(
     spark: SparkSession,
     raw_dir: str,
     out_dir: str,
     batch_ts: dt.datetime | str,
-    previous_snapshot_path: str | None = None,
     fmt: str = "parquet",
 ) -> list:
-    """Read raw tables, snapshot customers, write the marts, enforce the checks.
-
-    The snapshot is always run (defect D11).  Each output is written once to
-    its own folder under ``out_dir`` (the snapshot under a folder named after
-    the batch, so the previous history is never overwritten while read); the
-    marts are then re-read from disk for the checks, which cuts the lineage
-    and makes the checks independent of recomputation.  Raises
-    ``QualityGateError`` when any check fails; returns the report rows.
+    """Read raw tables, snapshot customers, write the marts, enforce the checks, publish.
+
+    The snapshot is always run (defect D11).  What is written stays unseen until
+    the checks have passed:
+
+    * the customers' history in ``<out_dir>/history`` gets an attempt of the next batch,
+      which reads and writes the open versions and appends the newly closed ones;
+    * the marts go to a new version in ``<out_dir>/marts``; the customer dimension
+      is the history as of this batch, so no closed version is copied.
+
+    The checks read both from disk.  Where one fails, ``QualityGateError`` is raised
+    and readers keep the former marts and history; otherwise the batch is committed
+    and the version published.  Returns the report rows.
     """
     raw = {name: read_table(spark, os.path.join(raw_dir, name), fmt, schema) for name, schema in RAW_SCHEMAS.items()}
-    previous = spark.read.parquet(previous_snapshot_path) if previous_snapshot_path else None
-    wh = Warehouse.from_raw(raw, batch_ts, previous)
-    stamp = str(batch_ts).replace(" ", "T").replace(":", "")
-    snapshot_path = os.path.join(out_dir, "snapshots", "customer_snapshot", f"batch={stamp}")
-    write_table(wh.snapshot, snapshot_path)
-    snapshot = spark.read.parquet(snapshot_path)
-    written = Warehouse(wh.raw_customers, wh.raw_products, wh.raw_orders, wh.raw_order_items, snapshot)
-    marts = {
-        "dim_products": written.dim_products,
-        "dim_customers": written.dim_customers,
-        "fct_orders": written.fct_orders,
-    }
-    for name, df in marts.items():
-        if name == "fct_orders":
-            write_fact_by_date(df, os.path.join(out_dir, "marts", name))
-        else:
-            write_table(df, os.path.join(out_dir, "marts", name))
-    tables = {name: spark.read.parquet(os.path.join(out_dir, "marts", name)) for name in marts}
-    write_fact_by_date(
-        models.order_product_facts(written.raw_order_items, tables["fct_orders"]),
-        os.path.join(out_dir, "marts", "order_products"),
-        ("order_id", "product_id"),
-    )
-    check_models = {
-        "stg_orders": written.stg_orders,
-        "dim_customers": tables["dim_customers"].where(F.col("is_current")),
-        "dim_products": tables["dim_products"],
-        "fct_orders": tables["fct_orders"],
-    }
-    return quality.enforce(quality.quality_report(check_models, quality.WAREHOUSE_CHECKS))
+    history_dir = os.path.join(out_dir, "history")
+    last = history.latest_batch(spark, history_dir)
+    batch = 0 if last is None else last + 1
+    attempt = history.stage(raw["raw_customers"], history_dir, batch, batch_ts)
+    dim_customers = models.dim_customers(history.read_staged(spark, history_dir, batch, attempt))
+
+    versions = Versions(spark, os.path.join(out_dir, "marts"))
+    version = versions.new()
+    path = versions.folder(version)
+    stg_orders = models.stg_orders(raw["raw_orders"])
+    write_table(models.dim_products(raw["raw_products"]), os.path.join(path, "dim_products"))
+    write_order_marts(stg_orders, raw["raw_order_items"], path)
+    marts = _read_folder(spark, path, raw["raw_order_items"], dim_customers)
+    report = quality.enforce(quality.quality_report(marts.check_models(stg_orders), quality.WAREHOUSE_CHECKS))
+
+    history.commit(spark, history_dir, batch, attempt, batch_ts)
+    about = {"history": history_dir, "batch": str(batch), "attempt": attempt}
+    versions.publish(version, ["dim_products", "fct_orders", "order_products"], about)
+    return report
 
 
 def resolve_view_params(

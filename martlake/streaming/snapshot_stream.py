@@ -7,63 +7,25 @@ folder) is one micro-batch: ``readStream`` picks up new files, and
 ``trigger(availableNow=True)`` processes what has arrived and stops, which is
 the scheduled run; a long-running trigger works the same way.
 
-History layout (append-only, one folder per batch, partitioned by state)::
-
-    <history>/batch=<id>/state=closed/   versions closed by this batch
-    <history>/batch=<id>/state=open/     every open version after this batch
-    <history>/_commits/                  one row per completed batch (commit table)
-
-The current history is all ``closed`` folders plus the ``open`` folder of the
-latest batch.  A batch therefore rewrites only the open set (one row per key)
-and appends what it closes; old versions are never rewritten.  A retried
-batch overwrites its own folder, so re-execution after a failure is safe, and
-the streaming checkpoint records which files each batch consumed.
+The history folder is that of ``martlake.sources.history``, which the scheduled
+build writes too: append-only, a batch counts once it is committed, and only the
+open versions are read and rewritten. The streaming checkpoint records which
+files each batch consumed.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import os
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from martlake.operators import scd2
+from martlake.sources import history
 from martlake.sources.tables import RAW_SCHEMAS, conform
 
 
-def _commits_path(history_dir: str) -> str:
-    # A leading underscore hides the folder from partition discovery of the history.
-    return os.path.join(history_dir, "_commits")
-
-
-def latest_batch(spark: SparkSession, history_dir: str, before_batch: int | None = None) -> int | None:
-    """The last batch (below ``before_batch``) whose history folder was written completely."""
-    try:
-        batches = spark.read.parquet(_commits_path(history_dir)).select("batch")
-    except AnalysisException:  # no batch committed yet
-        return None
-    if before_batch is not None:
-        batches = batches.where(F.col("batch") < before_batch)
-    return batches.agg(F.max("batch")).first()[0]
-
-
-def read_history(spark: SparkSession, history_dir: str, before_batch: int | None = None) -> DataFrame | None:
-    """Full type-2 history as of the latest complete batch (or the last one before ``before_batch``)."""
-    latest = latest_batch(spark, history_dir, before_batch)
-    if latest is None:
-        return None
-    df = spark.read.parquet(history_dir)
-    keep = (F.col("batch") <= latest) & (
-        (F.col("state") == "closed") | ((F.col("state") == "open") & (F.col("batch") == latest))
-    )
-    return df.where(keep).drop("batch", "state")
-
-
 def apply_delivery(
     delivery: DataFrame,
     history_dir: str,
@@ -71,20 +33,14 @@ def apply_delivery(
     batch_ts: dt.datetime,
     key: str = "customer_id",
 ) -> None:
-    """Merge one delivery into the history folder (the ``foreachBatch`` body)."""
+    """Merge one delivery into the history folder (the ``foreachBatch`` body).
+
+    A batch that is run again after it was committed changes nothing.
+    """
     spark = delivery.sparkSession
-    previous = read_history(spark, history_dir, before_batch=batch_id)
-    if previous is None:
-        rows = scd2.snapshot(delivery, key, batch_ts)
-    else:
-        open_rows = previous.where(F.col("valid_to").isNull())
-        rows = scd2.merge_open_rows(open_rows.select(*delivery.columns, *scd2.SCD_COLUMNS), delivery, key, batch_ts)
-    state = F.when(F.col("valid_to").isNull(), F.lit("open")).otherwise(F.lit("closed"))
-    target = os.path.join(history_dir, f"batch={batch_id}")
-    # one job writes both states; the batch counts only once it is in the commit table
-    rows.withColumn("state", state).write.mode("overwrite").partitionBy("state").parquet(target)
-    commit = spark.createDataFrame([(batch_id, batch_ts)], "batch long, batch_ts timestamp_ntz")
-    commit.write.mode("append").parquet(_commits_path(history_dir))
+    if batch_id not in dict(history.committed(spark, history_dir)):
+        attempt = history.stage(delivery, history_dir, batch_id, batch_ts, key)
+        history.commit(spark, history_dir, batch_id, attempt, batch_ts)
 
 
 def start_snapshot_stream(

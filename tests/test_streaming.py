@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
 import os
 import tempfile
 
 from martlake.operators import scd2
 from martlake.sources import testdata
-from martlake.streaming.snapshot_stream import read_history, start_snapshot_stream
+from martlake.sources.history import latest_batch, read_history
+from martlake.streaming.snapshot_stream import apply_delivery, start_snapshot_stream
 from tests.conftest import SF_SMALL
 
 B1, B2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
@@ -36,13 +38,11 @@ def test_stream_of_deliveries_equals_batch_snapshots(spark):
     expected = scd2.snapshot(second, "customer_id", B2, previous=scd2.snapshot(first, "customer_id", B1))
     assert _rows(read_history(spark, history)) == _rows(expected)
     # the first batch's open set is untouched: history is append-only
-    assert os.path.isdir(os.path.join(history, "batch=0", "state=open"))
-    assert os.path.isdir(os.path.join(history, "batch=1", "state=closed"))
+    assert glob.glob(os.path.join(history, "batch=0", "attempt=*", "state=open"))
+    assert glob.glob(os.path.join(history, "batch=1", "attempt=*", "state=closed"))
 
 
 def test_retried_batch_is_idempotent(spark):
-    from martlake.streaming.snapshot_stream import apply_delivery, latest_batch
-
     history = os.path.join(tempfile.mkdtemp(prefix="martlake-retry-"), "history")
     first = testdata.raw_customers(spark, SF_SMALL)
     second = testdata.second_customer_load(first)
