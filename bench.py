@@ -7,9 +7,9 @@ Runs each query of ``HEADLINE`` on ``$BENCH_SF_DIR`` (default
 Each query is executed in full through the ``noop`` sink (every row is
 produced, nothing is collected).  One untimed warm-up run loads the JVM code
 paths first; then every query runs ``BENCH_RUNS`` times (default 3).
-``write_raw_orders`` writes the mapped raw orders table (the raw-table sink,
-comparable to the single write time the reference records; rows per second
-are reported as ``raw_write_rows_per_sec``); ``fct_orders`` builds the fact
+``write_raw_orders`` reads, maps and writes the raw orders table (the raw-table
+sink); ``write_million_orders`` writes 1,000,000 orders from memory, like the
+single write time the reference records (``..._rows_per_sec``); ``fct_orders`` builds the fact
 from the raw tables; ``build_marts`` is the
 warehouse run (fact and dimensions written once); the dashboard queries read
 those marts, as the original dashboard reads the warehouse tables.  The
@@ -26,17 +26,23 @@ import re
 import sys
 import time
 import uuid
+from functools import lru_cache
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
+from martlake.plans import catalog  # noqa: E402
 from martlake.plans.catalog import QUERIES, marts, warehouse  # noqa: E402
 from martlake.plans.warehouse import materialize_marts  # noqa: E402
 from martlake.session import ensure_checkpoint_dir, get_spark  # noqa: E402
 from martlake.sources import testdata  # noqa: E402
 from martlake.sources.tables import write_table  # noqa: E402
 
+MILLION = 1_000_000
 HEADLINE = [
     "write_raw_orders",
+    "write_million_orders",
     "fct_orders",
     "build_marts",
     "kpi",
@@ -63,12 +69,37 @@ def build_marts(spark, sf_dir: str) -> None:
 
 
 def write_raw_orders(spark, sf_dir: str) -> None:
-    """The raw-table sink (S3) on the mapped orders: the one published reference number."""
+    """The raw-table sink (S3) on the mapped orders, reading and mapping included."""
     path = os.path.join(ensure_checkpoint_dir(spark), "martlake-bench", uuid.uuid4().hex, "raw_orders")
     write_table(testdata.raw_orders(spark, sf_dir), path)
 
 
+@lru_cache(maxsize=1)
+def million_orders(spark, sf_dir: str):
+    """At least 1,000,000 orders in memory: the given ones, repeated with ids of their own."""
+    orders = testdata.raw_orders(spark, sf_dir)
+    copies = -(-MILLION // orders.count())
+    rows = orders.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).hint("rebalance")
+    rows = rows.withColumn("order_id", F.concat_ws("-", "order_id", "_copy")).drop("_copy").limit(MILLION)
+    rows = rows.repartition(spark.sparkContext.defaultParallelism).persist()
+    rows.count()
+    return rows
+
+
+def write_million_orders(spark, sf_dir: str) -> float:
+    """The one published number: a table of 1,000,000 rows written from memory. Returns the seconds of the write alone."""
+    rows = million_orders(spark, sf_dir)
+    path = os.path.join(ensure_checkpoint_dir(spark), "martlake-bench", uuid.uuid4().hex, "raw_orders")
+    t0 = time.perf_counter()
+    write_table(rows, path)
+    return time.perf_counter() - t0
+
+
 def run(spark, name: str, sf_dir: str) -> float:
+    if name == "write_million_orders":
+        return write_million_orders(spark, sf_dir)
+    if name == "rfm_clusters":
+        catalog._fitted.cache_clear()  # the fit is timed, not what the session keeps of it
     t0 = time.perf_counter()
     if name == "write_raw_orders":
         write_raw_orders(spark, sf_dir)
@@ -97,6 +128,8 @@ def main() -> None:
     if "write_raw_orders" in times:
         n_orders = spark.read.parquet(os.path.join(sf_dir, "orders.parquet")).count()
         extra = {"raw_orders_rows": n_orders, "raw_write_rows_per_sec": round(n_orders / times["write_raw_orders"])}
+    if "write_million_orders" in times:
+        extra["million_write_rows_per_sec"] = round(MILLION / times["write_million_orders"])
     print(
         json.dumps(
             {

@@ -5,8 +5,8 @@ stage; a join whose output is the final result (a row-level lookup written
 as is) keeps a hot key in one task.  ``salted_lookup_join`` splits such keys
 explicitly:
 
-1. one keyed count over the fact's key column (partially aggregated, one
-   row per key, persisted while it is read twice);
+1. tasks sketch the frequent keys of the fact (``approx_top_k``: a fixed number of
+   counters a task, merged by Spark), and the candidates are counted exactly;
 2. a key is hot when it holds more than one partition's share of the rows,
    so there are at most ``partitions`` hot keys: that list has a proven size
    bound, is read by the driver and broadcast;
@@ -14,8 +14,8 @@ explicitly:
    values from a hash of the row (rows without a key get one too), the lookup rows of hot keys are copied once per salt value, and
    the join runs on (key, salt).  Cold keys keep salt 0.
 
-Without hot keys, or when the planner broadcasts the lookup anyway (no
-shuffle, so no hot task), the plain join is returned.
+Without hot keys the plain join is returned.  Whether the lookup is broadcast is
+left to Spark's planner and to adaptive execution in both cases.
 
 Every row is kept and the result equals the plain join.  Rows that are equal in
 every column share a salt value.
@@ -23,39 +23,39 @@ every column share a salt value.
 
 from __future__ import annotations
 
-import contextlib
-import io
-import re
-
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SALT = "_salt"
 BUCKETS = "_buckets"
+# The sketch misses no key that holds more than 2 * 3.5 / COUNTERS of the rows
+# (twice its error bound), which is less than a partition's share.
+COUNTERS_PER_PARTITION = 8
+MOST_COUNTERS = 1_000_000
 
 
-_UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "kib": 2**10, "m": 2**20, "mb": 2**20, "mib": 2**20, "g": 2**30, "gb": 2**30, "gib": 2**30, "t": 2**40, "tb": 2**40, "tib": 2**40}
-_UNITS |= {"eib": 2**60, "pib": 2**50}
-
-
-def _bytes(text: str) -> float:
-    number, unit = re.fullmatch(r"\s*(-?[0-9.]+(?:E[+-]?[0-9]+)?)\s*([a-zA-Z]*)\s*", text).groups()
-    return float(number) * _UNITS[unit.lower()]
-
-
-def planned_bytes(df: DataFrame) -> float:
-    """The planner's size estimate, read from the plan that ``explain`` prints."""
-    with contextlib.redirect_stdout(io.StringIO()) as out:
-        df.explain(mode="cost")
-    found = re.search(r"Statistics\(sizeInBytes=([^,)]+)", out.getvalue())
-    return _bytes(found[1]) if found else float("inf")
+def hot_keys(facts: DataFrame, key: str, partitions: int) -> tuple[list, bool]:
+    """Keys with more than one of ``partitions`` shares of the rows, as (key, number of shares); and whether keys are missing.
 
-
-def _planner_broadcasts(df: DataFrame) -> bool:
-    """Whether the planner's own size estimate puts ``df`` under the broadcast threshold."""
-    return planned_bytes(df) <= _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    The sketch holds hashes of keys, so that its size is bounded whatever the
+    keys are.  Two passes over the key column at most, one where nothing is frequent.
+    """
+    if partitions * COUNTERS_PER_PARTITION > MOST_COUNTERS:
+        partitions = MOST_COUNTERS // COUNTERS_PER_PARTITION
+    counters = max(64, partitions * COUNTERS_PER_PARTITION)
+    hashed = facts.select(F.when(F.col(key).isNotNull(), F.xxhash64(key)).alias("h"))
+    top = F.expr(f"transform(approx_top_k(h, {min(counters, 2 * partitions)}, {counters}), t -> t.item)")
+    row = hashed.agg(F.count(F.lit(1)).alias("n"), F.count("h").alias("with_key"), top.alias("top")).first()
+    share = max(1, -(-row["n"] // partitions))
+    missing = row["with_key"] < row["n"]
+    top = [h for h in row["top"] or () if h is not None]  # the sketch counts missing keys as one
+    if not top:
+        return [], missing
+    candidates = facts.select(key).where(F.xxhash64(key).isin(top))
+    counts = candidates.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > share)
+    rows = counts.collect()  # at most as many as partitions
+    return [(bytes(r[key]) if isinstance(r[key], bytearray) else r[key], -(-r["n"] // share)) for r in rows], missing
 
 
 def salted_lookup_join(
@@ -72,28 +72,15 @@ def salted_lookup_join(
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
-    if _planner_broadcasts(lookup):  # no shuffle, so no hot task
-        return facts.join(lookup, key, how)
     spark = facts.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # one scan of the key column; the per-key counts (one row per key) are
-    # kept while the total and the hot keys are read from them
-    counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        total = counts.agg(F.sum("_n")).first()[0] or 0
-        share = max(1, -(-total // parts))
-        # at most `parts` keys can each hold more than 1/parts of the rows
-        hot_rows = counts.where(F.col("_n") > share).select(
-            key, F.ceil(F.col("_n") / F.lit(share)).cast("int").alias(BUCKETS)
-        ).collect()
-    finally:
-        counts.unpersist()
-    if not hot_rows:
+    keys, missing = hot_keys(facts, key, parts)
+    if not keys and not missing:
         return facts.join(lookup, key, how)
-    schema = T.StructType([facts.schema[key], T.StructField(BUCKETS, T.IntegerType())])
-    hot = F.broadcast(spark.createDataFrame([r for r in hot_rows if r[key] is not None], schema))
+    schema = T.StructType([facts.schema[key], T.StructField(BUCKETS, T.LongType())])
+    hot = F.broadcast(spark.createDataFrame(keys, schema))
     # salted by the row itself, so that a task that runs again deals its rows alike
-    row = F.xxhash64(*[F.col(c) for c in facts.columns])
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns])
     salted_facts = facts.join(hot, key, "left").withColumn(
         SALT,
         F.when(F.col(key).isNull(), F.pmod(row, F.lit(parts)))  # matches nothing, but must not gather in one task
@@ -101,12 +88,12 @@ def salted_lookup_join(
         .otherwise(F.pmod(row, F.col(BUCKETS)))
         .cast("int"),
     )
-    salted_lookup = lookup.join(hot, key, "left").withColumn(
-        SALT,
-        F.explode(
-            F.when(F.col(BUCKETS).isNull(), F.array(F.lit(0))).otherwise(
-                F.sequence(F.lit(0), F.col(BUCKETS) - 1)
-            )
-        ),
-    )
-    return salted_facts.drop(BUCKETS).join(salted_lookup.drop(BUCKETS), [key, SALT], how).drop(SALT)
+    # 0, but not as a literal: the optimiser would take the salt out of the join, and rows without a key gather again
+    salted_lookup = lookup.withColumn(SALT, F.pmod(F.xxhash64(key), F.lit(1)).cast("int"))
+    if keys:
+        # by literals, not by a join, whose estimated size would keep the planner from broadcasting a small lookup
+        values, shares = [F.array(*map(F.lit, x)) for x in zip(*keys, strict=True)]
+        copies = F.sequence(F.lit(1), F.get(shares, F.array_position(values, F.col(key)) - 1).cast("int") - 1)
+        hot_rows = lookup.where(F.col(key).isin([k for k, _ in keys]))  # at most a row for each hot key
+        salted_lookup = salted_lookup.unionByName(hot_rows.withColumn(SALT, F.explode(copies)))
+    return salted_facts.drop(BUCKETS).join(salted_lookup, [key, SALT], how).drop(SALT)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from martlake.functions.columns import zero_if_null
 from martlake.functions.dates import month_start, week_start
 from martlake.functions.money import cents_sum_to_double
-from martlake.operators.filters import Window, facts_in_window
+from martlake.operators.filters import Window, current_dimension, date_window, facts_in_window
 from martlake.operators.joins import salted_lookup_join
 from martlake.operators.ordering import sort_bounded
 
@@ -26,25 +26,51 @@ def euro_sum(col: str) -> "F.Column":
     return F.sum(col).cast(SUM_EURO)
 
 
-def kpi(fct: DataFrame, dim: DataFrame, window: Window, versions: str = "current") -> DataFrame:
+def kpi(fct: DataFrame, dim: DataFrame, window: Window, versions: str = "current", unique_orders: bool = True) -> DataFrame:
     """One-row headline figures over **W**.
 
     Distinct orders, revenue, average order value (``sum / count`` as double,
-    6 decimals) and distinct customers; an empty window gives zeros.  The two
-    exact distinct counts are planned by Catalyst as one Expand + two-level
-    aggregation, partially aggregated before each shuffle.
+    6 decimals) and distinct customers; an empty window gives zeros.
+
+    ``order_id`` is unique in the fact (check Q1), and an order has one customer:
+    orders are counted per customer, and customers are the rows of that.  So
+    both distinct counts need one aggregation by customer, made before the
+    customers are joined, instead of a row for each distinct count.
+    ``versions="all"`` repeats revenue, not orders, for each version of a
+    customer.  For a fact whose order ids repeat, ``unique_orders=False`` counts
+    them exactly, by expanding the joined rows.
     """
-    f = facts_in_window(fct, dim, window, versions)
-    agg = f.agg(
-        F.count_distinct("order_id").alias("orders"),
-        F.sum("revenue_euro").alias("_revenue"),
-        F.count("revenue_euro").alias("_n"),
-        F.count_distinct("customer_id").alias("active_customers"),
-    )
-    return agg.select(
+    if not unique_orders:
+        f = facts_in_window(fct, dim, window, versions)
+        sums = f.agg(
+            F.count_distinct("order_id").alias("orders"),
+            F.sum("revenue_euro").alias("_revenue"),
+            F.count("revenue_euro").alias("_n"),
+            F.count_distinct("customer_id").alias("active_customers"),
+        )
+    else:
+        f = fct.where(date_window("order_date", window.start, window.end))
+        own = f.groupBy("customer_id").agg(
+            F.count("order_id").alias("_orders"), F.sum("revenue_euro").alias("_revenue"), F.count("revenue_euro").alias("_n")
+        )
+        chosen = current_dimension(dim, window.cities, versions).select("customer_id")
+        if versions == "current":
+            own = own.join(chosen, "customer_id", "left_semi")
+        else:
+            times = chosen.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_times"))
+            own = own.join(times, "customer_id").withColumns(
+                {"_revenue": F.col("_revenue") * F.col("_times").cast("decimal(10,0)"), "_n": F.col("_n") * F.col("_times")}
+            )
+        sums = own.agg(
+            F.sum("_orders").alias("orders"),
+            F.sum("_revenue").alias("_revenue"),
+            F.sum("_n").alias("_n"),
+            F.count("customer_id").alias("active_customers"),
+        )
+    return sums.select(
         zero_if_null("orders").cast("long").alias("orders"),
         F.coalesce(F.col("_revenue").cast(SUM_EURO), F.lit(0).cast(SUM_EURO)).alias("revenue"),
-        F.coalesce(F.round(F.col("_revenue").cast("double") / F.col("_n"), 6), F.lit(0.0)).alias("aov"),
+        F.coalesce(F.round(F.col("_revenue").cast("double") / F.nullif("_n", F.lit(0)), 6), F.lit(0.0)).alias("aov"),
         zero_if_null("active_customers").cast("long").alias("active_customers"),
     )
 

@@ -11,15 +11,17 @@ place, so the A-to-B pairing (J11) needs no join either.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from martlake.functions.dates import days_between, window_split_day
 from martlake.functions.labels import percent_label
+from martlake.operators import lloyd
 from martlake.operators.filters import Window, current_dimension, date_window
 from martlake.session import cut_lineage
 
@@ -28,6 +30,7 @@ FEATURES = ("recency", "frequency", "monetary")
 # Fixed value: a customer absent from a period has its last order read as
 # day 0 of the epoch (defect D6 kept as the default).
 MISSING_LAST_ORDER = dt.date(1970, 1, 1)
+CLUSTERS = "customer_id long, cluster_a int, cluster_b int"
 
 
 def rfm_wide(
@@ -155,11 +158,8 @@ def rfm_clusters(scaled: DataFrame, k: int = 4, seed: int = 42, max_iter: int =
         .repartition(parts, "customer_id")
         .sortWithinPartitions("customer_id")
     )
-    # Like the original, no segmentation when either period has no customers
-    # (one bounded aggregate row over the checkpoint decides).
-    active = base.agg(*[F.count(F.when(F.col(f"frequency_{p}") > 0, F.lit(1))).alias(p) for p in PERIODS]).first()
-    if any(active[p] == 0 for p in PERIODS):
-        return spark.createDataFrame([], "customer_id long, cluster_a int, cluster_b int")
+    if not _both_active(base):
+        return spark.createDataFrame([], CLUSTERS)
     feats = base
     for p in PERIODS:
         feats = VectorAssembler(inputCols=[f"z_{c}_{p}" for c in FEATURES], outputCol=f"features_{p}").transform(feats)
@@ -169,10 +169,7 @@ def rfm_clusters(scaled: DataFrame, k: int = 4, seed: int = 42, max_iter: int =
     if model.summary.numIter >= max_iter:
         raise RuntimeError(f"k-means did not converge within {max_iter} rounds")
 
-    centers = model.clusterCenters()  # k x 3, bounded
-    order = sorted(range(len(centers)), key=lambda i: (-centers[i][2], centers[i][0], i))
-    relabel = F.create_map(*[x for new, old in enumerate(order) for x in (F.lit(old), F.lit(new))])
-
+    relabel = _stable_numbers(model.clusterCenters())  # k x 3, bounded
     out = feats
     for p in PERIODS:
         out = model.setFeaturesCol(f"features_{p}").setPredictionCol(f"_pred_{p}").transform(out)
@@ -182,6 +179,44 @@ def rfm_clusters(scaled: DataFrame, k: int = 4, seed: int = 42, max_iter: int =
     )
 
 
+def _both_active(base: DataFrame) -> bool:
+    """Like the original, no segmentation when either period has no customers (one aggregate row decides)."""
+    active = base.agg(*[F.count(F.when(F.col(f"frequency_{p}") > 0, F.lit(1))).alias(p) for p in PERIODS]).first()
+    return all(active[p] > 0 for p in PERIODS)
+
+
+def _stable_numbers(centers: Sequence[Sequence[float]]) -> Column:
+    """Cluster numbers by monetary descending, then recency ascending, as a map from those of the fit."""
+    order = sorted(range(len(centers)), key=lambda i: (-centers[i][2], centers[i][0], i))
+    return F.create_map(*[x for new, old in enumerate(order) for x in (F.lit(old), F.lit(new))])
+
+
+def rfm_clusters_from(scaled: DataFrame, start: Sequence[Sequence[float]], max_iter: int = 300) -> DataFrame:
+    """K-means from given start centres on both periods pooled, assigned per period.
+
+    ``start`` holds (recency, frequency, monetary) in standardised units.  The
+    rounds run over distinct points with weights in whole millionths
+    (``lloyd``), so that the result doesn't depend on the order in which tasks
+    add.  Output, cluster numbers and errors are those of ``rfm_clusters``.
+    """
+    base = scaled.select(
+        "customer_id",
+        *[f"frequency_{p}" for p in PERIODS],
+        *[lloyd.in_units(F.col(f"z_{c}_{p}")).alias(f"u_{c}_{p}") for p in PERIODS for c in FEATURES],
+    )
+    base = cut_lineage(base)
+    if not _both_active(base):
+        return base.sparkSession.createDataFrame([], CLUSTERS)
+    rows = F.array(*[F.struct(*[F.col(f"u_{c}_{p}").alias(c) for c in FEATURES]) for p in PERIODS])
+    points = cut_lineage(lloyd.weighted(base.select(F.explode(rows).alias("r")).select("r.*"), FEATURES))
+    found = lloyd.centres(points, FEATURES, [[x * lloyd.UNIT for x in c] for c in start], max_iter)
+    number = _stable_numbers(found)
+    return base.select(
+        "customer_id",
+        *[number[lloyd.nearest([f"u_{c}_{p}" for c in FEATURES], found)].cast("int").alias(f"cluster_{p}") for p in PERIODS],
+    )
+
+
 def transition_counts(clusters: DataFrame, k: int) -> DataFrame:
     """Customers moving from cluster A (rows) to cluster B (columns ``b<j>``).
 

@@ -44,6 +44,8 @@ W_SHORT = Window.of("1997-01-06", "1997-06-29")  # 25 weeks: the automatic seaso
 DRILL_COHORT, DRILL_MONTH = "1995-01", 14
 DRILL_WINDOWED = ("1996-03", 2)
 RFM_K = 4
+# start centres of the checked k-means: (recency, frequency, monetary), standardised
+RFM_START = ((-0.5, 1.5, 1.5), (-0.5, 0.25, 0.0), (-0.25, -0.5, -0.75), (2.0, -1.0, -1.0))
 DECAY_N = 6
 TOP_N = 100
 HW_FIXED = (0.3, 0.1, 0.2)  # smoothing parameters of the checked forecast
@@ -123,6 +125,15 @@ def _fitted(spark: SparkSession, sf_dir: str, listing: str) -> tuple[DataFrame,
     return wide, cut_lineage(segments.rfm_clusters(segments.rfm_scaled(wide), RFM_K, seed=42))
 
 
+@lru_cache(maxsize=16)
+def _fitted_from_start(spark: SparkSession, sf_dir: str, listing: str) -> DataFrame:
+    return cut_lineage(segments.rfm_clusters_from(segments.rfm_scaled(cut_lineage(_rfm_wide(_marts(spark, sf_dir, listing)))), RFM_START))
+
+
+def _fixed_cluster_query(fn: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: fn(_fitted_from_start(spark, sf_dir, _listing(spark, sf_dir)))
+
+
 def _cluster_query(fn: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: fn(_fitted(spark, sf_dir, _listing(spark, sf_dir))[1])
 
@@ -335,7 +346,11 @@ QUERIES: dict[str, Query] = {
     "rfm_snapshot": _mart_query(lambda wh: segments.rfm_long(_rfm_wide(wh))),
     "rfm_aligned": _mart_query(_rfm_wide),
     "rfm_scaled": _mart_query(lambda wh: segments.rfm_scaled(cut_lineage(_rfm_wide(wh)), digits=6)),
-    # Step 9: clusters and transitions (no SQL oracle: k-means; the totals have one)
+    # Step 9: clusters and transitions (from given start centres with SQL; from k-means|| without, but for the totals)
+    "rfm_clusters_fixed": _fixed_cluster_query(lambda c: c),
+    "rfm_transition_counts_fixed": _fixed_cluster_query(lambda c: segments.transition_counts(c, RFM_K)),
+    "rfm_transition_shares_fixed": _fixed_cluster_query(segments.transition_shares),
+    "transition_labels_fixed": _fixed_cluster_query(lambda c: segments.transition_labels(segments.transition_shares(c))),
     "rfm_clusters": _cluster_query(lambda c: c),
     "rfm_transition_counts": _cluster_query(lambda c: segments.transition_counts(c, RFM_K)),
     "rfm_transition_shares": _cluster_query(segments.transition_shares),

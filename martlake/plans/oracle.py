@@ -2,8 +2,8 @@
 
 The SQL states the definitions of SURVEY section 2 over the raw-table mapping
 (FIXTURES.md section 3) in another form than the Spark code, so that a match
-checks the plans against the definitions.  Queries that fit k-means or search
-Holt-Winters parameters have no entry.
+checks the plans against the definitions.  Queries that begin k-means at random
+centres or search the parameters of long series have no entry.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from martlake.plans.catalog import (
     DRILL_MONTH,
     DRILL_WINDOWED,
     HW_FIXED,
+    RFM_START,
     TOP_N,
     W,
     W_ALL,
@@ -220,6 +221,42 @@ def _z(col: str, mean: str, std: str) -> str:
     return f"ROUND((CAST({col} AS DOUBLE) - {mean}) / CASE WHEN {std} = 0 OR {std} IS NULL THEN 1 ELSE {std} END, 6)"
 
 
+def _clusters_ctes() -> str:
+    """K-means from the given start centres, in millionths of standardised units, until no centre moves."""
+    start = "[" + ", ".join("[" + ", ".join(f"CAST({x} AS DOUBLE) * 1000000" for x in c) + "]" for c in RFM_START) + "]"
+    k = range(1, len(RFM_START) + 1)
+    unit = lambda col, m, s: f"CAST(ROUND((CAST({col} AS DOUBLE) - {m}) / {s} * 1000000) AS BIGINT)"
+    coords = lambda p: [unit(f"recency_{p}", "rm", "rs"), unit(f"frequency_{p}", "fm", "fs"), unit(f"monetary_{p}", "mm", "ms")]
+    columns = ", ".join(f"{e} AS {n}_{p}" for p in "ab" for n, e in zip("xyz", coords(p), strict=True))
+    near = lambda x, y, z: (
+        f"list_position(list_transform(c, lambda m: ({x} - m[1]) * ({x} - m[1]) + ({y} - m[2]) * ({y} - m[2]) + ({z} - m[3]) * ({z} - m[3])), "
+        f"list_min(list_transform(c, lambda m: ({x} - m[1]) * ({x} - m[1]) + ({y} - m[2]) * ({y} - m[2]) + ({z} - m[3]) * ({z} - m[3]))))"
+    )
+    centre = lambda i: ", ".join(
+        f"COALESCE(CAST(SUM(w * {n}) FILTER (WHERE k = {i}) AS DOUBLE) / CAST(SUM(w) FILTER (WHERE k = {i}) AS DOUBLE), c[{i}][{j}])"
+        for j, n in enumerate("xyz", 1)
+    )
+    return f"""{rfm_ctes(W)},
+in_units AS (SELECT customer_id, {columns} FROM rfm_wide, rfm_stats),
+cluster_points AS (
+  SELECT x, y, z, COUNT(*) AS w FROM (SELECT x_a AS x, y_a AS y, z_a AS z FROM in_units UNION ALL SELECT x_b, y_b, z_b FROM in_units) GROUP BY ALL),
+lloyd AS (
+  SELECT {start} AS c, true AS moved
+  UNION ALL
+  SELECT after, after <> c FROM (
+    SELECT c, [{", ".join(f"[{centre(i)}]" for i in k)}] AS after
+    FROM (SELECT c, x, y, z, w, {near("x", "y", "z")} AS k FROM lloyd, cluster_points WHERE moved) GROUP BY c)),
+rest AS (SELECT c FROM lloyd WHERE NOT moved),
+numbered AS (SELECT i, CAST(ROW_NUMBER() OVER (ORDER BY c[i][3] DESC, c[i][1], i) - 1 AS INTEGER) AS number FROM rest, range(1, {len(k) + 1}) r(i)),
+clusters AS (
+  SELECT customer_id, a.number AS cluster_a, b.number AS cluster_b
+  FROM (SELECT customer_id, {near("x_a", "y_a", "z_a")} AS ka, {near("x_b", "y_b", "z_b")} AS kb FROM in_units, rest)
+  JOIN numbered a ON a.i = ka JOIN numbered b ON b.i = kb),
+moves AS (
+  SELECT cluster_a, cluster_b, COUNT(*) AS customers, COUNT(*) / CAST(SUM(COUNT(*)) OVER (PARTITION BY cluster_a) AS DOUBLE) AS share
+  FROM clusters GROUP BY cluster_a, cluster_b)"""
+
+
 def product_revenue_sql(window) -> str:
     return f"""
 SELECT product_name, category, CAST(SUM(earned) AS DOUBLE) / 100.0 AS revenue
@@ -535,6 +572,17 @@ FROM ({fw(W_ALL)}) x GROUP BY 1 ORDER BY 1"""
     "holt_winters_parameters_trend": holt_winters_search_sql(W_ALL, "0"),
     "holt_winters_fixed_quarter": holt_winters_sql(W_QUARTERS, AUTO_SEASON),
     "holt_winters_fixed_short": holt_winters_sql(W_SHORT, AUTO_SEASON),
+    "rfm_clusters_fixed": q("SELECT customer_id, cluster_a, cluster_b FROM clusters", _clusters_ctes()),
+    "rfm_transition_counts_fixed": q(
+        "SELECT cluster_a, "
+        + ", ".join(f"CAST(COALESCE(SUM(customers) FILTER (WHERE cluster_b = {j}), 0) AS BIGINT) AS b{j}" for j in range(len(RFM_START)))
+        + " FROM moves GROUP BY cluster_a",
+        _clusters_ctes(),
+    ),
+    "rfm_transition_shares_fixed": q("SELECT * FROM moves", _clusters_ctes()),
+    "transition_labels_fixed": q(
+        "SELECT cluster_a, cluster_b, printf('%.1f', round_even(share * 1000.0, 0) / 10.0) || '%' AS share_label FROM moves", _clusters_ctes()
+    ),
     "transition_totals": q(
         "SELECT COUNT(*) AS customers, CAST(0 AS BIGINT) AS uneven_rows, COUNT(*) FILTER (WHERE frequency_a > 0) AS active_a, "
         "COUNT(*) FILTER (WHERE frequency_b > 0) AS active_b FROM rfm_wide",

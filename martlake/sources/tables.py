@@ -120,13 +120,20 @@ def write_table(
     fmt: str = "parquet",
     partition_by: Iterable[str] | None = None,
     mode: str = "overwrite",
+    balanced: bool = False,
 ) -> None:
     """Full-overwrite table sink.
 
     Writing is distributed: each task writes its own files and the commit
     protocol publishes them atomically per job.  Spark cannot overwrite a
     path the same plan reads from; write to a new path instead.
+
+    An input of one large row group or file is read by one task. ``balanced``
+    deals its rows anew before they are written, in partitions of the advisory
+    size as adaptive execution measures them, so that every core writes.
     """
+    if balanced:
+        df = df.hint("rebalance")
     writer = df.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import contextlib
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
-from martlake.operators.joins import salted_lookup_join
+from martlake.operators.joins import hot_keys, salted_lookup_join
 from tests.conftest import SF_SMALL
 
 
@@ -48,14 +50,14 @@ def test_salted_join_equals_plain_join_with_hot_key(spark):
     lookup = spark.read.parquet(f"{SF_SMALL}/part.parquet").select(F.col("p_partkey").alias("k"), "p_retailprice")
     expected = {how: _rows(facts.join(lookup, "k", how).select("k", "l_linenumber", "l_orderkey", "p_retailprice"))
                 for how in ("left", "inner")}
-    # default thresholds: the small lookup is broadcast, no salting needed;
+    # default thresholds: the planner broadcasts the small lookup, salted or not;
     # broadcasts off: the salted sort-merge join runs
     for conf in ({}, NO_BROADCAST):
         with _conf(spark, conf):
             for how in ("left", "inner"):
                 got = salted_lookup_join(facts, lookup, "k", how, partitions=8)
                 plan = got._jdf.queryExecution().executedPlan().toString()
-                assert ("_salt" in plan) == bool(conf)
+                assert "_salt" in plan and ("SortMergeJoin" in plan) == bool(conf)
                 assert _rows(got.select("k", "l_linenumber", "l_orderkey", "p_retailprice")) == expected[how]
 
 
@@ -94,13 +96,44 @@ def test_rows_keep_their_salt_and_null_keys_spread(spark):
     assert all(v is None if row % 2 == 0 else v == row * 10 for row, (_, v) in placed[0].items())
 
 
-def test_no_job_before_a_broadcast_lookup(spark):
-    facts = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
-    lookup = spark.range(3).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    tracker = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("lookup", "lookup")
-    try:
-        salted_lookup_join(facts, lookup, "k", "left")
-        assert list(tracker.getJobIdsForGroup("lookup")) == []
-    finally:
-        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+def test_hot_binary_keys(spark):
+    facts = spark.range(3000).select(F.unhex(F.sha2(F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")), 256)).alias("k"), "id")
+    lookup = facts.groupBy("k").agg(F.count("id").alias("n"))
+    with _conf(spark, NO_BROADCAST):
+        joined = salted_lookup_join(facts, lookup, "k", "left", partitions=8)
+        assert "_salt" in joined._jdf.queryExecution().executedPlan().toString()
+        assert {(r.id, r.n) for r in joined.collect()} == {(i, 1500 if i % 2 == 0 else 1) for i in range(3000)}
+
+
+def test_plain_join_without_hot_keys(spark):
+    facts = spark.range(4000).select((F.col("id") % 1000).alias("k"), "id")
+    lookup = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    joined = salted_lookup_join(facts, lookup, "k", "inner", partitions=8)
+    assert "_salt" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 4000
+
+
+@pytest.mark.parametrize("kind", ["long", "string", "binary"])
+def test_hot_keys_are_exact(spark, kind):
+    # key j below 12 holds 1 row in 2 ** (j + 1); everything else is a key of its own
+    n, parts = 40_000, 16
+    low = F.expr("CAST(log2(CAST(id & -id AS DOUBLE)) AS INT)")
+    rows = spark.range(1, n + 1).select(F.when(low < 12, low).otherwise(F.col("id") + 100).cast("string").cast(kind if kind != "long" else "long").alias("k"))
+    found, missing = hot_keys(rows, "k", parts)
+    counts = Counter(r.k if not isinstance(r.k, bytearray) else bytes(r.k) for r in rows.collect())
+    share = -(-n // parts)
+    want = {k: -(-c // share) for k, c in counts.items() if c > share}
+    assert dict(found) == want and len(want) == 3
+    assert not missing
+    assert hot_keys(rows.limit(0), "k", parts) == ([], False)
+    assert hot_keys(spark.range(5).select(F.lit(None).cast(kind).alias("k")), "k", parts) == ([], True)
+
+
+def test_sketch_finds_every_hot_key_among_many_cold_ones(spark):
+    # 30 keys just above a share, dealt evenly among half a million others
+    parts = 64
+    n = 600_000
+    hot = F.when(F.col("id") % 32 < 16, F.floor(F.col("id") / 32) % 30)
+    rows = spark.range(n).select(F.coalesce(hot, F.col("id") + 1000).alias("k"))
+    found, _ = hot_keys(rows, "k", parts)
+    assert sorted(k for k, _ in found) == list(range(30))

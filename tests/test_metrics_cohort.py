@@ -37,6 +37,17 @@ def test_two_versions_default_once_parity_twice(spark):
     assert parity.revenue == Decimal("20.00") and parity.orders == 1
 
 
+def test_kpi_counts_without_expanding_rows(spark):
+    fct = make_fct(spark, [("a", 1, "2023-02-01", 10), ("b", 1, "2023-03-01", 5), ("c", 2, "2023-04-01", 7), ("d", 3, "2023-04-01", 9), ("e", 4, "2022-04-01", 9)])
+    dim = make_dim(spark, [(1, "City A", False), (1, "City A", True), (2, "City B", True), (4, "City B", True)])
+    for versions, want in (("current", (3, Decimal("22.00"), round(22 / 3, 6), 2)), ("all", (3, Decimal("37.00"), 7.4, 2))):
+        fast, exact = (metrics.kpi(fct, dim, W23, versions, unique_orders=u) for u in (True, False))
+        assert tuple(fast.first()) == tuple(exact.first()) == want
+        assert "Expand" not in fast._jdf.queryExecution().executedPlan().toString()
+    twice = fct.unionByName(fct)  # order ids that repeat are told apart only on request
+    assert metrics.kpi(twice, dim, W23, unique_orders=False).first().orders == 3
+
+
 def test_kpi_empty_window_is_zero(spark):
     fct = make_fct(spark, [("a", 1, "2023-02-01", 10)])
     dim = make_dim(spark, [(1, "City A")])

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from martlake.operators import segments
@@ -92,3 +94,43 @@ def test_clusters_empty_when_a_period_has_no_customers(spark):
     assert clusters.count() == 0
     assert clusters.columns == ["customer_id", "cluster_a", "cluster_b"]
     assert segments.transition_counts(clusters, 2).count() == 0
+
+
+def _plain_lloyd(points, start):
+    now = [list(c) for c in start]
+    while True:
+        own = [[] for _ in now]
+        for p in points:
+            off = [sum((x - y) ** 2 for x, y in zip(p, c, strict=True)) for c in now]
+            own[off.index(min(off))].append(p)
+        after = [[sum(x) / len(ps) for x in zip(*ps, strict=True)] if ps else c for ps, c in zip(own, now, strict=True)]
+        if after == now:
+            return now
+        now = after
+
+
+def test_lloyd_equals_plain_rounds(spark):
+    from martlake.operators import lloyd
+
+    rng = random.Random(5)
+    points = [tuple(rng.choice([0, 40, 90]) + rng.randrange(20) for _ in range(2)) for _ in range(400)]
+    start = [(0, 0), (50, 50), (100, 100), (10_000, 10_000)]  # the last one gets no points and stays
+    frame = lloyd.weighted(spark.createDataFrame(points, "x long, y long"), ["x", "y"])
+    assert frame.count() < 400 and frame.agg(F.sum("weight")).first()[0] == 400
+    found = lloyd.centres(frame, ["x", "y"], start)
+    assert found == [tuple(c) for c in _plain_lloyd(points, start)]
+    with pytest.raises(RuntimeError, match="converge"):
+        lloyd.centres(frame, ["x", "y"], start, max_iter=1)
+
+
+def test_clusters_from_start_need_both_periods(spark):
+    from martlake.operators import segments as seg
+
+    names = [f"z_{c}_{p}" for p in "ab" for c in seg.FEATURES]
+    schema = "customer_id long, frequency_a long, frequency_b long, " + ", ".join(f"{n} double" for n in names)
+    start = [(0.0, 0.0, 0.0), (1.0, 1.0, 1.0)]
+    one = spark.createDataFrame([(1, 1, 0, *[0.0] * 6)], schema)
+    assert seg.rfm_clusters_from(one, start).collect() == []
+    both = spark.createDataFrame([(1, 1, 1, 0.1, 0.1, 0.1, 0.9, 0.9, 0.9), (2, 1, 1, *[0.5] * 6)], schema)
+    rows = {r.customer_id: (r.cluster_a, r.cluster_b) for r in seg.rfm_clusters_from(both, start).collect()}
+    assert rows[1] == (1, 0)  # numbered by monetary descending

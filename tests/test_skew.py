@@ -103,12 +103,12 @@ def _join_inputs(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["kpi", "top_products_all"])
+@pytest.mark.parametrize("name", ["monthly_trend", "top_products_all"])
 def test_hot_customer_join_is_split(skew_session, skewed_dir, name):
     assert "SortMergeJoin(skew=true)" in _join_inputs(queries()[name](skew_session, skewed_dir))
 
 
-@pytest.mark.parametrize("name", ["cohort_retention_all", "rfm_aligned", "cohort_drilldown", "cohort_size", "rfm_aligned_end_date"])
+@pytest.mark.parametrize("name", ["kpi", "cohort_retention_all", "rfm_aligned", "cohort_drilldown", "cohort_size", "rfm_aligned_end_date"])
 def test_keyed_steps_aggregate_before_they_join(skew_session, skewed_dir, name):
     # Without forced skew handling (Spark's default) no join may see a hot
     # customer: each side of the customer join is aggregated by customer first.
