@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import datetime as dt
 import os
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -133,11 +134,20 @@ def write_order_marts(stg_orders: DataFrame, raw_order_items: DataFrame, path: s
         pairs.unpersist()
 
 
+def _together(*jobs: Callable[[], None]) -> None:
+    """Runs independent jobs side by side, so that small ones fill the cores that others leave; the first error is raised."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for job in [pool.submit(job) for job in jobs]:
+            job.result()
+
+
 def materialize_marts(wh: "Warehouse", path: str) -> Marts:
     """Write the marts under ``path`` once and return them read back."""
-    write_table(wh.dim_customers, os.path.join(path, "dim_customers"))
-    write_table(wh.dim_products, os.path.join(path, "dim_products"))
-    write_order_marts(wh.stg_orders, wh.raw_order_items, path)
+    _together(
+        lambda: write_order_marts(wh.stg_orders, wh.raw_order_items, path),
+        lambda: write_table(wh.dim_customers, os.path.join(path, "dim_customers")),
+        lambda: write_table(wh.dim_products, os.path.join(path, "dim_products")),
+    )
     return _read_folder(wh.raw_orders.sparkSession, path, wh.raw_order_items)
 
 
@@ -210,8 +220,10 @@ def build_warehouse(
     version = versions.new()
     path = versions.folder(version)
     stg_orders = models.stg_orders(raw["raw_orders"])
-    write_table(models.dim_products(raw["raw_products"]), os.path.join(path, "dim_products"))
-    write_order_marts(stg_orders, raw["raw_order_items"], path)
+    _together(
+        lambda: write_order_marts(stg_orders, raw["raw_order_items"], path),
+        lambda: write_table(models.dim_products(raw["raw_products"]), os.path.join(path, "dim_products")),
+    )
     marts = _read_folder(spark, path, raw["raw_order_items"], dim_customers)
     report = quality.enforce(quality.quality_report(marts.check_models(stg_orders), quality.WAREHOUSE_CHECKS))
 
