@@ -9,8 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 
 CHUNK = 1 << 19  # code points handled at once; one longer text is a chunk of its own
-BASE = 0x9E3779B97F4A7C15 | 1
-MASK = (1 << 64) - 1
+BASE = 0x9E3779B97F4A7C15
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -24,28 +23,40 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class Powers:
-    """Powers of BASE and of its inverse modulo 2**64, grown as needed, and a mixed word for each code point."""
+class Mixers:
+    """Pseudo-random words for each code point and for each place in a span, the latter grown as needed."""
 
     def __init__(self) -> None:
-        self.up = self.down = np.ones(1, np.uint64)
         self.point = mix(np.arange(0x110000, dtype=np.uint64) + np.uint64(0x51ED27))
+        self.place = np.zeros(0, np.uint64)
 
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > len(self.up):
-            size = max(n, 1 << 16)
-            base, inverse = np.full(size, BASE, np.uint64), np.full(size, pow(BASE, -1, 1 << 64), np.uint64)
-            base[0] = inverse[0] = 1
-            self.up, self.down = np.multiply.accumulate(base), np.multiply.accumulate(inverse)
-        return self.up[:n], self.down[:n]
+    def places(self, n: int) -> np.ndarray:
+        if n > len(self.place):
+            self.place = mix(np.arange(max(n, 1 << 12), dtype=np.uint64) + np.uint64(BASE)) | np.uint64(1)
+        return self.place
 
 
-def span_hashes(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers) -> np.ndarray:
-    """A 64-bit hash of the code points ``points[start:end]`` for each span."""
-    up, down = powers.upto(len(points) + 1)
-    sums = np.zeros(len(points) + 1, np.uint64)
-    np.cumsum(powers.point[points] * up[:-1], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+def span_hashes(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, mixers: Mixers) -> np.ndarray:
+    """A 64-bit hash of the code points ``points[start:end]`` for each span; spans follow one another and don't overlap.
+
+    Each code point is mixed with its place before all are added: there is no
+    power of a base behind it, whose sums collide on words of a regular build.
+    """
+    lengths = ends - starts
+    place = mixers.places(int(lengths.max(initial=0)))
+    if lengths.sum() == len(points):  # spans leave no gap
+        inside, own = points, np.cumsum(lengths) - lengths
+    else:
+        inside, bounds = gather(points, np.ravel(np.column_stack([starts, ends])), np.arange(0, 2 * len(starts), 2))
+        own = bounds[:-1]
+    at = np.arange(len(inside))
+    at -= np.repeat(own, lengths)
+    mixed = mixers.point[inside]
+    mixed *= place[at]
+    mixed ^= mixed >> np.uint64(32)
+    sums = np.zeros(len(inside) + 1, np.uint64)
+    np.cumsum(mixed, out=sums[1:])
+    return mix(sums[own + lengths] - sums[own] + lengths.astype(np.uint64) * np.uint64(BASE))
 
 
 def small_batches(batches, rows: int = 512):
@@ -92,11 +103,16 @@ def ragged(rows: list) -> tuple[np.ndarray, np.ndarray]:
 
 
 class WordCache:
-    """Ids of distinct words by hash; emptied when it holds ``most`` of them.
+    """Ids of distinct words; emptied when it holds ``most`` of them, or MOST_POINTS code points.
 
-    ``encode(points, bounds)`` gives the ids of words, as array and offsets.
+    ``encode(points, bounds)`` gives the ids of words, as array and offsets. Words
+    are found by hash, and each is compared with the one that the cache holds:
+    one that differs is encoded by itself, so that the ids of a word don't depend
+    on other words.
     """
 
+    MOST_POINTS = 1 << 23
+
     def __init__(self, encode, most: int = 500_000) -> None:
         self.encode, self.most = encode, most
         self.clear()
@@ -104,6 +120,7 @@ class WordCache:
     def clear(self) -> None:
         self.hashes, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.data, self.offsets = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.points, self.word_at = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def ids(self, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in a row, and where those of each word begin."""
@@ -111,25 +128,48 @@ class WordCache:
         ordered = hashes[order]
         new = np.append(True, ordered[1:] != ordered[:-1]) if len(ordered) else np.zeros(0, bool)
         distinct, first = ordered[new], order[new]
-        if len(self.hashes) > self.most:
+        if len(self.hashes) > self.most or len(self.points) > self.MOST_POINTS:
             self.clear()
         at = np.searchsorted(self.hashes, distinct)
         known = at < len(self.hashes)
         known[known] = self.hashes[at[known]] == distinct[known]
         if not known.all():
             fresh = ~known
-            spans = np.ravel(np.column_stack([starts[first[fresh]], ends[first[fresh]]]))
-            words, bounds = gather(points, np.append(spans, 0), np.arange(0, len(spans), 2))
+            words, bounds = self._words(points, starts, ends, first[fresh])
             data, offsets = self.encode(words, bounds)
             rows = np.arange(len(self.offsets) - 1, len(self.offsets) - 1 + len(offsets) - 1)
             self.offsets = np.concatenate([self.offsets, offsets[1:] + len(self.data)])
             self.data = np.concatenate([self.data, data.astype(np.int32)])
+            self.word_at = np.concatenate([self.word_at, bounds[1:] + len(self.points)])
+            self.points = np.concatenate([self.points, words])
             self.rows = np.insert(self.rows, at[fresh], rows)
             self.hashes = np.insert(self.hashes, at[fresh], distinct[fresh])
             at = np.searchsorted(self.hashes, distinct)
         row = np.empty(len(hashes), np.int64)
         row[order] = self.rows[at][np.cumsum(new) - 1]
-        return gather(self.data, self.offsets, row)
+        other = self._differs(points, starts, ends, row)
+        if not len(other):
+            return gather(self.data, self.offsets, row)
+        data, offsets = self.encode(*self._words(points, starts, ends, other))
+        row[other] = len(self.offsets) - 1 + np.arange(len(other))
+        return gather(np.concatenate([self.data, data.astype(np.int32)]), np.concatenate([self.offsets, offsets[1:] + len(self.data)]), row)
+
+    @staticmethod
+    def _words(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        spans = np.ravel(np.column_stack([starts[which], ends[which]]))
+        return gather(points, np.append(spans, 0), np.arange(0, len(spans), 2))
+
+    def _differs(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """Words that are not the cached ones of ``row``, by their characters."""
+        lengths = ends - starts
+        off = lengths != self.word_at[row + 1] - self.word_at[row]
+        lengths = np.where(off, 0, lengths)
+        bounds = np.cumsum(lengths) - lengths
+        at = np.arange(lengths.sum())
+        unequal = points[at + np.repeat(starts - bounds, lengths)] != self.points[at + np.repeat(self.word_at[row] - bounds, lengths)]
+        if unequal.any():
+            off[np.repeat(np.arange(len(row)), lengths)[unequal]] = True
+        return np.flatnonzero(off)
 
 
 def kept(key: tuple, make):

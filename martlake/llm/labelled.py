@@ -27,12 +27,14 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, eligi
 
     Which ones is fixed by a hash of the id, so that every run fits the same
     rows. A document labelled twice counts by its larger label; rows without id
-    or label, and labels without a document, are left out before the bound;
-    repeated documents are all taken. The chosen ids, at
-    most ``2 * per_class``, are broadcast, so that no text is shuffled.
+    or label, and labels without a document, are left out before the bound. The
+    chosen ids, at most ``2 * per_class``, are broadcast; of rows that repeat an id
+    the one with the least hash of its text is taken, so that what reaches the
+    driver is bounded however often an id repeats.
     """
     rows = _labels(docs, labels, label, eligible)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = rows.filter("label = 0").orderBy(*order).limit(per_class).unionByName(rows.filter("label = 1").orderBy(*order).limit(per_class))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id")
+    own = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label")
+    return own.agg(F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text")).select("doc_id", "text", "label")

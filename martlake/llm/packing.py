@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlake.llm.common import ranked, stored, text_or_empty
-from martlake.llm.flat import Powers, WordCache, chunks, codepoints, kept, small_batches, span_hashes
+from martlake.llm.flat import Mixers, WordCache, chunks, codepoints, kept, small_batches, span_hashes
 from martlake.llm.merging import Merger
 
 CAPACITY = 2048
@@ -72,7 +72,7 @@ class Tokenizer:
             if chr(c).isspace() and not 0x1C <= c <= 0x1F:
                 table[c] = SPACE
         self.kind = np.array(table, np.int8)
-        self.cache, self.powers = WordCache(self._encode_words), Powers()
+        self.cache, self.mixers = WordCache(self._encode_words), Mixers()
 
     def _encode_words(self, points: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         raw = np.frombuffer(points.tobytes().decode("utf-32-le").encode(), np.uint8)
@@ -127,7 +127,7 @@ class Tokenizer:
             return np.concatenate(rows), at
         starts = self._word_starts(points, bounds)
         ends = np.append(starts[1:], len(points))
-        ids, at = self.cache.ids(span_hashes(points, starts, ends, self.powers), starts, ends, points)
+        ids, at = self.cache.ids(span_hashes(points, starts, ends, self.mixers), starts, ends, points)
         return ids, at[np.searchsorted(starts, bounds)]
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlake.llm.common import text_or_empty
-from martlake.llm.flat import Powers, WordCache, chunks, codepoints, gather, kept, ragged, small_batches, span_hashes
+from martlake.llm.flat import Mixers, WordCache, chunks, codepoints, gather, kept, ragged, small_batches, span_hashes
 from martlake.llm.merging import Merger
 
 SPACE = "▁"
@@ -86,7 +86,7 @@ class Codec:
 
     def __init__(self, path: str) -> None:
         self.model = Model(path)
-        self.cache, self.powers = WordCache(self.model.encode_words), Powers()
+        self.cache, self.mixers = WordCache(self.model.encode_words), Mixers()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where those of each text begin."""
@@ -100,7 +100,7 @@ class Codec:
         begins[bounds[:-1][np.diff(bounds) > 0]] = True
         starts = np.flatnonzero(begins)
         ends = np.append(starts[1:], len(points))
-        ids, at = self.cache.ids(span_hashes(points, starts, ends, self.powers), starts, ends, points)
+        ids, at = self.cache.ids(span_hashes(points, starts, ends, self.mixers), starts, ends, points)
         return ids, at[np.searchsorted(starts, bounds)]
 
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from martlake.llm.flat import Powers, chunks, codepoints, kept, mix, span_hashes
+from martlake.llm.flat import Mixers, chunks, codepoints, kept, mix, span_hashes
 
 WIDTH = 5
 MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
@@ -24,7 +24,7 @@ def _chunk_sets(texts: list[str], width: int) -> list[np.ndarray]:
     points, bounds = codepoints(texts)
     points = np.where((points >= 0x41) & (points <= 0x5A), points + np.uint32(32), points)
     starts, ends = _word_spans(points, bounds)
-    words = span_hashes(points, starts, ends, kept(("powers",), Powers))
+    words = span_hashes(points, starts, ends, kept(("mixers",), Mixers))
     cut = np.searchsorted(starts, bounds)
     n = max(len(words) - width + 1, 0)
     full = np.full(n, np.uint64(width))

@@ -6,7 +6,7 @@ import unicodedata
 
 import numpy as np
 
-from martlake.llm.flat import Powers, codepoints, kept, span_hashes
+from martlake.llm.flat import Mixers, codepoints, kept, span_hashes
 
 LETTER, SPACE, OTHER = range(3)
 
@@ -30,7 +30,7 @@ class Tokens:
     """
 
     def __init__(self, texts: list[str]) -> None:
-        self.powers = kept(("powers",), Powers)
+        self.mixers = kept(("mixers",), Mixers)
         kinds = kept(("token_kinds",), _kinds)
         self.points, self.text_bounds = codepoints([t.lower() for t in texts])
         kind = kinds[self.points]
@@ -47,4 +47,4 @@ class Tokens:
     def hashes(self, longest: int | None = None) -> np.ndarray:
         """A 64-bit hash of each token, or of its first ``longest`` characters."""
         ends = self.ends if longest is None else np.minimum(self.ends, self.starts + longest)
-        return span_hashes(self.points, self.starts, ends, self.powers)
+        return span_hashes(self.points, self.starts, ends, self.mixers)

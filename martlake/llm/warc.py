@@ -176,6 +176,9 @@ def write(records: DataFrame, path: str) -> None:
     frames.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", 0).text(path)
 
 
+WINDOW = 1 << 14  # bytes that are handed to a decompressor at once
+
+
 def _records(archive: bytes) -> Iterator[dict]:
     """The records of an archive, with ``error`` for those that are not valid."""
     import zstandard
@@ -201,16 +204,18 @@ def _records(archive: bytes) -> Iterator[dict]:
             yield {"error": f"no frame begins at byte {at}"}
             return
         try:
-            unit = decompressor.decompressobj()
-            raw = unit.decompress(view[at:])
+            unit, raw, end = decompressor.decompressobj(), bytearray(), at
+            while not unit.eof and end < len(archive):  # what is fed after the frame's end is copied back: windows bound that
+                raw += unit.decompress(view[end : end + WINDOW])
+                end = min(end + WINDOW, len(archive))
             if not unit.eof:
                 raise ValueError("the frame is cut off")
-            at = len(archive) - len(unit.unused_data)
+            at = end - len(unit.unused_data)
         except (zstandard.ZstdError, ValueError) as error:
             yield {"error": f"frame at byte {at}: {error}"}
             return
         try:
-            yield parse_record(raw)
+            yield parse_record(bytes(raw))
         except ValueError as error:
             yield {"error": f"record before byte {at}: {error}"}
 

@@ -165,3 +165,14 @@ def test_stages_keep_all_where_a_class_is_missing(spark, tmp_path, kept):
     docs = docs.filter("doc_id < 40")
     for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.drop_low_quality):
         assert stage(spark, docs, str(tmp_path)).count() == docs.count()
+
+
+def test_sample_takes_one_row_of_an_id(spark):
+    from martlake.llm.labelled import sample
+
+    docs = spark.range(500).select(F.lit(1).alias("doc_id"), F.concat(F.lit("text "), (F.col("id") % 7).cast("string")).alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(2, "other"), (2, None)], "doc_id int, text string"))
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "doc_id long, toxic int")
+    rows = sample(docs, labels, "toxic", 1).collect()
+    assert sorted((r.doc_id, r.label) for r in rows) == [(1, 0), (2, 1)]
+    assert {tuple(r) for r in rows} == {tuple(r) for r in sample(docs.orderBy(F.rand(3)), labels, "toxic", 1).collect()}

@@ -4,11 +4,14 @@ import base64
 import glob
 import hashlib
 import io
+import time
 
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
-from martlake.llm import warc
+from martlake.llm import queries, warc
+from tests.llm.conftest import SF
 
 SCHEMA = "page_id long, url string, html string, record_type string"
 ROWS = [
@@ -93,3 +96,33 @@ def test_broken_records_are_told(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     warc.write(warc.with_record_types(spark.createDataFrame([], SCHEMA)), str(tmp_path / "w"))
     assert warc.valid(warc.read(spark, str(tmp_path / "w"))).count() == 0
+
+
+def test_reading_takes_time_in_proportion(spark, tmp_path):
+    def archive(n: int) -> bytes:
+        path = str(tmp_path / str(n))
+        rows = spark.range(n).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h/"), "id").alias("url"), F.concat(F.lit("<p>page "), "id").alias("html"))
+        warc.write(warc.with_record_types(rows).coalesce(1), path)
+        return b"".join(p.read_bytes() for p in sorted((tmp_path / str(n)).glob("part-*")))
+
+    def seconds(data: bytes, n: int) -> float:
+        begin = time.process_time()
+        assert sum("error" not in r for r in warc._records(data)) == n
+        return time.process_time() - begin
+
+    small, large = archive(2_000), archive(32_000)
+    assert seconds(large, 32_000) < 40 * max(seconds(small, 2_000), 0.02)
+
+
+def test_query_follows_its_definition(spark, tables):
+    pages = {p["page_id"]: (p["html"] or "").encode() for p in tables("pages")}
+    last: dict = {}
+    for page_id, payload in pages.items():
+        last[payload] = max(page_id, last.get(payload, page_id))
+    want = set()
+    for page_id, payload in pages.items():
+        digest = base64.b32encode(hashlib.sha1(payload).digest()).decode().rstrip("=")
+        first = last[payload] == page_id
+        want.add((page_id, len(payload), digest, "response" if first else "revisit", None if first else last[payload]))
+    rows = queries.QUERIES["op1_warc"](spark, SF).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+    assert len(rows) == len(pages) and {tuple(r) for r in rows} == want
