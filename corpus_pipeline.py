@@ -8,9 +8,10 @@ running tasks.
 
 1. toxicity: documents that the ordinal regression puts above grade 0 go.
 2. quality: documents that the network scores below 0.5 go.
-3. near duplicates: of each group that similar shingle sets connect, the
-   document of the smallest id stays. Documents without words stay; so do rows
-   without an id. Of rows with one id the one of the least text stays.
+3. near duplicates: of each group of rows that similar shingle sets connect, one
+   stays: that of the smallest id (rows without an id come last). Rows are told
+   apart by a key of their own, so that different texts under one id are
+   documents of their own. Rows without words are in no group and stay.
 4. personal data: spans are replaced by their kind in brackets; n_chars follows.
 5. packing: best-fit packing into sequences of 2048 tokens.
 
@@ -32,42 +33,46 @@ from martlake.llm.common import small_arrow_batches, stored
 from martlake.llm.queries import BYTE_BPE, table
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """The documents as ``_row`` beside their text, so that no column clashes with those that a stage adds."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("text"))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     if not model.both_classes:
         return docs
-    judged = docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).select("_row", "text")
-    return toxicity.with_severity(judged, model).filter(~F.col("toxic")).select("_row.*")
+    return toxicity.with_severity(_rows(docs), model).filter(~F.col("toxic")).select("_row.*")
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     if not model.both_classes:
         return docs
-    judged = docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).select("_row", "text")
-    return quality.with_score(judged, model).filter("predicted = 1").select("_row.*")
+    return quality.with_score(_rows(docs), model).filter("predicted = 1").select("_row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_arrow_batches(spark)
-    heads = jaccard_join.with_components(docs.select("doc_id", "text")).filter("component_id = doc_id")
-    heads = heads.select(F.col("doc_id").alias("_head")).distinct()
-    kept = docs.join(heads, docs["doc_id"] == heads["_head"])
-    first = Window.partitionBy("_head").orderBy("text")
-    kept = kept.withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n", "_head")
-    return kept.unionByName(docs.filter("doc_id is null"))
+    # stored, as the keys must be the same in all reads
+    keyed = stored(_rows(docs).select("_row", F.monotonically_increasing_id().alias("_key")), "rows")
+    groups = jaccard_join.with_components(keyed.select(F.col("_key").alias("doc_id"), F.col("_row.text").alias("text")))
+    ids = keyed.select("_key", F.col("_row.doc_id").alias("id"))
+    order = F.struct(F.col("id").isNull(), "id", "_key")
+    heads = groups.join(ids, groups["doc_id"] == ids["_key"]).groupBy("component_id").agg(F.min_by("_key", order).alias("_key"))
+    return keyed.join(heads.select("_key"), "_key", "left_semi").select("_row.*")
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_arrow_batches(spark)
     found = stored(pii.with_candidates(docs.select("text"), "_found").select("_found"), "pii")
     model = pii.fit(found, "_found")
-    spans = pii.with_spans(pii.with_candidates(docs, "_found"), model, "_found", "_spans")
-    text = pii.redacted(F.col("text"), F.col("_spans"))
-    out = spans.withColumn("text", F.when(F.col("text").isNotNull(), text))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("_spans") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    spans = pii.with_spans(pii.with_candidates(_rows(docs), "_found"), model, "_found", "_spans")
+    redacted = spans.select("_row", "_spans", F.when(F.col("text").isNotNull(), pii.redacted(F.col("text"), F.col("_spans"))).alias("_redacted"))
+    columns = {c: F.col(f"_row.`{c}`") for c in docs.columns} | {"text": F.col("_redacted")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(F.size("_spans") > 0, F.char_length("_redacted").cast("long")).otherwise(columns["n_chars"])
+    return redacted.select(*[value.alias(c) for c, value in columns.items()])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
