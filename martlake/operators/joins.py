@@ -72,6 +72,8 @@ def salted_lookup_join(
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
+    if isinstance(facts.schema[key].dataType, (T.ArrayType, T.MapType, T.StructType)):
+        raise ValueError(f"{key}: hot keys become literals, so the key must be a single value")
     spark = facts.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys, missing = hot_keys(facts, key, parts)

@@ -137,3 +137,9 @@ def test_sketch_finds_every_hot_key_among_many_cold_ones(spark):
     rows = spark.range(n).select(F.coalesce(hot, F.col("id") + 1000).alias("k"))
     found, _ = hot_keys(rows, "k", parts)
     assert sorted(k for k, _ in found) == list(range(30))
+
+
+def test_nested_keys_are_refused(spark):
+    facts = spark.createDataFrame([([1.0],)], "k array<double>")
+    with pytest.raises(ValueError, match="single value"):
+        salted_lookup_join(facts, facts, "k", "inner")
