@@ -79,7 +79,8 @@ def nearest(
     table_rows = stored(table_rows.withColumn("vec", _trimmed(F.col("vec"))), "curves")
     rows = stored(_distinct(table_rows, k + 1), "curve-vectors")
     # the distinct vector of each query; a vector with many copies is looked up in several tasks
-    asked = salted_lookup_join(table_rows.filter(is_query).withColumnRenamed("vec_id", "query_id"), rows.select("vec", F.col("vec_id").alias("head")), "vec", "inner")
+    queries, heads = table_rows.filter(is_query), rows.select(_digest().alias("same"), F.col("vec_id").alias("head"))
+    asked = salted_lookup_join(queries.select(F.col("vec_id").alias("query_id"), _digest().alias("same")), heads, "same", "inner")
     asked = stored(asked.select("query_id", "head"), "curve-queries")
     stats = rows.agg(F.max(F.size("vec")).alias("width"), F.count("*").alias("n")).first()
     if not stats["n"]:
@@ -125,16 +126,16 @@ def nearest(
     reach = max(1, round(share * blocks / 2))
     places = ranked(rows.select("vec_id", "vec").mapInPandas(keys, "curve int, key long, length double, vec_id long"), ["curve", "key", F.col("length").desc(), "vec_id"], "curve-ranks")
     block = F.floor((F.col("rank") - F.col("curve") * stats["n"]) / vectors.BLOCK)
-    places = places.select("vec_id", "curve", block.alias("at"))
+    places = places.select("vec_id", "curve", "rank", block.alias("at"))
     placed = stored(rows.select("vec_id", "vec").join(places, "vec_id"), "curve-blocks")
 
     step = F.lit(2 * blocks)  # sets the curves apart
     candidates = placed.select((F.col("curve") * step + F.col("at")).alias("block"), "vec_id", "vec")
     near = F.sequence(F.greatest(F.col("at") - reach, F.lit(0)), F.least(F.col("at") + reach, F.lit(blocks - 1)))
     longest = F.sequence(F.lit(0).cast("long"), F.lit(min(reach, blocks) - 1).cast("long"))
-    visits = placed.join(asked.select(F.col("head").alias("vec_id")).distinct(), "vec_id", "left_semi").withColumn("visited", F.explode(F.when(F.col("curve") < curves, near).otherwise(longest)))
-    # few enough queries of a block that their products fit a task: their own block sets them apart
-    queries = visits.select((F.col("curve") * step + F.col("visited")).alias("block"), F.col("at").alias("part"), "vec_id", "vec", F.lit(0.0).alias("bound"))
+    heads = placed.join(asked.select(F.col("head").alias("vec_id")).distinct(), "vec_id", "left_semi")
+    visits = vectors.in_parts(heads, ["rank"], "curve-parts").withColumn("visited", F.explode(F.when(F.col("curve") < curves, near).otherwise(longest)))
+    queries = visits.select((F.col("curve") * step + F.col("visited")).alias("block"), "part", "vec_id", "vec", F.lit(0.0).alias("bound"))
     found = vectors.search(queries, candidates, _all_products, k + 1, "double", itself=True)
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     found = stored(_ranked_rows(found, k + 1).drop("rank"), "curve-found")
@@ -154,6 +155,11 @@ def _trimmed(vec: Column) -> Column:
     return F.transform(F.slice(vec, 1, (F.size(vec) - last + 1).cast("int")), lambda x: x + F.lit(0.0))
 
 
+def _digest() -> Column:
+    """One short key for each vector: hot vectors are told to all tasks of a join."""
+    return F.sha2(F.array_join(F.transform("vec", lambda x: x.cast("string")), ","), 256)
+
+
 def _distinct(rows: DataFrame, n: int) -> DataFrame:
     """Each vector once: its smallest id as vec_id, its ``n`` smallest as ids."""
     least = Window.partitionBy("vec").orderBy("vec_id")  # tasks drop what lies beyond before the shuffle

@@ -78,8 +78,7 @@ def top_k(table: DataFrame, is_query: Column, k: int = 20, vector: str = "embedd
         return _ranked_rows(table.sparkSession.createDataFrame([], "query_id long, vec_id long, score long"), k)
     width = max(b["width"] for b in blocks)
     rotation = np.linalg.svd(vectors.second_moments(rows, width))[0]
-    queries = rows.filter(is_query).withColumn("part", F.floor(F.col("rank") / (vectors.BLOCK)))
-    own = queries.select("vec_id", "vec", "length", "part")
+    own = vectors.in_parts(rows.filter(is_query).select("rank", "vec_id", "vec", "length"), ["rank"], "topk-queries")
 
     first = vectors.search(own.withColumns({"block": F.lit(0).cast("long"), "bound": F.lit(float("-inf"))}), rows.filter("block = 0"), pruned(rotation), k, "long")
     first = stored(first, "topk-first")

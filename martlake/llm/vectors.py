@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martlake.llm.common import ranked
+
 BLOCK = 8192  # vectors of one block
 SLICE = 512  # queries whose products with a block are held at once
 
@@ -29,6 +31,15 @@ def valid(table: DataFrame, vector: Column, nonzero: bool = False) -> DataFrame:
     return rows.groupBy("vec_id").agg(F.min("vec").alias("vec"))
 
 
+def in_parts(queries: DataFrame, keys: list, name: str) -> DataFrame:
+    """``queries`` with ``part``, their own ranks by ``keys`` in blocks.
+
+    Candidates are copied to each part that visits them: parts are as many as
+    the queries need, however many other rows lie between them.
+    """
+    return ranked(queries, keys, name, "_place").withColumn("part", F.floor(F.col("_place") / BLOCK)).drop("_place")
+
+
 def matrix(column, width: int) -> np.ndarray:
     """Vectors as rows; shorter ones end in zeros."""
     out = np.zeros((len(column), width))
@@ -80,9 +91,9 @@ def search(queries: DataFrame, candidates: DataFrame, score: Callable, k: int, k
     """The k best candidates of each query within each block that it visits.
 
     ``candidates`` have block, vec_id and vec; ``queries`` have block (one row
-    for each block visited), part, vec_id, vec and bound. Queries of one block
-    of ranks share a part, so that a task holds two blocks at most; a block's
-    candidates go to each of its parts. ``score(q, c, bound)`` gives scores and
+    for each block visited), part, vec_id, vec and bound. At most BLOCK queries
+    share a part, so that a task holds two blocks at most; a block's candidates
+    go to each part that visits it. ``score(q, c, bound)`` gives scores and
     the pairs that it could not rule out. ``itself`` lets a query find its own id.
     """
     # both sides may come from one table, so each gets columns of its own

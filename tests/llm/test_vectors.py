@@ -72,6 +72,13 @@ def test_few_and_no_rows(spark):
         assert got(curves.nearest(frame(spark, none), is_query())) == []
 
 
+def test_candidates_go_to_as_many_parts_as_the_queries_need(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "BLOCK", 32)
+    rows = frame(spark, random_rows(1300)).filter(is_query()).withColumn("place", F.col("vec_id"))
+    parts = vectors.in_parts(rows, ["place"], "parts").groupBy("part").count().orderBy("part").collect()
+    assert [tuple(r) for r in parts] == [(0, 32), (1, 32), (2, 1)]
+
+
 def test_large_components_stay_exact(spark):
     rows = [(0, [3e7, 1.0]), (1, [3e7, 1.015625]), (2, [3e7, 1.0]), (3, [-3e7, 0.0])]
     assert got(exact_topk.top_k(frame(spark, rows), is_query())) == brute(rows, 20, whole=True)
