@@ -38,7 +38,7 @@ BASE = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 LOOSE = {
-    "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}+ ?(?:\[at\]|\(at\)|\{at\}) ?[a-z0-9-]{1,63}+(?: ?(?:\.|\[dot\]|\(dot\)|\{dot\}) ?[a-z0-9-]{1,63}+){1,8}+",
+    "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++ ?(?:\[at\]|\(at\)|\{at\}) ?[a-z0-9-]++(?: ?(?:\.|\[dot\]|\(dot\)|\{dot\}) ?[a-z0-9-]++)++",
     "ip": r"(?<![0-9A-Fa-f:.])(?:[0-9A-Fa-f]{1,4}+:){7}[0-9A-Fa-f]{1,4}+(?![0-9A-Fa-f:.])",
     "card": r"(?<![0-9.])[0-9]{4}+(?:[./][0-9]{4}+){3}(?![0-9./])",
     "phone": r"(?<![0-9+.-])(?<![0-9+] )(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]|[ .-][0-9])",
@@ -78,28 +78,71 @@ class Model:
     weights: dict[str, list[float]]  # intercept, then labelers and shapes
 
 
+RUN = 64  # items whose results are appended one after the other
+PIECE = 1024  # code points of the pieces from which a long text is read
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)``, with the value found once however often lambdas inside use it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def scanned(items: Column, weight, combine, emit, element: str) -> Column:
+    """``emit(state, item)`` of each item, where the state combines the weights of all items before it.
+
+    Appending copies what is there, so items are taken in runs: each run has a
+    total, the totals before a run give the state that it begins with.
+    """
+    none = F.array().cast(f"array<{element}>")
+
+    def within(run: Column, at: Column) -> Column:
+        return F.aggregate(
+            run,
+            F.struct(at.alias("at"), none.alias("out")),
+            lambda acc, x: F.struct(combine(acc["at"], weight(x)).alias("at"), F.concat(acc["out"], F.array(emit(acc["at"], x))).alias("out")),
+            lambda acc: acc["out"],
+        )
+
+    def joined(runs: Column) -> Column:
+        totals = F.transform(runs, lambda run: F.aggregate(run, F.lit(0), lambda a, x: combine(a, weight(x))))
+        states = F.aggregate(totals, F.array(F.lit(0)), lambda a, n: F.concat(a, F.array(combine(F.element_at(a, -1), n))))
+        return let(states, lambda known: F.flatten(F.transform(runs, lambda run, i: within(run, F.get(known, i)))))
+
+    def cut(every: Column) -> Column:
+        last = F.floor((F.greatest(F.size(every), F.lit(1)) - 1) / RUN).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda r: F.slice(every, r * RUN + 1, F.lit(RUN)))
+
+    return let(let(items, cut), joined)
+
+
+def pieces_of(text: Column) -> Column:
+    """``text`` in pieces: a place in a long text is reached without passing over all before it."""
+    return F.when(F.char_length(text) <= PIECE, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)))
+
+
+def part(pieces: Column, start: Column, length: Column) -> Column:
+    """``length`` code points from ``start`` (from 0) on, fewer at the text's end."""
+    first = F.floor(start / PIECE).cast("int")
+    near = F.slice(pieces, first + 1, F.floor((start + length) / PIECE).cast("int") - first + 1)
+    return F.substring(F.array_join(near, ""), start - first * PIECE + 1, length)
+
+
 def matches(text: Column, pattern: str) -> Column:
     """Array of (start, end, value) of all matches, left to right; code points, end exclusive.
 
     The matches and the gaps between them have the lengths that give the places.
     """
     gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    steps = F.zip_with(gaps, found, lambda g, m: F.struct(F.char_length(g).alias("gap"), m.alias("value")))
-    steps = F.filter(steps, lambda s: s["value"].isNotNull())
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    spans = F.aggregate(
-        steps,
-        F.struct(F.lit(0).alias("at"), none.alias("spans")),
-        lambda acc, s: F.struct(
-            (acc["at"] + s["gap"] + F.char_length(s["value"])).alias("at"),
-            F.concat(
-                acc["spans"],
-                F.array(F.struct((acc["at"] + s["gap"]).alias("start"), (acc["at"] + s["gap"] + F.char_length(s["value"])).alias("end"), s["value"].alias("value"))),
-            ).alias("spans"),
-        ),
-        lambda acc: acc["spans"],
+    steps = F.zip_with(gaps, found, lambda g, m: F.struct(F.char_length(g).alias("gap"), F.char_length(m).alias("length"), m.alias("value")))
+    element = "struct<start:int,end:int,value:string>"
+    spans = scanned(
+        F.filter(steps, lambda s: s["value"].isNotNull()),
+        lambda s: s["gap"] + s["length"],
+        lambda a, b: a + b,
+        lambda at, s: F.struct((at + s["gap"]).alias("start"), (at + s["gap"] + s["length"]).alias("end"), s["value"].alias("value")),
+        element,
     )
-    return F.when(text.rlike(pattern), spans).otherwise(none)
+    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(f"array<{element}>"))
 
 
 def digits_of(value: Column) -> Column:
@@ -139,11 +182,11 @@ def _listed(kind: str, value: Column) -> Column:
     return value.rlike(rf"^\+(?:{codes})") | value.rlike(r"^\(?[2-9]")
 
 
-def _voted(kind: str, text: Column, span: Column, strict: Column) -> Column:
+def _voted(kind: str, pieces: Column, span: Column, strict: Column) -> Column:
     """A candidate with its votes and shape as a pattern of 0 and 1."""
     value, start, end = span["value"], span["start"], span["end"]
-    before = F.substring(text, F.greatest(start - CUE_WINDOW, F.lit(0)) + 1, F.least(start, F.lit(CUE_WINDOW)))
-    after = F.substring(text, end + 1, F.lit(CUE_WINDOW))
+    before = part(pieces, F.greatest(start - CUE_WINDOW, F.lit(0)), F.least(start, F.lit(CUE_WINDOW)))
+    after = part(pieces, end, F.lit(CUE_WINDOW))
     cue = F.concat(before, F.lit(" "), after).rlike(rf"(?i)(?<![a-z])(?:{'|'.join(CUES[kind])})")
     alone = before.rlike(r"(?:^|[\s(\[<:,;\"'])$") & after.rlike(r"^(?:$|[\s)\]>:,;.!?\"'])")
     flags = [strict, _listed(kind, value), cue, alone, strict, F.char_length(value) > 14, value.rlike("[A-Za-z]") & value.rlike("[0-9]")]
@@ -155,8 +198,8 @@ def _check(kind: str):
     return lambda span: passes(kind, span["value"])
 
 
-def _voter(kind: str, text: Column, strict: bool):
-    return lambda span: _voted(kind, text, span, F.lit(strict))
+def _voter(kind: str, pieces: Column, strict: bool):
+    return lambda span: _voted(kind, pieces, span, F.lit(strict))
 
 
 def _base_of(kind: str):
@@ -165,15 +208,16 @@ def _base_of(kind: str):
 
 def with_candidates(docs: DataFrame, column: str = "candidates") -> DataFrame:
     """Adds the candidates of ``text``: kind, start, end, base and votes, by kind as listed and then start."""
-    others = [c for c in docs.columns if c.lower() not in {column.lower(), "text", "_text"}]
-    rows = docs.select(*[F.col(f"`{c}`") for c in others], *([F.col("text")] if "text" in docs.columns else []), text_or_empty().alias("_text"))
-    text, found = F.col("_text"), []
+    others = [F.col(f"`{c}`") for c in docs.columns if c.lower() != column.lower()]
+    rows = docs.select(F.struct(*others).alias("_row"), text_or_empty().alias("_text"))  # so that no column clashes
+    text, pieces, found = F.col("_text"), F.col("_pieces"), []
+    rows = rows.withColumn("_pieces", pieces_of(text))
     none = F.array().cast("array<struct<kind:string,start:int,end:int,base:boolean,votes:string>>")
     for kind in KINDS:
-        base = F.transform(F.filter(matches(text, BASE[kind]), _check(kind)), _voter(kind, text, strict=True))
+        base = F.transform(F.filter(matches(text, BASE[kind]), _check(kind)), _voter(kind, pieces, strict=True))
         if kind in HINT:
             base = F.when(F.contains(text, F.lit(HINT[kind])), base).otherwise(none)
-        loose = F.transform(matches(text, LOOSE[kind]), _voter(kind, text, strict=False))
+        loose = F.transform(matches(text, LOOSE[kind]), _voter(kind, pieces, strict=False))
         if kind in LOOSE_HINT:
             loose = F.when(text.rlike(LOOSE_HINT[kind]), loose).otherwise(none)
         rows = rows.withColumns({f"_base_{kind}": base, f"_loose_{kind}": loose})
@@ -188,8 +232,7 @@ def with_candidates(docs: DataFrame, column: str = "candidates") -> DataFrame:
         )
         both = F.concat(F.col(f"_base_{kind}"), free)
         parts.append(F.when(F.size(F.col(f"_loose_{kind}")) == 0, F.col(f"_base_{kind}")).otherwise(F.array_sort(both, _by_start)))
-    rows = rows.withColumn(column, F.concat(*parts))
-    return rows.drop("_text", "_bases", *[f"_{x}_{k}" for k in KINDS for x in ("base", "loose")])
+    return rows.select("_row.*", F.concat(*parts).alias(column))
 
 
 def _by_start(a: Column, b: Column) -> Column:
@@ -288,17 +331,18 @@ def digests(spans: str = "spans") -> list[Column]:
 
 def redacted(text: Column, spans: Column) -> Column:
     """``text`` with each span replaced by its kind in brackets; spans that overlap are one."""
-    ordered = F.array_sort(spans, _by_start)
-    done = F.aggregate(
-        ordered,
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(
-                s["start"] >= acc["at"],
-                F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]")),
-            ).otherwise(acc["out"]).alias("out"),
-        ),
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.lit(2**31 - 1) - acc["at"] - 1)),
+    steps = scanned(
+        F.array_sort(spans, _by_start),
+        lambda s: s["end"],
+        F.greatest,
+        lambda at, s: F.struct(at.alias("at"), s["start"].alias("start"), s["kind"].alias("kind")),
+        "struct<at:int,start:int,kind:string>",
     )
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    apart = F.filter(steps, lambda s: s["start"] >= s["at"])
+    last = F.array_max(F.transform(spans, lambda s: s["end"]))
+
+    def replaced(pieces: Column) -> Column:
+        heads = F.transform(apart, lambda s: F.concat(part(pieces, s["at"], s["start"] - s["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]")))
+        return F.concat(F.array_join(heads, ""), part(pieces, last, F.char_length(text) - last))
+
+    return F.when(F.size(spans) > 0, let(pieces_of(text), replaced)).otherwise(text)
