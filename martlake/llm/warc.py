@@ -3,9 +3,10 @@
 An archive is a text-file part that Spark writes with its own commit protocol,
 so that a lost executor leaves no half archive behind. Its first bytes are a
 skippable frame that holds the dictionary (magic number 0x184D2A5D), then one
-frame follows for each record. Spark ends each line with a separator; it is an
-empty skippable frame here, so that the file is a valid Zstandard stream and
-any reader passes over it.
+frame follows for each record. An archive ends where its frames reach a limit of
+bytes, so that a partition of any size becomes archives that one task can read.
+Spark ends each line with a separator; it is an empty skippable frame here, so
+that the file is a valid Zstandard stream and any reader passes over it.
 
 The reader loads the dictionary from the leading frame, decodes frame by frame
 and validates versions, header fields, lengths and payload digests.
@@ -42,6 +43,7 @@ SEPARATOR = struct.pack("<II", SEPARATOR_MAGIC, 0).decode("ascii")
 DICTIONARY_BYTES = 1 << 15
 DICTIONARY_SAMPLES = 200  # records from which an archive's dictionary is made
 SAMPLE_BYTES = 1 << 14
+ARCHIVE_BYTES = 1 << 25  # an archive ends with the record that reaches this size
 
 RECORD_SCHEMA = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary, error string"
 
@@ -152,28 +154,42 @@ def _dictionary(samples: list[bytes]):
         return zstandard.ZstdCompressionDict(b"".join(samples)[:DICTIONARY_BYTES] or b"\0" * 8, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
 
-def write(records: DataFrame, path: str) -> None:
-    """Writes each partition of ``records`` (see with_record_types) as one archive below ``path``."""
+def write(records: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """Writes ``records`` (see with_record_types) as archives below ``path``.
+
+    Each partition gives archives of about ``archive_bytes`` and a last one of
+    what is left; a record is never cut, so a longer one ends its archive.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        compressor = None
+        def archive() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([b"".join(frames)], pa.binary())], ["archive"])
+
+        frames, size, compressor = [], 0, None
         for batch in batches:
             for at in range(0, batch.num_rows, DICTIONARY_SAMPLES):
                 rows = [record(**r) for r in batch.slice(at, DICTIONARY_SAMPLES).to_pylist()]
-                frames = []
-                if compressor is None:
-                    dictionary = _dictionary([r[:SAMPLE_BYTES] for r in rows])
-                    plain = dictionary.as_bytes()
-                    frames.append(struct.pack("<II", DICTIONARY_MAGIC, len(plain)) + plain)
-                    compressor = zstandard.ZstdCompressor(level=3, dict_data=dictionary, write_content_size=True, write_checksum=True)
-                frames += [compressor.compress(r) for r in rows]
-                yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["frame"])
+                for i, row in enumerate(rows):
+                    if compressor is None:
+                        dictionary = _dictionary([r[:SAMPLE_BYTES] for r in rows[i:]])
+                        plain = dictionary.as_bytes()
+                        frames = [struct.pack("<II", DICTIONARY_MAGIC, len(plain)) + plain]
+                        size = len(frames[0])
+                        compressor = zstandard.ZstdCompressor(level=3, dict_data=dictionary, write_content_size=True, write_checksum=True)
+                    frames.append(compressor.compress(row))
+                    size += len(frames[-1])
+                    if size >= archive_bytes:
+                        yield archive()
+                        frames, compressor = [], None
+        if frames:
+            yield archive()
 
     order = ["page_id", "url", "payload", "record_type", "refers_to"]
-    frames = records.select(order).mapInArrow(run, "frame binary")
-    frames.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", 0).text(path)
+    archives = records.select(order).mapInArrow(run, "archive binary")
+    # a row is an archive, and a file holds one row
+    archives.select(F.col("archive").cast("string").alias("value")).write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", 1).text(path)
 
 
 WINDOW = 1 << 14  # bytes that are handed to a decompressor at once
@@ -224,8 +240,8 @@ def read(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame
     """All records of the archives below ``path``; ``error`` tells what is wrong with a record.
 
     The rest of an archive after a broken frame can't be found again and is
-    told of by one row. An archive is read as a whole; the writer makes one of
-    each partition, so its size is that of a compressed partition.
+    told of by one row. An archive is read as a whole by one task; the writer
+    bounds its size.
     """
     files = spark.read.format("binaryFile").load(path).select("content")
     schema = RECORD_SCHEMA if with_payload else RECORD_SCHEMA.replace("payload binary, ", "")

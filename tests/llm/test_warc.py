@@ -4,6 +4,7 @@ import base64
 import glob
 import hashlib
 import io
+import random
 import time
 
 import pytest
@@ -65,6 +66,17 @@ def test_archives_are_zstandard_streams_with_a_dictionary_in_front(spark, tmp_pa
     assert text.count(b"WARC/1.1\r\n") == 300
 
 
+def test_archives_end_at_a_size(spark, tmp_path):
+    rng = random.Random(7)
+    rows = [(i, f"http://h/{i}", rng.randbytes(200_000 if i == 50 else 1_000).hex(), None) for i in range(400)]
+    limit = 100_000
+    warc.write(warc.with_record_types(spark.createDataFrame(rows, SCHEMA)).coalesce(1), str(tmp_path / "w"), limit)
+    sizes = [len(open(p, "rb").read()) for p in glob.glob(str(tmp_path / "w" / "part-*"))]
+    assert len(sizes) > 5 and sum(n > limit + 5_000 for n in sizes) <= 1  # that of the long page alone
+    got = warc.valid(warc.read(spark, str(tmp_path / "w"))).collect()
+    assert sorted((r.page_id, bytes(r.payload).decode()) for r in got) == [(i, html) for i, _, html, _ in rows]
+
+
 def test_broken_records_are_told(spark, tmp_path):
     good = warc.record(1, "http://a/", b"payload", "response", None)
     assert warc.parse_record(good)["payload"] == b"payload"
