@@ -195,7 +195,9 @@ def best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int
 def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Adds sequence_id and offset to rows with doc_id, piece and length (1 to capacity)."""
     parts = stored(parts, "pieces")  # the range sort reads its input twice; texts are encoded once
-    rows = ranked(parts, [F.col("length").desc(), F.col("doc_id"), F.col("piece")], "packing")
+    # the stored row's number tells rows with one id apart, so that the range sort can split any number of them
+    numbered = parts.withColumn("_row", F.monotonically_increasing_id())
+    rows = ranked(numbered, [F.col("length").desc(), F.col("doc_id"), F.col("piece"), F.col("_row")], "packing").drop("_row")
     counts = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}  # a row for each length
     plan = np.array(best_fit(counts, capacity), np.int64).reshape(-1, 5)
     schema = rows.drop("rank").schema.add("sequence_id", "long").add("offset", "long")
