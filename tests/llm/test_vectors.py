@@ -2,12 +2,15 @@ from __future__ import annotations
 
 import math
 
+import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
 from martlake.llm import curves, exact_topk, vectors
-from martlake.llm.queries import op6_exact_topk, op10_curve_neighbours
+from martlake.llm.queries import ORACLE_SQL, op6_exact_topk, op10_curve_neighbours
 
 SCHEMA = "vec_id long, embedding array<float>, rank int, score string"
 
@@ -63,6 +66,18 @@ def test_exact_top_k(spark, monkeypatch, block):
     assert got(exact_topk.top_k(frame(spark, rows), is_query(), 7)) == brute(rows, 7, whole=True)
 
 
+def test_sql_counts_repeated_ids_once():
+    # as the operator does: by the least vector
+    rows = [r for r in random_rows(120) if r[0] not in (20, 40)] + EDGES + [(20, [-0.5] * 12), (7, [-9.0] * 12), (60, [3.0] * 12)]
+    embeddings = pa.table({"vec_id": pa.array([i for i, _ in rows], pa.int64()), "embedding": pa.array([v for _, v in rows], pa.list_(pa.float32()))})
+    embeddings = embeddings.filter(pc.fill_null(pc.equal(pc.list_value_length(embeddings["embedding"]), 12), True))  # SQL has no products of other lengths
+    usual = [(i, v) for i, v in rows if v is None or len(v) == 12]
+    with duckdb.connect() as db:
+        db.register("embeddings", embeddings)
+        found = db.execute(ORACLE_SQL["op6_exact_topk"]).fetchall()
+    assert sorted(found) == brute(usual, 20, whole=True)
+
+
 def test_few_and_no_rows(spark):
     rows = random_rows(5)
     assert got(exact_topk.top_k(frame(spark, rows), is_query())) == brute(rows, 20, whole=True)
