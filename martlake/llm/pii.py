@@ -12,8 +12,9 @@ corpus. Spans of the strict patterns always stay; the classifier adds others.
 
 Defined results: null texts count as empty; empty texts have no spans; rows are
 independent, so repeated rows get equal results; a corpus without candidates
-gives a model that adds nothing; other columns pass through unless they clash
-with the added ones, which win.
+gives a model that adds nothing; other columns pass through, but for one that
+has the name of the added column. Texts of any length give the same spans: long
+ones are read in pieces, so that places far into them cost no more than others.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ BASE = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 LOOSE = {
-    "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}+ ?(?:\[at\]|\(at\)|\{at\}) ?[a-z0-9-]{1,63}+(?: ?(?:\.|\[dot\]|\(dot\)|\{dot\}) ?[a-z0-9-]{1,63}+){1,8}+",
+    "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++ ?(?:\[at\]|\(at\)|\{at\}) ?[a-z0-9-]++(?: ?(?:\.|\[dot\]|\(dot\)|\{dot\}) ?[a-z0-9-]++)++",
     "ip": r"(?<![0-9A-Fa-f:.])(?:[0-9A-Fa-f]{1,4}+:){7}[0-9A-Fa-f]{1,4}+(?![0-9A-Fa-f:.])",
     "card": r"(?<![0-9.])[0-9]{4}+(?:[./][0-9]{4}+){3}(?![0-9./])",
     "phone": r"(?<![0-9+.-])(?<![0-9+] )(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]|[ .-][0-9])",
@@ -68,6 +69,11 @@ EM_ROUNDS, EM_TOLERANCE = 500, 1e-9
 FIT_ROUNDS, FIT_RATE = 2000, 0.5
 THRESHOLD = 0.5
 
+CANDIDATES = "array<struct<kind:string,start:int,end:int,base:boolean,votes:string>>"
+LONG = 1 << 14  # bytes from which a text is long
+PIECE = 1024  # code points of the pieces of a long text
+RUN = 64  # matches whose results are appended one after the other in long texts
+
 
 @dataclass(frozen=True)
 class Model:
@@ -78,7 +84,55 @@ class Model:
     weights: dict[str, list[float]]  # intercept, then labelers and shapes
 
 
-def matches(text: Column, pattern: str) -> Column:
+def let(value: Column, body) -> Column:
+    """``body(value)``, with the value found once however often lambdas inside use it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def is_long(text: Column) -> Column:
+    return F.octet_length(text) > LONG
+
+
+def in_pieces(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def part(pieces: Column, start: Column, length: Column) -> Column:
+    """``length`` code points from ``start`` (from 0) on of a text in pieces, fewer at its end."""
+    first = F.floor(start / PIECE).cast("int")
+    near = F.slice(pieces, first + 1, F.floor((start + length) / PIECE).cast("int") - first + 1)
+    return F.substring(F.array_join(near, ""), start - first * PIECE + 1, length)
+
+
+def folded(items: Column, at: Column, step, emit, element: str) -> Column:
+    """``emit(at, item)`` of each item as an array, and ``at`` after ``step(at, item)`` of all of them."""
+    return F.aggregate(
+        items,
+        F.struct(at.alias("at"), F.array().cast(f"array<{element}>").alias("out")),
+        lambda acc, x: F.struct(step(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(emit(acc["at"], x))).alias("out")),
+    )
+
+
+def folded_in_runs(items: Column, step, emit, element: str) -> Column:
+    """The array of ``folded`` from 0 on. Appending copies what is there, so items are folded in runs and the runs joined."""
+
+    def joined(every: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.floor(F.size(every) / RUN).cast("int")), lambda r: F.slice(every, r * RUN + 1, F.lit(RUN)))
+        none = F.array().cast(f"array<array<{element}>>")
+        return F.aggregate(
+            runs,
+            F.struct(F.lit(0).alias("at"), none.alias("out")),
+            lambda acc, run: let(
+                folded(run, acc["at"], step, emit, element),
+                lambda got: F.struct(got["at"].alias("at"), F.concat(acc["out"], F.array(got["out"])).alias("out")),
+            ),
+            lambda acc: F.flatten(acc["out"]),
+        )
+
+    return let(items, joined)
+
+
+def matches(text: Column, pattern: str, long: bool = False) -> Column:
     """Array of (start, end, value) of all matches, left to right; code points, end exclusive.
 
     The matches and the gaps between them have the lengths that give the places.
@@ -86,20 +140,15 @@ def matches(text: Column, pattern: str) -> Column:
     gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     steps = F.zip_with(gaps, found, lambda g, m: F.struct(F.char_length(g).alias("gap"), m.alias("value")))
     steps = F.filter(steps, lambda s: s["value"].isNotNull())
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    spans = F.aggregate(
-        steps,
-        F.struct(F.lit(0).alias("at"), none.alias("spans")),
-        lambda acc, s: F.struct(
-            (acc["at"] + s["gap"] + F.char_length(s["value"])).alias("at"),
-            F.concat(
-                acc["spans"],
-                F.array(F.struct((acc["at"] + s["gap"]).alias("start"), (acc["at"] + s["gap"] + F.char_length(s["value"])).alias("end"), s["value"].alias("value"))),
-            ).alias("spans"),
-        ),
-        lambda acc: acc["spans"],
-    )
-    return F.when(text.rlike(pattern), spans).otherwise(none)
+    element = "struct<start:int,end:int,value:string>"
+
+    def after(at: Column, s: Column) -> Column:
+        return at + s["gap"] + F.char_length(s["value"])
+
+    def span(at: Column, s: Column) -> Column:
+        return F.struct((at + s["gap"]).alias("start"), after(at, s).alias("end"), s["value"].alias("value"))
+
+    return folded_in_runs(steps, after, span, element) if long else folded(steps, F.lit(0), after, span, element)["out"]
 
 
 def digits_of(value: Column) -> Column:
@@ -139,11 +188,11 @@ def _listed(kind: str, value: Column) -> Column:
     return value.rlike(rf"^\+(?:{codes})") | value.rlike(r"^\(?[2-9]")
 
 
-def _voted(kind: str, text: Column, span: Column, strict: Column) -> Column:
-    """A candidate with its votes and shape as a pattern of 0 and 1."""
+def _voted(kind: str, cut, span: Column, strict: Column) -> Column:
+    """A candidate with its votes and shape as a pattern of 0 and 1; ``cut(start, length)`` gives the text around it."""
     value, start, end = span["value"], span["start"], span["end"]
-    before = F.substring(text, F.greatest(start - CUE_WINDOW, F.lit(0)) + 1, F.least(start, F.lit(CUE_WINDOW)))
-    after = F.substring(text, end + 1, F.lit(CUE_WINDOW))
+    before = cut(F.greatest(start - CUE_WINDOW, F.lit(0)), F.least(start, F.lit(CUE_WINDOW)))
+    after = cut(end, F.lit(CUE_WINDOW))
     cue = F.concat(before, F.lit(" "), after).rlike(rf"(?i)(?<![a-z])(?:{'|'.join(CUES[kind])})")
     alone = before.rlike(r"(?:^|[\s(\[<:,;\"'])$") & after.rlike(r"^(?:$|[\s)\]>:,;.!?\"'])")
     flags = [strict, _listed(kind, value), cue, alone, strict, F.char_length(value) > 14, value.rlike("[A-Za-z]") & value.rlike("[0-9]")]
@@ -155,8 +204,21 @@ def _check(kind: str):
     return lambda span: passes(kind, span["value"])
 
 
-def _voter(kind: str, text: Column, strict: bool):
-    return lambda span: _voted(kind, text, span, F.lit(strict))
+def _voter(kind: str, cut, strict: bool):
+    return lambda span: _voted(kind, cut, span, F.lit(strict))
+
+
+def _candidates(kind: str, text: Column, strict: bool) -> Column:
+    """The candidates of one kind from its strict or its loose pattern."""
+    pattern = BASE[kind] if strict else LOOSE[kind]
+
+    def found(cut, long: bool) -> Column:
+        spans = matches(text, pattern, long)
+        return F.transform(F.filter(spans, _check(kind)) if strict else spans, _voter(kind, cut, strict))
+
+    short = found(lambda start, length: F.substring(text, start + 1, length), False)
+    long = let(in_pieces(text), lambda pieces: found(lambda start, length: part(pieces, start, length), True))
+    return F.when(~text.rlike(pattern), F.array().cast(CANDIDATES)).when(is_long(text), long).otherwise(short)
 
 
 def _base_of(kind: str):
@@ -165,31 +227,31 @@ def _base_of(kind: str):
 
 def with_candidates(docs: DataFrame, column: str = "candidates") -> DataFrame:
     """Adds the candidates of ``text``: kind, start, end, base and votes, by kind as listed and then start."""
-    others = [c for c in docs.columns if c.lower() not in {column.lower(), "text", "_text"}]
-    rows = docs.select(*[F.col(f"`{c}`") for c in others], *([F.col("text")] if "text" in docs.columns else []), text_or_empty().alias("_text"))
-    text, found = F.col("_text"), []
-    none = F.array().cast("array<struct<kind:string,start:int,end:int,base:boolean,votes:string>>")
+    others = [c for c in docs.columns if c.lower() != column.lower()]
+    own = "_"  # no other column begins like those that are dropped again
+    while any(c.lower().startswith(own) for c in others):
+        own += "_"
+    rows = docs.select(*[F.col(f"`{c}`") for c in others], text_or_empty().alias(f"{own}text"))
+    text, found = F.col(f"{own}text"), []
+    none = F.array().cast(CANDIDATES)
     for kind in KINDS:
-        base = F.transform(F.filter(matches(text, BASE[kind]), _check(kind)), _voter(kind, text, strict=True))
+        base, loose = _candidates(kind, text, True), _candidates(kind, text, False)
         if kind in HINT:
             base = F.when(F.contains(text, F.lit(HINT[kind])), base).otherwise(none)
-        loose = F.transform(matches(text, LOOSE[kind]), _voter(kind, text, strict=False))
         if kind in LOOSE_HINT:
             loose = F.when(text.rlike(LOOSE_HINT[kind]), loose).otherwise(none)
-        rows = rows.withColumns({f"_base_{kind}": base, f"_loose_{kind}": loose})
-        found.append(F.col(f"_base_{kind}"))
+        rows = rows.withColumns({f"{own}base_{kind}": base, f"{own}loose_{kind}": loose})
+        found.append(F.col(f"{own}base_{kind}"))
     # a loose candidate that touches a base span of any kind adds nothing
     bases = F.concat(*found)
-    rows = rows.withColumn("_bases", bases)
+    rows = rows.withColumn(f"{own}bases", bases)
     parts = []
     for kind in KINDS:
-        free = F.filter(
-            F.col(f"_loose_{kind}"), lambda s: ~F.exists(F.col("_bases"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        )
-        both = F.concat(F.col(f"_base_{kind}"), free)
-        parts.append(F.when(F.size(F.col(f"_loose_{kind}")) == 0, F.col(f"_base_{kind}")).otherwise(F.array_sort(both, _by_start)))
+        base, loose = F.col(f"{own}base_{kind}"), F.col(f"{own}loose_{kind}")
+        free = F.filter(loose, lambda s: ~F.exists(F.col(f"{own}bases"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+        parts.append(F.when(F.size(loose) == 0, base).otherwise(F.array_sort(F.concat(base, free), _by_start)))
     rows = rows.withColumn(column, F.concat(*parts))
-    return rows.drop("_text", "_bases", *[f"_{x}_{k}" for k in KINDS for x in ("base", "loose")])
+    return rows.drop(f"{own}text", f"{own}bases", *[f"{own}{x}_{k}" for k in KINDS for x in ("base", "loose")])
 
 
 def _by_start(a: Column, b: Column) -> Column:
@@ -288,17 +350,24 @@ def digests(spans: str = "spans") -> list[Column]:
 
 def redacted(text: Column, spans: Column) -> Column:
     """``text`` with each span replaced by its kind in brackets; spans that overlap are one."""
+
+    def parts(ordered: Column, cut, long: bool) -> Column:
+        """The text before each span that lies behind those before it, and the span's kind; then the rest."""
+
+        def reached(at: Column, s: Column) -> Column:
+            return F.greatest(at, s["end"])
+
+        def seen(at: Column, s: Column) -> Column:
+            return F.struct(at.alias("at"), s["start"].alias("start"), s["kind"].alias("kind"))
+
+        element = "struct<at:int,start:int,kind:string>"
+        steps = folded_in_runs(ordered, reached, seen, element) if long else folded(ordered, F.lit(0), reached, seen, element)["out"]
+        apart = F.filter(steps, lambda s: s["start"] >= s["at"])
+        heads = F.transform(apart, lambda s: F.concat(cut(s["at"], s["start"] - s["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]")))
+        last = F.array_max(F.transform(ordered, lambda s: s["end"]))
+        return F.concat(F.array_join(heads, ""), cut(last, F.char_length(text) - last))
+
     ordered = F.array_sort(spans, _by_start)
-    done = F.aggregate(
-        ordered,
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(
-                s["start"] >= acc["at"],
-                F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]")),
-            ).otherwise(acc["out"]).alias("out"),
-        ),
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.lit(2**31 - 1) - acc["at"] - 1)),
-    )
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    short = parts(ordered, lambda start, length: F.substring(text, start + 1, length), False)
+    long = let(in_pieces(text), lambda pieces: parts(ordered, lambda start, length: part(pieces, start, length), True))
+    return F.when(F.size(spans) == 0, text).when(is_long(text), long).otherwise(short)

@@ -69,6 +69,34 @@ def test_base_spans_are_the_plain_ones(spark):
         assert order == sorted(order)
 
 
+@pytest.mark.parametrize("long", [pii.LONG, 100])
+def test_many_matches_in_long_texts(spark, monkeypatch, long):
+    monkeypatch.setattr(pii, "LONG", long)
+    rnd = random.Random(7)
+    words = ["é😀", "a@b.co", "10.0.0.1", "+1 988 555 2485", "x", "日本", "\n", "4111 1111 1111 1111", "y" * 1500]
+    texts = [" ".join(rnd.choice(words[: 9 if i < 3 else 8]) for _ in range(n)) for i, n in enumerate((700, 1500, 64, 2000, 6000))]
+    texts += ["a@b.co " * n for n in (63, 64, 65, 128)] + ["x" * 1024, "x" * 1017 + " a@b.co", "x" * 1024 + " a@b.co", "x" * 2048]
+    rows = annotated(spark, [(i, t, 1, "x") for i, t in enumerate(texts)])
+    for r in rows.select("doc_id", "spans", pii.redacted(F.col("text"), F.col("spans")).alias("out")).collect():
+        text = texts[r.doc_id]
+        assert [(s.kind, s.start, s.end) for s in r.spans if s.base] == plain(text)
+        at, out = 0, []
+        for s in sorted(r.spans, key=lambda s: (s.start, s.end)):
+            if s.start >= at:
+                out.append(text[at : s.start] + f"[{s.kind.upper()}]")
+            at = max(at, s.end)
+        assert r.out == "".join(out) + text[at:] if r.spans else text
+
+
+def test_long_disguised_addresses_and_clashing_columns(spark):
+    name, labels = "n" * 90, " [dot] ".join(["part"] * 12 + ["d" * 80, "com"])
+    text = f"mail {name} [at] {labels} for more"
+    docs = spark.createDataFrame([(1, text, 2, "p", "c")], "_base_email long, text string, _row int, _pieces string, CANDIDATES string")
+    row = pii.with_candidates(docs).first()
+    assert [(c.kind, text[c.start : c.end]) for c in row.candidates] == [("email", f"{name} [at] {labels}")]
+    assert (row["_base_email"], row["_row"], row["_pieces"], row["text"]) == (1, 2, "p", text)
+
+
 def test_other_spans_need_support(spark):
     prose = "write to " + "ann@example.com today. " * 5 + "call +1 (988) 555-2485 now. host 10.1.2.3 up. card 4111 1111 1111 1111 paid. "
     rows = [(i, prose, 0, "") for i in range(40)]
