@@ -177,7 +177,11 @@ WAREHOUSE_CHECKS: tuple[Check, ...] = (
 
 
 class QualityGateError(RuntimeError):
-    pass
+    """A build did not pass its checks; ``rows`` is the whole report, a row for each check."""
+
+    def __init__(self, message: str, rows: Sequence = ()) -> None:
+        super().__init__(message)
+        self.rows = list(rows)
 
 
 def enforce(report: DataFrame) -> list:
@@ -185,5 +189,5 @@ def enforce(report: DataFrame) -> list:
     rows = report.collect()
     failed = [r for r in rows if not r["passed"]]
     if failed:
-        raise QualityGateError("failed checks: " + ", ".join(f"{r['check']}={r['failures']}" for r in failed))
+        raise QualityGateError("failed checks: " + ", ".join(f"{r['check']}={r['failures']}" for r in failed), rows)
     return rows

@@ -178,10 +178,15 @@ def _registered_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _build_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a build. Where a check fails, the build publishes nothing and its report says which."""
     out = os.path.join(ensure_checkpoint_dir(spark), "martlake-build", _listing(spark, sf_dir))
-    rows = build_warehouse(spark, _written_raw(spark, sf_dir), out, BATCH_1)
-    Versions(spark, os.path.join(out, "marts")).expire()
-    history.expire_open(spark, os.path.join(out, "history"))
+    try:
+        rows = build_warehouse(spark, _written_raw(spark, sf_dir), out, BATCH_1)
+    except quality.QualityGateError as failed:
+        rows = failed.rows
+    else:
+        Versions(spark, os.path.join(out, "marts")).expire()
+        history.expire_open(spark, os.path.join(out, "history"))
     return spark.createDataFrame(rows, "check string, model string, column string, failures long, passed boolean")
 
 

@@ -20,6 +20,7 @@ from martlake.plans.warehouse import (
     resolve_view_params,
     write_order_marts,
 )
+from martlake.session import ensure_checkpoint_dir
 from martlake.sources import history, tables, testdata
 from martlake.sources.versions import Versions
 from tests.conftest import SF_SMALL, d
@@ -194,6 +195,21 @@ def test_failed_gate_keeps_former_marts_and_history(spark, scratch):
     assert len(failed) == 2 and read_marts(spark, marts_dir, spark.range(0)).fct_orders.count() == rows["fct_orders"]
 
 
+def test_report_of_a_build_that_fails_a_check(spark, scratch):
+    for name in testdata.TABLES:
+        table = testdata.read_driver_table(spark, SF_SMALL, name)
+        if name == "lineitem":  # one order above the range of revenues
+            one = table.orderBy("l_orderkey").limit(1).withColumn("l_extendedprice", F.lit(2_000_000.0))
+            table = table.unionByName(one)
+        table.write.parquet(os.path.join(scratch, f"{name}.parquet"))
+    rows = catalog.QUERIES["warehouse_build_report"](spark, scratch).collect()
+    assert len(rows) == len(quality.WAREHOUSE_CHECKS)
+    assert {r["check"]: r["failures"] for r in rows if not r["passed"]} == {"between_fct_orders_revenue_euro": 1}
+    out = os.path.join(ensure_checkpoint_dir(spark), "martlake-build", catalog._listing(spark, scratch))
+    assert read_marts(spark, os.path.join(out, "marts"), spark.range(0)) is None
+    assert history.latest_batch(spark, os.path.join(out, "history")) is None
+
+
 def test_half_written_marts_are_written_again(spark, scratch):
     wh = catalog.warehouse(spark, SF_SMALL)
     versions = Versions(spark, scratch)
