@@ -60,8 +60,15 @@ def order_totals(raw_order_items: DataFrame) -> DataFrame:
 
 
 def order_pairs(raw_order_items: DataFrame) -> DataFrame:
-    """Items and cents of each product in each order: a hot order or product never moves as raw rows."""
-    return raw_order_items.groupBy("order_id", "product_id").agg(
+    """Items and cents of each product in each order.
+
+    An order rarely holds a product twice, so sums before the shuffle would hold
+    a row for nearly each item of a task's input and spill them. Items are dealt
+    by order and product as they are, which spreads a hot order over its products
+    and a hot product over its orders.
+    """
+    items = raw_order_items.select("order_id", "product_id", "amount_cents").repartition("order_id", "product_id")
+    return items.groupBy("order_id", "product_id").agg(
         F.sum("amount_cents").alias("amount_cents"), F.count(F.lit(1)).alias("items")
     )
 

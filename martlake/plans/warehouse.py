@@ -121,11 +121,11 @@ def write_order_marts(stg_orders: DataFrame, raw_order_items: DataFrame, path: s
     """Write the order fact and the (order, product) mart below ``path``.
 
     Items are read and shuffled once: their sums by order and product are kept
-    (on the executors, spilling to disk; a lost executor's part is made again)
-    while the order totals and the mart's rows are taken from them.
+    (on the executors' disks, so that the sorts have the memory; a lost executor's
+    part is made again) while the order totals and the mart's rows are taken from them.
     """
     spark = stg_orders.sparkSession
-    pairs = models.order_pairs(raw_order_items).persist(StorageLevel.MEMORY_AND_DISK)
+    pairs = models.order_pairs(raw_order_items).persist(StorageLevel.DISK_ONLY)
     try:
         write_by_date(models.fct_of_totals(stg_orders, models.pair_totals(pairs)), os.path.join(path, "fct_orders"))
         fct = spark.read.parquet(os.path.join(path, "fct_orders"))

@@ -144,3 +144,16 @@ def test_open_rows_without_a_key_stay(spark):
     history = history.withColumn("id", F.when(F.col("id") == 2, F.lit(None)).otherwise(F.col("id")))
     merged = scd2.snapshot(spark.createDataFrame([(1, "a")], "id long, name string"), "id", "2024-02-01", history)
     assert sorted(r.name for r in merged.collect()) == ["a", "b"]
+
+
+def test_items_are_not_summed_before_they_are_dealt(spark):
+    rows = [("1", 7, 1, 100), ("1", 7, 2, 50), ("1", 8, 1, 5), ("2", 7, 1, 9), ("2", None, 1, 1), (None, 7, 1, 3), (None, 7, 1, 4)]
+    items = spark.createDataFrame(rows, "order_id string, product_id long, quantity long, amount_cents long").repartition(3, "quantity")
+    pairs = models.order_pairs(items)
+    want = {("1", 7, 150, 2), ("1", 8, 5, 1), ("2", 7, 9, 1), ("2", None, 1, 1), (None, 7, 7, 2)}
+    assert {tuple(r) for r in pairs.select("order_id", "product_id", "amount_cents", "items").collect()} == want
+    totals = {tuple(r) for r in models.pair_totals(pairs).select("order_id", "num_items", "total_revenue_cents").collect()}
+    assert totals == {tuple(r) for r in models.order_totals(items).select("order_id", "num_items", "total_revenue_cents").collect()}
+    # sums below the exchange would hold a row for nearly each item of a task's input, and spill them
+    top, _, below = pairs._jdf.queryExecution().sparkPlan().toString().partition("Exchange hashpartitioning(order_id")
+    assert "Aggregate" in top and below and "Aggregate" not in below
