@@ -1,20 +1,25 @@
 """Main text of web pages: page structure, and differences from the nearest page of the host.
 
-A page becomes lines, one for each block of text. Structure settles most of
+A page becomes lines, one for each block of text. Structure settles many of
 them: menus, headers, footers, sidebars, notices, adverts, forms, scripts and
 comments go. A form, or an element whose class or id names such a part, stays
 where it is the page itself: it holds most of the text, no article lies outside
-of it, and an article or running text lies inside. Where article elements hold most of the text that is left, their
-lines are the page's. Where a page marks no article, or only a part such as a
-teaser, all its remaining lines are open. Those pages are sorted by host and URL
-path, each is paired with its neighbour of the longer common path, the lines of
-both are aligned by longest common subsequence, and shared lines are deleted:
-they belong to the site and not to the page.
-
-A neighbour that shares most of a page's open text is the same page under
+of it, and an article or running text lies inside.
+
+All pages that have lines are sorted by host and URL path, each is paired with
+its neighbour of the longer common path, and the lines of both are aligned by
+longest common subsequence. Shared lines belong to the site, the others are the
+page's own. A neighbour that shares most of a page's text is the same page under
 another address; it tells nothing of the site, so the other neighbour is taken,
-or none. Lines inside an article are not deleted for being shared, because
-articles quote and repeat each other.
+or none.
+
+The own lines say what the page is. An article element without any is a card
+that other pages carry too, as long as the others hold most of the articles'
+text. Where the articles left are longer than the own lines outside of articles,
+they are the main text, whole: lines inside are not deleted for being shared,
+because articles quote and repeat each other. Elsewhere (no article, or only a
+part such as a teaser) it is the page's own lines, and with them the article
+elements that have some.
 
 Defined results: null html counts as empty and has empty text; null urls form a
 host of their own; pages with equal paths pair in the order of page_id;
@@ -27,16 +32,20 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_left
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import islice
+from math import isqrt
+from os.path import commonprefix
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlake.llm.common import ranked, stored
+from martlake.llm.common import ranked
 from martlake.llm.flat import small_batches
 
 # Elements and words that mark what is not main text (fixed values).
@@ -63,9 +72,10 @@ HEADERS = frozenset("header site-header page-header top-header main-header globa
 NEGATED = ("has", "with", "no", "not", "is", "without")
 CONTENT = frozenset("article-body articlebody post-content entry-content article-content post-body story-body main-content".split())
 
-SAME_PAGE = 0.8  # share of a page's open characters from which its neighbour counts as a copy of it
+SAME_PAGE = 0.8  # share of a page's characters from which its neighbour counts as a copy of it
 PROSE, LINKED = 200, 0.2  # characters outside of links that make running text, and the share of links that makes a list of them
 BLOCK_ROWS = 512
+REPEATS = 32  # pairs of equal lines for each line of two pages, above which rows of bits align them
 
 _RAW = "|".join(RAW)
 _NAME = r"[a-zA-Z][^\s/>]*+"
@@ -161,19 +171,19 @@ def _settle(marked: list[_Marked], total: int, outside: int) -> None:
             outside += m.own_article
 
 
-def lines(page: str) -> tuple[list[str], bool]:
-    """The lines that structure leaves, and whether they are those of an article that holds most of the text."""
-    found: list[tuple[str, bool, int]] = []  # text, in an article, marked element around
+def blocks(page: str) -> list[tuple[str, int]]:
+    """The lines that structure leaves, each with the number of the article element that it is in, or 0."""
+    found: list[tuple[str, int, int]] = []  # text, article, marked element around
     marked: list[_Marked] = []
-    stack: list[tuple[str, str, int]] = []  # name, zone and marked element of open elements
-    zone, inside, links, linked, parts = "", -1, 0, 0, []
+    stack: list[tuple[str, str, int, int]] = []  # name, zone, marked element and article of open elements
+    zone, inside, article, articles, links, linked, parts = "", -1, 0, 0, 0, 0, []
 
     def flush() -> None:
         nonlocal linked
         text = " ".join("".join(parts).split())
         parts.clear()
         if text:
-            found.append((text, zone == "article", inside))
+            found.append((text, article, inside))
             if inside >= 0:
                 own = marked[inside]
                 own.chars, own.linked = own.chars + len(text), own.linked + min(linked, len(text))
@@ -218,7 +228,7 @@ def lines(page: str) -> tuple[list[str], bool]:
                         break
                     if stack[k][0] in BLOCKS:
                         break
-            _, around, within = stack[-1] if stack else ("", "", -1)
+            _, around, within, which = stack[-1] if stack else ("", "", -1, 0)
             own, mark = ("skip", "") if around == "skip" else _zone(name, _attributes(m["attrs"]), around == "article")
             own = own or around
             if mark and own != "skip":
@@ -226,20 +236,76 @@ def lines(page: str) -> tuple[list[str], bool]:
                 within = len(marked) - 1
             if (own, within) != (zone, inside):
                 flush()
-            stack.append((name, own, within))
+            if own == "article" and (around != "article" or name == "article"):
+                articles += 1
+                which = articles
+            stack.append((name, own, within, which if own == "article" else 0))
             links += name == "a"
-        _, new, within = stack[-1] if stack else ("", "", -1)
+        _, new, within, which = stack[-1] if stack else ("", "", -1, 0)
         if (new, within) != (zone, inside):
             flush()
             zone, inside = new, within
+        article = which
     if zone != "skip":
         add(page[at:])
     flush()
-    _settle(marked, sum(len(text) for text, *_ in found), sum(len(text) for text, is_article, m in found if is_article and m < 0))
-    kept = [(text, is_article) for text, is_article, m in found if m < 0 or marked[m].stays]
-    article = [text for text, is_article in kept if is_article]
-    most = 2 * sum(map(len, article)) > sum(len(text) for text, _ in kept)
-    return (article, True) if most else ([text for text, _ in kept], False)
+    _settle(marked, sum(len(text) for text, *_ in found), sum(len(text) for text, which, m in found if which and m < 0))
+    return [(text, which) for text, which, m in found if m < 0 or marked[m].stays]
+
+
+def main_places(sizes: list[int], articles: list[int], shared: list[int]) -> list[int]:
+    """Places of the main text among a page's lines, of which those at ``shared`` are the site's."""
+    gone, held, own = set(shared), Counter(), Counter()
+    for i, (size, which) in enumerate(zip(sizes, articles, strict=True)):
+        held[which] += size
+        own[which] += size if i not in gone else 0
+    whole = {which for which in held if which and own[which]}
+    outside, text, in_whole = held[0], sum(held[w] for w in held if w), sum(held[w] for w in whole)
+    if 2 * in_whole > text:
+        if in_whole > own[0]:
+            return [i for i, which in enumerate(articles) if which in whole]
+    elif text > outside:  # the page's article has another address too
+        return [i for i, which in enumerate(articles) if which]
+    return [i for i, which in enumerate(articles) if i not in gone or which in whole]
+
+
+def lines(page: str) -> tuple[list[str], list[int]]:
+    """The main lines of a page without neighbours, and their places among the lines that structure leaves."""
+    found = blocks(page)
+    places = main_places([len(text) for text, _ in found], [which for _, which in found], [])
+    return [found[i][0] for i in places], places
+
+
+def _aligned_rows(a: list[int], b: list[int], places: dict[int, list[int]]) -> list[int]:
+    """Places in ``a`` of a longest common subsequence with ``b``, by rows of bits: for lines that repeat, each of many places."""
+    full, size = (1 << len(b)) - 1, isqrt(len(a)) + 1
+
+    @lru_cache(256)
+    def mask(x: int) -> int:
+        bits = bytearray(len(b) // 8 + 1)
+        for j in places.get(x, ()):
+            bits[j >> 3] |= 1 << (j & 7)
+        return int.from_bytes(bits, "little")
+
+    def rows(row: int, lines_of: list[int]) -> Iterator[int]:
+        """A zero in the row after a line of ``a``: there the subsequence with that much of ``b`` grows by one."""
+        for x in lines_of:
+            hits = row & mask(x)
+            row = ((row + hits) | (row - hits)) & full
+            yield row
+
+    kept = [full, *islice(rows(full, a), size - 1, None, size)]  # every size-th row; those between are made again
+    found, end = [], len(b)
+    for k in range((len(a) - 1) // size, -1, -1):
+        part = [kept[k], *rows(kept[k], a[k * size : (k + 1) * size])]
+        for i in range(len(part) - 1, 0, -1):
+            end = (~part[i] & ((1 << end) - 1)).bit_length()
+            if not end:
+                return found[::-1]
+            if part[i - 1] >> (end - 1) & 1:
+                found.append(k * size + i - 1)
+                end -= 1
+    return found[::-1]
 
 
 def common_subsequence(a: list[int], b: list[int]) -> list[int]:
@@ -252,7 +318,10 @@ def common_subsequence(a: list[int], b: list[int]) -> list[int]:
         tail += 1
     places = defaultdict(list)
     for j in range(head, len(b) - tail):
-        places[b[j]].append(j)
+        places[b[j]].append(j - head)
+    middle_a, middle_b = a[head : len(a) - tail], b[head : len(b) - tail]
+    if sum(len(places.get(x, ())) for x in middle_a) > REPEATS * (len(middle_a) + len(middle_b)):
+        return [*range(head), *(head + i for i in _aligned_rows(middle_a, middle_b, places)), *range(len(a) - tail, len(a))]
     ends: list[int] = []  # least end in b of a subsequence of each length
     links: list[tuple] = []
     for i in range(head, len(a) - tail):
@@ -287,57 +356,62 @@ def _path_key(url: F.Column) -> tuple[F.Column, F.Column]:
     return F.coalesce(F.lower(parts), F.lit("")), F.coalesce(path, F.lit(""))
 
 
-def _deletions(open_pages: DataFrame) -> DataFrame:
-    """The places of shared lines among the lines of open pages, by the page's key."""
+def _stays(pages: DataFrame) -> DataFrame:
+    """For each page that loses lines, by its key: whether each of its lines stays."""
     found = F.split("text", "\n")
-    pages = open_pages.dropDuplicates(["key"]).select(
+    lines_of = pages.filter(F.size("articles") > 0).select(
         "key",
         "page_id",
         *[c.alias(n) for c, n in zip(_path_key(F.col("url")), ("host", "path"), strict=True)],
         F.transform(found, lambda x: F.xxhash64(x)).alias("hashes"),
         F.transform(found, F.char_length).alias("sizes"),
+        "articles",
     )
     # neighbours in the order of host and path: blocks of ranks, each with the row before and the row after it
-    order = ranked(pages, ["host", "path", "page_id", "key"], "open-pages")
+    order = ranked(lines_of.dropDuplicates(["key"]), ["host", "path", "page_id", "key"], "page-lines")
     block = F.floor(F.col("rank") / BLOCK_ROWS)
     spread = order.withColumn("block", F.explode(F.array_distinct(F.array(*[F.floor((F.col("rank") + d) / BLOCK_ROWS) for d in (-1, 0, 1)]))))
     spread = spread.withColumn("own", F.col("block") == block)
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("rank", ignore_index=True)
+        ranks, hosts, paths, keys = (group[c].tolist() for c in ("rank", "host", "path", "key"))
+        hashes, sizes, articles = ([x.tolist() for x in group[c]] for c in ("hashes", "sizes", "articles"))
         out = []
         for i in group.index[group["own"]]:
-            row, near = group.loc[i], []
+            near = []
             for j in (i - 1, i + 1):
-                if 0 <= j < len(group) and abs(group.at[j, "rank"] - row["rank"]) == 1 and group.at[j, "host"] == row["host"]:
-                    other = group.at[j, "path"]
-                    same = next((k for k, (x, y) in enumerate(zip(row["path"], other)) if x != y), min(len(row["path"]), len(other)))
-                    near.append((-same, j))
-            shared = shared_lines(list(row["hashes"]), list(row["sizes"]), [list(group.at[j, "hashes"]) for _, j in sorted(near)])
-            if shared:
-                out.append((row["key"], shared))
-        return pd.DataFrame(out, columns=["key", "shared"])
+                if 0 <= j < len(ranks) and abs(ranks[j] - ranks[i]) == 1 and hosts[j] == hosts[i]:
+                    near.append((-len(commonprefix((paths[i], paths[j]))), j))
+            shared = shared_lines(hashes[i], sizes[i], [hashes[j] for _, j in sorted(near)])
+            places = set(main_places(sizes[i], articles[i], shared))
+            if len(places) < len(sizes[i]):
+                out.append((keys[i], [k in places for k in range(len(sizes[i]))]))
+        return pd.DataFrame(out, columns=["key", "stays"])
 
-    return spread.groupBy("block").applyInPandas(compare, "key long, shared array<int>")
+    return spread.groupBy("block").applyInPandas(compare, "key long, stays array<boolean>")
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text and n_chars of all pages. Each page is parsed once, and the lines are stored."""
+    """page_id, url, text and n_chars of all pages.
+
+    Pages are parsed twice, for the comparison and for the text: only hashes of
+    lines are stored and sorted, and each text is shuffled once.
+    """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")
     )
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 128):
-            found = [lines(page) for page in batch.column(2).to_pylist()]
+            found = [blocks(page) for page in batch.column(2).to_pylist()]
             # a line holds no line end, so that the joined text gives the lines back
-            text, settled = pa.array(["\n".join(x) for x, _ in found], pa.string()), pa.array([s or not x for x, s in found], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), text, settled], ["page_id", "url", "text", "settled"])
-
-    parsed = stored(rows.mapInArrow(parse, "page_id long, url string, text string, settled boolean"), "html-lines")
-    parsed = parsed.withColumn("key", F.xxhash64("page_id", "url", "text"))
-    unsettled = parsed.filter(~F.col("settled"))
-    own = F.filter(F.split("text", "\n"), lambda x, i: F.col("shared").isNull() | ~F.array_contains("shared", i))
-    differenced = unsettled.join(_deletions(unsettled), "key", "left").withColumn("text", F.array_join(own, "\n"))
-    both = parsed.filter("settled").select("page_id", "url", "text").unionByName(differenced.select("page_id", "url", "text"))
-    return both.withColumn("n_chars", F.char_length("text").cast("long"))
+            text = pa.array(["\n".join(x for x, _ in lines_of) for lines_of in found], pa.string())
+            articles = pa.array([[which for _, which in lines_of] for lines_of in found], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), text, articles], ["page_id", "url", "text", "articles"])
+
+    parsed = rows.mapInArrow(parse, "page_id long, url string, text string, articles array<int>")
+    parsed = parsed.withColumn("key", F.xxhash64("page_id", "url", "text", "articles"))
+    main = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: F.get("stays", i)), "\n")
+    both = parsed.drop("articles").join(_stays(parsed), "key", "left").withColumn("text", F.when(F.col("stays").isNull(), F.col("text")).otherwise(main))
+    return both.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

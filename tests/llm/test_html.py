@@ -3,6 +3,7 @@ from __future__ import annotations
 import itertools
 import random
 import re
+import time
 
 import pytest
 
@@ -76,6 +77,47 @@ def test_common_subsequence_is_longest():
         assert all(a[i] in it for i in places)
 
 
+def test_repeated_lines_align_by_rows(monkeypatch):
+    rnd = random.Random(4)
+    monkeypatch.setattr(html_text, "REPEATS", -1)
+    for _ in range(200):
+        a, b = ([rnd.randrange(3) for _ in range(rnd.randint(0, 8))] for _ in range(2))
+        places = html_text.common_subsequence(a, b)
+        assert places == sorted(set(places)) and len(places) == brute_lcs(a, b)
+        it = iter(b)
+        assert all(a[i] in it for i in places)
+
+
+def test_tables_of_equal_cells_align_in_time():
+    rnd = random.Random(5)
+    a, b = ([rnd.randrange(3) for _ in range(20_000)] for _ in range(2))
+    start = time.perf_counter()
+    places = html_text.common_subsequence(a, b)
+    assert time.perf_counter() - start < 30 and len(places) > 10_000  # some 130 million pairs of equal lines
+    it = iter(b)
+    assert all(a[i] in it for i in places)
+
+
+@pytest.mark.parametrize(
+    ("sizes", "articles", "shared", "want"),
+    [
+        ([], [], [], []),
+        ([5, 9, 5], [0, 1, 1], [], [1, 2]),  # an article
+        ([5, 9, 5], [0, 1, 1], [1], [1, 2]),  # that quotes
+        ([5, 9, 5], [0, 1, 1], [1, 2], [1, 2]),  # or has another address
+        ([50, 9, 5], [0, 1, 1], [], [0, 1, 2]),  # a part of the page
+        ([50, 9, 5], [0, 1, 1], [1], [0, 1, 2]),  # that quotes
+        ([50, 9, 5], [0, 1, 1], [0, 2], [1, 2]),  # whose other lines are the site's
+        ([50, 9], [0, 1], [1], [0]),  # a teaser
+        ([9, 5], [1, 2], [1], [0]),  # a card beside an article
+        ([9, 5, 2], [1, 2, 0], [0], [0, 1]),  # an article with another address beside a card
+        ([5, 9, 5], [0, 0, 0], [0, 2], [1]),  # no article
+    ],
+)
+def test_main_places(sizes, articles, shared, want):
+    assert html_text.main_places(sizes, articles, shared) == want
+
+
 def site_page(i, body, host="h.example"):
     return (i, f"http://{host}/news/{i:04d}", f"<div>Site name</div><div>Latest stories</div><div>{body}</div><div>All rights, always</div>", "clash")
 
@@ -116,6 +158,26 @@ def test_teasers_do_not_settle_a_page(spark):
     assert len(got) == 10 and all(r.text == f"story {r.page_id} {'word ' * 20}{r.page_id}" for r in got)
 
 
+def test_pages_with_articles_are_differenced(spark):
+    story = ["<p>Shared quote.</p><p>story {0} {1}{0}</p>".format(i, "word " * 20) for i in range(10)]
+    want = [f"Shared quote.\nstory {i} {'word ' * 20}{i}" for i in range(10)]
+    # articles that other pages carry too, and text outside that is longer than the article and the site's
+    card, site = "<article class=card>Most read: elsewhere</article>", f"<div>{'About this site. ' * 9}</div>"
+    rows = [(i, f"http://cards/{i}", f"<article>{story[i]}{card}</article>{card}", None) for i in range(10)]
+    rows += [(10 + i, f"http://site/{i}", f"{site}<article>{story[i]}</article>", None) for i in range(10)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()}
+    assert got == {i: want[i % 10] for i in range(20)}
+
+
+def test_articles_without_neighbours_stay(spark):
+    card = "<article class=card>Most read: elsewhere</article>"
+    pages = [f"<article>story {i} {'word ' * 20}{i}</article>{card}" for i in range(2)]
+    # hosts of one page, and a page under two addresses
+    rows = [(i, f"http://host{i}/x", pages[i], None) for i in range(2)] + [(2 + i, f"http://two/{i}", pages[0], None) for i in range(2)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {i: f"story {i % 2 if i < 2 else 0} {'word ' * 20}{i % 2 if i < 2 else 0}\nMost read: elsewhere" for i in range(4)}
+
+
 def test_edge_rows(spark):
     rows = [(None, None, None, None), (None, None, "<p>x</p>", "t"), (1, "not a url", "", None), (1, "not a url", "", None), (2**60 + 1, "", "<article>é😀</article>", None), (3, "http://h/", "<p>" + "long " * 100_000, None)]
     got = sorted(((r.page_id, r.url, r.n_chars) for r in html_text.extract(spark.createDataFrame(rows, SCHEMA)).collect()), key=str)
